@@ -32,7 +32,7 @@ def lookup_join(
 
     The most frequent keys (never more than HOT_KEYS, so their broadcast is
     bounded) get a slice number from the row id; their ``dim`` rows are copied
-    once per slice. Every other key joins as usual. The result is the plain
+    once per slice. Rows without a key are spread too, every other key joins as usual. The result is the plain
     left join whatever the frequencies are.
     """
     hot = (
@@ -42,7 +42,8 @@ def lookup_join(
         .select(key, F.lit(True).alias("_hot"))
     )
     is_hot = F.coalesce("_hot", F.lit(False))
-    slice_of_row = F.when(is_hot, F.pmod(F.xxhash64(row_id), F.lit(SLICES))).otherwise(0)
+    spread = is_hot | F.col(key).isNull()
+    slice_of_row = F.when(spread, F.pmod(F.xxhash64(row_id), F.lit(SLICES))).otherwise(0)
     slices_of_key = F.when(is_hot, F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(
         F.array(F.lit(0))
     )

@@ -46,7 +46,7 @@ def test_page_a(spark):
 
 def test_all_line_breaks_and_edges(spark):
     pages = [PAGE_A.replace("\n", b) for b in
-             ["\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", " ", " "]]
+             ["\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]]
     want = read(spark, [PAGE_A])[0]
     assert all(f == want for f in read(spark, pages))
     got = read(spark, [
