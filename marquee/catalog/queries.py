@@ -15,6 +15,7 @@ from marquee.catalog import standins as t
 from marquee.functions import pagetext, text
 from marquee.functions.markup import clean_markup
 from marquee.functions.money import money_millions
+from marquee.functions.text import bind
 from marquee.operators import candidates, credits, dataset, incremental, pages, profiling, quality
 from marquee.plans.collect import collect_rows
 from marquee.schemas import DATASET_COLUMNS
@@ -159,11 +160,12 @@ def plot_section(spark, sf):
 
 
 def money(spark, sf):
-    box = pagetext.infobox_fields(F.col("content"))
-    return t.page_texts(spark, sf).select("part", "slot", box.alias("box")).select(
+    box = bind(pagetext.infobox_fields(F.col("content")), lambda b: F.transform(
+        F.array(b["budget"], b["BoxOffice"]), money_millions
+    ))
+    return t.page_texts(spark, sf).select("part", "slot", box.alias("amounts")).select(
         "part", F.col("slot").cast("bigint").alias("slot"),
-        money_millions(F.col("box.budget")).alias("budget"),
-        money_millions(F.col("box.BoxOffice")).alias("BoxOffice"),
+        F.col("amounts")[0].alias("budget"), F.col("amounts")[1].alias("BoxOffice"),
     )
 
 
@@ -182,9 +184,9 @@ def miss_reason(spark, sf):
 
 def page_lookup(spark, sf):
     looked = pages.lookup_combined(t.titles(spark, sf), t.responses(spark, sf))
-    return looked.select(
-        "tconst", "lookup_key", "has_response", "page", "reason", *pages.with_money()
-    )
+    return pages.with_money(looked.select(
+        "tconst", "lookup_key", "has_response", "page", "reason", "fields"
+    ))
 
 
 # ---- collect -----------------------------------------------------------------

@@ -41,59 +41,71 @@ def _page_lines(content: Column) -> Column:
     return F.concat(F.lit("\n"), F.regexp_replace(content, LINE_BREAK, "\n"))
 
 
-def _cell_text(cell: Column) -> Column:
-    """Cleaned value of one cell, continuation lines included."""
-    value = F.regexp_replace(F.regexp_replace(cell, "^[^=]*=", ""), _CLOSING_LINE, "")
-    return clean_markup(F.array_join(F.transform(F.split(value, "\n"), strip), " "))
-
+def _wanted_cells(lines: Column) -> Column:
+    """All cells with a wanted key as ``struct(key, text)``, in page order."""
+    wanted = rf"(?i)^{_GAP}\|{_GAP}(?:{'|'.join(WANTED_KEYS)}){_GAP}="
+    cells = F.filter(F.split(lines, _CELL_START), lambda c: c.rlike(wanted))
+    return F.transform(cells, lambda c: F.struct(
+        strip(F.lower(F.regexp_extract(c, rf"^{_GAP}\|([^=]*)=", 1))).alias("key"),
+        c.alias("text"),
+    ))
 
-def _last_cell(cells: Column, key: str) -> Column:
-    """Last cell of that key wins, even when it is empty."""
-    named = F.filter(cells, lambda c: c.rlike(rf"(?i)^{_GAP}\|{_GAP}{key}{_GAP}="))
-    return F.try_element_at(named, F.lit(-1))
 
+def _cell_value(cell: Column) -> Column:
+    """Raw value of one cell, continuation lines included."""
+    value = F.regexp_replace(F.regexp_replace(cell, "^[^=]*=", ""), _CLOSING_LINE, "")
+    return F.array_join(F.transform(F.split(value, "\n"), strip), " ")
 
-def _infobox_columns(lines: Column) -> Column:
-    def read(cells: Column) -> Column:
-        out = []
-        for key, column in WANTED_KEYS.items():
-            text = _cell_text(_last_cell(cells, key))
-            if column in SINGLE_VALUED:
-                text = F.when(text.isNotNull(), first_value(text))
-            out.append(text.alias(column))
-        return F.struct(*out)
 
-    wanted = rf"(?i)^{_GAP}\|{_GAP}(?:{'|'.join(WANTED_KEYS)}){_GAP}="
-    cells = F.filter(F.split(lines, _CELL_START), lambda c: c.rlike(wanted))
-    return bind(cells, read)
+def _infobox_values(lines: Column) -> Column:
+    """Raw values in WANTED_KEYS order; the last cell of a key wins, even if empty."""
+    keys = F.array(*[F.lit(k) for k in WANTED_KEYS])
+    return bind(_wanted_cells(lines), lambda cells: F.transform(keys, lambda key: _cell_value(
+        F.try_element_at(F.filter(cells, lambda c: c["key"] == key), F.lit(-1))["text"]
+    )))
 
 
-def _plot_text(lines: Column) -> Column:
+def _plot_value(lines: Column) -> Column:
+    """Raw text of the first plot-like section; NULL without one."""
     after = F.get(F.split(lines, _PLOT_START, 2), F.lit(1))
     body = F.get(F.split(after, _SECTION_START, 2), F.lit(0))
-    kept = F.replace(F.regexp_replace(body, _SKIPPED_LINE, ""), F.lit("\n"), F.lit(" "))
-    text = strip(F.substring(clean_markup(kept), 1, PLOT_LENGTH))
-    return F.coalesce(text, F.lit(""))
+    return F.replace(F.regexp_replace(body, _SKIPPED_LINE, ""), F.lit("\n"), F.lit(" "))
+
+
+def _plot_text(cleaned: Column) -> Column:
+    return F.coalesce(strip(F.substring(cleaned, 1, PLOT_LENGTH)), F.lit(""))
+
+
+def _infobox_columns(texts: Column) -> list[Column]:
+    out = []
+    for at, column in enumerate(WANTED_KEYS.values()):
+        text = F.get(texts, F.lit(at))
+        if column in SINGLE_VALUED:
+            text = F.when(text.isNotNull(), first_value(text))
+        out.append(text.alias(column))
+    return out
 
 
 def infobox_fields(content: Column) -> Column:
     """Struct of the four infobox cells; NULL where the page has no such cell."""
-    return _infobox_columns(_page_lines(content))
+    values = _infobox_values(_page_lines(content))
+    return bind(F.transform(values, clean_markup), lambda t: F.struct(*_infobox_columns(t)))
 
 
 def plot_section(content: Column) -> Column:
     """Text of the first plot-like section, at most 2000 characters, else ``''``."""
-    return _plot_text(_page_lines(content))
+    return _plot_text(clean_markup(_plot_value(_page_lines(content))))
 
 
 def page_fields(content: Column) -> Column:
-    """All five page fields as one struct."""
-    def read(lines: Column) -> Column:
-        return bind(_infobox_columns(lines), lambda box: F.struct(
-            *[box[c].alias(c) for c in WANTED_KEYS.values()], _plot_text(lines).alias("plot")
-        ))
-
-    return F.when(non_empty(content), bind(_page_lines(content), read))
+    """All five page fields as one struct; NULL for a page without text."""
+    values = bind(_page_lines(content), lambda lines: F.concat(
+        _infobox_values(lines), F.array(_plot_value(lines))
+    ))
+    fields = bind(F.transform(values, clean_markup), lambda t: F.struct(
+        *_infobox_columns(t), _plot_text(F.get(t, F.lit(len(WANTED_KEYS)))).alias("plot")
+    ))
+    return F.when(non_empty(content), fields)
 
 
 def usable(fields: Column) -> Column:

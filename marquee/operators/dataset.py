@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.config import JobConfig
 from marquee.functions.flags import is_core_complete, is_enriched
-from marquee.functions.money import money_millions
+from marquee.operators.pages import with_money
 from marquee.operators.ranking import top_k
 from marquee.schemas import DATASET
 
@@ -24,13 +24,11 @@ def select_rows(looked_up: DataFrame, cfg: JobConfig) -> DataFrame:
 
 def build_rows(selected: DataFrame) -> DataFrame:
     """The thirteen dataset columns; absent page text becomes ``''``."""
-    text = {
-        name: F.coalesce(F.col(f"fields.{name}"), F.lit(""))
-        for name in ("Language", "Country", "plot")
+    computed = {
+        **{c: F.coalesce(f"page_{c}", F.lit("")) for c in ("Language", "Country", "plot")},
+        **{c: F.col(f"page_{c}") for c in ("budget", "BoxOffice")},
     }
-    amounts = {name: money_millions(F.col(f"fields.{name}")) for name in ("budget", "BoxOffice")}
-    computed = {**text, **amounts}
-    return selected.select(*[
+    return with_money(selected).select(*[
         computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in DATASET
     ])
 

@@ -67,10 +67,10 @@ def attempt(batch: DataFrame, responses: DataFrame, at_most: int | None) -> Data
         F.when(~F.col("has_response"), NO_RESPONSE)
         .when(F.col("fields").isNull(), MISSED).otherwise(ENRICHED)
     )
-    return looked.select(
+    return with_money(looked.select(
         "pos", "key", "primaryTitle", F.col("startYear").cast("string").alias("year"),
-        outcome.alias("outcome"), "reason", *with_money(),
-    )
+        outcome.alias("outcome"), "reason", "fields",
+    ))
 
 
 def merge_enriched(dataset: DataFrame, outcomes: DataFrame, at_most: int | None = None) -> DataFrame:

@@ -12,33 +12,39 @@ from pyspark.sql import functions as F
 
 from marquee.functions.money import money_millions
 from marquee.functions.pagetext import first_usable_page, miss_reason, page_fields
-from marquee.functions.text import combined_key, non_empty, safe_name, search_key
+from marquee.functions.text import bind, combined_key, non_empty, safe_name, search_key
 from marquee.operators.joins import keep_keys, lookup_join
 from marquee.schemas import PAGE_FIELDS
 
 
 def parsed_responses(responses: DataFrame) -> DataFrame:
-    """(lookup_key, page, fields, reason); ``fields`` is NULL for a miss."""
-    chosen = responses.select(
-        "lookup_key", "pages", first_usable_page(F.col("pages")).alias("hit")
-    )
-    return chosen.select(
-        "lookup_key",
-        F.col("hit.title").alias("page"),
-        F.col("hit.fields").alias("fields"),
-        F.when(F.col("hit.fields").isNull(), miss_reason(F.col("pages"))).alias("reason"),
-    )
+    """(lookup_key, page, fields, reason); ``fields`` is NULL for a miss.
 
+    The answer leaves through a generator, so later filters and projections on
+    it cannot make the optimiser parse a page twice.
+    """
+    answer = bind(first_usable_page(F.col("pages")), lambda hit: F.struct(
+        hit["title"].alias("page"),
+        hit["fields"].alias("fields"),
+        F.when(
+            F.coalesce(hit["fields"].isNull(), F.lit(True)), miss_reason(F.col("pages"))
+        ).alias("reason"),
+    ))
+    return responses.select("lookup_key", F.inline(F.array(answer)))
 
-def with_money(fields: str = "fields") -> list:
-    """The five page columns of the dataset, amounts parsed to millions."""
-    return [
-        F.col(f"{fields}.Language").alias("page_Language"),
-        F.col(f"{fields}.Country").alias("page_Country"),
-        money_millions(F.col(f"{fields}.budget")).alias("page_budget"),
-        money_millions(F.col(f"{fields}.BoxOffice")).alias("page_BoxOffice"),
-        F.col(f"{fields}.plot").alias("page_plot"),
-    ]
+
+def with_money(rows: DataFrame) -> DataFrame:
+    """Replace ``fields`` by the five dataset cells, amounts parsed to millions."""
+    amounts = F.transform(F.array("fields.budget", "fields.BoxOffice"), money_millions)
+    parsed = rows.withColumn("_amounts", amounts)
+    return parsed.select(
+        *[c for c in rows.columns if c != "fields"],
+        F.col("fields.Language").alias("page_Language"),
+        F.col("fields.Country").alias("page_Country"),
+        F.col("_amounts")[0].alias("page_budget"),
+        F.col("_amounts")[1].alias("page_BoxOffice"),
+        F.col("fields.plot").alias("page_plot"),
+    )
 
 
 def lookup_combined(
