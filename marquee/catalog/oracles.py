@@ -146,7 +146,8 @@ RUNTIME = "cast(50 + 6 * p_size as varchar)"
 
 CTES: dict[str, tuple[list[str], str]] = {
     "titles": ([], """select cast(p_partkey as varchar) as tconst, p_type as titleType,
-      p_name as primaryTitle, 1980 + p_size as startYear, 50 + 6 * p_size as runtimeMinutes,
+      p_name as primaryTitle, cast(1980 + p_size as bigint) as startYear,
+      cast(50 + 6 * p_size as bigint) as runtimeMinutes,
       p_brand || ', ' || p_type as genres from part"""),
     "raw_titles": ([], f"""select cast(p_partkey as varchar) as tconst, p_type as titleType,
       case p_partkey % 7 when 0 then '  ' || p_name || chr(9) when 1 then upper(p_name)

@@ -18,7 +18,7 @@ class JobConfig:
     ``pool_rows``         size of the popularity pool, ``None`` = 3 x target
     ``enrich_limit``      deepest rank that gets a page lookup, ``None`` = target
     ``require_page``      strict mode: rows without a page are dropped
-    ``batch_rows``        rows one enrich run may attempt
+    ``batch_rows``        rows one enrich run may attempt, ``None`` = all
     ``checkpoint_rows``   responses per streaming micro-batch
     ``search_limit``      pages asked for per lookup
     ``retry_failed``      visit known failures instead of new rows
@@ -29,7 +29,7 @@ class JobConfig:
     pool_rows: int | None = None
     enrich_limit: int | None = None
     require_page: bool = False
-    batch_rows: int = 250
+    batch_rows: int | None = 250
     checkpoint_rows: int = 10
     search_limit: int = 1
     retry_failed: bool = False

@@ -31,6 +31,7 @@ INFINITY_SHAPE = r"(?i)^[+-]?inf(?:inity)?$"
 DIGIT_RUN = r"[0-9][0-9,]*"
 KEY_UNSAFE = r"[^A-Za-z0-9_.-]+"
 KEY_LENGTH = 120
+QUOTED_CELL = r'(?s)^"((?:[^"]++|"")*+)"(?!")(.*)$'
 # -----------------------------------------------------------------------------
 
 
@@ -121,3 +122,14 @@ def fold_case(value: Column) -> Column:
     """
     parked = F.translate(value, "\u0131", "\ue0ff")
     return F.translate(F.lower(F.upper(F.lower(parked))), "\ue0ff\u03c2", "\u0131\u03c3")
+
+
+def unquote(value: Column) -> Column:
+    """Cell text without its enclosing double quotes, doubled quotes halved.
+
+    Only a quote that also closes inside the cell is taken as one; anything
+    after the closing quote is kept as it is.
+    """
+    inner = F.replace(F.regexp_extract(value, QUOTED_CELL, 1), F.lit('""'), F.lit('"'))
+    rest = F.regexp_extract(value, QUOTED_CELL, 2)
+    return F.when(value.rlike(QUOTED_CELL), F.concat(inner, rest)).otherwise(value)

@@ -52,17 +52,15 @@ def decide(rows: DataFrame, state: DataFrame, cfg: JobConfig) -> DataFrame:
 
 
 def next_batch(decided: DataFrame, cfg: JobConfig) -> DataFrame:
-    """First ``batch_rows`` rows to attempt, in dataset order."""
+    """First ``batch_rows`` rows to attempt, in dataset order; ``None`` takes all."""
     todo = decided.filter(F.col("action") == ATTEMPT)
+    if cfg.batch_rows is None:
+        return todo
     return top_k(todo, [F.asc("pos")], max(cfg.batch_rows, 0), "pos")
 
 
-def attempt(batch: DataFrame, responses: DataFrame, at_most: int | None) -> DataFrame:
-    """Outcome of every attempted row, with the parsed page columns."""
-    rows = batch.select(
-        "pos", "key", "primaryTitle", "startYear"
-    )
-    looked = lookup_combined(rows, responses, "pos", at_most)
+def outcomes_of(looked: DataFrame) -> DataFrame:
+    """What came of every attempted row, with its parsed page columns."""
     outcome = (
         F.when(~F.col("has_response"), NO_RESPONSE)
         .when(F.col("fields").isNull(), MISSED).otherwise(ENRICHED)
@@ -73,6 +71,12 @@ def attempt(batch: DataFrame, responses: DataFrame, at_most: int | None) -> Data
     ))
 
 
+def attempt(batch: DataFrame, responses: DataFrame, at_most: int | None) -> DataFrame:
+    """Look the batch up in the stored responses."""
+    rows = batch.select("pos", "key", "primaryTitle", "startYear")
+    return outcomes_of(lookup_combined(rows, responses, "pos", at_most))
+
+
 def merge_enriched(dataset: DataFrame, outcomes: DataFrame, at_most: int | None = None) -> DataFrame:
     """Dataset with the enriched rows overwritten.
 
@@ -95,11 +99,13 @@ def merge_enriched(dataset: DataFrame, outcomes: DataFrame, at_most: int | None
 
 def state_changes(outcomes: DataFrame, cfg: JobConfig) -> DataFrame:
     """Last change per key: an entry to upsert, or ``outcome = enriched`` to delete."""
-    return outcomes.filter(F.col("outcome") != NO_RESPONSE).groupBy("key").agg(
-        F.max_by("outcome", "pos").alias("outcome"),
-        F.max_by("primaryTitle", "pos").alias("title"),
-        F.max_by("year", "pos").alias("year"),
-        F.max_by("reason", "pos").alias("reason"),
+    order = F.struct("batch", "pos") if "batch" in outcomes.columns else F.col("pos")
+    tried = outcomes.filter(F.col("outcome") != NO_RESPONSE).withColumn("_order", order)
+    return tried.groupBy("key").agg(
+        F.max_by("outcome", "_order").alias("outcome"),
+        F.max_by("primaryTitle", "_order").alias("title"),
+        F.max_by("year", "_order").alias("year"),
+        F.max_by("reason", "_order").alias("reason"),
         F.lit(cfg.search_limit if cfg.retry_failed else 0).cast("int").alias("retry_search_limit"),
     )
 
@@ -124,7 +130,9 @@ def run_counters(decided: DataFrame, outcomes: DataFrame, cfg: JobConfig) -> Dat
     batch; a batch that never filled counts them all.
     """
     skipped = decided.filter(F.col("action") == SKIP)
-    if cfg.batch_rows <= 0:
+    if cfg.batch_rows is None:
+        passed = skipped
+    elif cfg.batch_rows <= 0:
         passed = skipped.filter(F.lit(False))
     else:
         last = outcomes.agg(

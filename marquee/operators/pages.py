@@ -47,24 +47,38 @@ def with_money(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_lookup_key(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("lookup_key", combined_key(F.col("primaryTitle"), F.col("startYear")))
+
+
+def join_parsed(
+    keyed: DataFrame, parsed: DataFrame, row_id: str, at_most: int | None = None
+) -> DataFrame:
+    """Keyed rows left-joined to parsed responses, ``has_response`` always set.
+
+    Many rows may share one key, so without a row bound hot keys are spread.
+    """
+    known = parsed.withColumn("has_response", F.lit(True))
+    if at_most is None:
+        joined = lookup_join(keyed, known, "lookup_key", row_id)
+    else:
+        joined = keyed.join(known, "lookup_key", "left")
+    return joined.withColumn("has_response", F.coalesce("has_response", F.lit(False)))
+
+
 def lookup_combined(
     rows: DataFrame, responses: DataFrame, row_id: str = "tconst", at_most: int | None = None
 ) -> DataFrame:
-    """Rows left-joined to their parsed response on the combined key.
+    """Rows left-joined to their response on the combined key.
 
     ``at_most`` bounds the row count where a limit has set one; then only the
     responses those rows ask for are parsed. Without a bound every response is
-    parsed once and rows sharing a key are spread by ``lookup_join``.
+    parsed, once.
     """
-    keyed = rows.withColumn("lookup_key", combined_key(F.col("primaryTitle"), F.col("startYear")))
-    if at_most is None:
-        parsed = parsed_responses(responses).withColumn("has_response", F.lit(True))
-        joined = lookup_join(keyed, parsed, "lookup_key", row_id)
-    else:
-        asked = keep_keys(responses, keyed, "lookup_key", at_most)
-        parsed = parsed_responses(asked).withColumn("has_response", F.lit(True))
-        joined = keyed.join(parsed, "lookup_key", "left")
-    return joined.withColumn("has_response", F.coalesce("has_response", F.lit(False)))
+    keyed = with_lookup_key(rows)
+    if at_most is not None:
+        responses = keep_keys(responses, keyed, "lookup_key", at_most)
+    return join_parsed(keyed, parsed_responses(responses), row_id, at_most)
 
 
 def lookup_two_call(
