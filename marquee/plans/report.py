@@ -11,13 +11,13 @@ from marquee.operators.profiling import (
 )
 from marquee.operators.quality import MINIMUM_ROWS, quality_checks, require_quality
 from marquee.schemas import DATASET_COLUMNS
-from marquee.sources.datasets import write_dataset_csv, write_profile
+from marquee.sources.datasets import read_profile, write_dataset_csv, write_profile
 
 
 def report(dataset: DataFrame, cfg: JobConfig, profile_path: str) -> DataFrame:
     """Write the profile document and return one line of text per column."""
     write_profile(dataset, cfg, profile_path)
-    document = dataset.sparkSession.read.json(profile_path)
+    document = read_profile(dataset.sparkSession, profile_path)
     return report_lines(profile_of_document(document))
 
 

@@ -33,6 +33,22 @@ STATE = T.StructType([
     T.StructField("retry_search_limit", T.IntegerType()),
 ])
 
+_MISSING = T.StructType([
+    T.StructField("missing_count", T.LongType()),
+    T.StructField("missing_percent", T.DoubleType()),
+])
+PROFILE = T.StructType([
+    T.StructField("movie_count", T.LongType()),
+    T.StructField("team_letter", T.StringType()),
+    T.StructField("target_movie_count", T.LongType()),
+    T.StructField("candidate_pool_size", T.LongType()),
+    T.StructField("require_wikipedia_page", T.BooleanType()),
+    T.StructField("wikipedia_enrich_limit", T.LongType()),
+    T.StructField("wikipedia_enriched_count", T.LongType()),
+    T.StructField("wikipedia_core_complete_count", T.LongType()),
+    T.StructField("missing", T.StructType([T.StructField(c, _MISSING) for c in DATASET_COLUMNS])),
+])
+
 # Parsed page cells; a NULL cell means the page never named that field.
 PAGE_FIELDS = T.StructType([
     T.StructField("budget", T.StringType()),

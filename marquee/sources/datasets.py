@@ -11,7 +11,7 @@ from marquee.config import JobConfig
 from marquee.functions.numbers import float_text
 from marquee.functions.text import list_text
 from marquee.operators.profiling import profile_document
-from marquee.schemas import DATASET, DATASET_COLUMNS, STATE
+from marquee.schemas import DATASET, DATASET_COLUMNS, PROFILE, STATE
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -83,6 +83,10 @@ def write_profile(dataset: DataFrame, cfg: JobConfig, path: str) -> None:
     document.write.mode("overwrite").json(path)
 
 
+def read_profile(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PROFILE).option("multiLine", True).json(path)
+
+
 # ---- failure state -----------------------------------------------------------
 _STATE_BODY = T.StructType([
     T.StructField("failed_rows", T.MapType(T.StringType(), T.StructType(STATE.fields[1:]))),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from marquee.config import JobConfig
 from marquee.schemas import DATASET, STATE
-from marquee.sources.datasets import read_or_empty, write_profile
+from marquee.sources.datasets import read_or_empty, read_profile, write_profile
 
 _COMMITS = T.StructType([
     T.StructField("version", T.LongType()),
@@ -52,7 +52,7 @@ class Store:
         return read_or_empty(self.spark, f"{self.folder(self.version())}/state", STATE)
 
     def profile(self) -> DataFrame:
-        return self.spark.read.json(f"{self.folder(self.version())}/profile")
+        return read_profile(self.spark, f"{self.folder(self.version())}/profile")
 
     def publish(
         self, dataset: DataFrame, state: DataFrame, cfg: JobConfig,

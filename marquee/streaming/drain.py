@@ -9,6 +9,8 @@ published version in a single pass, instead of rewriting the dataset per batch.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,17 +65,12 @@ class Drain:
         asked = keep_keys(with_lookup_key(rows), parsed, "lookup_key", self.cfg.checkpoint_rows)
         state = incremental.state_after(self.store.state(), earlier, self.cfg)
         decided = incremental.decide(asked, state, self.cfg)
-        todo = incremental.next_batch(decided, self._unlimited())
+        todo = incremental.next_batch(decided, replace(self.cfg, batch_rows=None))
         looked = join_parsed(
             todo.select("pos", "key", "primaryTitle", "startYear", "lookup_key"), parsed, "pos")
         incremental.outcomes_of(looked).write.mode("overwrite").parquet(
             f"{self.folder}/outcomes/batch={batch}")
 
-    def _unlimited(self) -> JobConfig:
-        from dataclasses import replace
-
-        return replace(self.cfg, batch_rows=None)
-
     def merge(self) -> int:
         """Publish the dataset and state with every outcome so far."""
         outcomes = self.outcomes()
