@@ -256,7 +256,7 @@ def profile_document(spark, sf):
 def profile_diff(spark, sf):
     rows = t.dataset(spark, sf)
     run = _outcomes(spark, sf, t.RUN)
-    after = incremental.merge_enriched(rows, run, t.RUN.batch_rows)
+    after = incremental.merge_enriched(rows, run)
     return profiling.profile_diff(
         profiling.missing_profile(rows, DATASET_COLUMNS),
         profiling.missing_profile(after, DATASET_COLUMNS),
@@ -278,7 +278,8 @@ def _decided(spark, sf, cfg):
 
 
 def _outcomes(spark, sf, cfg):
-    batch = incremental.next_batch(_decided(spark, sf, cfg), cfg)
+    rows = incremental.with_key(incremental.pending(t.dataset(spark, sf)))
+    batch = incremental.next_batch(incremental.decide(rows, t.state(spark, sf), cfg), cfg)
     return materialise(incremental.attempt(batch, t.responses(spark, sf), cfg.batch_rows))
 
 
@@ -310,8 +311,7 @@ def run_outcomes(spark, sf):
 
 def merge_enriched(spark, sf):
     def merged(spark, sf, cfg):
-        return incremental.merge_enriched(
-            t.dataset(spark, sf), _outcomes(spark, sf, cfg), cfg.batch_rows)
+        return incremental.merge_enriched(t.dataset(spark, sf), _outcomes(spark, sf, cfg))
 
     return _both_modes(merged, spark, sf).select(
         "retry", "pos", "Language", "Country", "budget", "BoxOffice", "plot"

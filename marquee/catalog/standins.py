@@ -119,12 +119,13 @@ _CONTENT = f"""case v
 end"""
 
 
-def _page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+def _page_rows(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    part = table(spark, sf_dir, "part") if part is None else part
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (
-        part.join(nation, F.expr("p_partkey % 25 = n_nationkey"))
+        part.select("p_partkey", "p_name", "p_brand", "p_size")
+        .join(nation, F.expr("p_partkey % 25 = n_nationkey"))
         .join(documents, F.expr("p_partkey = doc_id"), "left")
         .withColumn("body", F.coalesce("text", F.concat(F.lit("Story of "), "p_name")))
     )
@@ -140,32 +141,25 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def part_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(part, lookup_key, pages): one response per part, none to three pages."""
-    pages = []
-    for slot in (1, 2, 3):
-        pages.append(f"""transform(array((p_partkey + {slot}) % 10), v -> named_struct(
-          'index', case p_partkey % 4 when 0 then 4 - {slot}
-                   when 1 then if({slot} = 1, null, {slot}) else {slot} end,
-          'title', if(p_partkey % 10 = 3 and {slot} = 2, '', concat(p_name, ' ({slot})')),
-          'content', {_CONTENT}))[0]""")
-    return _page_rows(spark, sf_dir).select(
-        F.col("p_partkey").alias("part"),
-        combined_key(F.col("p_name"), F.expr("1980 + p_size")).alias("lookup_key"),
-        F.expr(
-            f"if(p_partkey % 10 = 0, slice(array({', '.join(pages)}), 1, 0), "
-            f"array({', '.join(pages)}))"
-        ).alias("pages"),
-    )
+# One response: no page or three, in and out of index order, one without a title.
+_PAGES = f"""transform(
+  if(p_partkey % 10 = 0, cast(array() as array<int>), array(1, 2, 3)),
+  slot -> named_struct(
+    'index', case p_partkey % 4 when 0 then 4 - slot
+             when 1 then if(slot = 1, null, slot) else slot end,
+    'title', if(p_partkey % 10 = 3 and slot = 2, '', concat(p_name, ' (', slot, ')')),
+    'content', transform(array((p_partkey + slot) % 10), v -> {_CONTENT})[0]))"""
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One response per lookup key, stored by the first part that asked."""
-    part = table(spark, sf_dir, "part").select(
-        "p_partkey", combined_key(F.col("p_name"), F.expr("1980 + p_size")).alias("k")
+    """(lookup_key, pages): one response per key, stored by the first part that asked."""
+    part = table(spark, sf_dir, "part")
+    key = combined_key(F.col("p_name"), F.expr("1980 + p_size"))
+    first = part.groupBy(key.alias("k")).agg(F.min("p_partkey").alias("p_partkey"))
+    owners = part.join(first, "p_partkey", "left_semi")
+    return _page_rows(spark, sf_dir, owners).select(
+        key.alias("lookup_key"), F.expr(_PAGES).alias("pages")
     )
-    first = part.groupBy("k").agg(F.min("p_partkey").alias("part")).select("part")
-    return part_responses(spark, sf_dir).join(first, "part", "left_semi").drop("part")
 
 
 def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:

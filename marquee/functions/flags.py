@@ -23,6 +23,14 @@ def is_enriched() -> Column:
     return non_empty(F.col("plot")) | non_empty(F.col("Language")) | non_empty(F.col("Country"))
 
 
+def is_pending() -> Column:
+    """The opposite of ``is_enriched``, in a form file scans can evaluate."""
+    def blank(name: str) -> Column:
+        return F.col(name).isNull() | (F.col(name) == "")
+
+    return blank("plot") & blank("Language") & blank("Country")
+
+
 def is_core_complete() -> Column:
     """All page-backed text columns filled."""
     return non_empty(F.col("plot")) & non_empty(F.col("Language")) & non_empty(F.col("Country"))

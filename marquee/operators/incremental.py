@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.config import JobConfig
-from marquee.functions.flags import is_enriched
+from marquee.functions.flags import is_enriched, is_pending
 from marquee.functions.text import row_key
-from marquee.operators.joins import BROADCAST_KEYS, lookup_join
+from marquee.operators.joins import BROADCAST_KEYS
 from marquee.operators.pages import lookup_combined, with_money
 from marquee.operators.ranking import top_k
 from marquee.schemas import STATE
@@ -21,6 +21,11 @@ ATTEMPT, SKIP, IGNORE = "attempt", "skip", "ignore"
 ENRICHED, MISSED, NO_RESPONSE = "enriched", "missed", "no_response"
 
 
+def pending(dataset: DataFrame) -> DataFrame:
+    """Rows that still lack page fields; the test reaches the file scan."""
+    return dataset.filter(is_pending())
+
+
 def with_key(dataset: DataFrame) -> DataFrame:
     return dataset.withColumn(
         "key", row_key(F.col("tconst"), F.col("primaryTitle"), F.col("startYear"))
@@ -29,15 +34,19 @@ def with_key(dataset: DataFrame) -> DataFrame:
 
 def pending_rows(rows: DataFrame, state: DataFrame) -> DataFrame:
     """Rows without page fields that are not known failures."""
-    return rows.filter(~is_enriched()).join(state.select("key"), "key", "left_anti")
+    return pending(rows).join(state.select("key"), "key", "left_anti")
 
 
 def decide(rows: DataFrame, state: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Add ``action``: attempt, skip (counted) or ignore."""
+    """Add ``action``: attempt, skip (counted) or ignore.
+
+    Keys are unique but for rows without an id; adaptive skew handling splits
+    the partition if many of those share a title and year.
+    """
     known = state.select(
         "key", F.coalesce("retry_search_limit", F.lit(0)).alias("_tried"), F.lit(True).alias("_known")
     )
-    joined = lookup_join(rows, known, "key", "pos")
+    joined = rows.join(known, "key", "left")
     seen = F.coalesce("_known", F.lit(False))
     if cfg.retry_failed:
         action = (
@@ -77,10 +86,12 @@ def attempt(batch: DataFrame, responses: DataFrame, at_most: int | None) -> Data
     return outcomes_of(lookup_combined(rows, responses, "pos", at_most))
 
 
-def merge_enriched(dataset: DataFrame, outcomes: DataFrame, at_most: int | None = None) -> DataFrame:
+def merge_enriched(dataset: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Dataset with the enriched rows overwritten.
 
     Text the page did not name keeps its old value; amounts are always replaced.
+    Outcomes read from a written table have a known size, so a small batch is
+    broadcast by the optimiser and the dataset stays where it is.
     """
     hits = outcomes.filter(F.col("outcome") == ENRICHED).select(
         "pos", F.lit(True).alias("_hit"),

@@ -11,6 +11,8 @@ BROADCAST_KEYS = 100_000
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_024
 SLICES = 64
+# Hot keys are recognised on one row in this many, chosen by a hash of the row id.
+LOOK_AT_ONE_IN = 64
 
 
 def keep_keys(big: DataFrame, keys: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
@@ -25,34 +27,38 @@ def keep_keys(big: DataFrame, keys: DataFrame, key: str, at_most: int | None = N
     return big.join(wanted, key, "left_semi")
 
 
+def _hot_keys(rows: DataFrame, key: str, row_id: str, hot_rows: int) -> DataFrame:
+    """Estimated most frequent keys, never more than HOT_KEYS.
+
+    The estimate only decides which task a row goes to, never whether it is in
+    the result. Choosing rows by hash keeps it identical on every evaluation.
+    """
+    seen = rows.filter(F.pmod(F.xxhash64(row_id), F.lit(LOOK_AT_ONE_IN)) == 0)
+    return (
+        seen.groupBy(key).agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") * LOOK_AT_ONE_IN >= hot_rows)
+        .orderBy(F.desc("_n"), key).limit(HOT_KEYS)
+        .select(key, F.lit(True).alias("_hot"))
+    )
+
+
 def lookup_join(
     rows: DataFrame, dim: DataFrame, key: str, row_id: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``rows`` left join ``dim`` (unique on ``key``) with hot keys spread out.
 
-    The most frequent keys (never more than HOT_KEYS, so their broadcast is
-    bounded) get a slice number from the row id; their ``dim`` rows are copied
-    once per slice. Rows without a key are spread too, every other key joins as usual. The result is the plain
-    left join whatever the frequencies are.
+    Rows of a hot key get a slice number from their id, and its ``dim`` row is
+    copied once per slice. Rows without a key are spread too, every other key
+    joins as usual. The result is the plain left join whatever the frequencies.
     """
-    hot = (
-        rows.groupBy(key).agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), key).limit(HOT_KEYS)
-        .select(key, F.lit(True).alias("_hot"))
-    )
+    hot = F.broadcast(_hot_keys(rows, key, row_id, hot_rows))
     is_hot = F.coalesce("_hot", F.lit(False))
-    spread = is_hot | F.col(key).isNull()
-    slice_of_row = F.when(spread, F.pmod(F.xxhash64(row_id), F.lit(SLICES))).otherwise(0)
+    # Salted again: the slice must not follow the rows picked for the estimate.
+    salt = F.pmod(F.xxhash64(row_id, F.lit("slice")), F.lit(SLICES)).cast("int")
+    slice_of_row = F.when(is_hot | F.col(key).isNull(), salt).otherwise(0)
     slices_of_key = F.when(is_hot, F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(
         F.array(F.lit(0))
     )
-    left = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", slice_of_row.cast("int")).drop("_hot")
-    )
-    right = (
-        dim.join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", F.explode(slices_of_key)).drop("_hot")
-    )
+    left = rows.join(hot, key, "left").withColumn("_slice", slice_of_row).drop("_hot")
+    right = dim.join(hot, key, "left").withColumn("_slice", F.explode(slices_of_key)).drop("_hot")
     return left.join(right, [key, "_slice"], "left").drop("_slice")

@@ -19,7 +19,8 @@ def run_enrichment(store: Store, responses: DataFrame, cfg: JobConfig) -> Row:
     """
     spark = store.spark
     dataset, state = store.dataset(), store.state()
-    decided = incremental.decide(incremental.with_key(dataset), state, cfg)
+    rows = incremental.with_key(incremental.pending(dataset))
+    decided = incremental.decide(rows, state, cfg)
     batch = incremental.next_batch(decided, cfg)
     path = f"{store.folder(store.version() + 1)}/outcomes"
     incremental.attempt(batch, responses, cfg.batch_rows).write.mode("overwrite").parquet(path)

@@ -48,14 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss and cuts the lineage."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Write once to the shared folder and read back.
+
+    Survives executor loss, cuts the lineage and, unlike a checkpoint, tells
+    the optimiser how big the table is.
+    """
+    path = f"{shared_dir(df.sparkSession)}/marquee-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

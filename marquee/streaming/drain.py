@@ -61,7 +61,8 @@ class Drain:
 
         earlier = self.outcomes(before=batch)
         done = earlier.filter(F.col("outcome") == incremental.ENRICHED).select("pos")
-        rows = incremental.with_key(self.store.dataset()).join(done, "pos", "left_anti")
+        rows = incremental.with_key(incremental.pending(self.store.dataset()))
+        rows = rows.join(done, "pos", "left_anti")
         asked = keep_keys(with_lookup_key(rows), parsed, "lookup_key", self.cfg.checkpoint_rows)
         state = incremental.state_after(self.store.state(), earlier, self.cfg)
         decided = incremental.decide(asked, state, self.cfg)

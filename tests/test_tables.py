@@ -130,7 +130,7 @@ def test_lookup_join_with_hot_keys_equals_plain_join(spark):
         F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))).alias("key"))
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("unused", 4)], "key string, v int")
     plain = rows.join(dim, "key", "left").orderBy("id").collect()
-    spread = lookup_join(rows, dim, "key", "id", hot_rows=100).orderBy("id")
+    spread = lookup_join(rows, dim, "key", "id", hot_rows=320).orderBy("id")
     assert spread.columns == ["key", "id", "v"]
     assert spread.collect() == plain
 
@@ -241,7 +241,7 @@ def run(spark, cfg, state, responses):
     decided = incremental.decide(rows, state, cfg)
     batch = incremental.next_batch(decided, cfg)
     out = incremental.attempt(batch, responses, cfg.batch_rows)
-    merged = incremental.merge_enriched(rows, out, cfg.batch_rows)
+    merged = incremental.merge_enriched(rows, out)
     after = incremental.state_after(state, out, cfg, cfg.batch_rows)
     return (
         {r.key: r.action for r in decided.collect()},
