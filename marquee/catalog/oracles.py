@@ -294,6 +294,10 @@ CTES: dict[str, tuple[list[str], str]] = {
       case when l.lookup_key is null then 'no_response' when hit then 'enriched' else 'missed' end
         as outcome, l.reason, l.Language, l.Country, l.budget, l.BoxOffice, l.plot
       from batch b left join lookups l on b.lookup_key = l.lookup_key"""),
+    "drained": (["decided", "lookups"], """select pos, key, primaryTitle, startYear, hit, l.reason,
+      l.Language, l.Country, l.budget, l.BoxOffice, l.plot
+      from decided d join lookups l on d.lookup_key = l.lookup_key
+      where not retry and action = 'attempt'"""),
     "merged": (["modes", "dataset", "outcomes"], """select m.retry, d.* replace (
         coalesce(o.Language, d.Language) as Language, coalesce(o.Country, d.Country) as Country,
         coalesce(o.plot, d.plot) as plot,
@@ -462,4 +466,44 @@ ORACLES: dict[str, str] = {
         d.pos < (select max(pos) from outcomes o where o.retry = m.retry)
         or m.batch_rows > (select count(*) from outcomes o where o.retry = m.retry)))
         as skipped_failed from modes m"""),
+    "tsv_scan": query(["typed_titles"], """select tconst, titleType, primaryTitle,
+      startYear, runtimeMinutes, array_to_string(genre_items, ', ') as genres from typed_titles"""),
+    "dataset_csv": query(["dataset"], """select tconst, primaryTitle,
+      cast(startYear as bigint) as startYear, genres, lead_actors_ids,
+      cast(runtimeMinutes as bigint) as runtimeMinutes, averageRating, Language, Country, numVotes,
+      budget, BoxOffice, plot from dataset"""),
+    "profile_json": query(["profile"], "select * from profile"),
+    "state_lines": query(["state"], """select key, title, year, reason,
+      cast(retry_search_limit as bigint) as retry_search_limit from state"""),
+    "scan_responses": query(["owners", "page_texts", "page_base"], """select lookup_key,
+      cast(coalesce(case part % 4 when 0 then 4 - slot
+        when 1 then case when slot = 1 then null else slot end else slot end, 999) as bigint)
+        as "index",
+      case when part % 10 = 3 and slot = 2 then '' else p_name || ' (' || slot || ')' end as title,
+      md5(content) as digest
+      from owners join page_texts using (part) join page_base on p_partkey = part
+      where part % 10 <> 0"""),
+    "two_call_lookup": query(["ranked", "owners", "page_box", "page_money", "page_plot", "page_texts"],
+      f"""select tconst, case when owners.part % 10 <> 0 then 'Page ' || lookup_key end as page,
+      Language as page_Language, Country as page_Country, m.budget as page_budget,
+      m.BoxOffice as page_BoxOffice, plot as page_plot
+      from ranked join owners on lookup_key = {safe("primaryTitle || ' ' || startYear || ' film'")}
+      left join page_texts x on x.part = owners.part and x.slot = 1 and x.part % 10 <> 0
+        and content <> ''
+      left join page_box b on b.part = x.part and b.slot = 1
+      left join page_money m on m.part = x.part and m.slot = 1
+      left join page_plot p on p.part = x.part and p.slot = 1"""),
+    "enrich_run": query(["merged"], """select pos, Language, Country, budget, BoxOffice, plot
+      from merged where not retry"""),
+    "drain_stream": query(["dataset", "drained"], """select pos,
+      coalesce(o.Language, d.Language) as Language, coalesce(o.Country, d.Country) as Country,
+      case when o.pos is null then d.budget else o.budget end as budget,
+      case when o.pos is null then d.BoxOffice else o.BoxOffice end as BoxOffice,
+      coalesce(o.plot, d.plot) as plot
+      from dataset d left join (select * from drained where hit) o using (pos)"""),
+    "drain_state": query(["state", "drained"], """select key, title, year, reason,
+      cast(retry_search_limit as bigint) as retry_search_limit from state
+      where key not in (select key from drained)
+      union all select key, primaryTitle, cast(startYear as varchar), reason, 0 from drained
+      where not hit"""),
 }

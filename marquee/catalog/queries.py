@@ -7,6 +7,7 @@ bigint, rounded values double, lists joined text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,13 @@ from marquee.functions.money import money_millions
 from marquee.functions.text import bind
 from marquee.operators import candidates, credits, dataset, incremental, pages, profiling, quality
 from marquee.plans.collect import collect_rows
+from marquee.plans.enrich import drain, run_enrichment
 from marquee.schemas import DATASET_COLUMNS
-from marquee.session import materialise
+from marquee.session import materialise, scratch_path
+from marquee.sources import catalogue, datasets
+from marquee.sources import responses as stored
+from marquee.sources.store import Store
+from marquee.streaming.drain import Drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,8 +208,6 @@ def _collected(spark, sf, cfg):
 
 
 def strict_selection(spark, sf):
-    from dataclasses import replace
-
     ranked = candidates.ranked_pool(_rated(spark, sf), t.CONFIG)
     strict = replace(t.CONFIG, require_page=True, target_rows=50)
     looked = pages.lookup_combined(
@@ -334,6 +338,83 @@ def run_counters(spark, sf):
     return _both_modes(counters, spark, sf)
 
 
+# ---- files, store, stream ----------------------------------------------------
+def tsv_scan(spark, sf):
+    """Raw titles out to a compressed export and back through the reader."""
+    path = scratch_path(spark)
+    t.raw_titles(spark, sf).write.csv(
+        path, sep="\t", header=True, quote="", nullValue="\\N", emptyValue="", compression="gzip",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return _flat(candidates.project_titles(catalogue.read_titles(spark, path)))
+
+
+def dataset_csv(spark, sf):
+    """The dataset out to CSV and back, typed again."""
+    path = scratch_path(spark)
+    datasets.write_dataset_csv(t.dataset(spark, sf), path, order="pos")
+    return _flat(datasets.typed_dataset(datasets.read_dataset_csv(spark, path)).drop("pos"))
+
+
+def profile_json(spark, sf):
+    path = scratch_path(spark)
+    datasets.write_profile(t.dataset(spark, sf), t.CONFIG, path)
+    return profiling.profile_of_document(datasets.read_profile(spark, path))
+
+
+def state_lines(spark, sf):
+    path = scratch_path(spark)
+    datasets.write_state_lines(t.state(spark, sf), path)
+    return _flat(datasets.read_state_lines(spark, path))
+
+
+def scan_responses(spark, sf):
+    answers = stored.combined_responses(t.combined_bodies(spark, sf), t.RUN.search_limit)
+    return stored.candidate_pages(answers).select(
+        "lookup_key", F.col("index").cast("bigint").alias("index"), "title",
+        F.md5("content").alias("digest"),
+    )
+
+
+def two_call_lookup(spark, sf):
+    ranked = materialise(candidates.ranked_pool(_rated(spark, sf), t.CONFIG))
+    bodies = t.two_call_bodies(spark, sf)
+    looked = pages.lookup_two_call(
+        ranked, stored.search_responses(bodies), stored.parse_responses(bodies),
+        t.CONFIG.pool_size)
+    return pages.with_money(looked.select("tconst", "page", "fields"))
+
+
+def _new_store(spark, sf) -> Store:
+    store = Store(spark, scratch_path(spark))
+    store.publish(t.dataset(spark, sf), t.state(spark, sf), t.CONFIG)
+    return store
+
+
+_PAGE_COLUMNS = ["pos", "Language", "Country", "budget", "BoxOffice", "plot"]
+
+
+def enrich_run(spark, sf):
+    """One published run over a stored dataset."""
+    store = _new_store(spark, sf)
+    run_enrichment(store, t.responses(spark, sf), t.RUN)
+    return store.dataset().select(*_PAGE_COLUMNS)
+
+
+def drain_stream(spark, sf):
+    """Stream of landed responses drained into a stored dataset in two batches."""
+    store, landed = _new_store(spark, sf), scratch_path(spark)
+    t.combined_bodies(spark, sf).repartition(4, "name").write.parquet(landed)
+    Drain(store, "landed", replace(t.RUN, checkpoint_rows=2)).run_landed(landed)
+    return store.dataset().select(*_PAGE_COLUMNS)
+
+
+def drain_state(spark, sf):
+    """Failure state after draining everything in one batch job."""
+    store = _new_store(spark, sf)
+    drain(store, t.responses(spark, sf), t.RUN)
+    return _flat(store.state())
+
+
 QUERIES: dict[str, Query] = {
     "candidate_projection": candidate_projection,
     "eligible_titles": eligible_titles,
@@ -375,4 +456,13 @@ QUERIES: dict[str, Query] = {
     "merge_enriched": merge_enriched,
     "state_after": state_after,
     "run_counters": run_counters,
+    "tsv_scan": tsv_scan,
+    "dataset_csv": dataset_csv,
+    "profile_json": profile_json,
+    "state_lines": state_lines,
+    "scan_responses": scan_responses,
+    "two_call_lookup": two_call_lookup,
+    "enrich_run": enrich_run,
+    "drain_stream": drain_stream,
+    "drain_state": drain_state,
 }

@@ -175,6 +175,45 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def combined_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same responses as named JSON bodies, one per stored request."""
+    body = F.expr(
+        "to_json(named_struct('batchcomplete', true, 'query', named_struct('pages', "
+        "transform(pages, p -> named_struct('index', p.index, 'title', p.title, 'revisions', "
+        "array(named_struct('slots', named_struct('main', named_struct('content', p.content)))))))))"
+    )
+    return responses(spark, sf_dir).select(
+        F.concat(F.lit(f"wiki_combined_{RUN.search_limit}_"), "lookup_key", F.lit(".json")
+                 ).alias("name"),
+        body.alias("body"),
+    )
+
+
+def two_call_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search and parse responses as named JSON bodies.
+
+    A search answers with a blank and a real title, or with none; the parse
+    response holds the first page, or an error where there is none.
+    """
+    answers = responses(spark, sf_dir)
+    found = F.expr(
+        "to_json(named_struct('query', named_struct('search', if(size(pages) = 0, "
+        "cast(array() as array<struct<title:string>>), array(named_struct('title', ''), "
+        "named_struct('title', concat('Page ', lookup_key)))))))"
+    )
+    parsed = F.expr(
+        "if(size(pages) = 0, '{\"error\": {\"code\": \"missingtitle\"}}', "
+        "to_json(named_struct('parse', named_struct('wikitext', named_struct('*', pages[0].content)))))"
+    )
+    searches = answers.select(
+        F.concat(F.lit("wiki_search_"), "lookup_key", F.lit(".json")).alias("name"),
+        found.alias("body"))
+    parses = answers.select(
+        F.concat(F.lit("wiki_parse_Page_"), "lookup_key", F.lit(".json")).alias("name"),
+        parsed.alias("body"))
+    return searches.unionByName(parses)
+
+
 def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part as a dataset row in order ``pos``; some already have fields."""
     return table(spark, sf_dir, "part").selectExpr(

@@ -48,12 +48,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/marquee-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back.
 
     Survives executor loss, cuts the lineage and, unlike a checkpoint, tells
     the optimiser how big the table is.
     """
-    path = f"{shared_dir(df.sparkSession)}/marquee-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

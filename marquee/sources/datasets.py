@@ -106,6 +106,10 @@ def read_state_json(spark: SparkSession, path: str) -> DataFrame:
     return entries.select("key", "entry.*")
 
 
-def write_state_json(state: DataFrame, path: str) -> None:
+def read_state_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATE).json(path)
+
+
+def write_state_lines(state: DataFrame, path: str) -> None:
     """State export, one JSON object per failed row."""
     state.select(*STATE.names).write.mode("overwrite").json(path)

@@ -13,8 +13,9 @@ COMBINED_NAME = r"^wiki_combined_([0-9]+)_(.*)\.json$"
 SEARCH_NAME = r"^wiki_search_(.*)\.json$"
 PARSE_NAME = r"^wiki_parse_(.*)\.json$"
 
-# Column layout of a body table, for readers and streams alike.
-BODY_SCHEMA = "value string"
+# Layout of a response file read whole, and of a table of named bodies.
+FILE_SCHEMA = "value string"
+BODY_SCHEMA = "name string, body string"
 
 
 def named_bodies(files: DataFrame) -> DataFrame:

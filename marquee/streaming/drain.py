@@ -20,7 +20,7 @@ from marquee.operators import incremental
 from marquee.operators.joins import keep_keys
 from marquee.operators.pages import join_parsed, parsed_responses, with_lookup_key
 from marquee.sources.datasets import read_or_empty
-from marquee.sources.responses import BODY_SCHEMA, combined_responses, named_bodies
+from marquee.sources.responses import BODY_SCHEMA, FILE_SCHEMA, combined_responses, named_bodies
 from marquee.sources.store import Store
 
 
@@ -50,10 +50,10 @@ class Drain:
         ).filter(F.col("batch") > self.store.merged_up_to(self.name))
         return rows if before is None else rows.filter(F.col("batch") < before)
 
-    def process(self, files: DataFrame, batch: int) -> None:
+    def process(self, bodies: DataFrame, batch: int) -> None:
         """Attempt the pending rows whose response has arrived."""
         spark = self.store.spark
-        responses = combined_responses(named_bodies(files), self.cfg.search_limit)
+        responses = combined_responses(bodies, self.cfg.search_limit)
         # Parsed once and kept; also the memo of this batch's page fields.
         parsed_path = f"{self.folder}/parsed/batch={batch}"
         parsed_responses(responses).write.mode("overwrite").parquet(parsed_path)
@@ -63,7 +63,7 @@ class Drain:
         done = earlier.filter(F.col("outcome") == incremental.ENRICHED).select("pos")
         rows = incremental.with_key(incremental.pending(self.store.dataset()))
         rows = rows.join(done, "pos", "left_anti")
-        asked = keep_keys(with_lookup_key(rows), parsed, "lookup_key", self.cfg.checkpoint_rows)
+        asked = keep_keys(with_lookup_key(rows), parsed, "lookup_key")
         state = incremental.state_after(self.store.state(), earlier, self.cfg)
         decided = incremental.decide(asked, state, self.cfg)
         todo = incremental.next_batch(decided, replace(self.cfg, batch_rows=None))
@@ -84,17 +84,29 @@ class Drain:
             self.cfg, source=self.name, batch=last,
         )
 
-    def run(self, responses_path: str) -> int:
-        """Process all files that are there now, merge, return the version."""
-        files = (
-            self.store.spark.readStream.format("text").schema(BODY_SCHEMA)
-            .option("wholetext", True).option("maxFilesPerTrigger", self.cfg.checkpoint_rows)
-            .load(responses_path).select("value", "_metadata")
-        )
+    def run_stream(self, bodies: DataFrame) -> int:
+        """Process a (name, body) stream as far as it goes now, merge, return the version."""
         query = (
-            files.writeStream.foreachBatch(self.process)
+            bodies.writeStream.foreachBatch(self.process)
             .option("checkpointLocation", f"{self.folder}/checkpoint")
             .trigger(availableNow=True).start()
         )
         query.awaitTermination()
         return self.merge()
+
+    def run(self, path: str) -> int:
+        """Drain a folder of response files, ``checkpoint_rows`` files per batch."""
+        files = (
+            self.store.spark.readStream.format("text").schema(FILE_SCHEMA)
+            .option("wholetext", True).option("maxFilesPerTrigger", self.cfg.checkpoint_rows)
+            .load(path)
+        )
+        return self.run_stream(named_bodies(files))
+
+    def run_landed(self, path: str) -> int:
+        """Drain a Parquet table of (name, body) rows that others append to."""
+        bodies = (
+            self.store.spark.readStream.format("parquet").schema(BODY_SCHEMA)
+            .option("maxFilesPerTrigger", self.cfg.checkpoint_rows).load(path)
+        )
+        return self.run_stream(bodies)
