@@ -17,7 +17,9 @@ ENGINE_CONF = {
 }
 
 
-def local_session(name: str = "marquee", cpus: str = "8", memory: str = "8g") -> SparkSession:
+def local_session(
+    name: str = "marquee", cpus: str = "8", memory: str = "8g", **extra: str
+) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(name)
@@ -25,7 +27,7 @@ def local_session(name: str = "marquee", cpus: str = "8", memory: str = "8g") ->
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in ENGINE_CONF.items():
+    for key, value in {**ENGINE_CONF, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

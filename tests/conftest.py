@@ -11,10 +11,11 @@ sys.path.insert(0, ROOT)
 def spark(tmp_path_factory):
     from marquee.session import local_session
 
-    session = local_session("marquee-tests", cpus="4", memory="6g")
+    session = local_session("marquee-tests", cpus="4", memory="6g", **{
+        "spark.sql.shuffle.partitions": "2",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    })
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 
