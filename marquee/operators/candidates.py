@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.config import JobConfig
 from marquee.functions.text import clean_float, clean_int, fold_case, list_field, strip
-from marquee.operators.ranking import top_k, with_rank
+from marquee.operators.ranking import ranked_top_k, top_k
 
 # Fixed value: no non-ASCII character upper-cases into these initials, so a
 # plain prefix test on both cases is exact and reaches the file scan.
@@ -81,5 +81,5 @@ def candidate_pool(rated: DataFrame, cfg: JobConfig) -> DataFrame:
 
 def ranked_pool(rated: DataFrame, cfg: JobConfig) -> DataFrame:
     """Pool rows with rank 1..n and whether their rank earns a page lookup."""
-    ranked = with_rank(candidate_pool(rated, cfg), popularity_order())
+    ranked = ranked_top_k(rated, popularity_order(), cfg.pool_size, "tconst")
     return ranked.withColumn("looked_up", F.col("rank") <= cfg.lookup_depth)

@@ -1,14 +1,18 @@
-"""Exact top-k and ranking of bounded row sets."""
+"""Exact top-k and ranks in a total order, whatever k is."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.session import materialise
+
 # Up to this k the last step receives k rows per task at most, which stays small.
 DIRECT_ROWS = 2_000
 # Above it, rows are first cut to k in each of this many groups, side by side.
 GROUPS = 256
+# Above this k no single task should see k rows: rows are ranked range by range.
+GROUPED_ROWS = 100_000
 
 
 def top_k(df: DataFrame, order: list[Column], k: int, spread_by: str) -> DataFrame:
@@ -16,8 +20,10 @@ def top_k(df: DataFrame, order: list[Column], k: int, spread_by: str) -> DataFra
 
     For a large ``k`` a plain ordered limit would send k rows of *every* task to
     one task. Cutting inside hash groups first bounds that to GROUPS x k rows
-    whatever the size of the input.
+    whatever the size of the input; a very large ``k`` is cut by ranges instead.
     """
+    if k > GROUPED_ROWS:
+        return _ranked_by_range(df, order, k, "_rank").drop("_rank")
     if k > DIRECT_ROWS:
         group = Window.partitionBy("_group").orderBy(*order)
         df = (
@@ -29,6 +35,32 @@ def top_k(df: DataFrame, order: list[Column], k: int, spread_by: str) -> DataFra
     return df.orderBy(*order).limit(k)
 
 
-def with_rank(bounded: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """1..n in a total order; only for row sets already cut by ``top_k``."""
-    return bounded.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+def ranked_top_k(
+    df: DataFrame, order: list[Column], k: int, spread_by: str, name: str = "rank"
+) -> DataFrame:
+    """``top_k`` with ranks 1..k; a single-task window only ever sees a cut set."""
+    if k > GROUPED_ROWS:
+        return _ranked_by_range(df, order, k, name)
+    return top_k(df, order, k, spread_by).withColumn(
+        name, F.row_number().over(Window.orderBy(*order)))
+
+
+def _ranked_by_range(df: DataFrame, order: list[Column], k: int, name: str) -> DataFrame:
+    """Rank inside ranges of the order, shifted by the rows in earlier ranges.
+
+    The order is total, so a run of equal leading values splits as well. The
+    range number is written with the rows, which keeps it fixed if a task reruns.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialise(
+        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
+    starts = sizes.select("_range", earlier.alias("_before")).filter(F.col("_before") < k)
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return (
+        placed.join(F.broadcast(starts), "_range")
+        .withColumn(name, F.col("_before") + place)
+        .filter(F.col(name) <= k)
+        .drop("_range", "_before")
+    )

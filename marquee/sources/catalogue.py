@@ -17,13 +17,15 @@ CREDIT_FIELDS = ["tconst", "category", "nconst"]
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """All-string rows by header name, plus ``ordering`` = position in the file.
 
+    Missing cells stay spelled as in the file; the cell cleaners know them.
+
     The parser itself ignores quotes: with quoting on, one stray leading quote
     would swallow the rest of the file. Quotes that close inside their cell are
     removed afterwards.
     """
     raw = (
         spark.read.option("sep", "\t").option("header", True)
-        .option("quote", "").option("nullValue", "\\N")
+        .option("quote", "")
         .csv(path)
     )
     picked = [

@@ -9,7 +9,7 @@ from marquee import JobConfig
 from marquee.functions.text import fold_case
 from marquee.operators import candidates, credits, dataset, incremental, profiling, quality
 from marquee.operators.joins import lookup_join
-from marquee.operators.ranking import top_k, with_rank
+from marquee.operators import ranking
 from marquee.schemas import DATASET, DATASET_COLUMNS, STATE
 from marquee.session import materialise
 
@@ -115,15 +115,20 @@ def test_lead_actors(spark):
     assert got == {"t1": [], "t2": ["n2", "n3", "n5", "n6", "n7"], "t3": []}
 
 
-@pytest.mark.parametrize("k", [5, 2_500])
-def test_top_k_is_exact_on_both_routes(spark, k):
+@pytest.mark.parametrize("k", [5, 2_500, 4_000, 9_000])
+def test_ranked_top_k_is_exact_on_every_route(spark, monkeypatch, k):
+    monkeypatch.setattr(ranking, "GROUPED_ROWS", 3_000)
+    # Half the rows share the leading value, so ranges must split inside it.
     df = spark.range(6000).select(
-        F.col("id").cast("string").alias("tconst"), (F.col("id") % 7).alias("v"))
+        F.col("id").cast("string").alias("tconst"),
+        F.greatest(F.col("id") % 6, F.lit(3)).alias("v"))
     order = [F.desc("v"), F.asc("tconst")]
-    got = [tuple(r) for r in with_rank(top_k(df, order, k, "tconst"), order)
-           .orderBy("rank").select("tconst", "rank").collect()]
-    want = sorted(range(6000), key=lambda i: (-(i % 7), str(i)))[:k]
+    ranked = ranking.ranked_top_k(df, order, k, "tconst").orderBy("rank")
+    got = [tuple(r) for r in ranked.select("tconst", "rank").collect()]
+    want = sorted(range(6000), key=lambda i: (-max(i % 6, 3), str(i)))[:k]
     assert got == [(str(i), n) for n, i in enumerate(want, 1)]
+    cut = ranking.top_k(df, order, k, "tconst")
+    assert cut.columns == df.columns and {r.tconst for r in cut.collect()} == {str(i) for i in want}
 
 
 def test_lookup_join_with_hot_keys_equals_plain_join(spark):
@@ -137,6 +142,28 @@ def test_lookup_join_with_hot_keys_equals_plain_join(spark):
     assert spread.collect() == plain
 
 
+def test_hot_key_rows_leave_their_single_task(spark):
+    """A third of the rows share one key; no task may keep them all."""
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+             "spark.sql.adaptive.enabled": "false"}
+    before = {n: spark.conf.get(n) for n in names}
+    rows = spark.range(60_000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 2000).alias("key"))
+    dim = spark.range(2000).select(F.col("id").alias("key"), F.lit("x").alias("v"))
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+
+        def largest(df):
+            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        assert largest(rows.join(dim, "key", "left")) > 20_000
+        assert largest(lookup_join(rows, dim, "key", "id", hot_rows=5_000)) < 10_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 # ---- dataset, profile, checks ------------------------------------------------
 def dataset_row(**changes):
     row = {"tconst": "t1", "primaryTitle": "M", "startYear": 1931, "genres": ["Crime"],
