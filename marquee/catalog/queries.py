@@ -202,9 +202,10 @@ def _lookup(spark, sf):
 
 
 def _collected(spark, sf, cfg):
-    return collect_rows(
+    rows = collect_rows(
         t.titles(spark, sf), t.ratings(spark, sf), t.credits(spark, sf), _lookup(spark, sf), cfg
     )
+    return rows.select(*DATASET_COLUMNS)
 
 
 def strict_selection(spark, sf):

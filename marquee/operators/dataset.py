@@ -23,12 +23,12 @@ def select_rows(looked_up: DataFrame, cfg: JobConfig) -> DataFrame:
 
 
 def build_rows(selected: DataFrame) -> DataFrame:
-    """The thirteen dataset columns; absent page text becomes ``''``."""
+    """``pos`` (the rank) and the thirteen dataset columns; absent text becomes ``''``."""
     computed = {
         **{c: F.coalesce(f"page_{c}", F.lit("")) for c in ("Language", "Country", "plot")},
         **{c: F.col(f"page_{c}") for c in ("budget", "BoxOffice")},
     }
-    return with_money(selected).select(*[
+    return with_money(selected).select(F.col("rank").alias("pos"), *[
         computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in DATASET
     ])
 

@@ -33,6 +33,18 @@ def parsed_responses(responses: DataFrame) -> DataFrame:
     return responses.select("lookup_key", F.inline(F.array(answer)))
 
 
+def one_per_key(parsed: DataFrame) -> DataFrame:
+    """One parsed response per key where a request was stored more than once.
+
+    A usable answer wins over a miss; among equals the choice follows the
+    content, so a rerun makes the same one.
+    """
+    answer = F.struct("page", "fields", "reason")
+    order = F.struct(F.col("fields").isNull(), F.xxhash64(F.to_json(answer)))
+    return parsed.groupBy("lookup_key").agg(F.min_by(answer, order).alias("a")).select(
+        "lookup_key", "a.*")
+
+
 def with_money(rows: DataFrame) -> DataFrame:
     """Replace ``fields`` by the five dataset cells, amounts parsed to millions."""
     amounts = F.transform(F.array("fields.budget", "fields.BoxOffice"), money_millions)

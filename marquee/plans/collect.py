@@ -42,7 +42,7 @@ def select_with_pages(
 def collect_rows(
     titles: DataFrame, ratings: DataFrame, credits: DataFrame, lookup: PageLookup, cfg: JobConfig
 ) -> DataFrame:
-    """The thirteen-column dataset; credits are read for selected titles only."""
+    """Dataset rows in rank order ``pos``; credits are read for selected titles only."""
     selected = materialise(select_with_pages(titles, ratings, lookup, cfg))
     actors = lead_actors(credits_of(credits, selected, cfg.target_rows), cfg)
     return build_rows(attach_actors(selected, actors))

@@ -30,7 +30,7 @@ def check_profile(dataset: DataFrame, document: DataFrame) -> DataFrame:
 
 def deliver(
     dataset: DataFrame, cfg: JobConfig, csv_path: str, profile_path: str,
-    minimum_rows: int = MINIMUM_ROWS, order: str | None = None,
+    minimum_rows: int = MINIMUM_ROWS, order: str | None = "pos",
 ) -> DataFrame:
     """Keep enriched rows, check them, export CSV and profile, return the lines."""
     final = enriched_only(dataset)

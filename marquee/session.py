@@ -43,7 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known.rsplit("/", 1)[0]
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="marquee-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from marquee.config import JobConfig
 from marquee.operators import incremental
 from marquee.operators.joins import keep_keys
-from marquee.operators.pages import join_parsed, parsed_responses, with_lookup_key
+from marquee.operators.pages import (
+    join_parsed, one_per_key, parsed_responses, with_lookup_key,
+)
 from marquee.sources.datasets import read_or_empty
 from marquee.sources.responses import BODY_SCHEMA, FILE_SCHEMA, combined_responses, named_bodies
 from marquee.sources.store import Store
@@ -57,7 +59,7 @@ class Drain:
         # Parsed once and kept; also the memo of this batch's page fields.
         parsed_path = f"{self.folder}/parsed/batch={batch}"
         parsed_responses(responses).write.mode("overwrite").parquet(parsed_path)
-        parsed = spark.read.parquet(parsed_path)
+        parsed = one_per_key(spark.read.parquet(parsed_path))
 
         earlier = self.outcomes(before=batch)
         done = earlier.filter(F.col("outcome") == incremental.ENRICHED).select("pos")

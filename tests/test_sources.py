@@ -106,7 +106,7 @@ def test_collect_from_files(spark, catalogue_files, tmp_path):
     rows = {r.tconst: r for r in collect_dataset(titles, ratings, credits, lookup, cfg).collect()}
     assert set(rows) == {"t1", "t2", "t3"}
     assert rows["t2"].asDict() == {
-        "tconst": "t2", "primaryTitle": "M", "startYear": 1931, "genres": [],
+        "pos": 1, "tconst": "t2", "primaryTitle": "M", "startYear": 1931, "genres": [],
         "lead_actors_ids": ["n3", "n1"], "runtimeMinutes": 99, "averageRating": 8.3,
         "Language": "", "Country": "Germany", "numVotes": 1000, "budget": 2.0,
         "BoxOffice": None, "plot": 'He whistles, "so".'}
@@ -177,6 +177,7 @@ def test_dataset_csv_round_trip(spark, tmp_path):
 
 def test_deliver(spark, tmp_path):
     df = spark.createDataFrame([(*ROWS[0][:1], "Max", *ROWS[0][2:]), ROWS[1]], DATASET)
+    df = df.withColumn("pos", F.length("plot"))
     lines = deliver(df, JobConfig(), str(tmp_path / "csv"), str(tmp_path / "profile"), minimum_rows=1)
     got = {r.field: r.line for r in lines.collect()}
     assert got["Country"] == "Country: 1 missing (100.0%)" and list(got) == DATASET_COLUMNS
@@ -279,6 +280,18 @@ def test_streaming_drain_equals_batch(spark, tmp_path):
     assert [(r[0], r[4]) for r in state] == [("t2", 8), ("t3", 8)]
 
 
+def test_repeated_responses_count_once(spark, tmp_path):
+    store = start_store(spark, tmp_path / "s")
+    name = "wiki_combined_8_Title_4_1990_film.json"
+    bodies = [(name, json.dumps(b)) for b in (
+        body("nothing"), body("| country = A\n| x ="), body("| country = A\n| x ="))]
+    spark.createDataFrame(bodies, "name string, body string").write.parquet(str(tmp_path / "landed"))
+    Drain(store, "d", CFG).run_landed(str(tmp_path / "landed"))
+    rows = store.dataset().collect()
+    assert len(rows) == 8 and [r.Country for r in rows if r.pos == 4] == ["A"]
+    assert store.state().count() == 1
+
+
 def test_replayed_batch_is_idempotent(spark, tmp_path):
     folder = answers(str(tmp_path / "cache"))
     store = start_store(spark, tmp_path / "s")
@@ -303,3 +316,29 @@ def test_unpublished_version_is_invisible(spark, tmp_path):
     assert store.version() == 1 and store.dataset().count() == 8
     assert incremental.pending_rows(
         incremental.with_key(store.dataset()), store.state()).count() == 6
+
+
+def test_command_line(spark, catalogue_files, tmp_path, monkeypatch, capsys):
+    from marquee.__main__ import main
+
+    raw, cache, store = tmp_path / "raw", str(tmp_path / "cache"), str(tmp_path / "store")
+    raw.mkdir()
+    for name, path in zip(("title.basics", "title.ratings", "title.principals"), catalogue_files):
+        (raw / f"{name}.tsv.gz").write_bytes(open(path, "rb").read())
+    write_json(cache, "wiki_search_M_1931_film.json", {"query": {"search": []}})
+    write_json(cache, "wiki_combined_1_M_1931_film.json", body("| country = Germany\n| x ="))
+    write_json(cache, "wiki_combined_8_metropolis_1927_film.json", body("== Plot ==\nCity"))
+    monkeypatch.setenv("TARGET_MOVIE_COUNT", "3")
+    main(["collect", "--raw", str(raw), "--responses", cache, "--store", store])
+    main(["enrich", "--responses", cache, "--store", store])
+    assert "'attempted': 3, 'enriched': 1" in capsys.readouterr().out
+    monkeypatch.setenv("WIKI_SEARCH_LIMIT", "8")
+    monkeypatch.setenv("ENRICH_RETRY_FAILED", "0")
+    main(["drain", "--responses", cache, "--store", store])
+    main(["report", "--store", store, "--out", str(tmp_path / "out"), "--minimum-rows", "2"])
+    out = capsys.readouterr().out
+    assert "version 3" in out and "Country: 1 missing (50.0%)" in out
+    main(["import", "--dataset", str(tmp_path / "out" / "dataset"), "--state",
+          str(tmp_path / "none.json"), "--store", str(tmp_path / "second")])
+    rows = Store(spark, str(tmp_path / "second")).dataset().orderBy("pos").collect()
+    assert [r.tconst for r in rows] == ["t2", "t1"]

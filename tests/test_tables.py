@@ -240,12 +240,12 @@ def test_strict_selection_and_rows(spark):
     strict = dataset.select_rows(rows, JobConfig(target_rows=1, require_page=True))
     assert [r.tconst for r in strict.collect()] == ["b"]
     assert [r.tconst for r in dataset.select_rows(rows, M2).orderBy("rank").collect()] == ["a", "b"]
-    full = rows.select("tconst", "fields", *[
+    full = rows.select("rank", "tconst", "fields", *[
         F.lit(None).cast(f.dataType).alias(f.name) for f in DATASET
         if f.name in ("primaryTitle", "startYear", "genres", "lead_actors_ids", "runtimeMinutes",
                       "averageRating", "numVotes")])
     built = dataset.build_rows(full)
-    assert built.schema.names == DATASET_COLUMNS
+    assert built.schema.names == ["pos", *DATASET_COLUMNS]
     got = {r.tconst: (r.Language, r.Country, r.budget, r.BoxOffice, r.plot)
            for r in built.collect()}
     assert got["a"] == ("", "", None, None, "") and got["c"] == ("French", "", 5.0, None, "p")
