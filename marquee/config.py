@@ -59,8 +59,9 @@ class JobConfig:
             text = settings.get(name)
             return default if text is None else int(text)
 
+        initial = settings.get("TEAM_LETTER", "").strip()[:1]
         return cls(
-            letter=settings.get("TEAM_LETTER", "M").strip()[:1].upper() or "M",
+            letter=initial.upper() if initial else cls.letter,
             target_rows=number("TARGET_MOVIE_COUNT", 10_000),
             pool_rows=number("CANDIDATE_POOL_SIZE", None),
             enrich_limit=number("WIKIPEDIA_ENRICH_LIMIT", None),
