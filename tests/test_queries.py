@@ -4,6 +4,8 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as contract
+from marquee.catalog.oracles import ORACLES
+from marquee.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +14,11 @@ def connection(sf_dir):
 
 
 def test_contract():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query_matches_sql(spark, sf_dir, connection, name):
     compare(spark, connection, name, contract.queries()[name], contract.oracle_sql()[name], sf_dir)
 
