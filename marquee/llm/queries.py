@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import packing, simhash, toxicity
+from marquee.llm import decontam, linededup, packing, quality, simhash, toxicity, urlfilter
 from marquee.llm.common import id_remainder, table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder("doc_id", 5) == 0)
     weights = toxicity.train(docs.where("not held_out"), table(spark, sf_dir, "labels"))
@@ -17,10 +21,28 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("toxicity") >= 0.5).cast("int").alias("predicted")))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lines.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+                        F.col("removed_lines").cast("long").alias("n_removed"),
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontam.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judged(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -28,8 +50,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
+    "op4_line_dedup": op4_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_decontamination": op6_decontamination,
+    "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
 }
 ORACLES: dict[str, str] = {}

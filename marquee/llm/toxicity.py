@@ -1,7 +1,8 @@
 """Toxicity scores by FTRL-proximal logistic regression on hashed n-grams.
 
-Features are a text's distinct words, word pairs and skip pairs (one word
-between), lower-cased, hashed into 2**``bits`` slots. Training is on a bounded
+Features are a text's distinct words, their first four and five letters, word
+pairs and skip pairs (one word between), lower-cased, hashed into 2**``bits``
+slots. Training is on a bounded
 sample of labelled rows (``sample`` rows, those of the least id hashes), in one
 task, with per-coordinate rates; L1 leaves few weights, which are broadcast
 (2**bits floats at most) to score every text.
@@ -28,6 +29,7 @@ from marquee.llm.common import WordHashes, mixed, small_batches, texts_of
 SAMPLE = 12_000
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _SKIP = np.uint64(0xC2B2AE3D27D4EB4F)
+_STEM = np.uint64(0xD6E8FEB86659FD93)
 _words = WordHashes(seed=7)
 
 
@@ -43,9 +45,9 @@ class Ftrl:
 
 def features(text: bytes, bits: int) -> np.ndarray:
     """Distinct feature slots of a text; slot 0 is the bias."""
-    h = _words.of([w.strip(b".,;:!?\"'()") for w in text.lower().split()])
-    h = h[h != _words[b""]]
-    grams = [h]
+    words = [w for w in (w.strip(b".,;:!?\"'()") for w in text.lower().split()) if w]
+    h = _words.of(words)
+    grams = [h, *(_words.of([w[:n] for w in words if len(w) > n]) ^ _STEM for n in (4, 5))]
     if len(h) > 1:
         grams.append(h[:-1] * _PAIR + h[1:])
     if len(h) > 2:
