@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +18,27 @@ from marquee.session import materialise
 # The six characters that part words.
 SPACE = r"[\x20\x09-\x0D]+"
 
+# Applications whose workers have this package.
+_shipped: set[str] = set()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Rows per Arrow batch, so that a batch of whole texts stays small."""
+    """Make ready for Python tasks: rows per Arrow batch, so that whole texts stay
+    small together, and this package on every worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        package = Path(__file__).resolve().parent.parent
+        held = Path(tempfile.mkdtemp(prefix="marquee-ship-")) / "marquee_package.zip"
+        with zipfile.ZipFile(held, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(held))
 
 
 def id_remainder(column: str, modulus: int) -> Column:

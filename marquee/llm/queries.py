@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontam, linededup, packing, quality, simhash, toxicity, urlfilter
+from marquee.llm import (
+    decontam, linededup, packing, phrases, quality, simhash, suffixdedup, toxicity, urlfilter,
+)
 from marquee.llm.common import id_remainder, table
 
 
@@ -21,6 +23,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("toxicity") >= 0.5).cast("int").alias("predicted")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixdedup.deduplicated(table(spark, sf_dir, "documents"), digest_only=True)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return lines.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
@@ -39,6 +47,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = phrases.deduplicated(table(spark, sf_dir, "documents"), digest_only=True)
+    return rows.select("doc_id", "n_words", "n_removed", F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(table(spark, sf_dir, "pages"))
 
@@ -52,9 +65,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_decontamination": op6_decontamination,
+    "op7_phrase_automata": op7_phrase_automata,
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
 }

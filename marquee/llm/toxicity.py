@@ -36,9 +36,9 @@ _words = WordHashes(seed=7)
 @dataclass(frozen=True)
 class Ftrl:
     bits: int = 20
-    alpha: float = 0.15
+    alpha: float = 0.6
     beta: float = 1.0
-    l1: float = 1.0
+    l1: float = 3.0
     l2: float = 1.0
     epochs: int = 3
 
