@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    decontam, linededup, packing, phrases, quality, simhash, suffixdedup, toxicity, urlfilter,
+    decontam, linededup, lm, packing, phrases, quality, simhash, suffixdedup, toxicity, urlfilter,
 )
 from marquee.llm.common import id_remainder, table
 
@@ -62,6 +62,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -72,5 +76,6 @@ QUERIES = {
     "op7_phrase_automata": op7_phrase_automata,
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
+    "op10_pitman_yor_lm": op10_pitman_yor_lm,
 }
 ORACLES: dict[str, str] = {}
