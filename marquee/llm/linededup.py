@@ -42,9 +42,9 @@ def runs_of(docs: DataFrame, run: int = RUN) -> DataFrame:
         i.alias("at"), l.alias("line"), F.xxhash64(l).alias("h"))),
         lambda x: x["line"].rlike(_HAS_WORD))
     docs = docs.select("doc_id", _digest(F.col("text")).alias("digest"), worded.alias("worded"))
-    docs = docs.where(F.size("worded") >= run)
-    some = (docs.select("doc_id", "digest", "worded",
-                        F.explode(F.sequence(F.lit(1), F.size("worded") - run + 1)).alias("start"))
+    # Too few lines give no start; a filter would work the lines out a second time.
+    starts = F.when(F.size("worded") >= run, F.sequence(F.lit(1), F.size("worded") - run + 1))
+    some = (docs.select("doc_id", "digest", "worded", F.explode(starts).alias("start"))
             .select("doc_id", "digest", "start", F.slice("worded", F.col("start"), run).alias("r")))
     return some.select(
         F.struct("doc_id", "digest", "start").alias("place"),

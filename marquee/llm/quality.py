@@ -29,8 +29,7 @@ from marquee.llm.common import SPACE, materialise
 
 WINDOW = 8
 # Fixed value: the characters counted as symbols.
-SYMBOLS = "#*$%&|<>"
-_SPACES = " \t\n\x0b\f\r"
+SYMBOLS = "[#*$%&|<>]"
 
 # Rule, its measure over the base counts, and its grid from loose to strict.
 # All measures are per thousand and reject above the cutoff.
@@ -48,15 +47,13 @@ RULES: list[tuple[str, str, list[int]]] = [
 ]
 
 
-def _window_hashes(words: Column) -> Column:
-    """Digest of every 8-word window: three rounds that each join neighbours at twice the reach."""
-    def paired(values: Column, reach: int) -> Column:
-        size = F.size(values) - reach
-        return F.zip_with(F.slice(values, F.lit(1), size), F.slice(values, F.lit(reach + 1), size),
-                          lambda a, b: F.xxhash64(a, b))
-
-    one = F.transform(words, lambda w: F.xxhash64(w))
-    return paired(paired(paired(one, 1), 2), 4)
+def _stretches(values: str, length: int, apart: int = 1) -> Column:
+    """Digest of the ``length`` values that begin at each place, ``apart`` places from each other."""
+    reach = (length - 1) * apart
+    return F.transform(
+        F.slice(values, F.lit(1), F.greatest(F.size(values) - reach, F.lit(0))),
+        lambda value, i: F.xxhash64(
+            value, *(F.get(values, i + apart * step) for step in range(1, length))))
 
 
 def _covered(marked: Column) -> Column:
@@ -74,21 +71,23 @@ def measured(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``stratum`` (if there) and the base counts, one row per row of ``docs``."""
     keep = ["doc_id", *(["stratum"] if "stratum" in docs.columns else [])]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    bare = F.translate("text", _SPACES, "")
     counted = docs.select(*keep, text.alias("text")).select(
         *keep, "text", F.array_remove(F.split("text", SPACE), "").alias("words"),
-        F.filter(F.split("text", "\n", -1), lambda l: l.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        bare.alias("bare"))
+        F.filter(F.split("text", "\n", -1), lambda l: l.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     n = F.size("words")
     hashed = counted.select(
-        *keep, n.cast("long").alias("n_words"), F.length("bare").cast("long").alias("word_chars"),
-        (F.length("bare") - F.length(F.translate("bare", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        *keep, n.cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.size(F.split("text", SYMBOLS, -1)) - 1).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(n > WINDOW, _window_hashes(F.col("words"))).alias("hashes"))
-    # Most texts repeat no window; only the others get their windows sorted.
+        F.when(n > WINDOW, F.transform("words", lambda w: F.xxhash64(w))).alias("hashes"))
+    fours = hashed.withColumn("fours", _stretches("hashes", 4))
+    # A window found twice repeats all its five stretches of four words. Most texts repeat
+    # fewer; only the others get their windows digested, and sorted if some are equal.
+    some = F.size("fours") - F.size(F.array_distinct("fours")) >= WINDOW - 3
+    windows = fours.withColumn("hashes", F.when(some, _stretches("fours", 2, 4)))
     twice = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    sorted_ = hashed.withColumn("ordered", F.when(twice, F.sort_array(F.transform(
+    sorted_ = windows.withColumn("ordered", F.when(twice, F.sort_array(F.transform(
         "hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     places = F.filter(F.transform("ordered", lambda x, i: F.when(
         (x["h"] == F.get("ordered", i - 1)["h"]) | (x["h"] == F.get("ordered", i + 1)["h"]), x["i"])),
