@@ -173,7 +173,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         and averageRating is not null and numVotes is not null"""),
     "ranked": (["rated"], """select * from (select *, row_number() over (
         order by numVotes desc, lower(primaryTitle), tconst) as rank from rated)
-      where rank <= 200"""),
+      where rank <= 20"""),
     "credits": ([], """select cast(l_partkey as varchar) as tconst, l_returnflag as category,
       'nm' || l_suppkey as nconst, l_orderkey * 10 + l_linenumber as ordering from lineitem"""),
     "actor_rank": (["credits"], """select tconst, nconst, place from (
@@ -227,37 +227,47 @@ CTES: dict[str, tuple[list[str], str]] = {
       {clean('BoxOffice')} as x from page_box)"""),
     "keyed_parts": ([], f"""select p_partkey, {safe(f"p_name || ' ' || {YEAR} || ' film'")}
       as lookup_key from part"""),
-    "owners": (["keyed_parts"], """select lookup_key, min(p_partkey) as part from keyed_parts
+    # Every part adds its pages, in part order; ``part`` is the first that has any.
+    "owners": (["keyed_parts"], """select lookup_key,
+      min(p_partkey) filter (where p_partkey % 10 <> 0) as part from keyed_parts
       group by lookup_key"""),
-    "response_pages": (["owners", "page_texts", "page_box", "page_plot", "page_money", "page_base"],
+    "response_pages": (["keyed_parts", "page_texts", "page_box", "page_plot", "page_money", "page_base"],
       """select lookup_key, part, slot,
       coalesce(case part % 4 when 0 then 4 - slot
         when 1 then case when slot = 1 then null else slot end else slot end, 999) as idx,
       case when part % 10 = 3 and slot = 2 then '' else p_name || ' (' || slot || ')' end as title,
       Language, Country, plot, m.budget, m.BoxOffice
-      from owners join page_box b using (part) join page_plot using (part, slot)
+      from (select lookup_key, p_partkey as part from keyed_parts)
+      join page_box b using (part) join page_plot using (part, slot)
       join page_money m using (part, slot) join page_base on p_partkey = part
       where part % 10 <> 0"""),
     "hits": (["response_pages"], """select * from (select *, row_number() over (
-        partition by lookup_key order by idx, slot) as n from response_pages
+        partition by lookup_key order by idx, part, slot) as n from response_pages
       where plot <> '' or coalesce(Language, '') <> '' or coalesce(Country, '') <> '')
       where n = 1"""),
     "misses": (["owners", "hits", "response_pages"], """select lookup_key,
       case when max(title) is null then 'no Wikipedia search result'
         else 'no usable Wikipedia fields in candidates: ' || string_agg(
-          case when title = '' then 'unknown page' else title end, ', ' order by idx, slot) end
+          case when title = '' then 'unknown page' else title end, ', ' order by idx, p.part, slot) end
         as reason
-      from owners left join response_pages using (lookup_key)
+      from owners left join response_pages p using (lookup_key)
       where lookup_key not in (select lookup_key from hits) group by lookup_key"""),
     "lookups": (["owners", "hits", "misses"], """select owners.lookup_key, hits.title as page,
       hits.lookup_key is not null as hit, reason, Language, Country, budget, BoxOffice, plot
       from owners left join hits using (lookup_key) left join misses using (lookup_key)"""),
-    "collected": (["ranked", "actors", "lookups"], f"""select tconst, primaryTitle,
+    "two_call": (["owners", "page_texts", "page_box", "page_money", "page_plot"], """select
+      lookup_key, case when owners.part is not null then 'Page ' || lookup_key end as page,
+      x.part is not null as has_text, Language, Country, m.budget, m.BoxOffice, plot from owners
+      left join page_texts x on x.part = owners.part and x.slot = 1 and content <> ''
+      left join page_box b on b.part = x.part and b.slot = 1
+      left join page_money m on m.part = x.part and m.slot = 1
+      left join page_plot p on p.part = x.part and p.slot = 1"""),
+    "collected": (["ranked", "actors", "two_call"], f"""select tconst, primaryTitle,
       startYear, genres, coalesce(lead_actors_ids, '') as lead_actors_ids, runtimeMinutes,
       averageRating, coalesce(Language, '') as Language, coalesce(Country, '') as Country, numVotes,
       budget, BoxOffice, coalesce(plot, '') as plot
-      from ranked left join actors using (tconst) left join lookups on rank <= 60 and lookup_key =
-        {safe("primaryTitle || ' ' || startYear || ' film'")} where rank <= 100"""),
+      from ranked left join actors using (tconst) left join two_call on rank <= 8 and lookup_key =
+        {safe("primaryTitle || ' ' || startYear || ' film'")} where rank <= 12"""),
     "dataset": ([], """select p_partkey as pos,
       case when p_type = 'MEDIUM' then '' else cast(p_partkey as varchar) end as tconst,
       case when p_type = 'MEDIUM' then p_name || ' ' || p_partkey else p_name end as primaryTitle,
@@ -364,8 +374,8 @@ def _profile_document() -> str:
             cells.append(
                 f"(select missing_{name} from profile where field = '{column}') as {column}_{name}")
     return query(["profile"], f"""select c.*, 'L' as team_letter,
-      cast(100 as bigint) as target_movie_count, cast(200 as bigint) as candidate_pool_size,
-      false as require_wikipedia_page, cast(60 as bigint) as wikipedia_enrich_limit,
+      cast(12 as bigint) as target_movie_count, cast(20 as bigint) as candidate_pool_size,
+      false as require_wikipedia_page, cast(8 as bigint) as wikipedia_enrich_limit,
       {', '.join(cells)} from (select {COUNTERS} from dataset) c""")
 
 
@@ -385,7 +395,7 @@ ORACLES: dict[str, str] = {
       from lineitem) where n = 1""",
     "rated_candidates": query(["rated"], "select * from rated"),
     "candidate_pool": query(["ranked"], "select * exclude (rank) from ranked"),
-    "ranked_pool": query(["ranked"], "select *, rank <= 60 as looked_up from ranked"),
+    "ranked_pool": query(["ranked"], "select *, rank <= 8 as looked_up from ranked"),
     "credits_semi": query(["credits", "titles"], """select tconst, category, nconst, ordering
       from credits where tconst in (select tconst from titles where titleType = 'STANDARD'
         and upper(left(primaryTitle, 1)) = 'L' and startYear <= 2024
@@ -415,13 +425,16 @@ ORACLES: dict[str, str] = {
     "first_usable_page": query(["hits"], """select lookup_key, title as page, Language, Country,
       plot from hits"""),
     "miss_reason": query(["misses"], "select lookup_key, reason from misses"),
-    "page_lookup": query(["titles", "lookups"], f"""select tconst, lookup_key, true as has_response,
-      page, reason, Language as page_Language, Country as page_Country, budget as page_budget,
-      BoxOffice as page_BoxOffice, plot as page_plot from titles join lookups on lookup_key =
-        {safe("primaryTitle || ' ' || startYear || ' film'")}"""),
-    "strict_selection": query(["ranked", "lookups"], f"""select rank, tconst, page from (
-      select rank, tconst, page, row_number() over (order by rank) as n from ranked join lookups
-      on hit and lookup_key = {safe("primaryTitle || ' ' || startYear || ' film'")}) where n <= 50"""),
+    "page_lookup": query(["titles", "lookups"], f"""select tconst, asked as lookup_key,
+      l.lookup_key is not null as has_response, page, reason, Language as page_Language,
+      Country as page_Country, budget as page_budget, BoxOffice as page_BoxOffice, plot as page_plot
+      from (select tconst, startYear, {safe("primaryTitle || ' ' || startYear || ' film'")} as asked
+        from titles)
+      left join lookups l on l.lookup_key = asked and startYear < 2020"""),
+    "strict_selection": query(["ranked", "two_call"], f"""select rank, tconst, page from (
+      select rank, tconst, page, row_number() over (order by rank) as n from ranked join two_call
+      on has_text and lookup_key = {safe("primaryTitle || ' ' || startYear || ' film'")})
+      where n <= 10"""),
     "final_rows": query(["collected"], "select * from collected"),
     "final_enriched_only": query(["collected"], """select * from collected
       where plot <> '' or Language <> '' or Country <> ''"""),
@@ -475,24 +488,50 @@ ORACLES: dict[str, str] = {
     "profile_json": query(["profile"], "select * from profile"),
     "state_lines": query(["state"], """select key, title, year, reason,
       cast(retry_search_limit as bigint) as retry_search_limit from state"""),
-    "scan_responses": query(["owners", "page_texts", "page_base"], """select lookup_key,
+    "scan_responses": query(["keyed_parts", "page_texts", "page_base"], """select lookup_key,
       cast(coalesce(case part % 4 when 0 then 4 - slot
         when 1 then case when slot = 1 then null else slot end else slot end, 999) as bigint)
         as "index",
       case when part % 10 = 3 and slot = 2 then '' else p_name || ' (' || slot || ')' end as title,
       md5(content) as digest
-      from owners join page_texts using (part) join page_base on p_partkey = part
+      from (select lookup_key, p_partkey as part from keyed_parts)
+      join page_texts using (part) join page_base on p_partkey = part
       where part % 10 <> 0"""),
-    "two_call_lookup": query(["ranked", "owners", "page_box", "page_money", "page_plot", "page_texts"],
-      f"""select tconst, case when owners.part % 10 <> 0 then 'Page ' || lookup_key end as page,
-      Language as page_Language, Country as page_Country, m.budget as page_budget,
-      m.BoxOffice as page_BoxOffice, plot as page_plot
-      from ranked join owners on lookup_key = {safe("primaryTitle || ' ' || startYear || ' film'")}
-      left join page_texts x on x.part = owners.part and x.slot = 1 and x.part % 10 <> 0
-        and content <> ''
-      left join page_box b on b.part = x.part and b.slot = 1
-      left join page_money m on m.part = x.part and m.slot = 1
-      left join page_plot p on p.part = x.part and p.slot = 1"""),
+    "two_call_lookup": query(["ranked", "two_call"], f"""select tconst, page,
+      Language as page_Language, Country as page_Country, budget as page_budget,
+      BoxOffice as page_BoxOffice, plot as page_plot
+      from ranked join two_call
+      on lookup_key = {safe("primaryTitle || ' ' || startYear || ' film'")}"""),
+    "enrich_repeated": query(["dataset", "outcomes"], """select
+      (select count(*) from dataset) as n_rows, (select count(distinct pos) from dataset) as n_pos,
+      (select count(*) from outcomes where not retry) as attempted,
+      (select count(*) from outcomes where not retry and outcome = 'enriched') as enriched"""),
+    "drain_repeated": query(["dataset", "drained"], """select pos, h.pos is not null or not (
+        plot in ('', 'Known story', 'Old story') and Language = '' and Country = '') as enriched
+      from dataset left join (select pos from drained where hit) h using (pos)"""),
+    "state_json": query(["state"], """select key, title, year, reason,
+      cast(retry_search_limit as bigint) as retry_search_limit from state"""),
+    "store_restart": query(["dataset", "decided", "outcomes", "lookups"], """select pos,
+      coalesce(o.Language, d.Language) as Language, coalesce(o.Country, d.Country) as Country,
+      case when o.pos is null then d.budget else o.budget end as budget,
+      case when o.pos is null then d.BoxOffice else o.BoxOffice end as BoxOffice,
+      coalesce(o.plot, d.plot) as plot
+      from dataset d left join (
+        select pos, Language, Country, budget, BoxOffice, plot from outcomes
+        where not retry and outcome = 'enriched'
+        union all select pos, l.Language, l.Country, l.budget, l.BoxOffice, l.plot from (
+          select *, row_number() over (order by pos) as n from decided
+          where not retry and action = 'attempt' and pos not in (
+            select pos from outcomes where not retry and outcome <> 'no_response')) b
+        join lookups l on l.lookup_key = b.lookup_key and hit where n <= 250) o using (pos)"""),
+    "title_files": query(["raw_titles", "typed_titles"], f"""select tconst, titleType, primaryTitle,
+      startYear, runtimeMinutes, array_to_string(genre_items, ', ') as genres from (
+      select *, row_number() over (partition by tconst order by file desc) as n from (
+        select 0 as file, * from typed_titles
+        union all select 1, t.* replace ({strip("'Late ' || r.primaryTitle")} as primaryTitle)
+        from typed_titles t join raw_titles r using (tconst) where cast(tconst as int) % 3 = 0)
+      where titleType = 'STANDARD' and upper(left(primaryTitle, 1)) = 'L' and startYear <= 9999
+        and runtimeMinutes between 0 and 9999) where n = 1"""),
     "enrich_run": query(["merged"], """select pos, Language, Country, budget, BoxOffice, plot
       from merged where not retry"""),
     "drain_stream": query(["dataset", "drained"], """select pos,

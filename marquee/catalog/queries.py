@@ -189,7 +189,9 @@ def miss_reason(spark, sf):
 
 
 def page_lookup(spark, sf):
-    looked = pages.lookup_combined(t.titles(spark, sf), t.responses(spark, sf))
+    """Titles from 2020 on have not been asked for yet."""
+    answers = t.responses(spark, sf).filter(~F.col("lookup_key").rlike("_20[23][0-9]_film$"))
+    looked = pages.lookup_combined(t.titles(spark, sf), answers)
     return pages.with_money(looked.select(
         "tconst", "lookup_key", "has_response", "page", "reason", "fields"
     ))
@@ -197,8 +199,9 @@ def page_lookup(spark, sf):
 
 # ---- collect -----------------------------------------------------------------
 def _lookup(spark, sf):
-    answers = t.responses(spark, sf)
-    return lambda rows, bound: pages.lookup_combined(rows, answers, at_most=bound)
+    bodies = materialise(t.two_call_bodies(spark, sf))
+    searches, parses = stored.search_responses(bodies), stored.parse_responses(bodies)
+    return lambda rows, bound: pages.lookup_two_call(rows, searches, parses, bound)
 
 
 def _collected(spark, sf, cfg):
@@ -210,10 +213,8 @@ def _collected(spark, sf, cfg):
 
 def strict_selection(spark, sf):
     ranked = candidates.ranked_pool(_rated(spark, sf), t.CONFIG)
-    strict = replace(t.CONFIG, require_page=True, target_rows=50)
-    looked = pages.lookup_combined(
-        materialise(ranked), t.responses(spark, sf), at_most=t.CONFIG.pool_size
-    )
+    strict = replace(t.CONFIG, require_page=True, target_rows=10)
+    looked = _lookup(spark, sf)(materialise(ranked), t.CONFIG.pool_size)
     return dataset.select_rows(looked, strict).select(
         F.col("rank").cast("bigint").alias("rank"), "tconst", "page"
     )
@@ -346,7 +347,7 @@ def tsv_scan(spark, sf):
     t.raw_titles(spark, sf).write.csv(
         path, sep="\t", header=True, quote="", nullValue="\\N", emptyValue="", compression="gzip",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return _flat(candidates.project_titles(catalogue.read_titles(spark, path)))
+    return _flat(candidates.project_titles(catalogue.read_titles(spark, path)).drop("ordering"))
 
 
 def dataset_csv(spark, sf):
@@ -369,7 +370,7 @@ def state_lines(spark, sf):
 
 
 def scan_responses(spark, sf):
-    answers = stored.combined_responses(t.combined_bodies(spark, sf), t.RUN.search_limit)
+    answers = stored.combined_responses(t.combined_bodies(t.responses(spark, sf)), t.RUN.search_limit)
     return stored.candidate_pages(answers).select(
         "lookup_key", F.col("index").cast("bigint").alias("index"), "title",
         F.md5("content").alias("digest"),
@@ -404,11 +405,70 @@ def enrich_run(spark, sf):
 def drain_stream(spark, sf):
     """Stream of landed responses drained into a stored dataset in two batches."""
     store, landed = _new_store(spark, sf), scratch_path(spark)
-    t.combined_bodies(spark, sf).repartition(4, "name").write.parquet(landed)
+    t.combined_bodies(t.responses(spark, sf)).repartition(4, "name").write.parquet(landed)
     Drain(store, "landed", replace(t.RUN, checkpoint_rows=2)).run_landed(landed)
     return store.dataset().select(*_PAGE_COLUMNS)
 
 
+def enrich_repeated(spark, sf):
+    """One run over responses that hold several answers per request; counters beside the rows."""
+    store = _new_store(spark, sf)
+    got = run_enrichment(store, t.repeated_responses(spark, sf), t.RUN)
+    return store.dataset().agg(F.count("*").alias("n_rows"), F.countDistinct("pos").alias("n_pos")).select(
+        "*", F.lit(got.attempted).cast("long").alias("attempted"),
+        F.lit(got.enriched).cast("long").alias("enriched"))
+
+
+def drain_repeated(spark, sf):
+    """Stream of landed responses, several per request and one file each time, into a store."""
+    store, landed = _new_store(spark, sf), scratch_path(spark)
+    bodies = t.combined_bodies(t.repeated_responses(spark, sf))
+    bodies.repartition(3, F.md5("body")).write.parquet(landed)
+    Drain(store, "repeated", replace(t.RUN, checkpoint_rows=1)).run_landed(landed)
+    page = F.col("plot").isin("", "Known story", "Old story") & (F.col("Language") == "") & (
+        F.col("Country") == "")
+    return store.dataset().select("pos", (~page).alias("enriched"))
+
+
+def state_json(spark, sf):
+    """Failure state out of the one-document JSON form, beside files that hold none."""
+    path = scratch_path(spark)
+    entry = F.struct("title", "year", "reason", "retry_search_limit")
+    parted = t.state(spark, sf).withColumn("file", F.pmod(F.xxhash64("key"), F.lit(16)))
+    held = F.map_from_entries(F.collect_list(F.struct("key", entry)))
+    documents = parted.groupBy("file").agg(held.alias("m")).select(
+        F.concat(F.lit("d"), "file").alias("file"),
+        F.to_json(F.struct(F.col("m").alias("failed_rows"))).alias("value"))
+    broken = documents.select(F.concat(F.lit("cut"), "file").alias("file"),
+                              F.expr("left(value, length(value) - 3)").alias("value"))
+    other = documents.select(F.concat(F.lit("list"), "file").alias("file"),
+                             F.concat(F.lit("["), "value", F.lit("]")).alias("value"))
+    empty = documents.select(F.concat(F.lit("empty"), "file").alias("file"), F.lit("{}").alias("value"))
+    documents.union(broken).union(other).union(empty).write.partitionBy("file").text(path)
+    return _flat(datasets.read_state_json(spark, path))
+
+
+def store_restart(spark, sf):
+    """Two runs over one store, the second one on what the first has left."""
+    store = _new_store(spark, sf)
+    for _ in range(2):
+        run_enrichment(Store(spark, store.root), t.responses(spark, sf), t.RUN)
+    return store.dataset().select(*_PAGE_COLUMNS)
+
+
+def title_files(spark, sf):
+    """Raw titles in several files of unequal size; the last row of a repeated title counts."""
+    path, raw = scratch_path(spark), t.raw_titles(spark, sf)
+    late = raw.filter("tconst % 3 = 0").withColumn("primaryTitle", F.concat(F.lit("Late "), "primaryTitle"))
+    for name, rows in (("a", raw), ("b", late)):
+        rows.coalesce(1).write.csv(
+            f"{path}/part={name}", sep="\t", header=True, quote="", nullValue="\\N", emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    titles = candidates.project_titles(catalogue.read_titles(spark, path))
+    every = replace(t.CONFIG, max_year=9999, min_runtime=0, max_runtime=9999)
+    return _flat(candidates.eligible_titles(titles, every))
+
+
 def drain_state(spark, sf):
     """Failure state after draining everything in one batch job."""
     store = _new_store(spark, sf)
@@ -466,4 +526,9 @@ QUERIES: dict[str, Query] = {
     "enrich_run": enrich_run,
     "drain_stream": drain_stream,
     "drain_state": drain_state,
+    "enrich_repeated": enrich_repeated,
+    "drain_repeated": drain_repeated,
+    "state_json": state_json,
+    "store_restart": store_restart,
+    "title_files": title_files,
 }

@@ -17,7 +17,7 @@ from marquee.operators.candidates import project_titles
 
 # Settings of every registered query: STANDARD parts play the wanted type.
 CONFIG = JobConfig(
-    letter="L", target_rows=100, pool_rows=200, enrich_limit=60,
+    letter="L", target_rows=12, pool_rows=20, enrich_limit=8,
     title_type="STANDARD", actor_category="A",
 )
 RUN = JobConfig(batch_rows=250, search_limit=8)
@@ -165,24 +165,33 @@ _PAGES = f"""transform(
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(lookup_key, pages): one response per key, stored by the first part that asked."""
-    part = table(spark, sf_dir, "part")
+    """(lookup_key, pages): one response per key with the pages of all parts that ask for it."""
     key = combined_key(F.col("p_name"), F.expr("1980 + p_size"))
-    first = part.groupBy(key.alias("k")).agg(F.min("p_partkey").alias("p_partkey"))
-    owners = part.join(first, "p_partkey", "left_semi")
-    return _page_rows(spark, sf_dir, owners).select(
-        key.alias("lookup_key"), F.expr(_PAGES).alias("pages")
-    )
+    own = _page_rows(spark, sf_dir).select(
+        key.alias("lookup_key"), "p_partkey", F.expr(_PAGES).alias("pages"))
+    parts = F.sort_array(F.collect_list(F.struct("p_partkey", "pages")))
+    return own.groupBy("lookup_key").agg(F.flatten(
+        F.transform(parts, lambda p: p["pages"])).alias("pages"))
+
+
+def repeated_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lookup_key, pages): every part stores the answer to its own request.
+
+    Parts that share a key have asked several times, and been answered differently.
+    """
+    key = combined_key(F.col("p_name"), F.expr("1980 + p_size"))
+    return _page_rows(spark, sf_dir).select(
+        key.alias("lookup_key"), F.expr(_PAGES).alias("pages"))
 
 
-def combined_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same responses as named JSON bodies, one per stored request."""
+def combined_bodies(answers: DataFrame) -> DataFrame:
+    """Responses as named JSON bodies, one per stored request."""
     body = F.expr(
         "to_json(named_struct('batchcomplete', true, 'query', named_struct('pages', "
         "transform(pages, p -> named_struct('index', p.index, 'title', p.title, 'revisions', "
         "array(named_struct('slots', named_struct('main', named_struct('content', p.content)))))))))"
     )
-    return responses(spark, sf_dir).select(
+    return answers.select(
         F.concat(F.lit(f"wiki_combined_{RUN.search_limit}_"), "lookup_key", F.lit(".json")
                  ).alias("name"),
         body.alias("body"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +15,17 @@ from marquee.operators.ranking import ranked_top_k, top_k
 # Fixed value: no non-ASCII character upper-cases into these initials, so a
 # plain prefix test on both cases is exact and reaches the file scan.
 PLAIN_INITIALS = "BCDEGKLMNOPQRUVXZ"
+# Fixed value: the other characters whose upper case begins with these initials.
+FOREIGN_INITIALS = {
+    "A": "ẚ", "F": "ﬀﬁﬂﬃﬄ", "H": "ẖ", "I": "ı", "J": "ǰ", "S": "ſßﬅﬆ", "T": "ẗ", "W": "ẘ", "Y": "ẙ",
+}
 
 TITLE_COLUMNS = ["tconst", "titleType", "primaryTitle", "startYear", "runtimeMinutes", "genres"]
 
 
 def project_titles(raw: DataFrame) -> DataFrame:
-    """Typed titles from all-string rows."""
+    """Typed titles from all-string rows; ``ordering`` is kept when present."""
+    kept = [c for c in ("ordering",) if c in raw.columns]
     return raw.select(
         "tconst",
         "titleType",
@@ -25,6 +33,7 @@ def project_titles(raw: DataFrame) -> DataFrame:
         clean_int(F.col("startYear")).try_cast("int").alias("startYear"),
         clean_int(F.col("runtimeMinutes")).try_cast("int").alias("runtimeMinutes"),
         list_field(F.col("genres")).alias("genres"),
+        *kept,
     )
 
 
@@ -46,20 +55,32 @@ def last_per_key(df: DataFrame, key: str, ordering: str) -> DataFrame:
 
 
 def has_initial(title: Column, letter: str) -> Column:
-    """Case-insensitive first letter of a trimmed title."""
-    if letter in list(PLAIN_INITIALS):
-        return title.startswith(letter) | title.startswith(letter.lower())
-    return F.upper(title).startswith(letter)
+    """Case-insensitive first letter of a trimmed title.
+
+    A letter is spelled out as the few prefixes that upper-case to it, which
+    reach the file scan; anything else is compared in upper case.
+    """
+    if letter not in PLAIN_INITIALS and letter not in FOREIGN_INITIALS or len(letter) != 1:
+        return F.upper(title).startswith(letter)
+    prefixes = [letter, letter.lower(), *FOREIGN_INITIALS.get(letter, "")]
+    return reduce(or_, (title.startswith(p) for p in prefixes))
 
 
 def eligible_titles(titles: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Titles of the wanted type, initial, year and length."""
-    return titles.filter(
+    """Titles of the wanted type, initial, year and length.
+
+    Where the rows know their ``ordering``, the last eligible row of a title counts.
+    """
+    wanted = titles.filter(
         (F.col("titleType") == cfg.title_type)
         & has_initial(F.col("primaryTitle"), cfg.letter)
         & (F.col("startYear") <= cfg.max_year)
         & F.col("runtimeMinutes").between(cfg.min_runtime, cfg.max_runtime)
     )
+    if "ordering" not in titles.columns:
+        return wanted
+    return last_per_key(wanted, "tconst", "ordering").select(
+        [c for c in titles.columns if c != "ordering"])
 
 
 def rated_candidates(eligible: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -76,10 +97,10 @@ def popularity_order() -> list[Column]:
 
 def candidate_pool(rated: DataFrame, cfg: JobConfig) -> DataFrame:
     """The ``pool_size`` most popular candidates, unranked."""
-    return top_k(rated, popularity_order(), cfg.pool_size, "tconst")
+    return top_k(rated, popularity_order(), cfg.pool_size, F.col("numVotes"))
 
 
 def ranked_pool(rated: DataFrame, cfg: JobConfig) -> DataFrame:
     """Pool rows with rank 1..n and whether their rank earns a page lookup."""
-    ranked = ranked_top_k(rated, popularity_order(), cfg.pool_size, "tconst")
+    ranked = ranked_top_k(rated, popularity_order(), cfg.pool_size, F.col("numVotes"))
     return ranked.withColumn("looked_up", F.col("rank") <= cfg.lookup_depth)

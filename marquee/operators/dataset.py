@@ -19,7 +19,7 @@ def select_rows(looked_up: DataFrame, cfg: JobConfig) -> DataFrame:
     is set), whether or not that text held a usable field.
     """
     rows = looked_up.filter(F.col("fields").isNotNull()) if cfg.require_page else looked_up
-    return top_k(rows, [F.asc("rank")], cfg.target_rows, "rank")
+    return top_k(rows, [F.asc("rank")], cfg.target_rows, -F.col("rank"))
 
 
 def build_rows(selected: DataFrame) -> DataFrame:

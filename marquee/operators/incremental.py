@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.config import JobConfig
 from marquee.functions.flags import is_enriched, is_pending
@@ -65,18 +66,19 @@ def next_batch(decided: DataFrame, cfg: JobConfig) -> DataFrame:
     todo = decided.filter(F.col("action") == ATTEMPT)
     if cfg.batch_rows is None:
         return todo
-    return top_k(todo, [F.asc("pos")], max(cfg.batch_rows, 0), "pos")
+    number = isinstance(todo.schema["pos"].dataType, T.NumericType)
+    return top_k(todo, [F.asc("pos")], max(cfg.batch_rows, 0), -F.col("pos") if number else None)
 
 
-def outcomes_of(looked: DataFrame) -> DataFrame:
-    """What came of every attempted row, with its parsed page columns."""
+def outcomes_of(looked: DataFrame, *kept: str) -> DataFrame:
+    """What came of every attempted row, with its parsed page columns and ``kept`` ones."""
     outcome = (
         F.when(~F.col("has_response"), NO_RESPONSE)
         .when(F.col("fields").isNull(), MISSED).otherwise(ENRICHED)
     )
     return with_money(looked.select(
         "pos", "key", "primaryTitle", F.col("startYear").cast("string").alias("year"),
-        outcome.alias("outcome"), "reason", "fields",
+        outcome.alias("outcome"), "reason", "fields", *kept,
     ))
 
 
@@ -110,13 +112,12 @@ def merge_enriched(dataset: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 def state_changes(outcomes: DataFrame, cfg: JobConfig) -> DataFrame:
     """Last change per key: an entry to upsert, or ``outcome = enriched`` to delete."""
-    order = F.struct("batch", "pos") if "batch" in outcomes.columns else F.col("pos")
-    tried = outcomes.filter(F.col("outcome") != NO_RESPONSE).withColumn("_order", order)
+    tried = outcomes.filter(F.col("outcome") != NO_RESPONSE)
     return tried.groupBy("key").agg(
-        F.max_by("outcome", "_order").alias("outcome"),
-        F.max_by("primaryTitle", "_order").alias("title"),
-        F.max_by("year", "_order").alias("year"),
-        F.max_by("reason", "_order").alias("reason"),
+        F.max_by("outcome", "pos").alias("outcome"),
+        F.max_by("primaryTitle", "pos").alias("title"),
+        F.max_by("year", "pos").alias("year"),
+        F.max_by("reason", "pos").alias("reason"),
         F.lit(cfg.search_limit if cfg.retry_failed else 0).cast("int").alias("retry_search_limit"),
     )
 

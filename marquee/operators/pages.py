@@ -7,7 +7,7 @@ of page text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.money import money_millions
@@ -15,6 +15,7 @@ from marquee.functions.pagetext import first_usable_page, miss_reason, page_fiel
 from marquee.functions.text import bind, combined_key, non_empty, safe_name, search_key
 from marquee.operators.joins import keep_keys, lookup_join
 from marquee.schemas import PAGE_FIELDS
+from marquee.session import materialise
 
 
 def parsed_responses(responses: DataFrame) -> DataFrame:
@@ -40,11 +41,16 @@ def one_per_key(parsed: DataFrame) -> DataFrame:
     content, so a rerun makes the same one.
     """
     answer = F.struct("page", "fields", "reason")
-    order = F.struct(F.col("fields").isNull(), F.xxhash64(F.to_json(answer)))
-    return parsed.groupBy("lookup_key").agg(F.min_by(answer, order).alias("a")).select(
+    return parsed.groupBy("lookup_key").agg(F.min_by(answer, answer_order()).alias("a")).select(
         "lookup_key", "a.*")
 
 
+def answer_order() -> Column:
+    """Which of several answers to one request counts: the least by this order."""
+    answer = F.to_json(F.struct("page", "fields", "reason"))
+    return F.struct(F.col("fields").isNull().alias("miss"), F.xxhash64(answer).alias("digest"))
+
+
 def with_money(rows: DataFrame) -> DataFrame:
     """Replace ``fields`` by the five dataset cells, amounts parsed to millions."""
     amounts = F.transform(F.array("fields.budget", "fields.BoxOffice"), money_millions)
@@ -85,12 +91,12 @@ def lookup_combined(
 
     ``at_most`` bounds the row count where a limit has set one; then only the
     responses those rows ask for are parsed. Without a bound every response is
-    parsed, once.
+    parsed, once. A request stored several times counts once.
     """
     keyed = with_lookup_key(rows)
     if at_most is not None:
         responses = keep_keys(responses, keyed, "lookup_key", at_most)
-    return join_parsed(keyed, parsed_responses(responses), row_id, at_most)
+    return join_parsed(keyed, one_per_key(parsed_responses(responses)), row_id, at_most)
 
 
 def lookup_two_call(
@@ -99,14 +105,17 @@ def lookup_two_call(
     """Rows left-joined to page fields through a search and a parse response.
 
     ``searches`` is (lookup_key, page); ``parses`` is (page_key, content).
-    ``fields`` is NULL for rows without a page.
+    ``fields`` is NULL for rows without a page. Of a search or a page stored
+    several times the least counts, so that there is one row per row asked.
     """
     keyed = rows.withColumn("lookup_key", search_key(F.col("primaryTitle"), F.col("startYear")))
-    found = keep_keys(searches, keyed, "lookup_key", at_most).select(
-        "lookup_key", "page", safe_name(F.col("page")).alias("page_key")
-    )
+    named = keep_keys(searches, keyed, "lookup_key", at_most).groupBy("lookup_key").agg(
+        F.min("page").alias("page"))
+    # At most one row per row asked: written once, it serves the filter and the join.
+    found = materialise(named.withColumn("page_key", safe_name(F.col("page"))))
     texts = keep_keys(parses, found, "page_key", at_most).filter(non_empty(F.col("content")))
-    fields = texts.select("page_key", page_fields(F.col("content")).alias("fields"))
+    one = texts.groupBy("page_key").agg(F.min("content").alias("content"))
+    fields = one.select("page_key", page_fields(F.col("content")).alias("fields"))
     return (
         keyed.join(found, "lookup_key", "left").join(fields, "page_key", "left")
         .drop("page_key")

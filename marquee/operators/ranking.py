@@ -7,53 +7,66 @@ from pyspark.sql import functions as F
 
 from marquee.session import materialise
 
-# Up to this k the last step receives k rows per task at most, which stays small.
+# Up to this k an ordered limit sends its last task k rows per task at most, which stays small.
 DIRECT_ROWS = 2_000
-# Above it, rows are first cut to k in each of this many groups, side by side.
-GROUPS = 256
-# Above this k no single task should see k rows: rows are ranked range by range.
-GROUPED_ROWS = 100_000
+# Rank error of the threshold estimate: one row in this many, guaranteed by the sketch.
+ACCURACY = 10_000
+# Shares of the rows a threshold may keep: each half the one before, down to the error.
+SHARES = [2.0 ** -j for j in range(14)]
 
 
-def top_k(df: DataFrame, order: list[Column], k: int, spread_by: str) -> DataFrame:
+def top_k(df: DataFrame, order: list[Column], k: int, lead: Column | None) -> DataFrame:
     """First ``k`` rows in a total order.
 
-    For a large ``k`` a plain ordered limit would send k rows of *every* task to
-    one task. Cutting inside hash groups first bounds that to GROUPS x k rows
-    whatever the size of the input; a very large ``k`` is cut by ranges instead.
+    ``lead`` is a number that falls along ``order``: the first sort column, or
+    its negative where that rises; ``None`` where there is no number. Larger
+    cuts first drop what lies below a threshold of it, see ``_ranked``.
     """
-    if k > GROUPED_ROWS:
-        return _ranked_by_range(df, order, k, "_rank").drop("_rank")
     if k > DIRECT_ROWS:
-        group = Window.partitionBy("_group").orderBy(*order)
-        df = (
-            df.withColumn("_group", F.pmod(F.xxhash64(spread_by), F.lit(GROUPS)))
-            .withColumn("_place", F.row_number().over(group))
-            .filter(F.col("_place") <= k)
-            .drop("_group", "_place")
-        )
+        return _ranked(df, order, k, lead, "_rank").drop("_rank")
     return df.orderBy(*order).limit(k)
 
 
 def ranked_top_k(
-    df: DataFrame, order: list[Column], k: int, spread_by: str, name: str = "rank"
+    df: DataFrame, order: list[Column], k: int, lead: Column | None, name: str = "rank"
 ) -> DataFrame:
-    """``top_k`` with ranks 1..k; a single-task window only ever sees a cut set."""
-    if k > GROUPED_ROWS:
-        return _ranked_by_range(df, order, k, name)
-    return top_k(df, order, k, spread_by).withColumn(
-        name, F.row_number().over(Window.orderBy(*order)))
+    """``top_k`` with ranks 1..k; a single-task window only ever sees a small cut set."""
+    if k > DIRECT_ROWS:
+        return _ranked(df, order, k, lead, name)
+    return top_k(df, order, k, lead).withColumn(name, F.row_number().over(Window.orderBy(*order)))
+
+
+def _threshold(df: DataFrame, k: int, lead: Column) -> float | None:
+    """A value of ``lead`` that at least ``k`` rows reach; ``None`` keeps all rows.
+
+    One partial aggregate: a quantile sketch whose rank error is bounded, asked
+    for a share that is larger than the wanted one by twice that error, and by
+    a factor of two at most.
+    """
+    rows = df.select(lead.cast("double").alias("lead")).agg(
+        F.count("lead").alias("n"),
+        F.percentile_approx("lead", [1 - s for s in SHARES], ACCURACY).alias("q")).first()
+    if rows.n <= k:
+        return None
+    enough = [q for s, q in zip(SHARES, rows.q) if s >= k / rows.n + 2 / ACCURACY]
+    return enough[-1] if enough else None
 
 
-def _ranked_by_range(df: DataFrame, order: list[Column], k: int, name: str) -> DataFrame:
+def _ranked(
+    df: DataFrame, order: list[Column], k: int, lead: Column | None, name: str
+) -> DataFrame:
     """Rank inside ranges of the order, shifted by the rows in earlier ranges.
 
-    The order is total, so a run of equal leading values splits as well. The
-    range number is written with the rows, which keeps it fixed if a task reruns.
+    Only rows at or above the threshold are shuffled; the filter reaches the
+    scan. The order is total, so a run of equal leading values splits into
+    ranges as well, however many rows tie at the threshold. The range number is
+    written with the rows, which keeps it fixed if a task reruns.
     """
+    least = None if lead is None else _threshold(df, k, lead)
+    some = df if least is None else df.filter(lead.cast("double") >= F.lit(least))
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialise(
-        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+        some.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
     sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
     earlier = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
     starts = sizes.select("_range", earlier.alias("_before")).filter(F.col("_before") < k)

@@ -15,7 +15,10 @@ CREDIT_FIELDS = ["tconst", "category", "nconst"]
 
 
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All-string rows by header name, plus ``ordering`` = position in the file.
+    """All-string rows by header name, plus ``ordering``: file, block of the file, row.
+
+    The reader packs large files first, so a running number alone would order
+    rows of several files by file size.
 
     Missing cells stay spelled as in the file; the cell cleaners know them.
 
@@ -33,7 +36,11 @@ def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
         else F.lit(None).cast("string").alias(c)
         for c in columns
     ]
-    return raw.select(*picked, F.monotonically_increasing_id().alias("ordering"))
+    return raw.select(*picked, F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias("ordering"))
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +67,7 @@ def _land(df: DataFrame, path: str, *sort: str) -> DataFrame:
 
 
 def land_titles(raw: DataFrame, path: str) -> DataFrame:
-    """Typed, trimmed titles clustered by type and title."""
+    """Typed, trimmed titles clustered by type and title, with their file order."""
     return _land(project_titles(raw), path, "titleType", "primaryTitle", "tconst")
 
 

@@ -19,10 +19,8 @@ BODY_SCHEMA = "name string, body string"
 
 
 def named_bodies(files: DataFrame) -> DataFrame:
-    """(name, body) from whole-text files; bodies that are not a filled JSON
-    object count as no response at all."""
-    bodies = files.select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("body"))
-    return bodies.filter(F.size(F.json_object_keys("body")) > 0)
+    """(name, body) from whole-text files."""
+    return files.select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("body"))
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
@@ -30,7 +28,10 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _named(bodies: DataFrame, pattern: str) -> DataFrame:
-    return bodies.filter(F.col("name").rlike(pattern))
+    """Responses of one kind; a body that is not a filled JSON object is no
+    response at all, wherever it was read from."""
+    named = bodies.filter(F.col("name").rlike(pattern))
+    return named.filter(F.size(F.json_object_keys("body")) > 0)
 
 
 def _page_content(page: Column) -> Column:

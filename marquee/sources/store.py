@@ -17,6 +17,9 @@ from marquee.config import JobConfig
 from marquee.schemas import DATASET, STATE
 from marquee.sources.datasets import read_or_empty, read_profile, write_profile
 
+# Sources whose commits bring a whole new dataset; drains have names of their own kind.
+REPLACING = ("import", "collect")
+
 _COMMITS = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("source", T.StringType()),
@@ -36,6 +39,11 @@ class Store:
         """Latest published version, 0 before the first."""
         return self._commits().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
+    def base_version(self) -> int:
+        """Version at which the dataset was last replaced as a whole, 0 before the first."""
+        whole = self._commits().filter(F.col("source").isin(*REPLACING))
+        return whole.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
     def merged_up_to(self, source: str) -> int:
         """Last batch of that source already inside the published version."""
         mine = self._commits().filter(F.col("source") == source)

@@ -1,10 +1,11 @@
 """Drain arriving response files into a stored dataset.
 
 Each micro-batch appends its outcomes under its batch number; decisions see the
-published version plus the outcomes of earlier batches of the same drain. A
-replayed batch therefore reads the same input and overwrites its own folder.
-When the available files are used up, all outcomes are merged into the next
-published version in a single pass, instead of rewriting the dataset per batch.
+published version only, so they are the same however files fall into batches.
+A replayed batch reads the same input and overwrites its own folder. When the
+available files are used up, one outcome per row, chosen by content, is merged
+into the next published version in a single pass, instead of rewriting the
+dataset per batch.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from marquee.config import JobConfig
 from marquee.operators import incremental
 from marquee.operators.joins import keep_keys
 from marquee.operators.pages import (
-    join_parsed, one_per_key, parsed_responses, with_lookup_key,
+    answer_order, join_parsed, one_per_key, parsed_responses, with_lookup_key,
 )
+from marquee.session import materialise
 from marquee.sources.datasets import read_or_empty
 from marquee.sources.responses import BODY_SCHEMA, FILE_SCHEMA, combined_responses, named_bodies
 from marquee.sources.store import Store
@@ -32,6 +34,8 @@ def _outcome_schema(pos: T.DataType) -> T.StructType:
     return T.StructType(
         [T.StructField("pos", pos)] + [T.StructField(c, T.StringType()) for c in text]
         + [T.StructField(c, T.DoubleType()) for c in ("page_budget", "page_BoxOffice")]
+        + [T.StructField("answer", T.StructType([
+            T.StructField("miss", T.BooleanType()), T.StructField("digest", T.LongType())]))]
         + [T.StructField("batch", T.LongType())]
     )
 
@@ -41,16 +45,27 @@ class Drain:
 
     def __init__(self, store: Store, name: str, cfg: JobConfig) -> None:
         self.store, self.name, self.cfg = store, name, cfg
-        self.folder = f"{store.root}/drains/{name}"
-
-    def outcomes(self, before: int | None = None) -> DataFrame:
-        """Outcomes not yet inside the published version, up to a batch."""
+        # A newly collected or imported dataset starts the drain anew: its rows
+        # have not met the stored answers yet.
+        self.base = store.base_version()
+        self.source = f"drain:{name}:{self.base}"
+        self.folder = f"{store.root}/drains/{name}/base={self.base}"
+
+    def outcomes(self) -> DataFrame:
+        """One outcome per row of those not yet inside the published version.
+
+        A row may have met several stored answers to its request, in any order
+        and grouping: a usable one wins, then the least by content.
+        """
         dataset = self.store.dataset()
         rows = read_or_empty(
             self.store.spark, f"{self.folder}/outcomes",
             _outcome_schema(dataset.schema["pos"].dataType),
-        ).filter(F.col("batch") > self.store.merged_up_to(self.name))
-        return rows if before is None else rows.filter(F.col("batch") < before)
+        ).filter(F.col("batch") > self.store.merged_up_to(self.source))
+        whole = F.struct(*[c for c in rows.columns if c not in ("pos", "batch")])
+        return rows.groupBy("pos").agg(
+            F.min_by(whole, "answer").alias("o"), F.max("batch").alias("batch")
+        ).select("pos", "o.*", "batch")
 
     def process(self, bodies: DataFrame, batch: int) -> None:
         """Attempt the pending rows whose response has arrived."""
@@ -61,29 +76,26 @@ class Drain:
         parsed_responses(responses).write.mode("overwrite").parquet(parsed_path)
         parsed = one_per_key(spark.read.parquet(parsed_path))
 
-        earlier = self.outcomes(before=batch)
-        done = earlier.filter(F.col("outcome") == incremental.ENRICHED).select("pos")
         rows = incremental.with_key(incremental.pending(self.store.dataset()))
-        rows = rows.join(done, "pos", "left_anti")
         asked = keep_keys(with_lookup_key(rows), parsed, "lookup_key")
-        state = incremental.state_after(self.store.state(), earlier, self.cfg)
-        decided = incremental.decide(asked, state, self.cfg)
+        decided = incremental.decide(asked, self.store.state(), self.cfg)
         todo = incremental.next_batch(decided, replace(self.cfg, batch_rows=None))
         looked = join_parsed(
             todo.select("pos", "key", "primaryTitle", "startYear", "lookup_key"), parsed, "pos")
-        incremental.outcomes_of(looked).write.mode("overwrite").parquet(
+        looked = looked.withColumn("answer", answer_order())
+        incremental.outcomes_of(looked, "answer").write.mode("overwrite").parquet(
             f"{self.folder}/outcomes/batch={batch}")
 
     def merge(self) -> int:
         """Publish the dataset and state with every outcome so far."""
-        outcomes = self.outcomes()
+        outcomes = materialise(self.outcomes())
         last = outcomes.agg(F.max("batch")).first()[0]
         if last is None:
             return self.store.version()
         return self.store.publish(
             incremental.merge_enriched(self.store.dataset(), outcomes),
             incremental.state_after(self.store.state(), outcomes, self.cfg),
-            self.cfg, source=self.name, batch=last,
+            self.cfg, source=self.source, batch=last,
         )
 
     def run_stream(self, bodies: DataFrame) -> int:

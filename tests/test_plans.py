@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from marquee.catalog import queries as q
 from marquee.catalog import standins as t
 from marquee.operators import candidates, credits, incremental, pages
-from marquee.operators.joins import lookup_join
+from marquee.operators.joins import _hot_keys, lookup_join
+from marquee.operators import ranking
 from marquee.operators.ranking import top_k
 from marquee.session import materialise
 from marquee.sources import catalogue
@@ -42,16 +43,29 @@ def test_all_title_filters_reach_the_scan(landed):
 
 def test_pool_is_a_bounded_top_k(spark, sf_dir):
     text = plan(q.ranked_pool(spark, sf_dir))
-    assert "TakeOrderedAndProject(limit=200" in text
+    assert f"TakeOrderedAndProject(limit={t.CONFIG.pool_rows}" in text
     # The only single-task window sits above the cut.
     assert text.index("Window") < text.index("TakeOrderedAndProject")
 
 
-def test_large_pool_is_cut_in_groups_first(spark, sf_dir):
-    rated = q._rated(spark, sf_dir)
-    text = plan(candidates.candidate_pool(rated, replace(t.CONFIG, pool_rows=30_000)))
-    assert text.index("TakeOrderedAndProject") < text.index("Window [row_number()")
-    assert "Exchange hashpartitioning(_group" in text and "SinglePartition" not in text
+@pytest.mark.parametrize("k", [30_000, 300_000])
+def test_large_pool_is_cut_before_the_range_shuffle(spark, monkeypatch, k):
+    """Only rows above a threshold are shuffled, and no task ranks over about 2k of them."""
+    written = []
+
+    def noted(df):
+        written.append(plan(df))
+        return materialise(df)
+
+    monkeypatch.setattr(ranking, "materialise", noted)
+    rows = materialise(spark.range(1_000_000).select(
+        F.col("id").cast("string").alias("tconst"), F.pmod(F.xxhash64("id"), F.lit(90_000)).alias("v")))
+    out = ranking.top_k(rows, [F.desc("v"), F.asc("tconst")], k, F.col("v"))
+    assert "Exchange rangepartitioning" in written[0] and "Filter" in written[0]
+    assert written[0].index("Exchange rangepartitioning") < written[0].index("Filter")
+    assert "SinglePartition" not in written[0] and out.count() == k
+    least = ranking._threshold(rows, k, F.col("v"))
+    assert k <= rows.filter(F.col("v") >= least).count() <= 2 * k + 1_000
 
 
 def test_actor_cut_runs_before_the_shuffle(spark, sf_dir):
@@ -95,11 +109,16 @@ def test_pending_filter_reaches_the_scan(spark, sf_dir):
     assert "Or(IsNull(plot),EqualTo(plot,))" in pushed
 
 
-def test_hot_keys_are_sliced_by_a_bounded_broadcast(spark):
-    rows = spark.range(100_000).select("id", (F.col("id") % 3000).alias("k"))
-    dim = spark.range(3).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    text = plan(lookup_join(rows, dim, "k", "id"))
-    assert "TakeOrderedAndProject(limit=1024" in text and "_slice" in text
+def test_every_hot_key_is_sliced_by_its_size(spark):
+    """Over 1,024 hot keys, one of them far larger than 64 slices of the limit."""
+    rows = spark.range(400_000).select("id", F.when(F.col("id") < 200_000, F.lit(-1)).otherwise(
+        F.col("id") % 1_500).alias("k"))
+    hot = {r.k: r._slices for r in _hot_keys(rows, "k", "id", 64).collect()}
+    assert len(hot) > 1_024 and hot[-1] > 2_000
+    dim = spark.createDataFrame([(-1, 1), (7, 2)], "k long, v int")
+    joined = lookup_join(rows, dim, "k", "id", hot_rows=64)
+    assert joined.count() == 400_000 and joined.filter("v = 1").count() == 200_000
+    assert "_slice" in plan(joined) and "TakeOrdered" not in plan(joined)
 
 
 def test_last_record_per_key_uses_a_partial_hash_aggregate(spark, sf_dir):
@@ -116,4 +135,4 @@ def test_no_python_in_the_plan(spark, sf_dir, name):
 
 
 def test_top_k_zero(spark):
-    assert top_k(spark.range(5), [F.asc("id")], 0, "id").count() == 0
+    assert top_k(spark.range(5), [F.asc("id")], 0, None).count() == 0

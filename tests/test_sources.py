@@ -68,7 +68,7 @@ def test_read_tsv(spark, catalogue_files):
     rows = catalogue.read_titles(spark, catalogue_files[0]).orderBy("ordering").collect()
     assert [r.primaryTitle for r in rows] == [
         " metropolis", "M", "Max at noon", '"Moss', "Mini", "Mé"]
-    assert [r.ordering for r in rows] == list(range(6))
+    assert [r.ordering.row for r in rows] == list(range(6))
     assert rows[1].genres == "\\N" and rows[5].genres is None
     credits = catalogue.read_credits(spark, catalogue_files[2]).orderBy("ordering").collect()
     assert [tuple(r)[:3] for r in credits][0] == ("t1", "actor", "n9")
