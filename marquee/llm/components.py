@@ -29,7 +29,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node of ``links`` (u, v); root is the least node reachable.
+    """(node, root) of every node of ``links`` (u, v) but the roots; a root is the least node reachable.
 
     Nodes are of any ordered type. Self-links and repeats are allowed. Each
     round is written to the shared folder; the links stay as many as before at

@@ -22,7 +22,6 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 
 from marquee.llm import repeats
@@ -53,23 +52,26 @@ def word_batch(part: pa.RecordBatch, grain: int) -> repeats.Batch:
 KIND = repeats.Kind(WIDTH, GRAIN, word_batch, same_document_counts=False, units_per_byte=0.16)
 
 
+_KINDS = ("<u4", "<u2", "<u4", *repeats.ROW_KINDS)
+
+
 def pack_segments(entries: list) -> bytes:
     """(key, size, extra, rows) entries, compressed."""
-    table = np.array([[len(e[0]), e[1], len(e[3])] for e in entries], "<i8")
-    rows = np.array([r for e in entries for r in e[3]], "<i8")
-    head = np.array([len(table), len(rows)], "<i8")
-    keys = b"".join(e[0] for e in entries)
-    return zstandard.compress(head.tobytes() + table.tobytes() + rows.tobytes() + keys, 1)
-
-
-def unpack_segments(blob: bytes) -> Iterator[tuple[bytes, int, list[tuple]]]:
-    raw = zstandard.decompress(blob)
-    count, many = np.frombuffer(raw, "<i8", 2)
-    table = np.frombuffer(raw, "<i8", 3 * count, 16).reshape(-1, 3)
-    rows = [tuple(r) for r in np.frombuffer(raw, "<i8", 4 * many, 16 + 24 * count).reshape(-1, 4).tolist()]
-    at, row = int(16 + 24 * count + 32 * many), 0
-    for length, size, n in table.tolist():
-        yield raw[at:at + length], size, rows[row:row + n]
+    columns = [np.array(c, k) for c, k in (
+        ([len(e[0]) for e in entries], np.uint32), ([e[1] for e in entries], np.uint16),
+        ([len(e[3]) for e in entries], np.uint32))]
+    rows = repeats.pack_rows([r for e in entries for r in e[3]])
+    return repeats.pack([*columns, *rows], b"".join(e[0] for e in entries))
+
+
+def unpack_segments(blob: bytes, width: int) -> Iterator[tuple[bytes, int, list[tuple]]]:
+    """(key, size, rows) entries; rows are (doc, digest, start, end)."""
+    (lengths, sizes, counts, *packed), keys = repeats.unpack(blob, _KINDS)
+    places = list(zip(*repeats.unpack_rows(*packed)))
+    at = row = 0
+    for length, size, n in zip(lengths.tolist(), sizes.tolist(), counts.tolist()):
+        span = (size or 1) + width - 1
+        yield keys[at:at + length], size, [(*p, p[2] + span) for p in places[row:row + n]]
         at, row = at + length, row + n
 
 
@@ -78,7 +80,7 @@ def located(blobs: list[bytes], width: int) -> np.ndarray:
     out: list[tuple] = []
     held: dict[bytes, tuple[int, list[tuple]]] = {}
     for blob in blobs:
-        for key, size, rows in unpack_segments(blob):
+        for key, size, rows in unpack_segments(blob, width):
             known = held.get(key)
             if known is None:
                 held[key] = (size, rows)

@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ LEAST_HOT = 2_000
 SHARD_SEGMENTS = 60_000
 MOST_BITS = 29
 FLUSH_ANCHORS = 600_000
-FLUSH_SEGMENTS = 60_000
+FLUSH_SEGMENTS = 100_000
 NO_ID = -(1 << 63)
 
 
@@ -101,7 +102,8 @@ def anchors(batch: Batch, width: int, grain: int) -> tuple[np.ndarray, np.ndarra
     first = batch.starts[doc].copy()
     again = np.flatnonzero(doc[1:] == doc[:-1]) + 1
     first[again] = np.where(h[again] <= h[again - 1], place[again] - reach + 1, place[again - 1] + 1)
-    first = np.maximum(first, batch.starts[doc])
+    # Anchors only move on: one that ties may not reach back before its forerunner.
+    first = np.maximum.accumulate(np.maximum(first, batch.starts[doc]))
     last = ends[doc] - width
     last[again - 1] = first[again] - 1
     last = np.minimum(last, ends[doc] - width)
@@ -205,6 +207,42 @@ def recurring(docs: DataFrame, kind: Kind, least_hot: int = LEAST_HOT) -> Recurr
     return Recurring(bits, bitmap, np.sort(np.concatenate([np.empty(0, np.uint64), *hot])), segments)
 
 
+def pack_rows(rows: list[tuple[int, int, int, int]]) -> list[np.ndarray]:
+    """(doc, digest, start, end) rows as columns; documents are listed once.
+
+    ``end`` follows from the segment and is left out.
+    """
+    known: dict[tuple[int, int], int] = {}
+    at = [known.setdefault(r[:2], len(known)) for r in rows]
+    names = np.array(list(known), np.int64).reshape(-1, 2)
+    return [names[:, 0].copy(), names[:, 1].copy(), np.array(at, np.uint32),
+            np.array([r[2] for r in rows], np.uint32)]
+
+
+ROW_KINDS = ("<i8", "<i8", "<u4", "<u4")
+
+
+def unpack_rows(docs: np.ndarray, digests: np.ndarray, at: np.ndarray,
+                start: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """Columns doc, digest and start of packed rows."""
+    return docs[at].tolist(), digests[at].tolist(), start.tolist()
+
+
+def pack(arrays: list[np.ndarray], rest: bytes) -> bytes:
+    """Arrays and bytes as one compressed blob."""
+    head = np.array([len(a) for a in arrays], "<i8")
+    return zstandard.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays) + rest, 3)
+
+
+def unpack(blob: bytes, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:
+    raw = zstandard.decompress(blob)
+    at, out = 8 * len(kinds), []
+    for kind, size in zip(kinds, np.frombuffer(raw, "<i8", len(kinds)).tolist()):
+        out.append(np.frombuffer(raw, kind, size, at))
+        at += out[-1].nbytes
+    return out, raw[at:]
+
+
 class Flush:
     """Segments held until they are sent; of equal ones only the earliest stay."""
 

@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 
 from marquee.llm import repeats
@@ -77,71 +76,84 @@ def shared_length(a: bytes, b: bytes, known: int) -> int:
     return top
 
 
-def front_code(keys: list[bytes]) -> tuple[list[int], bytes]:
+def shared_lengths(keys: list[bytes]) -> np.ndarray:
+    """Length that each of the sorted keys shares with the one before."""
+    if not keys:
+        return np.empty(0, np.uint16)
+    lengths = np.array([len(k) for k in keys])
+    width = int(lengths.max()) + 1
+    table = np.array(keys, f"S{width}").view(np.uint8).reshape(len(keys), width)
+    apart = table[1:] != table[:-1]
+    differ = np.where(apart.any(axis=1), apart.argmax(axis=1), width)
+    return np.concatenate([[0], np.minimum(differ, np.minimum(lengths[1:], lengths[:-1]))]).astype(np.uint16)
+
+
+def front_code(keys: list[bytes]) -> tuple[np.ndarray, bytes]:
     """Shared lengths and the rests of sorted keys."""
-    shared, rests, last = [], [], b""
-    for key in keys:
-        n = shared_length(last, key, 0)
-        shared.append(n)
-        rests.append(key[n:])
-        last = key
-    return shared, b"".join(rests)
+    shared = shared_lengths(keys)
+    return shared, b"".join(k[n:] for k, n in zip(keys, shared.tolist()))
+
+
+_KINDS = ("<u2", "<u2", "<u2", "<u2", "<u4", *repeats.ROW_KINDS)
 
 
 def pack_run(entries: list) -> bytes:
     """(key, size, extra, rows) entries as one sorted, front-coded, compressed run."""
     entries.sort(key=lambda e: (e[0], e[2]))
     shared, rests = front_code([e[0] for e in entries])
-    table = np.array([[n, len(e[0]), e[1], e[2], len(e[3])] for n, e in zip(shared, entries)], "<i8")
-    rows = np.array([r for e in entries for r in e[3]], "<i8")
-    head = np.array([len(table), len(rows)], "<i8")
-    return zstandard.compress(head.tobytes() + table.tobytes() + rows.tobytes() + rests, 1)
-
-
-def unpack_run(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(keys, table, rows) of a packed run."""
-    raw = zstandard.decompress(blob)
-    count, many = np.frombuffer(raw, "<i8", 2)
-    table = np.frombuffer(raw, "<i8", 5 * count, 16).reshape(-1, 5)
-    rows = np.frombuffer(raw, "<i8", 4 * many, 16 + 40 * count).reshape(-1, 4)
-    at, last, keys = int(16 + 40 * count + 32 * many), b"", []
-    for n, length in zip(table[:, 0].tolist(), table[:, 1].tolist()):
-        last = last[:n] + raw[at:at + length - n]
-        at += length - n
-        keys.append(last)
-    return keys, table, rows
+    columns = [np.array(c, k) for c, k in (
+        ([len(e[0]) for e in entries], np.uint16), ([e[1] for e in entries], np.uint16),
+        ([e[2] for e in entries], np.uint16), ([len(e[3]) for e in entries], np.uint32))]
+    rows = repeats.pack_rows([r for e in entries for r in e[3]])
+    return repeats.pack([shared, *columns, *rows], rests)
+
+
+class Run:
+    """A packed run opened: keys, what each shares with the one before, and their places."""
+
+    def __init__(self, blob: bytes):
+        (shared, lengths, sizes, rights, counts, *rows), rests = repeats.unpack(blob, _KINDS)
+        self.shared = shared.tolist()
+        self.segments = list(zip(sizes.tolist(), rights.tolist()))
+        self.ends = np.cumsum(counts).tolist()
+        self.places = list(zip(*repeats.unpack_rows(*rows)))
+        self.keys, at, last = [], 0, b""
+        for n, length in zip(self.shared, lengths.tolist()):
+            last = last[:n] + rests[at:at + length - n]
+            at += length - n
+            self.keys.append(last)
 
 
 def merge(runs: list[list[bytes]], shared: list[list[int]]) -> Iterator[tuple[int, int, int]]:
     """(run, item, prefix shared with the item before) of all runs' items in order.
 
-    ``shared`` has each item's common prefix with its forerunner in its run.
+    ``shared`` has each item's common prefix with its forerunner in its run. Of
+    two players the one that shares more with the last winner is the smaller;
+    only equal ones are compared, from there on, and the loser keeps what it
+    shares with the winner.
     """
     size = 1 << max(0, len(runs) - 1).bit_length()
     current: list[bytes | None] = [run[0] if run else None for run in runs]
     current += [None] * (size - len(runs))
     prefix, place, losers = [0] * size, [0] * size, [0] * size
 
-    def play(a: int, b: int) -> tuple[int, int]:
-        """(winner, loser); the loser keeps the prefix it shares with the winner."""
+    def play(a: int, b: int) -> bool:
+        """Whether ``a`` wins where both share ``prefix[a]`` with the last winner."""
         x, y = current[a], current[b]
-        if x is None:
-            return b, a
-        if y is None or prefix[a] > prefix[b]:
-            return a, b
-        if prefix[b] > prefix[a]:
-            return b, a
         n = shared_length(x, y, prefix[a])
         if n == len(x) or (n < len(y) and x[n] < y[n]):
             prefix[b] = n
-            return a, b
+            return True
         prefix[a] = n
-        return b, a
+        return False
 
-    winners = list(range(size)) if size > 1 else [0]
-    level = [0] * size + winners
+    level = [0] * size + list(range(size))
     for node in range(size - 1, 0, -1):
-        level[node], losers[node] = play(level[2 * node], level[2 * node + 1])
+        a, b = level[2 * node], level[2 * node + 1]
+        if current[b] is None or (current[a] is not None and play(a, b)):
+            level[node], losers[node] = a, b
+        else:
+            level[node], losers[node] = b, a
     winner = level[1] if size > 1 else 0
     while current[winner] is not None:
         at = place[winner]
@@ -150,20 +162,48 @@ def merge(runs: list[list[bytes]], shared: list[list[int]]) -> Iterator[tuple[in
         run = runs[winner]
         if at < len(run):
             current[winner], prefix[winner] = run[at], shared[winner][at]
+            known = prefix[winner]
         else:
-            current[winner] = None
-        node, moving = (winner + size) >> 1, winner
+            current[winner], known = None, -1
+        node = (winner + size) >> 1
         while node:
-            moving, losers[node] = play(moving, losers[node])
+            other = losers[node]
+            if current[other] is not None:
+                n = prefix[other]
+                if n > known or (n == known and not play(winner, other)):
+                    losers[node], winner = winner, other
+                    known = n
             node >>= 1
-        winner = moving
 
 
-def _windows(group: list[tuple[bytes, int, int, tuple]], width: int, out: list) -> None:
+# Groups up to this size are compared two by two, larger ones by a table of windows.
+PAIRED = 6
+Place = tuple[int, int, int]
+
+
+def _shared_end(a: bytes, b: bytes) -> int:
+    """Length of the common ending."""
+    return shared_length(a[::-1], b[::-1], 0)
+
+
+def _paired(group: list[tuple[bytes, int, int, Place]], width: int, out: list) -> None:
+    """Spans that a segment shares with an earlier one around their common anchor."""
+    for at, (key, _, right, place) in enumerate(group):
+        for other, _, other_right, other_place in group[:at]:
+            after = shared_length(key[:right], other[:other_right], 0)
+            before = _shared_end(key[right:], other[other_right:])
+            if before + after >= width and place != other_place:
+                (doc, digest, start), left = (
+                    (place, len(key) - right) if other_place < place
+                    else (other_place, len(other) - other_right))
+                out.append((doc, digest, start + left - before, start + left + after))
+
+
+def _tabled(group: list[tuple[bytes, int, int, Place]], width: int, out: list) -> None:
     """Spans of the windows that begin earlier in another segment of the same anchor."""
-    first: dict[bytes, tuple] = {}
+    first: dict[bytes, Place] = {}
     texts = []
-    for key, size, right, (doc, digest, start, _) in group:
+    for key, size, right, (doc, digest, start) in group:
         text = key[right:] + key[:right]
         texts.append(text)
         for i in range(size):
@@ -171,51 +211,47 @@ def _windows(group: list[tuple[bytes, int, int, tuple]], width: int, out: list)
             known = first.setdefault(text[i:i + width], place)
             if place < known:
                 first[text[i:i + width]] = place
-    for text, (_, size, _, (doc, digest, start, _)) in zip(texts, group):
-        upto = -1
-        for i in range(size):
-            if first[text[i:i + width]] != (doc, digest, start + i):
-                at = start + i
-                if at <= upto:
-                    out[-1] = (doc, digest, out[-1][2], at + width)
-                else:
-                    out.append((doc, digest, at, at + width))
-                upto = at + width
+    for text, (_, size, _, (doc, digest, start)) in zip(texts, group):
+        out.extend((doc, digest, start + i, start + i + width) for i in range(size)
+                   if first[text[i:i + width]] != (doc, digest, start + i))
 
 
 def repeated(blobs: list[bytes], width: int, grain: int) -> np.ndarray:
     """(doc, digest, start, end) rows to remove, from the packed runs of a shard."""
-    opened = [unpack_run(b) for b in blobs]
-    tables = [t.tolist() for _, t, _ in opened]
-    ends = [np.cumsum(t[:, 4]).tolist() for _, t, _ in opened]
+    opened = [Run(b) for b in blobs]
     out: list[tuple[int, int, int, int]] = []
-    group: list[tuple[bytes, int, int, tuple]] = []
-    last, segment, rows = b"", (), []
+    group: list[tuple[bytes, int, int, Place]] = []
+    last, segment = b"", (0, 0)
+    places: list[Place] = []
 
     def close_segment() -> None:
-        if rows:
-            earliest = min(rows)
-            out.extend(r for r in rows if r[:3] > earliest[:3])
-            group.append((last, segment[0], segment[1], earliest))
+        earliest = min(places)
+        if len(places) > 1:
+            span = (segment[0] or 1) + width - 1
+            out.extend((*p, p[2] + span) for p in places if p > earliest)
+        group.append((last, segment[0], segment[1], earliest))
 
     def close_group() -> None:
-        if len(group) > 1:
-            _windows(group, width, out)
+        if len(group) > PAIRED:
+            _tabled(group, width, out)
+        elif len(group) > 1:
+            _paired(group, width, out)
         group.clear()
 
-    for run, item, shared in merge([k for k, _, _ in opened], [[r[0] for r in t] for t in tables]):
-        key = opened[run][0][item]
-        _, _, size, extra, count = tables[run][item]
+    for run, item, shared in merge([r.keys for r in opened], [r.shared for r in opened]):
+        own = opened[run]
+        key = own.keys[item]
         # The merge knows what adjoining suffixes share; only whole equality is left to see.
-        if not (shared == len(key) == len(last) and segment == (size, extra)):
-            close_segment()
-            rows = []
-            if shared < grain or size == 0:
+        if not (shared == len(key) == len(last) and segment == own.segments[item]):
+            if places:
+                close_segment()
+                places = []
+            if shared < grain or not own.segments[item][0]:
                 close_group()
-            last, segment = key, (size, extra)
-        end = ends[run][item]
-        rows.extend(map(tuple, opened[run][2][end - count:end].tolist()))
-    close_segment()
+            last, segment = key, own.segments[item]
+        places.extend(own.places[own.ends[item - 1] if item else 0:own.ends[item]])
+    if places:
+        close_segment()
     close_group()
     return np.array(out, np.int64).reshape(-1, 4)
 
