@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import WordHashes, mixed, small_batches, texts_of
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _SKIP = np.uint64(0xC2B2AE3D27D4EB4F)
 _STEM = np.uint64(0xD6E8FEB86659FD93)
@@ -53,7 +53,7 @@ def features(text: bytes, bits: int) -> np.ndarray:
     if len(h) > 2:
         grams.append((h[:-2] * _SKIP + h[2:]) ^ _SKIP)
     slots = mixed(np.concatenate(grams)) >> np.uint64(64 - bits)
-    return np.unique(np.append(slots, np.uint64(0))).astype(np.int64)
+    return np.unique(np.append(slots, np.uint64(0))).astype(np.int32)
 
 
 def fit(texts: list[bytes], labels: np.ndarray, setting: Ftrl) -> np.ndarray:
