@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import materialise
+from marquee.session import materialise, scratch_path
 
 # The six characters that part words.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -41,6 +42,18 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
         context.addPyFile(str(held))
 
 
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Write once to the shared folder, one bucket of ``key`` per file, and read back.
+
+    Grouping or joining by ``key`` then needs no shuffle, however often.
+    """
+    spark = df.sparkSession
+    name = f"marquee_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key)
+     .option("path", scratch_path(spark)).saveAsTable(name))
+    return spark.table(name)
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
@@ -97,5 +110,5 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(column, field.type) for column, field in zip(zip(*rows), schema)], schema=schema)
 
 
-__all__ = ["SPACE", "WordHashes", "batches", "id_remainder", "materialise", "mixed",
+__all__ = ["SPACE", "WordHashes", "batches", "bucketed", "id_remainder", "materialise", "mixed",
            "small_batches", "table", "texts_of"]

@@ -39,11 +39,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WordHashes, id_remainder, materialise, mixed, small_batches, texts_of
+from marquee.llm.common import WordHashes, bucketed, id_remainder, mixed, small_batches, texts_of
 
 CONTEXTS = 1 << 16
 FLUSH_TOKENS = 1_000_000
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 1_000_000
 HOT_SAMPLE = 1_000
 HOT_WORDS = 4_096
 _END = np.uint64(xxhash.xxh64_intdigest(b" end", seed=5))
@@ -405,7 +405,8 @@ def scored(docs: DataFrame, modulus: int = 7, held_out: int = 2, model: PitmanYo
     size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     shards = max(1, math.ceil(((size[0] or 0) / 6 + size[1]) / shard_tokens))
     hot = frequent(rows, HOT_SAMPLE, 1 / 1000)
-    tokens = materialise(dealt(rows, shards, hot).repartition(shards, "shard"))
+    # Bucketed by shard, so that both passes over the tokens read them without a shuffle.
+    tokens = bucketed(dealt(rows, shards, hot), "shard", shards)
     state = gathered(tokens, shards, hot, model)
     shared = spark.sparkContext.broadcast(state)
     sums = tokens.where("shard >= 0").groupBy("shard").applyInPandas(

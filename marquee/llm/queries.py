@@ -9,10 +9,12 @@ from marquee.llm import (
     decontam, linededup, lm, packing, phrases, quality, simhash, suffixdedup, toxicity, urlfilter,
 )
 from marquee.llm.common import id_remainder, table
+from marquee.llm.oracles import ORACLES
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    rows = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.drop("rejected_by")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,8 @@ def op10_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -78,4 +82,3 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_pitman_yor_lm": op10_pitman_yor_lm,
 }
-ORACLES: dict[str, str] = {}
