@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -93,22 +93,5 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
-def batches(rows: Iterable, schema: pa.Schema, size: int = 65_536) -> Iterator[pa.RecordBatch]:
-    """Tuples as record batches."""
-    held: list = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= size:
-            yield _batch(held, schema)
-            held = []
-    if held:
-        yield _batch(held, schema)
-
-
-def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, field.type) for column, field in zip(zip(*rows), schema)], schema=schema)
-
-
-__all__ = ["SPACE", "WordHashes", "batches", "bucketed", "id_remainder", "materialise", "mixed",
+__all__ = ["SPACE", "WordHashes", "bucketed", "id_remainder", "materialise", "mixed",
            "small_batches", "table", "texts_of"]
