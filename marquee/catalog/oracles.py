@@ -396,6 +396,10 @@ ORACLES: dict[str, str] = {
     "rated_candidates": query(["rated"], "select * from rated"),
     "candidate_pool": query(["ranked"], "select * exclude (rank) from ranked"),
     "ranked_pool": query(["ranked"], "select *, rank <= 8 as looked_up from ranked"),
+    "large_pool": """select tconst, numVotes, rank from (select cast(l_partkey as varchar) as tconst,
+      cast(floor(l_extendedprice) as bigint) as numVotes, row_number() over (
+        order by floor(l_extendedprice) desc, l_orderkey * 10 + l_linenumber, l_suppkey) as rank
+      from lineitem) where rank <= 30000""",
     "credits_semi": query(["credits", "titles"], """select tconst, category, nconst, ordering
       from credits where tconst in (select tconst from titles where titleType = 'STANDARD'
         and upper(left(primaryTitle, 1)) = 'L' and startYear <= 2024

@@ -17,7 +17,10 @@ from marquee.functions import pagetext, text
 from marquee.functions.markup import clean_markup
 from marquee.functions.money import money_millions
 from marquee.functions.text import bind
-from marquee.operators import candidates, credits, dataset, incremental, pages, profiling, quality
+from marquee.config import JobConfig
+from marquee.operators import (
+    candidates, credits, dataset, incremental, pages, profiling, quality, ranking,
+)
 from marquee.plans.collect import collect_rows
 from marquee.plans.enrich import drain, run_enrichment
 from marquee.schemas import DATASET_COLUMNS
@@ -85,6 +88,15 @@ def ranked_pool(spark, sf):
     return _flat(candidates.ranked_pool(_rated(spark, sf), t.CONFIG))
 
 
+def large_pool(spark, sf):
+    """A pool of the default size, ranked, out of every rating record."""
+    order = [F.desc("numVotes"), F.asc("ordering")]
+    size = JobConfig().pool_size
+    return ranking.ranked_top_k(
+        t.repeated_ratings(spark, sf), order, size, F.col("numVotes")
+    ).select("tconst", "numVotes", F.col("rank").cast("bigint").alias("rank"))
+
+
 # ---- credits -----------------------------------------------------------------
 def _selected(spark, sf):
     return candidates.eligible_titles(t.titles(spark, sf), t.CONFIG)
@@ -484,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "rated_candidates": rated_candidates,
     "candidate_pool": candidate_pool,
     "ranked_pool": ranked_pool,
+    "large_pool": large_pool,
     "credits_semi": credits_semi,
     "lead_actors_rank": lead_actors_rank,
     "lead_actors": lead_actors,
