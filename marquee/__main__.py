@@ -17,7 +17,7 @@ from marquee.plans.collect import collect_dataset
 from marquee.plans.enrich import run_enrichment
 from marquee.plans.report import deliver, report
 from marquee.schemas import DATASET_COLUMNS, STATE
-from marquee.session import ENGINE_CONF
+from marquee.session import ENGINE_CONF, drop_scratch
 from marquee.sources import catalogue, datasets
 from marquee.sources import responses as stored
 from marquee.sources.store import Store
@@ -36,7 +36,9 @@ def _collect(spark: SparkSession, args: argparse.Namespace, cfg: JobConfig) -> N
     credits = catalogue.land_credits(
         catalogue.read_credits(spark, f"{args.raw}/{CREDITS}"), f"{lake}/credits")
     bodies = stored.read_bodies(spark, args.responses)
-    searches, parses = stored.search_responses(bodies), stored.parse_responses(bodies)
+    # Many small files: listed and parsed once per kind, whatever reads them afterwards.
+    searches = stored.land(stored.search_responses(bodies), f"{lake}/searches")
+    parses = stored.land(stored.parse_responses(bodies), f"{lake}/parses")
 
     def lookup(rows: DataFrame, bound: int) -> DataFrame:
         return lookup_two_call(rows, searches, parses, bound)
@@ -94,7 +96,10 @@ def main(argv: list[str] | None = None) -> None:
         "spark.ui.enabled", "false").getOrCreate()
     for key, value in ENGINE_CONF.items():
         spark.conf.set(key, value)
-    needs[args.job][0](spark, args, cfg)
+    try:
+        needs[args.job][0](spark, args, cfg)
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

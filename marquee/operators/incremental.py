@@ -17,6 +17,7 @@ from marquee.operators.joins import BROADCAST_KEYS
 from marquee.operators.pages import lookup_combined, with_money
 from marquee.operators.ranking import top_k
 from marquee.schemas import STATE
+from marquee.session import materialise
 
 ATTEMPT, SKIP, IGNORE = "attempt", "skip", "ignore"
 ENRICHED, MISSED, NO_RESPONSE = "enriched", "missed", "no_response"
@@ -83,8 +84,8 @@ def outcomes_of(looked: DataFrame, *kept: str) -> DataFrame:
 
 
 def attempt(batch: DataFrame, responses: DataFrame, at_most: int | None) -> DataFrame:
-    """Look the batch up in the stored responses."""
-    rows = batch.select("pos", "key", "primaryTitle", "startYear")
+    """Look the batch up in the stored responses; the batch is written once for both its uses."""
+    rows = materialise(batch.select("pos", "key", "primaryTitle", "startYear"))
     return outcomes_of(lookup_combined(rows, responses, "pos", at_most))
 
 

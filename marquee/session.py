@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch paths by application, so that the end of a job can remove them.
+_scratch: dict[str, list[str]] = {}
+
 # Runtime settings the plans rely on; a cluster's own sizing stays untouched.
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -52,8 +55,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/marquee-{uuid.uuid4().hex}"
+    """A new path below the shared folder, gone after ``drop_scratch``."""
+    path = f"{shared_dir(spark)}/marquee-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote for itself; for the end of a job."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from marquee.plans.collect import ShortfallError, collect_dataset
 from marquee.plans.enrich import drain, run_enrichment
 from marquee.plans.report import check_profile, deliver
 from marquee.schemas import DATASET, DATASET_COLUMNS, STATE
+from marquee.session import drop_scratch, scratch_path
 from marquee.sources import catalogue, datasets
 from marquee.sources import responses as stored
 from marquee.sources.store import Store
@@ -342,3 +343,8 @@ def test_command_line(spark, catalogue_files, tmp_path, monkeypatch, capsys):
           str(tmp_path / "none.json"), "--store", str(tmp_path / "second")])
     rows = Store(spark, str(tmp_path / "second")).dataset().orderBy("pos").collect()
     assert [r.tconst for r in rows] == ["t2", "t1"]
+    # Each job has removed what it wrote for itself.
+    mine = scratch_path(spark)
+    spark.range(1).write.parquet(mine)
+    drop_scratch(spark)
+    assert not os.path.exists(mine.removeprefix("file://"))
