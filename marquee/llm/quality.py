@@ -130,13 +130,13 @@ def cutoffs(measures: DataFrame, labels: DataFrame, risk: float = 0.05,
                                F.lit(c).alias("cutoff"), F.col(f"{rule}_{at}").alias("k"))
                       for rule, _, grid in RULES for at, c in enumerate(grid)))
     allowed = risk / len(RULES)
-    strata = measures.select("stratum").distinct().agg(F.count("*").alias("strata"))
+    strata = measures.select("stratum").distinct().agg(F.count("*")).scalar()
     tests = held.select("stratum", "n", F.explode(cases).alias("case")).select(
-        "stratum", "n", "case.*").join(F.broadcast(strata))
+        "stratum", "n", "case.*")
     # Beyond the allowed share the test fails anyhow; its sum need not be formed.
     value = F.when(F.col("k") <= allowed * F.col("n"),
                    binomial_tail(F.col("k"), F.col("n"), allowed)).otherwise(1.0)
-    tested = tests.withColumn("safe", value <= level / (F.col("strata") * len(RULES)))
+    tested = tests.withColumn("safe", value <= level / (strata * len(RULES)))
     fails = F.min(F.when(~F.col("safe"), F.col("at")))
     steps = F.collect_list(F.struct("at", "cutoff"))
     chosen = tested.groupBy("stratum", "rule").agg(fails.alias("stop"), steps.alias("steps"))
