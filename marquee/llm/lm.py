@@ -43,7 +43,7 @@ from marquee.llm.common import WordHashes, bucketed, id_remainder, mixed, small_
 
 CONTEXTS = 1 << 16
 FLUSH_TOKENS = 1_000_000
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 2_000_000
 HOT_SAMPLE = 1_000
 HOT_WORDS = 4_096
 _END = np.uint64(xxhash.xxh64_intdigest(b" end", seed=5))
@@ -340,7 +340,11 @@ def gathered(tokens: DataFrame, shards: int, hot: np.ndarray, model: PitmanYor)
 
 
 def score_shard(frame: pd.DataFrame, state: State, model: PitmanYor) -> pd.DataFrame:
-    """Sums per flush and document over the tokens of a shard."""
+    """Sums per flush and document over the tokens of a shard.
+
+    A shard's share of a text is a few tokens, which single precision holds to
+    seven digits; the shares are added in double precision.
+    """
     shard = Shard(frame)
     rng = np.random.default_rng([int(frame["shard"].iloc[0]), 2])
     learnt = np.flatnonzero(shard.count)
@@ -371,7 +375,7 @@ def score_shard(frame: pd.DataFrame, state: State, model: PitmanYor) -> pd.DataF
     edges = np.searchsorted(flush, np.arange(len(shard.flushes) + 1))
     return pd.DataFrame({
         "flush": shard.flushes,
-        "blob": [_pack(doc[a:b], sums[0][a:b].astype("<u4"), sums[1][a:b], sums[2][a:b])
+        "blob": [_pack(doc[a:b], sums[0][a:b].astype("<u4"), *(s[a:b].astype("<f4") for s in sums[1:]))
                  for a, b in zip(edges[:-1], edges[1:])]})
 
 
@@ -381,7 +385,7 @@ def _summed(frame: pd.DataFrame, train_tokens: int) -> pd.DataFrame:
     ids, known, learnt, lengths = _unpack(frame["blob"][listed].iloc[0], "<i8", "<u1", "<u1", "<i8")
     sums = np.zeros((3, len(ids)))
     for blob in frame["blob"][~listed]:
-        doc, *values = _unpack(blob, "<u4", "<u4", "<f8", "<f8")
+        doc, *values = _unpack(blob, "<u4", "<u4", "<f4", "<f4")
         for total, value in zip(sums, values):
             total[doc] += value  # a document comes once in a blob
     return pd.DataFrame({
