@@ -127,7 +127,11 @@ def state_after(
     state: DataFrame, outcomes: DataFrame, cfg: JobConfig, at_most: int | None = None
 ) -> DataFrame:
     """Failure state after a run: hits deleted, misses upserted, the rest kept."""
-    changes = state_changes(outcomes, cfg)
+    return state_with(state, state_changes(outcomes, cfg), at_most)
+
+
+def state_with(state: DataFrame, changes: DataFrame, at_most: int | None = None) -> DataFrame:
+    """State with one change per key applied."""
     touched = changes.select("key")
     if at_most is not None and at_most <= BROADCAST_KEYS:
         touched = F.broadcast(touched)

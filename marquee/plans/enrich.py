@@ -8,29 +8,22 @@ from pyspark.sql import DataFrame, Row
 
 from marquee.config import JobConfig
 from marquee.operators import incremental
+from marquee.session import materialise
 from marquee.sources.store import Store
 
 
 def run_enrichment(store: Store, responses: DataFrame, cfg: JobConfig) -> Row:
-    """Attempt the next batch, publish the next version, return the counters.
+    """Attempt the next batch, publish its changes, return the counters.
 
-    The outcomes are written once; merge, state and counters all read that
-    table, so responses are looked up and parsed a single time.
+    The outcomes are written once; changes and counters read that table, so
+    responses are looked up and parsed a single time.
     """
-    spark = store.spark
-    dataset, state = store.dataset(), store.state()
-    rows = incremental.with_key(incremental.pending(dataset))
-    decided = incremental.decide(rows, state, cfg)
+    rows = incremental.with_key(store.pending())
+    decided = incremental.decide(rows, store.state(), cfg)
     batch = incremental.next_batch(decided, cfg)
-    path = f"{store.folder(store.version() + 1)}/outcomes"
-    incremental.attempt(batch, responses, cfg.batch_rows).write.mode("overwrite").parquet(path)
-    outcomes = spark.read.parquet(path)
+    outcomes = materialise(incremental.attempt(batch, responses, cfg.batch_rows))
     counters = incremental.run_counters(decided, outcomes, cfg).first()
-    store.publish(
-        incremental.merge_enriched(dataset, outcomes),
-        incremental.state_after(state, outcomes, cfg, cfg.batch_rows),
-        cfg, source="enrich",
-    )
+    store.append(outcomes, cfg, source="enrich")
     return counters
 
 

@@ -1,8 +1,12 @@
 """Versioned dataset and failure state, published by a row in a commit table.
 
-Every publish writes new folders and then appends one commit row, so readers
-see a whole version or the one before it, and nothing is overwritten while it
-is being read. One job at a time writes to a store.
+A version is a whole dataset and state, or the changes of one run on top of the
+version before: what a run costs follows its batch, the stored rows stay where
+they are. Readers join the changes since the last whole version; after
+``COMPACT_AFTER`` of them the next run writes a whole version again. Every
+publish writes new folders and then appends one commit row, so readers see a
+version or the one before it, and nothing is overwritten while it is being
+read. One job at a time writes to a store.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.config import JobConfig
+from marquee.operators import incremental
 from marquee.schemas import DATASET, STATE
 from marquee.sources.datasets import read_or_empty, read_profile, write_profile
 
@@ -24,7 +29,10 @@ _COMMITS = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("source", T.StringType()),
     T.StructField("batch", T.LongType()),
+    T.StructField("base", T.LongType()),
 ])
+# Versions of changes that readers join before a run writes a whole version again.
+COMPACT_AFTER = 32
 
 
 @dataclass(frozen=True)
@@ -52,21 +60,82 @@ class Store:
     def folder(self, version: int) -> str:
         return f"{self.root}/versions/{version:08d}"
 
+    def _span(self) -> tuple[int, list[int]]:
+        """The last whole version, and the versions of changes after it."""
+        last = self._commits().orderBy(F.desc("version")).first()
+        if last is None:
+            return 0, []
+        return last.base, list(range(last.base + 1, last.version + 1))
+
+    def _changes(self, versions: list[int], name: str) -> DataFrame:
+        """Change rows of some versions with their ``version``, from one read of all their folders."""
+        rows = self.spark.read.parquet(*[f"{self.folder(v)}/{name}" for v in versions])
+        return rows.withColumn("version", F.regexp_extract(
+            F.col("_metadata.file_path"), r"/versions/([0-9]+)/", 1).cast("bigint"))
+
+    def _enriched(self, versions: list[int]) -> DataFrame:
+        """Last enriched outcome per row."""
+        hits = self._changes(versions, "outcomes").filter(F.col("outcome") == incremental.ENRICHED)
+        values = F.struct(*[c for c in hits.columns if c not in ("pos", "version")])
+        return hits.groupBy("pos").agg(F.max_by(values, "version").alias("o")).select("pos", "o.*")
+
     def dataset(self) -> DataFrame:
         """Published rows: ``pos`` and the thirteen dataset columns."""
-        return self.spark.read.parquet(f"{self.folder(self.version())}/dataset")
+        base, later = self._span()
+        rows = self.spark.read.parquet(f"{self.folder(base)}/dataset")
+        return incremental.merge_enriched(rows, self._enriched(later)) if later else rows
+
+    def pending(self) -> DataFrame:
+        """Published rows that still lack page fields; the test reaches the scan of the stored rows."""
+        base, later = self._span()
+        rows = incremental.pending(self.spark.read.parquet(f"{self.folder(base)}/dataset"))
+        if not later:
+            return rows
+        return rows.join(self._enriched(later).select("pos"), "pos", "left_anti")
 
     def state(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.folder(self.version())}/state", STATE)
+        base, later = self._span()
+        rows = read_or_empty(self.spark, f"{self.folder(base)}/state", STATE)
+        if not later:
+            return rows
+        changes = self._changes(later, "state_changes")
+        values = F.struct(*[c for c in changes.columns if c not in ("key", "version")])
+        last = changes.groupBy("key").agg(F.max_by(values, "version").alias("o")).select("key", "o.*")
+        return incremental.state_with(rows, last)
 
     def profile(self) -> DataFrame:
         return read_profile(self.spark, f"{self.folder(self.version())}/profile")
 
+    def append(self, outcomes: DataFrame, cfg: JobConfig, source: str, batch: int = 0) -> int:
+        """Publish the changes of one run: its outcomes and what they do to the state."""
+        base, later = self._span()
+        if len(later) >= COMPACT_AFTER:
+            return self.publish(
+                incremental.merge_enriched(self.dataset(), outcomes),
+                incremental.state_after(self.state(), outcomes, cfg), cfg, source, batch)
+        version = self.version() + 1
+        folder = self.folder(version)
+        outcomes.write.mode("overwrite").parquet(f"{folder}/outcomes")
+        written = self.spark.read.parquet(f"{folder}/outcomes")
+        incremental.state_changes(written, cfg).write.mode("overwrite").parquet(
+            f"{folder}/state_changes")
+        rows = incremental.merge_enriched(self.dataset(), written)
+        write_profile(rows, cfg, f"{folder}/profile")
+        self._commit(version, source, batch, base)
+        return version
+
+    def _commit(self, version: int, source: str, batch: int, base: int) -> None:
+        row = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"), F.lit(source).alias("source"),
+            F.lit(batch).cast("bigint").alias("batch"), F.lit(base).cast("bigint").alias("base"),
+        )
+        row.write.mode("append").parquet(f"{self.root}/commits")
+
     def publish(
         self, dataset: DataFrame, state: DataFrame, cfg: JobConfig,
         source: str = "import", batch: int = 0,
     ) -> int:
-        """Write the next version, its profile, then the commit row.
+        """Write the next version as a whole, its profile, then the commit row.
 
         A failed attempt leaves folders without a commit row; the next publish
         writes over them.
@@ -77,9 +146,5 @@ class Store:
         dataset.select("pos", *typed).write.mode("overwrite").parquet(f"{folder}/dataset")
         state.select(*STATE.names).write.mode("overwrite").parquet(f"{folder}/state")
         write_profile(self.spark.read.parquet(f"{folder}/dataset"), cfg, f"{folder}/profile")
-        row = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.lit(source).alias("source"),
-            F.lit(batch).cast("bigint").alias("batch"),
-        )
-        row.write.mode("append").parquet(f"{self.root}/commits")
+        self._commit(version, source, batch, version)
         return version

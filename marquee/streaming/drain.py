@@ -76,7 +76,7 @@ class Drain:
         parsed_responses(responses).write.mode("overwrite").parquet(parsed_path)
         parsed = one_per_key(spark.read.parquet(parsed_path))
 
-        rows = incremental.with_key(incremental.pending(self.store.dataset()))
+        rows = incremental.with_key(self.store.pending())
         asked = keep_keys(with_lookup_key(rows), parsed, "lookup_key")
         decided = incremental.decide(asked, self.store.state(), self.cfg)
         todo = incremental.next_batch(decided, replace(self.cfg, batch_rows=None))
@@ -87,16 +87,13 @@ class Drain:
             f"{self.folder}/outcomes/batch={batch}")
 
     def merge(self) -> int:
-        """Publish the dataset and state with every outcome so far."""
+        """Publish every outcome so far as one set of changes."""
         outcomes = materialise(self.outcomes())
         last = outcomes.agg(F.max("batch")).first()[0]
         if last is None:
             return self.store.version()
-        return self.store.publish(
-            incremental.merge_enriched(self.store.dataset(), outcomes),
-            incremental.state_after(self.store.state(), outcomes, self.cfg),
-            self.cfg, source=self.source, batch=last,
-        )
+        changes = outcomes.drop("batch", "answer")
+        return self.store.append(changes, self.cfg, source=self.source, batch=last)
 
     def run_stream(self, bodies: DataFrame) -> int:
         """Process a (name, body) stream as far as it goes now, merge, return the version."""

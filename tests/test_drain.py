@@ -1,6 +1,7 @@
 """Drains give one result however stored answers arrive; names and bases stay apart."""
 
 import json
+import os
 import unicodedata
 from dataclasses import replace
 
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 from test_sources import CFG, answers, body, snapshot, start_store, write_json
 
 from marquee.operators import candidates, pages
-from marquee.plans.enrich import drain
+from marquee.plans.enrich import drain, run_enrichment
 from marquee.sources import catalogue
 from marquee.sources import responses as stored
+from marquee.sources import store as store_module
 from marquee.streaming.drain import Drain
 
 NAME = "wiki_combined_8_Title_{}_1990_film.json"
@@ -81,6 +83,25 @@ def test_a_new_dataset_meets_the_stored_answers_again(spark, tmp_path):
     assert snapshot(store) == first
 
 
+def test_runs_leave_the_stored_rows_where_they_are(spark, tmp_path, monkeypatch):
+    folder = answers(str(tmp_path / "cache"))
+    table = stored.combined_responses(stored.read_bodies(spark, folder), 8)
+    store = start_store(spark, tmp_path / "s")
+    before = sorted(os.listdir(f"{store.folder(1)}/dataset"))
+    for _ in range(2):
+        run_enrichment(store, table, CFG)
+    assert sorted(os.listdir(f"{store.folder(1)}/dataset")) == before
+    assert not any(os.path.exists(f"{store.folder(v)}/{n}") for v in (2, 3) for n in ("dataset", "state"))
+    joined, n = snapshot(store), store.profile().first().wikipedia_enriched_count
+    # After enough changes a run writes a whole version, which reads the same.
+    monkeypatch.setattr(store_module, "COMPACT_AFTER", 2)
+    run_enrichment(store, table, CFG)
+    assert os.path.exists(f"{store.folder(4)}/dataset") and store.version() == 4
+    assert snapshot(store) == joined and store.profile().first().wikipedia_enriched_count == n
+    assert sorted(r.pos for r in store.pending().collect()) == sorted(
+        r[0] for r in joined[0] if not (r[8] or r[9] or r[13]))
+
+
 def test_one_row_per_row_asked(spark):
     rows = spark.createDataFrame([("t1", "M", 1931), ("t2", "N", 1932)],
                                  "tconst string, primaryTitle string, startYear int")
