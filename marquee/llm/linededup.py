@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import materialise
+
 RUN = 2
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -57,9 +59,11 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     """(doc_id, digest, lines, n_runs): the line indexes to delete of each document that has any."""
     runs = runs_of(docs, run)
     # The fingerprint's own place is the same for all runs that contain it.
-    recurring = (runs.groupBy("fingerprint")
-                 .agg(F.min("place").alias("a"), F.max("place").alias("b"))
-                 .where("a != b").select("fingerprint"))
+    # Written, so that the join below is one of two plain shuffles, whose skewed
+    # partitions can be split.
+    recurring = materialise(
+        runs.groupBy("fingerprint").agg(F.min("place").alias("a"), F.max("place").alias("b"))
+        .where("a != b").select("fingerprint"))
     met = runs.join(recurring, "fingerprint", "left_semi")
     first = (met.groupBy("fingerprint", "run_digest")
              .agg(F.min("place").alias("first"), F.max("place").alias("last"))
