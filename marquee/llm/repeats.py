@@ -200,7 +200,7 @@ def recurring(docs: DataFrame, kind: Kind, least_hot: int = LEAST_HOT) -> Recurr
     bitmap = np.zeros(1 << max(0, bits - 3), np.uint8)
     hot, segments = [], 0
     span = 1 << (bits - part_bits - 3)
-    for row in settled.toLocalIterator():
+    for row in settled.collect():
         bitmap[row.part * span:(row.part + 1) * span] = np.frombuffer(row.bitmap, np.uint8)
         hot.append(np.frombuffer(row.hot, "<u8"))
         segments += row.segments
