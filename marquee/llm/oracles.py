@@ -96,9 +96,60 @@ select doc_id, count(words.p) as n_words, count(gone.p) as n_removed,
   sha256(coalesce(string_agg(x, ' ' order by p) filter (where gone.p is null), '')) as kept_sha256
 from d left join words using (doc_id) left join gone using (doc_id, p) group by doc_id"""
 
+
+
+def _templates(depth: int, wide: int) -> str:
+    """One expression per level: a segment, or a wildcard under a wide parent."""
+    out = []
+    for level in range(1, depth + 1):
+        segment = f"regexp_replace(segments[{level}], '[0-9]+', '{{n}}', 'g')"
+        out.append(f"""t{level} as (select * replace (case when segments[{level}] is null then t
+      else t || '/' || case when count(distinct {segment}) over (partition by host, t) > {wide}
+        then '{{*}}' else {segment} end end as t) from t{level - 1})""")
+    return ",\n".join(out)
+
+
+URLS = f"""with cut as (select page_id, case when contains(url, '://')
+    then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+hosts as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from cut),
+parts as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path from hosts),
+rules(verdict, over, prefix) as (values ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+ruled as (select parts.*, r.rule, r.label from parts left join (
+    select page_id, max_by(over || prefix, length(over || prefix)) as rule,
+      max_by(verdict, length(over || prefix)) as label
+    from parts join rules on (host = over or ends_with(host, '.' || over)) and starts_with(path, prefix)
+    group by page_id) r using (page_id)),
+t0 as (select host, path, '' as t, string_split(regexp_replace(path, '^/', ''), '/') as segments,
+    count(*) filter (where label = 'allow') as good, count(*) filter (where label = 'block') as bad
+  from ruled group by host, path),
+{_templates(6, 50)},
+placed as (select host, path, good, bad,
+  case when len(segments) > 6 then t || '/{{**}}' else t end as template from t6),
+sums as (select host, template, regexp_replace(template, '^/[^/]*', '/{{+}}') as branch,
+  sum(good) as good, sum(bad) as bad from placed group by host, template),
+pools as (select *, sum(good) over b as pool_good, sum(bad) over b as pool_bad from sums
+  window b as (partition by host, branch)),
+shares as (select *, pool_good / greatest(pool_good + pool_bad, 1) as share from pools),
+alike as (select *, good + bad > 0 and abs(good / greatest(good + bad, 1) - share)
+    <= 1.96 * sqrt(share * (1 - share) / greatest(good + bad, 1)) as same from shares),
+merged as (select host, template,
+  case when same then sum(good) filter (where same) over b else good end as good,
+  case when same then sum(bad) filter (where same) over b else bad end as bad
+  from alike window b as (partition by host, branch)),
+overall as (select (sum(good) + 1.0::double) / ((sum(good) + 1.0::double) + (sum(bad) + 1.0::double)) as prior
+  from placed),
+pure as (select host, template, (good + 20.0::double * prior) / (good + bad + 20.0::double) as purity
+  from merged, overall)
+select page_id, host, path, rule, coalesce(label, case when purity < 0.5::double * prior then 'block'
+  else 'allow' end) as verdict, template, purity
+from ruled join placed using (host, path) join pure using (host, template), overall"""
+
 ORACLES = {
     "op1_quality_rules": QUALITY,
     "op4_line_dedup": LINES,
     "op6_decontamination": DECONTAMINATION,
     "op7_phrase_automata": PHRASES,
+    "op8_url_filter": URLS,
 }
