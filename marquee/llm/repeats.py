@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from marquee.llm.common import mixed, small_batches
 
 HOT_ANCHORS = 50_000
-LEAST_HOT = 2_000
+LEAST_HOT = 20_000
 SHARD_SEGMENTS = 60_000
 MOST_BITS = 29
 FLUSH_ANCHORS = 600_000
