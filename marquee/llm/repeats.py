@@ -40,7 +40,7 @@ LEAST_HOT = 20_000
 SHARD_SEGMENTS = 60_000
 MOST_BITS = 29
 FLUSH_ANCHORS = 600_000
-FLUSH_SEGMENTS = 100_000
+FLUSH_SEGMENTS = 200_000
 NO_ID = -(1 << 63)
 
 
@@ -231,7 +231,7 @@ def unpack_rows(docs: np.ndarray, digests: np.ndarray, at: np.ndarray,
 def pack(arrays: list[np.ndarray], rest: bytes) -> bytes:
     """Arrays and bytes as one compressed blob."""
     head = np.array([len(a) for a in arrays], "<i8")
-    return zstandard.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays) + rest, 3)
+    return zstandard.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays) + rest, 6)
 
 
 def unpack(blob: bytes, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:
