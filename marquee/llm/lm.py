@@ -1,21 +1,24 @@
 """Language-model scores under a hierarchical Pitman-Yor model.
 
-Every context, the word before, has a restaurant; contexts are hashed into
-2**16 of them. All share the word restaurant as parent, and that one the uniform
-distribution over the known words and one unknown. Chinese-restaurant seating
-is sampled by Gibbs sweeps: a sweep takes a word's customers in a context away
-and seats them again one after the other, each at a new table with the
-probability that the other tables' state gives. (Beyond the 64th customer of
-the same word they come in groups of a sixteenth, under one probability.) A
-text's score is the sum over its tokens of log10 of the predictive
-probability, averaged over samples.
+Every context, the word before, has a restaurant of its own. All share the word
+restaurant as parent, and that one the uniform distribution over the known
+words and one unknown. Chinese-restaurant seating is sampled by Gibbs sweeps: a
+sweep takes a word's customers in a context away and seats them again one after
+the other, each at a new table with the probability that the other tables'
+state gives. (Beyond the 64th customer of the same word they come in groups of
+a sixteenth, under one probability.) All pairs of word and context are seated
+side by side from the state after the sweep before, whose tables are summed per
+context and per word after every sweep; draws depend on word, context and sweep
+alone. A text's score is the sum over its tokens of log10 of the predictive
+probability, averaged over the states after the last sweeps.
 
 Tokens travel once, packed, to shards by word, so that a shard sees all
 contexts of its words. Frequent words, chosen on a bounded sample of documents,
-are spread by (word, context) instead; the choice moves work, not results. What
-is shared by all shards is bounded: tables and customers per restaurant, and
-totals of the frequent words. Sums per document come back packed by the flush
-that sent its tokens.
+are spread by (word, context) instead; the number of shards and that choice
+move work, not results. Contexts are owned by slices: shards send customers and
+tables per context there and get the sums back. A pair of one customer always
+has one table, so that a sweep sends pairs of several customers only. Sums per
+document come back packed by the flush that sent its tokens.
 
 Defined results: null and empty texts are their end token alone; a null doc_id
 is learnt from (its remainder counts as that of empty text); repeated rows are
@@ -40,8 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import WordHashes, bucketed, id_remainder, mixed, small_batches, texts_of
+from marquee.session import materialise
 
-CONTEXTS = 1 << 16
 FLUSH_TOKENS = 1_000_000
 SHARD_TOKENS = 2_000_000
 HOT_SAMPLE = 1_000
@@ -69,9 +72,8 @@ def tokens_of(text: bytes) -> np.ndarray:
 
 
 def contexts_of(tokens: np.ndarray) -> np.ndarray:
-    """Restaurant of each token: that of the token before it."""
-    before = np.concatenate([[_START], tokens[:-1]])
-    return (mixed(before) >> np.uint64(48)).astype(np.uint16)
+    """Restaurant of each token: the whole hash of the token before it."""
+    return np.concatenate([np.array([_START], np.uint64), tokens[:-1]])
 
 
 def frequent(docs: DataFrame, sample: int, share: float) -> np.ndarray:
@@ -100,17 +102,20 @@ def frequent(docs: DataFrame, sample: int, share: float) -> np.ndarray:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays by byte planes, so that high bytes of small values vanish."""
     head = np.array([len(a) for a in arrays], "<i8")
-    return zstandard.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays), 1)
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.compress(head.tobytes() + b"".join(planes), 1)
 
 
 def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     raw = zstandard.decompress(blob)
-    sizes = np.frombuffer(raw, "<i8", len(kinds))
     at, out = 8 * len(kinds), []
-    for kind, size in zip(kinds, sizes.tolist()):
-        out.append(np.frombuffer(raw, kind, size, at))
-        at += out[-1].nbytes
+    for kind, size in zip(kinds, np.frombuffer(raw, "<i8", len(kinds)).tolist()):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += size * width
     return out
 
 
@@ -141,7 +146,7 @@ def dealt(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
             if len(often):
                 at = np.minimum(np.searchsorted(often, w), len(often) - 1)
                 is_hot = often[at] == w
-                spread[is_hot] ^= mixed(k[is_hot].astype(np.uint64) + np.uint64(1))
+                spread[is_hot] ^= mixed(k[is_hot] + np.uint64(1))
             shard = (mixed(spread) % np.uint64(shards)).astype(np.int32)
             order = np.lexsort((k, w, shard))
             w, k, doc, shard = w[order], k[order], doc[order], shard[order]
@@ -152,7 +157,9 @@ def dealt(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                 if a < b:
                     new = np.flatnonzero(np.concatenate([[True], w[a + 1:b] != w[a:b - 1]]))
                     counts = np.diff(np.append(new, b - a)).astype("<u4")
-                    rows.append((s, flush, _pack(w[a:b][new], counts, k[a:b], doc[a:b])))
+                    before, place = np.unique(k[a:b], return_inverse=True)
+                    rows.append((s, flush, _pack(w[a:b][new], counts, before,
+                                                 place.astype("<u4"), doc[a:b])))
             known = np.array([i is not None for i in ids], np.uint8)
             rows.append((-1, flush, _pack(np.array([i or 0 for i in ids], "<i8"), known,
                                           learnt.astype(np.uint8), lengths)))
@@ -186,23 +193,40 @@ class Shard:
     """All tokens of a shard's words, reduced to (word, context) pairs."""
 
     def __init__(self, frame: pd.DataFrame):
-        parts = [_unpack(b, "<u8", "<u4", "<u2", "<u4") for b in frame["blob"]]
+        parts = [_unpack(b, "<u8", "<u4", "<u8", "<u4", "<u4") for b in frame["blob"]]
         self.flushes = frame["flush"].to_numpy()
-        sizes = [len(p[2]) for p in parts]
+        sizes = [len(p[4]) for p in parts]
         self.words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         word = np.repeat(at, np.concatenate([p[1] for p in parts])).astype(np.uint64)
-        context = np.concatenate([p[2] for p in parts])
-        doc = np.concatenate([p[3] for p in parts])
+        self.contexts, at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        first = np.cumsum([0] + [len(p[2]) for p in parts])
+        context = at[np.concatenate([p[3] + f for p, f in zip(parts, first)])].astype(np.uint64)
+        doc = np.concatenate([p[4] for p in parts])
         self.flush = np.repeat(np.arange(len(parts)), sizes)
         self.doc, learn = doc >> 1, (doc & 1).astype(bool)
-        pair, self.pair = np.unique(word << np.uint64(16) | context, return_inverse=True)
-        self.word, self.context = (pair >> np.uint64(16)).astype(np.int64), (pair & np.uint64(0xFFFF)).astype(np.int64)
+        pair, self.pair = np.unique(word << np.uint64(32) | context, return_inverse=True)
+        self.word = (pair >> np.uint64(32)).astype(np.int64)
+        self.context = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
         self.count = np.bincount(self.pair[learn], minlength=len(pair))
         self.total = np.bincount(self.word, self.count, len(self.words))
 
 
+class Dice:
+    """Draws that depend on a key, the sweep and the customer alone."""
+
+    def __init__(self, keys: np.ndarray, sweep: int):
+        self.keys = mixed(keys ^ mixed(np.array([sweep + 1], np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+    def binomial(self, which: np.ndarray, j: int, sizes: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        """Successes among customers j, j + 1, ... of the ``which`` keys, ``sizes`` of each."""
+        steps = np.arange(sizes.max(), dtype=np.uint64)
+        draws = mixed(self.keys[which][:, None] + (steps + np.uint64(j)) * np.uint64(0x9E3779B97F4A7C15))
+        hit = (draws >> np.uint64(11)) * 2.0 ** -53 < chance[:, None]
+        return (hit & (steps < sizes[:, None])).sum(1)
+
+
 def seat(count: np.ndarray, pull: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float,
-         strength: float, rng: np.random.Generator) -> np.ndarray:
+         strength: float, rng: np.random.Generator | Dice) -> np.ndarray:
     """Tables of each dish after its ``count`` customers sat down one after the other.
 
     ``others`` tables of the restaurant serve other dishes; ``base`` is the
@@ -216,10 +240,9 @@ def seat(count: np.ndarray, pull: np.ndarray, others: np.ndarray, base: np.ndarr
         fresh = (strength + discount * (others[open_] + t)) * base[open_]
         chance = fresh / (fresh + np.maximum(j - discount * t, 1e-12))
         step = 1 if j < 64 else j // 16
-        if step == 1:
-            tables[open_] += rng.random(len(open_)) < chance
-        else:
-            tables[open_] += rng.binomial(np.minimum(step, count[open_] - j), chance)
+        sizes = np.minimum(step, count[open_] - j)
+        tables[open_] += (rng.binomial(open_, j, sizes, chance) if isinstance(rng, Dice)
+                          else rng.binomial(sizes, chance))
         j += step
         open_ = open_[count[open_] > j]
     return tables
@@ -227,12 +250,11 @@ def seat(count: np.ndarray, pull: np.ndarray, others: np.ndarray, base: np.ndarr
 
 @dataclass
 class State:
-    """What all shards share: per restaurant, per frequent word, and in all."""
+    """What all shards share of the seating after a sweep: the word restaurant."""
 
-    tables: np.ndarray
-    customers: np.ndarray
     hot_words: np.ndarray
     hot_counts: np.ndarray
+    hot_served: np.ndarray
     hot_tables: np.ndarray
     tokens: int
     types: int
@@ -248,22 +270,13 @@ def word_base(served: np.ndarray, tables: np.ndarray, state: State, model: Pitma
             / (s + state.word_customers))
 
 
-def word_tables(served: np.ndarray, state: State, model: PitmanYor,
-                rng: np.random.Generator) -> np.ndarray:
-    """Tables of the word restaurant; its customers are the contexts' tables."""
+def word_tables(words: np.ndarray, served: np.ndarray, tables: np.ndarray, state: State,
+                model: PitmanYor, sweep: int) -> np.ndarray:
+    """Tables of the word restaurant, ``tables`` before; its customers are the contexts' tables."""
     uniform = np.full(len(served), 1.0 / (state.types + 1))
-    others = np.full(len(served), max(0.0, state.word_tables - 1))
+    others = np.maximum(state.word_tables - tables, 0.0)
     return seat(served.astype(np.int64), np.arange(len(served)), others, uniform,
-                model.word_discount, model.word_strength, rng)
-
-
-def _served(shard: Shard, tables: np.ndarray, hot_at: np.ndarray, is_hot: np.ndarray,
-            state: State) -> np.ndarray:
-    """Context tables per word of the shard; of a frequent word those of all shards."""
-    served = np.bincount(shard.word, tables, len(shard.words))
-    if is_hot.any():
-        served[is_hot] = state.hot_tables[hot_at[is_hot]]
-    return served
+                model.word_discount, model.word_strength, Dice(words, sweep))
 
 
 def _hot_places(words: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,98 +286,211 @@ def _hot_places(words: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, hot[at] == words
 
 
-CHUNK = 4096
+# Rows that shards and slices exchange; peer is the slice, or the sweep of a seating.
+MAIL = "kind string, shard int, peer int, blob binary"
+_DISHES = ("<u8", "<u4", "<u4", "<u4", "<u4", "<u8")
 
 
-def first_sweep(frame: pd.DataFrame, shards: int, hot: np.ndarray, model: PitmanYor) -> pd.DataFrame:
-    """Seat a shard alone, its share scaled up; rows to be summed over all shards.
+def _mail(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["kind", "shard", "peer", "blob"])
 
-    Chunks 0.. hold customers and tables per restaurant, chunk -1 the totals,
-    chunk -2 the frequent words.
-    """
+
+def _by_slice(contexts: np.ndarray, slices: int) -> list[tuple[int, np.ndarray]]:
+    """(slice, indexes of its contexts), in the order of ``contexts``."""
+    owner = (mixed(contexts) % np.uint64(slices)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    edges = np.searchsorted(owner[order], np.arange(slices + 1))
+    return [(s, order[a:b]) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+
+
+def _spread_back(news: pd.DataFrame, kind: str, contexts: np.ndarray, slices: int, peers: int = 1) -> np.ndarray:
+    """Answers of all slices, ``peers`` arrays each, in the order of ``contexts``."""
+    out = np.zeros((peers, len(contexts)), np.int64)
+    mine = news[news["kind"] == kind]
+    blobs = dict(zip(mine["peer"], mine["blob"]))
+    for s, at in _by_slice(contexts, slices):
+        out[:, at] = _unpack(blobs[s], *["<u4"] * peers)
+    return out
+
+
+def _totals(shard: int, values: list, hot: np.ndarray, hot_at: np.ndarray, served: np.ndarray,
+            counts: np.ndarray) -> tuple:
+    often = np.zeros((2, len(hot)))
+    np.add.at(often[0], hot_at, counts)
+    np.add.at(often[1], hot_at, served)
+    return ("totals", shard, 0, np.concatenate([values, often.ravel()]).astype("<f8").tobytes())
+
+
+def first_seats(frame: pd.DataFrame, slices: int, hot: np.ndarray) -> pd.DataFrame:
+    """A shard's mail with one table per pair: its pairs of several customers, its
+    contexts' customers and tables, and its totals."""
+    number = int(frame["shard"].iloc[0])
     shard = Shard(frame)
-    rng = np.random.default_rng([int(frame["shard"].iloc[0]), 1])
-    learnt = np.flatnonzero(shard.count)
-    tables = np.minimum(shard.count, 1)
-    local = np.bincount(shard.context, tables, CONTEXTS) * shards
-    tokens, types = float(shard.count.sum()) * shards, float((shard.total > 0).sum()) * shards
-    served = np.bincount(shard.word, tables, len(shard.words))
+    learnt = np.minimum(shard.count, 1)
+    served = np.bincount(shard.word, learnt, len(shard.words))
+    many = np.flatnonzero(shard.count > 1)
+    inner = np.zeros(len(shard.contexts), np.uint8)
+    inner[shard.context[many]] = 1
+    known = served > 0
+    word_at, context_at = np.cumsum(known) - 1, np.cumsum(inner) - 1
+    rows = [("dishes", number, 0, _pack(
+        shard.words[known], served[known].astype("<u4"), word_at[shard.word[many]].astype("<u4"),
+        context_at[shard.context[many]].astype("<u4"), shard.count[many].astype("<u4"),
+        shard.contexts[inner > 0]))]
+    customers = np.bincount(shard.context, shard.count, len(shard.contexts)).astype("<u4")
+    tables = np.bincount(shard.context, learnt, len(shard.contexts)).astype("<u4")
+    for s, at in _by_slice(shard.contexts, slices):
+        rows.append(("room", number, s, _pack(shard.contexts[at], customers[at], tables[at], inner[at])))
     hot_at, is_hot = _hot_places(shard.words, hot)
-    guess = State(local, local, hot, np.zeros(len(hot)), np.zeros(len(hot)), int(tokens),
-                  int(types) + len(hot), float(served.sum()) * shards, types)
-    guessed = served * np.where(is_hot, shards, 1)
-    base = word_base(guessed, np.minimum(guessed, 1), guess, model)
-    tables = seat(shard.count, learnt, np.maximum(local[shard.context] - tables, 0),
-                  base[shard.word], model.discount, model.strength, rng)
-    served = np.bincount(shard.word, tables, len(shard.words))
-    cold = ~is_hot
-    own = word_tables(served[cold], guess, model, rng)
-    customers = np.bincount(shard.context, shard.count, CONTEXTS)
-    seated = np.bincount(shard.context, tables, CONTEXTS)
-    rows = [(i, np.concatenate([customers[i * CHUNK:(i + 1) * CHUNK],
-                                seated[i * CHUNK:(i + 1) * CHUNK]])) for i in range(CONTEXTS // CHUNK)]
-    rows.append((-1, np.array([shard.count.sum(), (shard.total[cold] > 0).sum(), served.sum(), own.sum()])))
-    often = np.zeros((2, len(hot)))
-    np.add.at(often[0], hot_at[is_hot], shard.total[is_hot])
-    np.add.at(often[1], hot_at[is_hot], served[is_hot])
-    rows.append((-2, often.ravel()))
-    return pd.DataFrame({"chunk": [r[0] for r in rows],
-                         "sums": [r[1].astype("<f8").tobytes() for r in rows]})
-
-
-def _added(frame: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(s, "<f8") for s in frame["sums"])
-    return pd.DataFrame({"chunk": [frame["chunk"].iloc[0]], "sums": [total.tobytes()]})
-
-
-def gathered(tokens: DataFrame, shards: int, hot: np.ndarray, model: PitmanYor) -> State:
-    """State after the first sweep, summed over shards."""
-    sums = (tokens.where("shard >= 0").groupBy("shard")
-            .applyInPandas(lambda f: first_sweep(f, shards, hot, model), "chunk int, sums binary")
-            .groupBy("chunk").applyInPandas(_added, "chunk int, sums binary").collect())
-    tables, customers = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    totals, often = np.zeros(4), np.zeros(2 * len(hot))
-    for row in sums:
-        values = np.frombuffer(row.sums, "<f8")
-        if row.chunk == -1:
-            totals = values
-        elif row.chunk == -2:
-            often = values
-        else:
-            at = slice(row.chunk * CHUNK, (row.chunk + 1) * CHUNK)
-            customers[at], tables[at] = values[:CHUNK], values[CHUNK:]
-    counts, served = often[:len(hot)], often[len(hot):]
-    known = int((counts > 0).sum())
-    return State(tables, customers, hot, counts, served, int(totals[0]), int(totals[1]) + known,
-                 totals[2], totals[3] + known)
-
-
-def score_shard(frame: pd.DataFrame, state: State, model: PitmanYor) -> pd.DataFrame:
+    cold = known & ~is_hot
+    rows.append(_totals(number, [shard.count.sum(), cold.sum(), served.sum(), cold.sum()], hot,
+                        hot_at[is_hot], served[is_hot], shard.total[is_hot]))
+    return _mail(rows)
+
+
+def next_seats(dishes: pd.DataFrame, news: pd.DataFrame, slices: int, sweep: int, state: State,
+               model: PitmanYor) -> pd.DataFrame:
+    """One sweep over a shard, from the state after the sweep before."""
+    if not len(dishes):
+        return _mail([])
+    number = int(dishes["shard"].iloc[0])
+    words, fixed, word, context, count, contexts = _unpack(dishes["blob"].iloc[0], *_DISHES)
+    count = count.astype(np.int64)
+    room = _spread_back(news, "answer0", contexts, slices)[0]
+    tables, own = np.ones(len(count), np.int64), np.ones(len(words), np.int64)
+    if sweep:
+        room = room + _spread_back(news, "answer", contexts, slices)[0]
+        tables, own = _seating(news, sweep - 1)
+    hot_at, is_hot = _hot_places(words, state.hot_words)
+    served = _served(words, fixed, word, tables, hot_at, is_hot, state)
+    base = word_base(served, _own(own, hot_at, is_hot, state), state, model)
+    dice = Dice(words[word] ^ mixed(contexts[context] + np.uint64(1)), sweep)
+    tables = seat(count, np.arange(len(count)), np.maximum(room[context] - tables, 0), base[word],
+                  model.discount, model.strength, dice)
+    mine = fixed + np.bincount(word, tables - 1, len(words))
+    own = np.where(is_hot, 0, word_tables(words, np.where(is_hot, 0, mine), own, state, model, sweep))
+    rows = [("seats", number, sweep, _pack(tables.astype("<u4"), own.astype("<u4")))]
+    extra = np.bincount(context, tables - 1, len(contexts)).astype("<u4")
+    for s, at in _by_slice(contexts, slices):
+        rows.append(("extra", number, s, _pack(contexts[at], extra[at])))
+    rows.append(_totals(number, [0, 0, mine.sum(), own.sum()], state.hot_words, hot_at[is_hot],
+                        mine[is_hot], np.zeros(int(is_hot.sum()))))
+    return _mail(rows)
+
+
+def _seating(news: pd.DataFrame, sweep: int) -> list[np.ndarray]:
+    held = news[(news["kind"] == "seats") & (news["peer"] == sweep)]["blob"].iloc[0]
+    return [a.astype(np.int64) for a in _unpack(held, "<u4", "<u4")]
+
+
+def _served(words: np.ndarray, fixed: np.ndarray, word: np.ndarray, tables: np.ndarray,
+            hot_at: np.ndarray, is_hot: np.ndarray, state: State) -> np.ndarray:
+    """Context tables per word of the shard; of a frequent word those of all shards."""
+    served = fixed + np.bincount(word, tables - 1, len(words))
+    if is_hot.any():
+        served[is_hot] = state.hot_served[hot_at[is_hot]]
+    return served
+
+
+def _own(own: np.ndarray, hot_at: np.ndarray, is_hot: np.ndarray, state: State) -> np.ndarray:
+    own = own.copy()
+    if is_hot.any():
+        own[is_hot] = state.hot_tables[hot_at[is_hot]]
+    return own
+
+
+def _sums(contexts: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts, sorted, and the sums of their values."""
+    if not contexts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    known, at = np.unique(np.concatenate(contexts), return_inverse=True)
+    return known, np.bincount(at, np.concatenate(values), len(known)).astype(np.int64)
+
+
+def _found(wanted: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(wanted), "<u4")
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, values[at], 0).astype("<u4")
+
+
+def answered(frame: pd.DataFrame) -> pd.DataFrame:
+    """A slice's answers to the shards that sent it contexts of several customers:
+    tables at first, or those that a sweep added."""
+    number, rows = int(frame["peer"].iloc[0]), []
+    if frame["kind"].iloc[0] == "room":
+        mail = [_unpack(b, "<u8", "<u4", "<u4", "<u1") for b in frame["blob"]]
+        sums = _sums([m[0] for m in mail], [m[2] for m in mail])
+        mail = [(m[0][m[3] > 0],) for m in mail]
+        kind = "answer0"
+    else:
+        mail = [_unpack(b, "<u8", "<u4") for b in frame["blob"]]
+        sums = _sums([m[0] for m in mail], [m[1] for m in mail])
+        kind = "answer"
+    for shard, m in zip(frame["shard"], mail):
+        if len(m[0]):
+            rows.append((kind, shard, number, _pack(_found(m[0], *sums))))
+    return _mail(rows)
+
+
+def last_answers(rooms: pd.DataFrame, extras: pd.DataFrame, sweeps: list[int]) -> pd.DataFrame:
+    """A slice's answers to all shards: customers, and tables after each of ``sweeps``."""
+    if not len(rooms):
+        return _mail([])
+    mail = [_unpack(b, "<u8", "<u4", "<u4", "<u1") for b in rooms["blob"]]
+    contexts, customers = _sums([m[0] for m in mail], [m[1] for m in mail])
+    tables = _sums([m[0] for m in mail], [m[2] for m in mail])[1]
+    values = [customers]
+    for sweep in sweeps:
+        more = [_unpack(b, "<u8", "<u4") for b in extras[extras["sweep"] == sweep]["blob"]]
+        values.append(tables + _found(contexts, *_sums([m[0] for m in more], [m[1] for m in more])))
+    number = int(rooms["peer"].iloc[0])
+    return _mail([("last", shard, number, _pack(*(_found(m[0], contexts, v) for v in values)))
+                  for shard, m in zip(rooms["shard"], mail)])
+
+
+def probabilities(shard: Shard, news: pd.DataFrame, slices: int, states: dict[int, State],
+                  model: PitmanYor) -> np.ndarray:
+    """Predictive probability of each pair, averaged over the states after some sweeps."""
+    customers, *rooms = _spread_back(news, "last", shard.contexts, slices, 1 + len(states))
+    learnt = np.minimum(shard.count, 1)
+    fixed = np.bincount(shard.word, learnt, len(shard.words))
+    many, known = np.flatnonzero(shard.count > 1), fixed > 0
+    mean = np.zeros(len(shard.count))
+    for room, (sweep, state) in zip(rooms, states.items()):
+        hot_at, is_hot = _hot_places(shard.words, state.hot_words)
+        tables, own = learnt.copy(), np.zeros(len(shard.words), np.int64)
+        tables[many], own[known] = _seating(news, sweep)
+        served = _served(shard.words, fixed, shard.word[many], tables[many], hot_at, is_hot, state)
+        base = word_base(served, _own(own, hot_at, is_hot, state), state, model)[shard.word]
+        mean += ((shard.count - model.discount * tables
+                  + (model.strength + model.discount * room[shard.context]) * base)
+                 / (model.strength + customers[shard.context]))
+    return mean / len(states)
+
+
+def pair_rows(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: dict[int, State],
+              model: PitmanYor) -> pd.DataFrame:
+    """word, context, probability of a shard's pairs, held-out ones too."""
+    shard = Shard(frame)
+    return pd.DataFrame({"word": shard.words.view(np.int64)[shard.word],
+                         "context": shard.contexts.view(np.int64)[shard.context],
+                         "probability": probabilities(shard, news, slices, states, model)})
+
+
+def score_shard(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: dict[int, State],
+                model: PitmanYor) -> pd.DataFrame:
     """Sums per flush and document over the tokens of a shard.
 
     A shard's share of a text is a few tokens, which single precision holds to
     seven digits; the shares are added in double precision.
     """
     shard = Shard(frame)
-    rng = np.random.default_rng([int(frame["shard"].iloc[0]), 2])
-    learnt = np.flatnonzero(shard.count)
+    state = next(iter(states.values()))
     hot_at, is_hot = _hot_places(shard.words, state.hot_words)
     total = shard.total.copy()
     total[is_hot] = state.hot_counts[hot_at[is_hot]]
-    tables = np.minimum(shard.count, 1)
-    room = state.tables[shard.context]
-    mean = np.zeros(len(shard.count))
-    for sweep in range(model.burn_in + model.samples):
-        served = _served(shard, tables, hot_at, is_hot, state)
-        own = word_tables(served, state, model, rng)
-        base = word_base(served, own, state, model)[shard.word]
-        tables = seat(shard.count, learnt, np.maximum(room - tables, 0), base, model.discount,
-                      model.strength, rng)
-        if sweep >= model.burn_in:
-            seated = np.maximum(shard.count - model.discount * tables, 0.0)
-            mean += ((seated + (model.strength + model.discount * room) * base)
-                     / (model.strength + state.customers[shard.context]))
-    score = np.log10(mean / model.samples)[shard.pair]
+    score = np.log10(probabilities(shard, news, slices, states, model))[shard.pair]
     plain = np.log10((total + 1) / (state.tokens + state.types + 1))
     base_score = plain[shard.word][shard.pair]
     known = (total > 0)[shard.word][shard.pair]
@@ -379,6 +505,59 @@ def score_shard(frame: pd.DataFrame, state: State, model: PitmanYor) -> pd.DataF
                  for a, b in zip(edges[:-1], edges[1:])]})
 
 
+def state_after(mail: DataFrame, sweep: int, before: State | None, hot: np.ndarray,
+                model: PitmanYor) -> State:
+    """The word restaurant summed over shards; frequent words are seated here."""
+    parts = [np.frombuffer(r.blob, "<f8") for r in mail.where("kind = 'totals'").select("blob").collect()]
+    sums = sum(parts, np.zeros(4 + 2 * len(hot)))
+    counts, served = sums[4:4 + len(hot)], sums[4 + len(hot):]
+    if before is None:
+        own = (counts > 0).astype(np.int64)
+        return State(hot, counts, served, own, int(sums[0]), int(sums[1]) + int(own.sum()), sums[2],
+                     sums[3] + own.sum())
+    own = word_tables(hot, served, before.hot_tables, before, model, sweep)
+    return State(hot, before.hot_counts, served, own, before.tokens, before.types, sums[2],
+                 sums[3] + own.sum())
+
+
+def swept(tokens: DataFrame, shards: int, hot: np.ndarray,
+          model: PitmanYor) -> tuple[DataFrame, dict[int, State]]:
+    """(mail to the shards, states after the sampled sweeps); each sweep is one round."""
+    def answers(mail: DataFrame) -> DataFrame:
+        return materialise(mail.groupBy("peer").applyInPandas(answered, MAIL))
+
+    def round_of(dishes: DataFrame, news: DataFrame, sweep: int, state: State) -> DataFrame:
+        return materialise(dishes.groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
+            lambda d, n: next_seats(d, n, shards, sweep, state, model), MAIL))
+
+    opening = materialise(tokens.where("shard >= 0").groupBy("shard").applyInPandas(
+        lambda f: first_seats(f, shards, hot), MAIL))
+    state = state_after(opening, -1, None, hot, model)
+    dishes = bucketed(opening.where("kind = 'dishes'"), "shard", shards)
+    rooms = opening.where("kind = 'room'")
+    first = news = answers(rooms)
+    states, seats, extras = {}, [], []
+    for sweep in range(model.burn_in + model.samples):
+        mail = round_of(dishes, news, sweep, state)
+        state = state_after(mail, sweep, state, hot, model)
+        seated, extra = mail.where("kind = 'seats'"), mail.where("kind = 'extra'")
+        if sweep >= model.burn_in:
+            states[sweep] = state
+            seats.append(seated)
+            extras.append(extra.withColumn("sweep", F.lit(sweep)))
+        if sweep + 1 < model.burn_in + model.samples:
+            news = first.unionByName(seated).unionByName(answers(extra))
+    every = extras[0]
+    for extra in extras[1:]:
+        every = every.unionByName(extra)
+    sampled = list(states)
+    news = rooms.groupBy("peer").cogroup(every.groupBy("peer")).applyInPandas(
+        lambda r, e: last_answers(r, e, sampled), MAIL)
+    for seated in seats:
+        news = news.unionByName(seated)
+    return news, states
+
+
 def _summed(frame: pd.DataFrame, train_tokens: int) -> pd.DataFrame:
     """Rows of a flush's documents from its list and all shards' sums."""
     listed = frame["listed"].to_numpy(bool)
@@ -394,30 +573,43 @@ def _summed(frame: pd.DataFrame, train_tokens: int) -> pd.DataFrame:
         "train_tokens": train_tokens, "base_score": sums[1], "score": sums[2]})
 
 
-def scored(docs: DataFrame, modulus: int = 7, held_out: int = 2, model: PitmanYor = PitmanYor(),
-           shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``.
-
-    Rows whose id's crc32 leaves ``held_out`` are scored only, all others are
-    learnt from as well.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
+def _learnt(docs: DataFrame, modulus: int, held_out: int, model: PitmanYor,
+            shard_tokens: int) -> tuple[DataFrame, DataFrame, int, dict[int, State]]:
+    """(tokens by shard, mail to the shards, shards, states)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"),
                        (id_remainder("doc_id", modulus) != held_out).alias("train"))
     size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     shards = max(1, math.ceil(((size[0] or 0) / 6 + size[1]) / shard_tokens))
     hot = frequent(rows, HOT_SAMPLE, 1 / 1000)
-    # Bucketed by shard, so that both passes over the tokens read them without a shuffle.
+    # Bucketed by shard, so that all passes over the tokens read them without a shuffle.
     tokens = bucketed(dealt(rows, shards, hot), "shard", shards)
-    state = gathered(tokens, shards, hot, model)
-    shared = spark.sparkContext.broadcast(state)
-    sums = tokens.where("shard >= 0").groupBy("shard").applyInPandas(
-        lambda f: score_shard(f, shared.value, model), "flush long, blob binary")
+    news, states = swept(tokens, shards, hot, model)
+    return tokens, news, shards, states
+
+
+def pair_probabilities(docs: DataFrame, modulus: int = 7, held_out: int = 2, model: PitmanYor = PitmanYor(),
+                       shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """word, context (their hashes), probability of every pair in ``docs``, held-out ones too."""
+    tokens, news, shards, states = _learnt(docs, modulus, held_out, model, shard_tokens)
+    return tokens.where("shard >= 0").groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
+        lambda f, n: pair_rows(f, n, shards, states, model), "word long, context long, probability double")
+
+
+def scored(docs: DataFrame, modulus: int = 7, held_out: int = 2, model: PitmanYor = PitmanYor(),
+           shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs``.
+
+    Rows whose id's crc32 leaves ``held_out`` are scored only, all others are
+    learnt from as well.
+    """
+    tokens, news, shards, states = _learnt(docs, modulus, held_out, model, shard_tokens)
+    sums = tokens.where("shard >= 0").groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
+        lambda f, n: score_shard(f, n, shards, states, model), "flush long, blob binary")
     both = (sums.withColumn("listed", F.lit(False)).unionByName(
         tokens.where("shard < 0").select("flush", "blob", F.lit(True).alias("listed"))))
-    total = state.tokens
+    total = next(iter(states.values())).tokens
     return both.groupBy("flush").applyInPandas(
         lambda f: _summed(f, total),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

@@ -521,6 +521,43 @@ def test_language_model(spark, docs, rows, shard_tokens):
     assert sum(r.score for r in learnt) > sum(r.base_score for r in learnt)
 
 
+def model_rows(spark):
+    """Trained texts over five words, and held-out ones with every pair and an unknown word."""
+    rng = random.Random(3)
+    words = "a b c d e".split()
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    learnt = [i for i in range(400) if i not in ids]
+    rows = [(i, " ".join(rng.choices(words, [9, 5, 3, 2, 1], k=rng.randint(1, 30)))) for i in learnt]
+    ends = words + ["zzz"]
+    rows += list(zip(ids, ends + ["", *(f"{x} {y}" for x in words for y in ends)]))
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3), ends
+
+
+@pytest.mark.parametrize("shard_tokens", [4_000_000, 300])
+def test_predictive_probabilities_of_a_context_sum_to_one(spark, shard_tokens):
+    docs, _ = model_rows(spark)
+    sums = collections.defaultdict(list)
+    for r in lm.pair_probabilities(docs, shard_tokens=shard_tokens).collect():
+        sums[r.context].append(r.probability)
+    whole = [p for p in sums.values() if len(p) == 7]
+    assert len(whole) == 6
+    assert all(sum(p) == pytest.approx(1.0, abs=1e-9) for p in whole)
+
+
+def test_language_model_does_not_depend_on_the_number_of_shards(spark, docs):
+    def scores(shard_tokens):
+        return sorted((r.doc_id, r.score) for r in lm.scored(docs, shard_tokens=shard_tokens).collect())
+
+    few, many = scores(4_000_000), scores(500)
+    assert [i for i, _ in few] == [i for i, _ in many]
+    assert [s for _, s in few] == pytest.approx([s for _, s in many], rel=1e-6)
+
+
+def test_every_word_before_is_a_context_of_its_own():
+    tokens = lm.tokens_of(" ".join(f"w{i}" for i in range(300_000)).encode())
+    assert len(np.unique(lm.contexts_of(tokens))) == 300_001
+
+
 def test_seating_keeps_its_bounds_and_follows_the_restaurant():
     rng = np.random.default_rng(0)
     count = np.array([0, 1, 2, 50, 5000])
