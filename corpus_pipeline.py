@@ -25,9 +25,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of line runs are cut out of the texts; every document stays."""
+    """Later repeats of line runs and of single long lines are cut out of the texts; every document stays."""
     _ready(spark)
-    out = linededup.deduplicated(docs)
+    out = linededup.deduplicated(docs, long_line=linededup.LONG_LINE)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

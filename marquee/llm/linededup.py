@@ -8,12 +8,16 @@ fingerprint, by a digest of the runs' lines. A run is kept where it occurs
 first, by doc_id, then place; the lines of every later one are deleted. Runs
 are judged on the input, not on what is left.
 
+With ``long_line``, a single line of more words than that is a run by itself.
+The registered query keeps to runs of two lines, as its SQL counterpart defines.
+
 Nothing is paired: each distinct run is reduced to its first place before the
 shuffle, and later places are compared with that one row. Runs of a very common
 line are spread by their digests, and the join splits skewed keys.
 
 Defined results: null text has no lines; lines without a word are kept and
-never match; documents with fewer such lines than ``run`` keep everything; a
+never match; documents with fewer such lines than ``run`` keep everything but repeated
+long lines; a
 null doc_id comes before all others; rows that share a doc_id come in the order
 of a digest of their texts, and rows that are equal in both are one document,
 each keeping the same lines; an empty table gives an empty result.
@@ -24,9 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.common import SPACE
 from marquee.session import materialise
 
 RUN = 2
+LONG_LINE = 50
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -38,7 +44,7 @@ def _digest(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def runs_of(docs: DataFrame, run: int = RUN) -> DataFrame:
+def runs_of(docs: DataFrame, run: int = RUN, long_line: int | None = None) -> DataFrame:
     """(place, fingerprint, run_digest, lines): each run with the indexes of its lines."""
     worded = F.filter(F.transform(_lines(F.col("text")), lambda l, i: F.struct(
         i.alias("at"), l.alias("line"), F.xxhash64(l).alias("h"))),
@@ -46,8 +52,16 @@ def runs_of(docs: DataFrame, run: int = RUN) -> DataFrame:
     docs = docs.select("doc_id", _digest(F.col("text")).alias("digest"), worded.alias("worded"))
     # Too few lines give no start; a filter would work the lines out a second time.
     starts = F.when(F.size("worded") >= run, F.sequence(F.lit(1), F.size("worded") - run + 1))
-    some = (docs.select("doc_id", "digest", "worded", F.explode(starts).alias("start"))
-            .select("doc_id", "digest", "start", F.slice("worded", F.col("start"), run).alias("r")))
+    spans = F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(run).alias("size")))
+    if long_line is not None:
+        words = lambda l: F.size(F.filter(F.split(l, SPACE), lambda w: w != ""))
+        single = F.transform(F.col("worded"), lambda x, i: F.when(
+            words(x["line"]) > long_line, F.struct((i + 1).alias("start"), F.lit(1).alias("size"))))
+        spans = F.concat(F.coalesce(spans, F.array().cast("array<struct<start:int,size:int>>")),
+                         F.filter(single, lambda x: x.isNotNull()))
+    some = (docs.select("doc_id", "digest", "worded", F.explode(spans).alias("span"))
+            .select("doc_id", "digest", "span.start",
+                    F.slice("worded", F.col("span.start"), F.col("span.size")).alias("r")))
     return some.select(
         F.struct("doc_id", "digest", "start").alias("place"),
         F.array_min("r.h").alias("fingerprint"),
@@ -55,9 +69,9 @@ def runs_of(docs: DataFrame, run: int = RUN) -> DataFrame:
         F.col("r.at").alias("lines"))
 
 
-def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def repeated_lines(docs: DataFrame, run: int = RUN, long_line: int | None = None) -> DataFrame:
     """(doc_id, digest, lines, n_runs): the line indexes to delete of each document that has any."""
-    runs = runs_of(docs, run)
+    runs = runs_of(docs, run, long_line)
     # The fingerprint's own place is the same for all runs that contain it.
     # Written, so that the join below is one of two plain shuffles, whose skewed
     # partitions can be split.
@@ -75,12 +89,12 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
         F.sort_array(F.collect_set("start")).alias("starts"))
 
 
-def deduplicated(docs: DataFrame, run: int = RUN) -> DataFrame:
+def deduplicated(docs: DataFrame, run: int = RUN, long_line: int | None = None) -> DataFrame:
     """``docs`` with repeated runs deleted from text; n_lines and removed_lines put behind.
 
     Input columns of those two names are replaced.
     """
-    marks = repeated_lines(docs, run).select(
+    marks = repeated_lines(docs, run, long_line).select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"),
         F.col("lines").alias("__lines"))
     joined = docs.withColumn("__own", _digest(F.col("text"))).join(

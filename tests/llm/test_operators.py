@@ -362,6 +362,17 @@ def test_line_dedup_edge_cases(spark, empty):
     assert got == [(0, two), (1, ""), (1, ""), (2, "\n"), (3, None)]
 
 
+def test_line_dedup_of_a_single_long_line(spark):
+    long = " ".join(f"w{i}" for i in range(51))
+    texts = [f"a\n{long}\nb", f"c\n{long}\nd", long, long[:-4], long[:-4], f"x\n{long}", "a\nq"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in linededup.deduplicated(docs, long_line=50).collect()}
+    assert got == {0: texts[0], 1: "c\nd", 2: "", 3: long[:-4], 4: long[:-4], 5: "x", 6: "a\nq"}
+    from corpus_pipeline import line_stage
+
+    assert {r.doc_id: r.text for r in line_stage(spark, docs, "").collect()} == got
+
+
 def tokens(text):
     return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
