@@ -202,9 +202,15 @@ class Shard:
         first = np.cumsum([0] + [len(p[2]) for p in parts])
         context = at[np.concatenate([p[3] + f for p, f in zip(parts, first)])].astype(np.uint64)
         doc = np.concatenate([p[4] for p in parts])
-        self.flush = np.repeat(np.arange(len(parts)), sizes)
+        del parts, at
+        self.flush = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         self.doc, learn = doc >> 1, (doc & 1).astype(bool)
-        pair, self.pair = np.unique(word << np.uint64(32) | context, return_inverse=True)
+        del doc
+        word <<= np.uint64(32)
+        word |= context
+        del context
+        pair, self.pair = np.unique(word, return_inverse=True)
+        del word
         self.word = (pair >> np.uint64(32)).astype(np.int64)
         self.context = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
         self.count = np.bincount(self.pair[learn], minlength=len(pair))
@@ -480,11 +486,7 @@ def pair_rows(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: dict
 
 def score_shard(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: dict[int, State],
                 model: PitmanYor) -> pd.DataFrame:
-    """Sums per flush and document over the tokens of a shard.
-
-    A shard's share of a text is a few tokens, which single precision holds to
-    seven digits; the shares are added in double precision.
-    """
+    """Sums per flush and document over the tokens of a shard."""
     shard = Shard(frame)
     state = next(iter(states.values()))
     hot_at, is_hot = _hot_places(shard.words, state.hot_words)
@@ -501,7 +503,7 @@ def score_shard(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: di
     edges = np.searchsorted(flush, np.arange(len(shard.flushes) + 1))
     return pd.DataFrame({
         "flush": shard.flushes,
-        "blob": [_pack(doc[a:b], sums[0][a:b].astype("<u4"), *(s[a:b].astype("<f4") for s in sums[1:]))
+        "blob": [_pack(doc[a:b], sums[0][a:b].astype("<u4"), *(s[a:b].astype("<f8") for s in sums[1:]))
                  for a, b in zip(edges[:-1], edges[1:])]})
 
 
@@ -564,7 +566,7 @@ def _summed(frame: pd.DataFrame, train_tokens: int) -> pd.DataFrame:
     ids, known, learnt, lengths = _unpack(frame["blob"][listed].iloc[0], "<i8", "<u1", "<u1", "<i8")
     sums = np.zeros((3, len(ids)))
     for blob in frame["blob"][~listed]:
-        doc, *values = _unpack(blob, "<u4", "<u4", "<f4", "<f4")
+        doc, *values = _unpack(blob, "<u4", "<u4", "<f8", "<f8")
         for total, value in zip(sums, values):
             total[doc] += value  # a document comes once in a blob
     return pd.DataFrame({

@@ -564,6 +564,19 @@ def test_language_model_does_not_depend_on_the_number_of_shards(spark, docs):
     assert [s for _, s in few] == pytest.approx([s for _, s in many], rel=1e-6)
 
 
+def test_base_score_is_exact_in_double_precision(spark):
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(3000)) for i in range(1, 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    count = collections.Counter()
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            count.update(t.split() + [" end"])
+    for r in lm.scored(docs, shard_tokens=9_000).collect():
+        plain = math.fsum(math.log10((count[w] + 1) / (sum(count.values()) + len(count) + 1))
+                          for w in texts[r.doc_id].split() + [" end"])
+        assert r.base_score == pytest.approx(plain, rel=1e-12)
+
+
 def test_every_word_before_is_a_context_of_its_own():
     tokens = lm.tokens_of(" ".join(f"w{i}" for i in range(300_000)).encode())
     assert len(np.unique(lm.contexts_of(tokens))) == 300_001
