@@ -48,7 +48,7 @@ def byte_batch(part: pa.RecordBatch, grain: int) -> repeats.Batch:
     while reach < grain and len(h) > reach:
         h = h[:-reach] * _STEPS[step] + h[reach:]
         reach, step = 2 * reach, step + 1
-    h = mixed(h)
+    h = np.maximum(mixed(h), np.uint64(1))  # 0 stands for no hash
     text = whole.tobytes()
     return repeats.Batch(
         part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_numpy(zero_copy_only=False),
