@@ -6,6 +6,7 @@ bigint, rounded values double, lists joined text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -442,11 +443,17 @@ def drain_repeated(spark, sf):
     return store.dataset().select("pos", (~page).alias("enriched"))
 
 
+# Rows of a state document.
+STATE_ROWS = 50_000
+
+
 def state_json(spark, sf):
     """Failure state out of the one-document JSON form, beside files that hold none."""
     path = scratch_path(spark)
     entry = F.struct("title", "year", "reason", "retry_search_limit")
-    parted = t.state(spark, sf).withColumn("file", F.pmod(F.xxhash64("key"), F.lit(16)))
+    rows = t.state(spark, sf)
+    files = max(16, math.ceil(rows.count() / STATE_ROWS))
+    parted = rows.withColumn("file", F.pmod(F.xxhash64("key"), F.lit(files)))
     held = F.map_from_entries(F.collect_list(F.struct("key", entry)))
     documents = parted.groupBy("file").agg(held.alias("m")).select(
         F.concat(F.lit("d"), "file").alias("file"),
@@ -473,7 +480,7 @@ def title_files(spark, sf):
     path, raw = scratch_path(spark), t.raw_titles(spark, sf)
     late = raw.filter("tconst % 3 = 0").withColumn("primaryTitle", F.concat(F.lit("Late "), "primaryTitle"))
     for name, rows in (("a", raw), ("b", late)):
-        rows.coalesce(1).write.csv(
+        rows.write.csv(
             f"{path}/part={name}", sep="\t", header=True, quote="", nullValue="\\N", emptyValue="",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     titles = candidates.project_titles(catalogue.read_titles(spark, path))

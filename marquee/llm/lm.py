@@ -120,7 +120,7 @@ def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def dealt(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    """(shard, flush, blob): packed tokens by shard; shard -1 has each flush's documents.
+    """(shard, flush, blob): packed tokens by shard; negative shards have the flushes' documents.
 
     ``docs`` has doc_id, text and train.
     """
@@ -161,7 +161,8 @@ def dealt(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                     rows.append((s, flush, _pack(w[a:b][new], counts, before,
                                                  place.astype("<u4"), doc[a:b])))
             known = np.array([i is not None for i in ids], np.uint8)
-            rows.append((-1, flush, _pack(np.array([i or 0 for i in ids], "<i8"), known,
+            listed = int(mixed(np.array([flush], np.uint64))[0] % np.uint64(shards))
+            rows.append((-1 - listed, flush, _pack(np.array([i or 0 for i in ids], "<i8"), known,
                                           learnt.astype(np.uint8), lengths)))
             flush += 1
             waiting = 0

@@ -122,6 +122,13 @@ def test_suffix_dedup_edge_cases(empty, odd):
     assert got[5] == (7, size, size)
 
 
+def test_suffix_dedup_of_nul_bytes(spark):
+    nul = "\0" * 200
+    texts = [nul, nul, "a" + nul + "b" * 50, nul + "c" * 300 + nul]
+    check_suffixes(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA),
+                   [(i, t) for i, t in enumerate(texts)])
+
+
 def test_loser_tree_merges_front_coded_runs():
     rng = random.Random(1)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 30)))
@@ -275,6 +282,15 @@ def test_simhash_edge_cases(empty, odd):
     assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 1), (True, None), (True, None)]
 
 
+def test_rows_of_one_id_with_different_texts_are_kept_apart(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"{rng.choice('abc')}{rng.randrange(10_000)}" for _ in range(60)) for _ in range(2)]
+    docs = spark.createDataFrame([(4, texts[0]), (4, texts[1]), (5, texts[1]), (6, texts[0]), (4, texts[0])],
+                                 "doc_id long, text string")
+    kept = simhash.keep_one_per_group(docs).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted((4, t) for t in texts)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 200 + i) for i in range(50)] + [(5, 5)]
     random.Random(2).shuffle(chain)
@@ -577,6 +593,12 @@ def test_base_score_is_exact_in_double_precision(spark):
         assert r.base_score == pytest.approx(plain, rel=1e-12)
 
 
+def test_document_lists_are_spread(spark):
+    docs = spark.range(64).selectExpr("id as doc_id", "'a b' as text", "true as train").repartition(16)
+    lists = lm.dealt(docs, 8, np.empty(0, np.uint64)).where("shard < 0").select("shard", "flush").collect()
+    assert len({r.shard for r in lists}) > 2 and min(r.shard for r in lists) >= -8
+
+
 def test_every_word_before_is_a_context_of_its_own():
     tokens = lm.tokens_of(" ".join(f"w{i}" for i in range(300_000)).encode())
     assert len(np.unique(lm.contexts_of(tokens))) == 300_001

@@ -26,3 +26,19 @@ def test_query_matches_sql(spark, sf_dir, connection, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert len(df.columns) == 13 and df.count() > 0
+
+
+def test_state_documents_and_title_files_follow_the_rows(spark, sf_dir, connection, monkeypatch):
+    from pathlib import Path
+
+    from marquee import session
+    from marquee.catalog import queries
+
+    monkeypatch.setattr(queries, "STATE_ROWS", 2)
+    raw = queries.t.raw_titles(spark, sf_dir)
+    monkeypatch.setattr(queries.t, "raw_titles", lambda *_: raw.repartition(3))
+    for name in ("state_json", "title_files"):
+        compare(spark, connection, name, QUERIES[name], ORACLES[name], sf_dir)
+    state, titles = session._scratch[spark.sparkContext.applicationId][-2:]
+    assert len(list(Path(state).glob("file=d*"))) > 16
+    assert len(list(Path(titles).glob("part=a/*.csv"))) == 3
