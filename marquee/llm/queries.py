@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    decontam, linededup, lm, packing, phrases, quality, simhash, suffixdedup, toxicity, urlfilter,
+    decontam, linededup, lm, packing, phrases, quality, sentences, simhash, suffixdedup, toxicity,
+    urlfilter,
 )
 from marquee.llm.common import id_remainder, table
 from marquee.llm.oracles import ORACLES
@@ -68,6 +69,10 @@ def op10_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.digests(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -81,4 +86,5 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_pitman_yor_lm": op10_pitman_yor_lm,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
