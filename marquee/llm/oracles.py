@@ -146,10 +146,104 @@ select page_id, host, path, rule, coalesce(label, case when purity < 0.5::double
   else 'allow' end) as verdict, template, purity
 from ruled join placed using (host, path) join pure using (host, template), overall"""
 
+DIVERGENCE = """with d as (select row_number() over () as row_no, coalesce(lang, '') as lang,
+    coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as found from documents),
+w as (select row_no, lang, source, unnest(found) as term from d),
+kept as (select lang, term, count(distinct row_no) as docs from w group by all having docs >= 10),
+sources as (select distinct lang, source from d),
+dense as (select s.lang, s.source, k.term, coalesce(n, 0) as n from sources s join kept k using (lang)
+  left join (select lang, source, term, count(*) as n from w group by all) using (lang, source, term)),
+billions as (select *, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over g + 2 * count(*) over g) as p
+  from dense window g as (partition by lang, source)),
+whole as (select lang, term, 1 + (1000000000::hugeint * (sum(n) + 2))
+    // (sum(sum(n)) over g + 2 * count(*) over g) as q
+  from dense group by lang, term window g as (partition by lang)),
+terms as (select lang, source, 'term' as part, term as item,
+    cast((p - q) * (p - q) // (p + q) as bigint) as value
+  from billions join whole using (lang, term) where n > 0 and p > q),
+sums as (select a.lang, a.source, b.source as item,
+    cast(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as bigint) as value
+  from billions a join billions b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from sources a join sources b on a.lang = b.lang and a.source <> b.source
+  left join sums on sums.lang = a.lang and sums.source = a.source and sums.item = b.source)
+select lang, source, part, item, value, cast(row_number() over (
+    partition by lang, source, part order by value desc, item) as int) as rank
+from (select * from pairs union all select * from terms)
+qualify part = 'pair' or rank <= 10"""
+
+
+def _edit(label: str, cost: str, letter: str) -> str:
+    """A label (cost in nine digits, then its audit) after one more edit."""
+    return (f"lpad(cast(cast(substr({label}, 1, 9) as int) + {cost} as varchar), 9, '0') "
+            f"|| substr({label}, 10) || '{letter}'")
+
+
+_MORE = "case when x[2] = 't' then 3 else 0 end"
+_STAYS = "x[2] not in ('b', 'd')"
+_OPEN = "least(l[1], l[2], l[4])"
+# Labels l of: nothing yet, after s, after u, after a; x is a row (initial, fault) or an insertion.
+_LATTICE = f"""case x[1]
+  when '+u' then [l[1], l[2], least(l[3], {_edit(_OPEN, '3', 'I')}), l[4]]
+  when '+a' then [l[1], l[2], l[3], least(l[4], {_edit('l[3]', '3', 'I')})]
+  else [{_edit('l[1]', '4', 'D')},
+    least({_edit('l[2]', '4', 'D')}, case when {_STAYS} and x[1] = 's' then {_edit('l[1]', _MORE, 'K')} end),
+    least({_edit('l[3]', '4', 'D')}, case when {_STAYS} and x[1] = 'u' then {_edit(_OPEN, _MORE, 'K')} end,
+      case when {_STAYS} then {_edit(_OPEN, '3 + ' + _MORE, 'R')} end),
+    least({_edit('l[4]', '4', 'D')}, case when {_STAYS} and x[1] = 'a' then {_edit('l[3]', _MORE, 'K')} end,
+      case when {_STAYS} then {_edit('l[3]', '3 + ' + _MORE, 'R')} end)] end"""
+
+REPAIR = f"""with crc as (select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+    case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as tab from range(256) t(i)),
+keyed as (select conv_id, turn, coalesce(cast(conv_id as varchar), ' ') as conv, coalesce(role, ' ') as role,
+  coalesce(text, ' ') as text,
+  coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as id from conversations),
+coded as (select keyed.*, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(id, ''),
+    lambda x: cast(ord(x) as bigint)), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]))) % 20 as code
+  from keyed, crc),
+damaged as (select conv, turn, case when code = 4 then 'user' else role end as role,
+    case code when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when code = 3 then [0, 1] else [0] end) as copy from coded where code <> 0),
+numbered as (select conv, turn, role, text, case when left(role, 1) in ('s', 'u', 'a') then left(role, 1)
+    else 'x' end as initial, row_number() over (partition by conv order by turn nulls first, role, md5(text), copy) as i
+  from damaged),
+faults as (select *, case when not regexp_matches(text, '{WORDED}') then 'b'
+    when row_number() over (partition by conv, role, text order by i) > 1 then 'd'
+    when regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) in ('.', '!', '?') then '-'
+    else 't' end as fault, lag(initial) over (partition by conv order by i) || initial as two from numbered),
+lists as (select conv, max(turn) - min(turn) + 1 - count(distinct turn) as gaps,
+    count(*) filter (where fault = 'b') as blank, count(*) filter (where fault = 'd') as duplicate,
+    count(*) filter (where fault = 't') as truncated,
+    count(*) filter (where two not in ('su', 'ua', 'au')) as illegal,
+    list([initial, fault] order by i) as rows from faults group by conv),
+solved as (select *, list_reduce([['000000000', null, null, null], ['+u'], ['+a']] || flatten(list_transform(rows,
+    lambda r: [r, ['+u'], ['+a'], ['+u'], ['+a']])), lambda l, x: {_LATTICE}) as ends from lists),
+audits as (select *, least(ends[1], ends[4]) as best, substr(best, 10) as audit from solved),
+letters as (select conv, letter, p, count(*) filter (where letter <> 'I') over w as i,
+    count(*) filter (where letter <> 'D') over w as k,
+    count(*) filter (where letter <> 'D') over (partition by conv) % 2 as odd
+  from (select conv, unnest(string_split(audit, '')) as letter,
+    generate_subscripts(string_split(audit, ''), 1) as p from audits where audit <> '')
+  window w as (partition by conv order by p)),
+lines as (select l.conv, p, case when letter = 'K' then role when (k + odd) % 2 = 1 then 'user' else 'assistant' end
+    || ':' || case when letter = 'I' then '' else text end as line
+  from letters l left join numbered n on n.conv = l.conv and n.i = l.i where letter <> 'D'),
+hashed as (select conv, string_agg(line, chr(10) order by p) as whole from lines group by conv)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(cast(left(best, 9) as bigint), 0) as cost, coalesce(audit, '') as audit,
+  sha256(coalesce(whole, '')) as repaired_sha256
+from (select distinct conv_id, conv from keyed) left join audits using (conv) left join hashed using (conv)"""
+
 ORACLES = {
     "op1_quality_rules": QUALITY,
     "op4_line_dedup": LINES,
     "op6_decontamination": DECONTAMINATION,
     "op7_phrase_automata": PHRASES,
     "op8_url_filter": URLS,
+    "op11_source_divergence": DIVERGENCE,
+    "op12_conversation_repair": REPAIR,
 }

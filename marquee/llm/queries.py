@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    decontam, linededup, lm, packing, phrases, quality, sentences, simhash, suffixdedup, toxicity,
-    urlfilter,
+    decontam, divergence, linededup, lm, packing, phrases, quality, repair, sentences, simhash,
+    suffixdedup, toxicity, urlfilter,
 )
 from marquee.llm.common import id_remainder, table
 from marquee.llm.oracles import ORACLES
@@ -69,6 +69,21 @@ def op10_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.audited(repair.damaged(rows)).withColumnRenamed("conv_id", "found_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (rows.select("conv_id").distinct()
+            .join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+            .select("conv_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in counts),
+                    F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.digests(table(spark, sf_dir, "documents"))
 
@@ -86,5 +101,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_pitman_yor_lm": op10_pitman_yor_lm,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_sentence_pieces": op13_sentence_pieces,
 }
