@@ -5,8 +5,7 @@ the terms of every language: a term carries its language, so that one model hold
 the vocabularies of all of them, each judged by its own documents. Terms are dealt
 by hash to slices, and a model is fitted per slice, so that the vocabulary on the
 driver stays near ``slice_terms`` however many terms there are; the number of
-slices comes from the document frequencies of one hash class of the terms and
-never changes a result. The exact sparse vectors of all documents are summed per
+slices comes from a sample of the documents and never changes a result. The exact sparse vectors of all documents are summed per
 (language, source), a few partial sums per task.
 
 Shares are whole billionths: p = 1 + floor(10^9 (n + 2) / (N + 2 V)), in decimal
@@ -30,6 +29,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,15 +39,15 @@ from marquee.session import scratch_path
 
 MIN_DOCS = 10
 TOP_TERMS = 10
-SLICE_TERMS = 1_000_000
+SLICE_TERMS = 2_000_000
 BLOCK_ROWS = 400_000
 TILE_SOURCES = 256
-# The vocabulary's size is estimated from one hash class of terms in so many.
-LOOK_AT_ONE_IN = 64
+# The vocabulary's size is estimated on one document in so many, by a hash of the text.
+LOOK_AT_ONE_IN = 16
 LARGEST_INT = 2**31 - 1
 BILLION = 1_000_000_000
-# Fixed value: runs of characters that are letters or not ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Fixed value: the ASCII characters that are no letters; they part terms.
+PARTING = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,21 +56,48 @@ def _text(name: str) -> Column:
 
 
 def with_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, terms: a term, a space and its language, as often as it occurs."""
-    found = F.regexp_extract_all(F.translate(_text("text"), _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    return (docs.select(_text("lang").alias("lang"), _text("source").alias("source"), found.alias("found"))
-            .select("lang", "source",
-                    F.transform("found", lambda t: F.concat(t, F.lit(" "), F.col("lang"))).alias("terms")))
+    """lang, source, text, terms: a term, a space and its language in hex, as often as it occurs.
 
+    Two parting characters side by side leave an entry without a term, which no
+    vocabulary row is made of. Cut by plain characters: matching terms one by one
+    takes several times as long.
+    """
+    plain = F.translate(_text("text"), _UPPER + PARTING, _LOWER + " " * len(PARTING))
+    ended = F.replace(F.concat(plain, F.lit(" ")), F.lit(" "), F.concat(F.lit(" "), F.hex("lang"), F.lit("\x01")))
+    return (docs.select(_text("lang").alias("lang"), _text("source").alias("source"), _text("text").alias("text"))
+            .withColumn("terms", F.split(ended, "\x01")))
 
-def slices_for(rows: DataFrame, min_docs: int, slice_terms: int) -> int:
-    """Number of slices that keep a vocabulary near ``slice_terms`` terms."""
-    some = F.array_distinct(F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(LOOK_AT_ONE_IN)) == 0))
-    often = (rows.select(F.explode(some).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-             .where(F.col("n") >= min_docs))
-    return max(1, math.ceil(often.count() * LOOK_AT_ONE_IN / slice_terms))
 
+def slices_for(rows: DataFrame, min_docs: int, slice_terms: int) -> int:
+    """Number of slices that keep a vocabulary below about ``slice_terms`` terms.
 
+    A term of ``min_docs`` documents is in a sample of one in n with a probability of
+    1 - (1 - 1/n)^min_docs at least, so the sample's terms over that bound the kept ones.
+    """
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(LOOK_AT_ONE_IN)) == 0)
+    seen = sample.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
+    share = 1 - (1 - 1 / LOOK_AT_ONE_IN) ** min_docs
+    return max(1, math.ceil(seen / share / slice_terms))
+
+
+def _dealt(n_slices: int):
+    """Rows of a document per slice that has any of its terms."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            out = []
+            for lang, source, terms in zip(*(c.to_pylist() for c in part.columns)):
+                by: dict[int, list[str]] = {}
+                for term in terms:
+                    by.setdefault(xxhash.xxh64_intdigest(term) % n_slices, []).append(term)
+                out.extend((lang, source, k, some) for k, some in by.items())
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SLICED)], schema=_SLICED)
+
+    return run
+
+
+_SLICED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("slice", pa.int32()),
+                     ("terms", pa.list_(pa.string()))])
 _SUMS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("at", pa.int32()), ("n", pa.int64())])
 
 
@@ -105,17 +132,13 @@ def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, slice_terms: int = SLIC
     n_slices = slices_for(rows, min_docs, slice_terms)
     # Written once, a folder per slice: each model reads its own terms only.
     path = scratch_path(spark)
-    dealt = F.transform(F.sequence(F.lit(0), F.lit(n_slices - 1)), lambda k: F.struct(
-        k.alias("slice"),
-        F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(n_slices)) == k).alias("terms")))
-    if n_slices == 1:
-        dealt = F.array(F.struct(F.lit(0).alias("slice"), F.col("terms")))
-    (rows.select("lang", "source", F.explode(dealt).alias("d")).select("lang", "source", "d.*")
-     .where(F.size("terms") > 0).write.partitionBy("slice").parquet(path))
+    small_batches(spark)
+    sliced = rows.select("lang", "source", F.lit(0).alias("slice"), "terms") if n_slices == 1 else rows.select(
+        "lang", "source", "terms").mapInArrow(_dealt(n_slices), "lang string, source string, slice int, terms array<string>")
+    sliced.write.partitionBy("slice").parquet(path)
     # An empty term in as many rows as a term must have keeps every vocabulary from being empty.
     held = (spark.range(min_docs).select(F.lit("").alias("lang"), F.lit("").alias("source"),
                                          F.array(F.lit("")).alias("terms")))
-    small_batches(spark)
     found = []
     for k in range(n_slices):
         part = spark.read.schema("lang string, source string, terms array<string>, slice int").parquet(
@@ -128,8 +151,9 @@ def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, slice_terms: int = SLIC
         words = model.vocabulary
         names = spark.createDataFrame(
             pd.DataFrame({"at": np.arange(len(words), dtype=np.int32), "name": words}), "at int, name string")
-        found.append(materialise(sums.join(names, "at").where("name != ''").select(
-            "lang", "source", F.substring_index("name", " ", 1).alias("term"), "n")))
+        term = F.substring_index("name", " ", 1)
+        found.append(materialise(sums.join(names, "at").select(
+            "lang", "source", term.alias("term"), "n").where("term != ''")))
     return reduce(DataFrame.unionByName, found)
 
 

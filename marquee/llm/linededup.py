@@ -1,19 +1,18 @@
 """Repeated runs of lines, found by winnowing over line hashes.
 
 Lines that hold a word are numbered within their document. Of every ``run``
-consecutive ones the least line hash is the fingerprint (the first of equal
-ones), so two equal runs always share one. Positions are joined on recurring
-fingerprints; a match is extended both ways over all the runs that contain its
-fingerprint, by a digest of the runs' lines. A run is kept where it occurs
-first, by doc_id, then place; the lines of every later one are deleted. Runs
-are judged on the input, not on what is left.
-
-With ``long_line``, a single line of more words than that is a run by itself.
-The registered query keeps to runs of two lines, as its SQL counterpart defines.
+consecutive ones the first of the least line hashes is the window's minimum, and the
+minima of a document are its fingerprints: two equal runs always share one. A line of
+more than ``long_line`` words is a fingerprint of its own, which guarantees itself.
+Positions are joined on recurring fingerprints, and a recurring one is extended both
+ways, line by line, over the windows it is the minimum of; longer matches are made of
+neighbouring ones. A run stays where it occurs first, by doc_id, then place; the lines
+of every later one are deleted. Runs are judged on the input, not on what is left.
 
 Nothing is paired: each distinct run is reduced to its first place before the
 shuffle, and later places are compared with that one row. Runs of a very common
-line are spread by their digests, and the join splits skewed keys.
+line are spread by their digests, and the join splits skewed keys. Texts are read
+twice, once for the fingerprints, which are written, and once to cut the lines out.
 
 Defined results: null text has no lines; lines without a word are kept and
 never match; documents with fewer such lines than ``run`` keep everything but repeated
@@ -32,7 +31,7 @@ from marquee.llm.common import SPACE
 from marquee.session import materialise
 
 RUN = 2
-LONG_LINE = 50
+LONG_LINE = 20
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -44,52 +43,71 @@ def _digest(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def runs_of(docs: DataFrame, run: int = RUN, long_line: int | None = None) -> DataFrame:
-    """(place, fingerprint, run_digest, lines): each run with the indexes of its lines."""
+def fingerprints(docs: DataFrame, run: int = RUN, long_line: int | None = LONG_LINE) -> DataFrame:
+    """(fingerprint, doc_id, digest, at, windows): window minima, each with the runs it stands for.
+
+    A run is (start, lines, run_digest): its first line's number, the indexes of its
+    lines in the text, and a digest of the lines themselves.
+    """
     worded = F.filter(F.transform(_lines(F.col("text")), lambda l, i: F.struct(
         i.alias("at"), l.alias("line"), F.xxhash64(l).alias("h"))),
         lambda x: x["line"].rlike(_HAS_WORD))
-    docs = docs.select("doc_id", _digest(F.col("text")).alias("digest"), worded.alias("worded"))
-    # Too few lines give no start; a filter would work the lines out a second time.
-    starts = F.when(F.size("worded") >= run, F.sequence(F.lit(1), F.size("worded") - run + 1))
-    spans = F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(run).alias("size")))
+    rows = docs.select("doc_id", _digest(F.col("text")).alias("digest"), worded.alias("worded"))
+
+    def window(start: Column, size: int) -> Column:
+        some = F.slice("worded", start, size)
+        return F.struct(start.alias("start"), some["at"].alias("lines"),
+                        F.unhex(F.md5(F.array_join(some["line"], "\n"))).alias("run_digest"))
+
+    def least(start: Column) -> Column:
+        some = F.slice("worded", start, run)["h"]
+        return (start + F.array_position(some, F.array_min(some)) - 1).cast("int")
+
+    # Too few lines give no window; a filter would work the lines out a second time.
+    size = F.size("worded")
+    starts = F.when(size >= run, F.sequence(F.lit(1), size - run + 1)).otherwise(F.array().cast("array<int>"))
+    rows = rows.select("*", F.transform(starts, least).alias("minima"))
+
+    def of_minimum(at: Column) -> Column:
+        around = F.sequence(F.greatest(F.lit(1), at - run + 1), F.least(at, size - run + 1))
+        mine = F.filter(around, lambda s: F.get("minima", s - 1) == at)
+        return F.struct(at.alias("at"), F.transform(mine, lambda s: window(s, run)).alias("windows"))
+
+    found = F.transform(F.array_distinct("minima"), of_minimum)
     if long_line is not None:
         words = lambda l: F.size(F.filter(F.split(l, SPACE), lambda w: w != ""))
-        single = F.transform(F.col("worded"), lambda x, i: F.when(
-            words(x["line"]) > long_line, F.struct((i + 1).alias("start"), F.lit(1).alias("size"))))
-        spans = F.concat(F.coalesce(spans, F.array().cast("array<struct<start:int,size:int>>")),
-                         F.filter(single, lambda x: x.isNotNull()))
-    some = (docs.select("doc_id", "digest", "worded", F.explode(spans).alias("span"))
-            .select("doc_id", "digest", "span.start",
-                    F.slice("worded", F.col("span.start"), F.col("span.size")).alias("r")))
-    return some.select(
-        F.struct("doc_id", "digest", "start").alias("place"),
-        F.array_min("r.h").alias("fingerprint"),
-        F.md5(F.array_join("r.line", "\n")).alias("run_digest"),
-        F.col("r.at").alias("lines"))
-
-
-def repeated_lines(docs: DataFrame, run: int = RUN, long_line: int | None = None) -> DataFrame:
-    """(doc_id, digest, lines, n_runs): the line indexes to delete of each document that has any."""
-    runs = runs_of(docs, run, long_line)
-    # The fingerprint's own place is the same for all runs that contain it.
+        places = F.filter(F.transform("worded", lambda x, i: F.when(
+            words(x["line"]) > long_line, i + 1)), lambda at: at.isNotNull())
+        found = F.concat(found, F.transform(places, lambda at: F.struct(
+            at.alias("at"), F.array(window(at, 1)).alias("windows"))))
+    return rows.select("doc_id", "digest", "worded", F.explode(found).alias("f")).select(
+        F.get("worded", F.col("f.at") - 1)["h"].alias("fingerprint"), "doc_id", "digest", "f.at", "f.windows")
+
+
+def repeated_lines(docs: DataFrame, run: int = RUN, long_line: int | None = LONG_LINE) -> DataFrame:
+    """(doc_id, digest, lines, starts): the line indexes to delete of each document that has any."""
+    places = materialise(fingerprints(docs, run, long_line))
+    place = F.struct("doc_id", "digest", "at")
     # Written, so that the join below is one of two plain shuffles, whose skewed
     # partitions can be split.
     recurring = materialise(
-        runs.groupBy("fingerprint").agg(F.min("place").alias("a"), F.max("place").alias("b"))
+        places.groupBy("fingerprint").agg(F.min(place).alias("a"), F.max(place).alias("b"))
         .where("a != b").select("fingerprint"))
-    met = runs.join(recurring, "fingerprint", "left_semi")
-    first = (met.groupBy("fingerprint", "run_digest")
+    runs = materialise(
+        places.join(recurring, "fingerprint", "left_semi")
+        .select("doc_id", "digest", F.inline("windows"))
+        .select("run_digest", F.struct("doc_id", "digest", "start").alias("place"), "lines"))
+    first = (runs.groupBy("run_digest")
              .agg(F.min("place").alias("first"), F.max("place").alias("last"))
-             .where("first != last").select("fingerprint", "run_digest", "first"))
-    later = (runs.join(first, ["fingerprint", "run_digest"]).where(F.col("place") > F.col("first"))
+             .where("first != last").select("run_digest", "first"))
+    later = (runs.join(first, "run_digest").where(F.col("place") > F.col("first"))
              .select("place.doc_id", "place.digest", "place.start", "lines"))
     return later.groupBy("doc_id", "digest").agg(
         F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"),
         F.sort_array(F.collect_set("start")).alias("starts"))
 
 
-def deduplicated(docs: DataFrame, run: int = RUN, long_line: int | None = None) -> DataFrame:
+def deduplicated(docs: DataFrame, run: int = RUN, long_line: int | None = LONG_LINE) -> DataFrame:
     """``docs`` with repeated runs deleted from text; n_lines and removed_lines put behind.
 
     Input columns of those two names are replaced.

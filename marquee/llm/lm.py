@@ -49,9 +49,11 @@ FLUSH_TOKENS = 1_000_000
 SHARD_TOKENS = 2_000_000
 HOT_SAMPLE = 1_000
 HOT_WORDS = 4_096
+# Rows in which the shards' totals reach the driver.
+TOTALS = 32
 _END = np.uint64(xxhash.xxh64_intdigest(b" end", seed=5))
 _START = np.uint64(xxhash.xxh64_intdigest(b" start", seed=5))
-_words = WordHashes(seed=5)
+_words = WordHashes(seed=5, limit=150_000)
 
 
 @dataclass(frozen=True)
@@ -210,8 +212,9 @@ class Shard:
         word <<= np.uint64(32)
         word |= context
         del context
-        pair, self.pair = np.unique(word, return_inverse=True)
-        del word
+        pair, place = np.unique(word, return_inverse=True)
+        self.pair = place.astype(np.int32)
+        del word, place
         self.word = (pair >> np.uint64(32)).astype(np.int64)
         self.context = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
         self.count = np.bincount(self.pair[learn], minlength=len(pair))
@@ -493,13 +496,13 @@ def score_shard(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: di
     hot_at, is_hot = _hot_places(shard.words, state.hot_words)
     total = shard.total.copy()
     total[is_hot] = state.hot_counts[hot_at[is_hot]]
-    score = np.log10(probabilities(shard, news, slices, states, model))[shard.pair]
-    plain = np.log10((total + 1) / (state.tokens + state.types + 1))
-    base_score = plain[shard.word][shard.pair]
-    known = (total > 0)[shard.word][shard.pair]
+    score = np.log10(probabilities(shard, news, slices, states, model))
+    plain = np.log10((total + 1) / (state.tokens + state.types + 1))[shard.word]
+    known = (total > 0)[shard.word]
     width = int(shard.doc.max()) + 1
     at, place = np.unique(shard.flush * np.int64(width) + shard.doc, return_inverse=True)
-    sums = [np.bincount(place, v, len(at)) for v in (known, base_score, score)]
+    # One value per token at a time: these arrays are a shard's largest.
+    sums = [np.bincount(place, v[shard.pair], len(at)) for v in (known, plain, score)]
     flush, doc = at // width, (at % width).astype("<u4")
     edges = np.searchsorted(flush, np.arange(len(shard.flushes) + 1))
     return pd.DataFrame({
@@ -508,10 +511,18 @@ def score_shard(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: di
                  for a, b in zip(edges[:-1], edges[1:])]})
 
 
+def _added(frame: pd.DataFrame) -> pd.DataFrame:
+    """Totals of many shards as one row."""
+    total = sum(np.frombuffer(b, "<f8") for b in frame["blob"])
+    return _mail([("totals", int(frame["shard"].iloc[0]), 0, total.astype("<f8").tobytes())])
+
+
 def state_after(mail: DataFrame, sweep: int, before: State | None, hot: np.ndarray,
                 model: PitmanYor) -> State:
     """The word restaurant summed over shards; frequent words are seated here."""
-    parts = [np.frombuffer(r.blob, "<f8") for r in mail.where("kind = 'totals'").select("blob").collect()]
+    # A fixed number of rows, however many shards there are.
+    added = mail.where("kind = 'totals'").groupBy(F.pmod("shard", F.lit(TOTALS))).applyInPandas(_added, MAIL)
+    parts = [np.frombuffer(r.blob, "<f8") for r in added.select("blob").collect()]
     sums = sum(parts, np.zeros(4 + 2 * len(hot)))
     counts, served = sums[4:4 + len(hot)], sums[4 + len(hot):]
     if before is None:

@@ -62,7 +62,10 @@ worded as (select *, lead(line) over w as after, lead(idx) over w as after_idx
   from l where regexp_matches(line, '{WORDED}') window w as (partition by doc_id order by idx)),
 ranked as (select *, row_number() over (partition by line, after order by doc_id, idx) as n
   from worded where after is not null),
-gone as (select distinct doc_id, unnest([idx, after_idx]) as idx from ranked where n > 1)
+long as (select doc_id, idx, row_number() over (partition by line order by doc_id, idx) as n from l
+  where len(list_filter(string_split_regex(line, '{SPACE}'), lambda x: x <> '')) > 20),
+gone as (select doc_id, unnest([idx, after_idx]) as idx from ranked where n > 1
+  union select doc_id, idx from long where n > 1)
 select doc_id, count(l.idx) as n_lines, count(gone.idx) as n_removed,
   sha256(coalesce(string_agg(line, chr(10) order by l.idx) filter (where gone.idx is null), ''))
     as kept_sha256
@@ -132,16 +135,25 @@ sums as (select host, template, regexp_replace(template, '^/[^/]*', '/{{+}}') as
 pools as (select *, sum(good) over b as pool_good, sum(bad) over b as pool_bad from sums
   window b as (partition by host, branch)),
 shares as (select *, pool_good / greatest(pool_good + pool_bad, 1) as share from pools),
-alike as (select *, good + bad > 0 and abs(good / greatest(good + bad, 1) - share)
+alike as (select *, good + bad = 0 or abs(good / greatest(good + bad, 1) - share)
     <= 1.96 * sqrt(share * (1 - share) / greatest(good + bad, 1)) as same from shares),
-merged as (select host, template,
-  case when same then sum(good) filter (where same) over b else good end as good,
-  case when same then sum(bad) filter (where same) over b else bad end as bad
+merged as (select host, template, good, bad,
+  case when same then sum(good) filter (where same) over b else good end as near_good,
+  case when same then sum(bad) filter (where same) over b else bad end as near_bad
   from alike window b as (partition by host, branch)),
 overall as (select (sum(good) + 1.0::double) / ((sum(good) + 1.0::double) + (sum(bad) + 1.0::double)) as prior
   from placed),
-pure as (select host, template, (good + 20.0::double * prior) / (good + bad + 20.0::double) as purity
-  from merged, overall)
+above as (select *, sum(good) over t as all_good, sum(bad) over t as all_bad,
+  sum(good) over h as host_good, sum(bad) over h as host_bad
+  from merged window t as (partition by template), h as (partition by host)),
+drawn as (select *, (all_good + 20.0::double * prior) / (all_good + all_bad + 20.0::double) as over_share
+  from above, overall),
+hosted as (select *, (host_good + 20.0::double * over_share) / (host_good + host_bad + 20.0::double) as host_share
+  from drawn),
+pooled as (select *, (near_good + 20.0::double * host_share) / (near_good + near_bad + 20.0::double) as near_share
+  from hosted),
+pure as (select host, template, (good + 20.0::double * near_share) / (good + bad + 20.0::double) as purity
+  from pooled)
 select page_id, host, path, rule, coalesce(label, case when purity < 0.5::double * prior then 'block'
   else 'allow' end) as verdict, template, purity
 from ruled join placed using (host, path) join pure using (host, template), overall"""

@@ -1,10 +1,10 @@
 """Repeated phrases located by sharded Aho-Corasick automata.
 
 Segments of recurring anchors (see ``repeats``) are dealt to shards. A shard
-confirms recurring passages: the windows of ``width`` words that begin in more
-than one document, with the least doc_id of each. It compiles them into an
-automaton over word numbers and streams its segments through it, which locates
-every occurrence, to remove those of a later document. Every document is
+confirms recurring passages: the windows of ``width`` words whose hashes begin in
+more than one document. It compiles them into an automaton over word numbers and
+streams its segments through it once, which locates every occurrence; the least
+doc_id among a passage's occurrences keeps it, and those of later documents go. Every document is
 streamed, by the segments of all its recurring anchors; equal segments of a
 flush are streamed once.
 
@@ -17,6 +17,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,6 +30,8 @@ from marquee.llm.common import WordHashes, mixed, small_batches, texts_of
 
 WIDTH = 13
 GRAIN = 5
+# Compression level of segments on their way: they are few beside their texts.
+PACKING = 1
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _words = WordHashes(seed=13)
 
@@ -61,7 +64,7 @@ def pack_segments(entries: list) -> bytes:
         ([len(e[0]) for e in entries], np.uint32), ([e[1] for e in entries], np.uint16),
         ([len(e[3]) for e in entries], np.uint32))]
     rows = repeats.pack_rows([r for e in entries for r in e[3]])
-    return repeats.pack([*columns, *rows], b"".join(e[0] for e in entries))
+    return repeats.pack([*columns, *rows], b"".join(e[0] for e in entries), PACKING)
 
 
 def unpack_segments(blob: bytes, width: int) -> Iterator[tuple[bytes, int, list[tuple]]]:
@@ -75,8 +78,38 @@ def unpack_segments(blob: bytes, width: int) -> Iterator[tuple[bytes, int, list[
         at, row = at + length, row + n
 
 
+def confirmed(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray,
+              width: int) -> np.ndarray:
+    """First words of one window of each passage that may begin in two documents.
+
+    ``ids`` are the word numbers of all segments end to end. Windows are hashed side
+    by side and sorted; a hash seen in two documents marks a passage. Windows that
+    only share a hash become passages of their own: the automaton goes by the words.
+    """
+    h = np.zeros(max(0, len(ids) - width + 1), np.uint64)
+    for i in range(width if len(h) else 0):
+        h = h * _FACTOR + mixed(ids[i:i + len(h)].astype(np.uint64) + np.uint64(1))
+    at = np.repeat(starts, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    owner = np.repeat(docs, sizes)
+    order = np.lexsort((owner, h[at]))
+    sorted_h, sorted_doc = h[at][order], owner[order]
+    new = np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(new)) - 1
+    placed = at[order]
+    model = placed[first][np.cumsum(new) - 1]
+    odd = np.zeros(len(placed), bool)
+    for i in range(width):
+        odd |= ids[placed + i] != ids[model + i]
+    return np.concatenate([placed[first[sorted_doc[first] != sorted_doc[last]]], placed[odd]])
+
+
 def located(blobs: list[bytes], width: int) -> np.ndarray:
-    """(doc, digest, start, end) rows to remove, from the packed segments of a shard."""
+    """(doc, digest, start, end) rows to remove, from the packed segments of a shard.
+
+    The automaton's single pass over the segments says where each passage occurs
+    and, by the documents of those places, which document has it first.
+    """
     out: list[tuple] = []
     held: dict[bytes, tuple[int, list[tuple]]] = {}
     for blob in blobs:
@@ -91,40 +124,45 @@ def located(blobs: list[bytes], width: int) -> np.ndarray:
                 out.extend(rows)
             else:
                 known[1].extend(rows)
-    # Confirm: a passage recurs if it begins in two documents.
+    # A single window under its digest is settled above.
+    streams = [(key.split(b" "), size, rows) for key, (size, rows) in held.items() if size]
+    held.clear()
+    done = np.array(out, np.int64).reshape(-1, 4)
+    if not streams:
+        return done
     number: dict[bytes, int] = {}
-    least: dict[tuple[int, ...], int] = {}
-    passages: set[tuple[int, ...]] = set()
-    streams = []
-    for key, (size, rows) in held.items():
-        if not size:  # a single window under its digest: settled above
-            continue
-        ids = tuple(number.setdefault(w, len(number)) for w in key.split(b" "))
-        doc = rows[0][0]
-        streams.append((ids, rows))
-        for i in range(size):
-            window = ids[i:i + width]
-            known = least.setdefault(window, doc)
-            if known != doc:
-                passages.add(window)
-                if doc < known:
-                    least[window] = doc
-    if not passages:
-        return np.array(out, np.int64).reshape(-1, 4)
+    ids = np.fromiter((number.setdefault(w, len(number)) for words, _, _ in streams for w in words), np.int64)
+    lengths = np.array([len(words) for words, _, _ in streams])
+    starts = np.cumsum(lengths) - lengths
+    docs = np.array([rows[0][0] for _, _, rows in streams])
+    passages = confirmed(ids, starts, np.array([size for _, size, _ in streams]), docs, width)
+    if not len(passages):
+        return done
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    first = []
-    for window in passages:
-        automaton.add_word(window, len(first))
-        first.append(least[window])
+    for which, window in enumerate(ids[passages[:, None] + np.arange(width)].tolist()):
+        automaton.add_word(tuple(window), which)
     automaton.make_automaton()
-    for ids, rows in streams:
-        doc = rows[0][0]
-        ends = [end for end, which in automaton.iter(ids) if first[which] < doc]
-        if ends:
-            spans = repeats.union(np.array([(e - width + 1, e + 1) for e in ends], np.int64)).tolist()
-            for _, digest, start, _ in rows:
-                out.extend((doc, digest, start + a, start + b) for a, b in spans)
-    return np.array(out, np.int64).reshape(-1, 4)
+    found, ends, counts = array("q"), array("q"), []
+    for start, length in zip(starts.tolist(), lengths.tolist()):
+        before = len(found)
+        for end, which in automaton.iter(tuple(ids[start:start + length].tolist())):
+            found.append(which)
+            ends.append(end)
+        counts.append(len(found) - before)
+    which, end = np.array(found, np.int64), np.array(ends, np.int64)
+    stream = np.repeat(np.arange(len(streams)), counts)
+    first = np.full(len(passages), np.iinfo(np.int64).max)
+    np.minimum.at(first, which, docs[stream])
+    later = first[which] < docs[stream]
+    stream, end = stream[later], end[later]
+    # Covered words of a stream lie between runs of ends closer than a window.
+    new = np.concatenate([[True], (stream[1:] != stream[:-1]) | (end[1:] > end[:-1] + width)])[:len(end)]
+    run = np.flatnonzero(new)
+    upto = np.append(run[1:], len(end)) - 1
+    spans = []
+    for s, a, b in zip(stream[run].tolist(), (end[run] - width + 1).tolist(), (end[upto] + 1).tolist()):
+        spans.extend((doc, digest, start + a, start + b) for doc, digest, start, _ in streams[s][2])
+    return np.concatenate([done, np.array(spans, np.int64).reshape(-1, 4)])
 
 
 def _segment(batch: repeats.Batch, place: int, start: int, end: int) -> tuple[bytes, int]:

@@ -228,10 +228,10 @@ def unpack_rows(docs: np.ndarray, digests: np.ndarray, at: np.ndarray,
     return docs[at].tolist(), digests[at].tolist(), start.tolist()
 
 
-def pack(arrays: list[np.ndarray], rest: bytes) -> bytes:
+def pack(arrays: list[np.ndarray], rest: bytes, level: int = 6) -> bytes:
     """Arrays and bytes as one compressed blob."""
     head = np.array([len(a) for a in arrays], "<i8")
-    return zstandard.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays) + rest, 6)
+    return zstandard.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays) + rest, level)
 
 
 def unpack(blob: bytes, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:

@@ -228,21 +228,22 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, distance: int = 2) ->
     """Rows of ``docs`` without near-duplicates: of each group the smallest doc_id stays.
 
     Of rows that share the kept id in one group the least by a digest of the row
-    stays; rows of one id in different groups are kept apart. A row without an id
-    is never matched and always stays.
+    stays; rows of one id in different groups are kept apart. Rows without an id are
+    matched like any other and come after all that have one.
     """
-    keyed = materialise(docs.where("doc_id is not null").withColumn(
-        "__text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-        .withColumn("__row", F.xxhash64(*docs.columns)))
+    number = F.col("doc_id").cast("long")
+    keyed = materialise(docs.withColumn("__none", number.isNull())
+                        .withColumn("__id", F.coalesce(number, F.lit(0)))
+                        .withColumn("__text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+                        .withColumn("__row", F.xxhash64(*docs.columns)))
     prints = materialise(fingerprints(
         keyed.dropDuplicates(["__text"]).select(F.col("__text").alias("doc_id"), "text"), shingle)
         .withColumnRenamed("doc_id", "__text"))
     roots = components(links(prints.select("fp").distinct(), distance)).select(
         F.col("node").alias("fp"), "root")
-    best = keyed.groupBy("__text").agg(F.min(F.struct("doc_id", "__text", "__row")).alias("least"))
+    row = ["__none", "__id", "__text", "__row"]
+    best = keyed.groupBy("__text").agg(F.min(F.struct(*row)).alias("least"))
     kept = (best.join(prints, "__text").join(roots, "fp", "left")
             .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
             .select("least.*"))
-    one = keyed.join(kept, ["doc_id", "__text", "__row"], "left_semi").dropDuplicates(
-        ["doc_id", "__text", "__row"])
-    return one.select(docs.columns).union(docs.where("doc_id is null"))
+    return keyed.join(kept, row, "left_semi").dropDuplicates(row).select(docs.columns)

@@ -9,8 +9,10 @@ task, with per-coordinate rates; L1 leaves few weights, which are broadcast
 
 Defined results: null and empty texts have no features and score the bias
 alone; labels of the same doc_id count as their maximum; rows labelled null are
-not learnt from; without any labelled row every score is 0; repeated rows are
-scored each; an empty table gives an empty result.
+not learnt from; of rows that share an id the one of the least text digest is
+learnt from; without any labelled row, or where no weight is left, nothing speaks
+against a text and every score is 0; repeated rows are scored each; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -88,7 +90,10 @@ def train(docs: DataFrame, labels: DataFrame, setting: Ftrl = Ftrl(),
     named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     picked = (named.select("doc_id").distinct().join(marks, "doc_id")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = named.join(F.broadcast(picked), "doc_id").withColumn("all", F.lit(0))
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = (named.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label")
+            .agg(F.min_by("text", F.struct(digest, F.col("text").isNull())).alias("text"))
+            .withColumn("all", F.lit(0)))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.assign(text=frame["text"].fillna("")).sort_values(["doc_id", "text"])
@@ -109,11 +114,15 @@ def scored(docs: DataFrame, weights: np.ndarray, setting: Ftrl = Ftrl()) -> Data
     """The columns of ``docs`` with ``toxicity`` (0 to 1) put behind."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    learnt = bool(weights.any())
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = shared.value
         for some in texts:
+            if not learnt:
+                yield pd.Series(np.zeros(len(some)))
+                continue
             sums = np.array([w[features(t, setting.bits)].sum(dtype=np.float64)
                              for t in texts_of(pa.array(some, pa.string()))])
             yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(sums, -30, 30))), dtype="float64")

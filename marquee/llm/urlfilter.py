@@ -6,10 +6,14 @@ A url's path is cut into segments. Each segment is generalised: digits become
 one level per pass over (host, template, segment) counts; below ``depth``
 levels the rest of the path is one ``{**}``. Sibling branches of a host whose
 labelled shares a two-proportion test cannot tell apart are merged with their
-counts. The urls that a rule decides are the labels; a template is rejected
-where its smoothed labelled purity, the share of allowed ones drawn towards the
-overall share by ``weight`` labels, falls below ``purity`` times that overall
-share. A template without labels takes the overall share and is allowed.
+counts; a branch without labels cannot be told apart from its siblings.
+
+The urls that a rule decides are the labels. A template's purity is its share of
+allowed ones, smoothed along the tree: the share of all urls draws the share of the
+same template over all hosts, this one the share of the host, this one the share of the
+merged siblings, and this one the template's own, each by ``weight`` labels. So a
+template without labels of its own is judged by what stands above it. It is
+rejected where its purity falls below ``purity`` times the share of all urls.
 
 Defined results: a null url or one without ``://`` has an empty host and path;
 an empty host meets no rule; of equally long rules that fit, the blocking one
@@ -91,11 +95,12 @@ def _branch() -> Column:
 
 
 def merged(counts: DataFrame, z: float = 1.96) -> DataFrame:
-    """(host, template, good, bad) with similar sibling branches' labels pooled.
+    """(host, template, good, bad, pool_good, pool_bad): own labels, and those of the
+    similar sibling branches.
 
     Siblings of a host differ only in their first segment. Each is compared
     with the pool of all of them: a two-proportion test below ``z`` merges it
-    into the pool of those that look alike.
+    into the pool of those that look alike. One that does not look alike is its own pool.
     """
     sides = counts.withColumn("branch", _branch())
     pool = sides.groupBy("host", "branch").agg(
@@ -105,14 +110,33 @@ def merged(counts: DataFrame, z: float = 1.96) -> DataFrame:
     share = F.col("pool_good") / F.greatest(m, F.lit(1))
     gap = F.abs(F.col("good") / F.greatest(n, F.lit(1)) - share)
     error = F.sqrt(share * (1 - share) / F.greatest(n, F.lit(1)))
-    alike = (n > 0) & (gap <= z * error)
-    held = held.withColumn("alike", alike)
+    held = held.withColumn("alike", (n == 0) | (gap <= z * error))
     group = held.where("alike").groupBy("host", "branch").agg(
         F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
     return (held.join(group, ["host", "branch"], "left")
-            .select("host", "template",
-                    F.when(F.col("alike"), F.col("all_good")).otherwise(F.col("good")).alias("good"),
-                    F.when(F.col("alike"), F.col("all_bad")).otherwise(F.col("bad")).alias("bad")))
+            .select("host", "template", "good", "bad",
+                    F.when(F.col("alike"), F.col("all_good")).otherwise(F.col("good")).alias("pool_good"),
+                    F.when(F.col("alike"), F.col("all_bad")).otherwise(F.col("bad")).alias("pool_bad")))
+
+
+def _drawn(good: Column | str, bad: Column | str, towards: Column, weight: float) -> Column:
+    """Share of good labels, drawn towards another share by ``weight`` labels."""
+    good, bad = F.coalesce(good, F.lit(0)), F.coalesce(bad, F.lit(0))
+    return (good + weight * towards) / (good + bad + weight)
+
+
+def purities(placed: DataFrame, prior: float, weight: float) -> DataFrame:
+    """(host, template, purity) of every template of ``placed``, which is written."""
+    tallies = merged(placed.groupBy("host", "template").agg(*_label_sums()))
+    everywhere = placed.groupBy("template").agg(
+        F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
+    hosts = placed.groupBy("host").agg(F.sum("good").alias("host_good"), F.sum("bad").alias("host_bad"))
+    over = _drawn("all_good", "all_bad", F.lit(prior), weight)
+    return (tallies.join(everywhere, "template").join(hosts, "host")
+            .withColumn("over", over)
+            .withColumn("host_share", _drawn("host_good", "host_bad", F.col("over"), weight))
+            .withColumn("pool_share", _drawn("pool_good", "pool_bad", F.col("host_share"), weight))
+            .select("host", "template", _drawn("good", "bad", F.col("pool_share"), weight).alias("purity")))
 
 
 def judged(pages: DataFrame, depth: int = 6, wide: int = 50, weight: float = 20.0,
@@ -126,13 +150,11 @@ def judged(pages: DataFrame, depth: int = 6, wide: int = 50, weight: float = 20.
         F.when(F.col("label") == "allow", F.col("urls")).otherwise(0).alias("good"),
         F.when(F.col("label") == "block", F.col("urls")).otherwise(0).alias("bad")))
     placed = materialise(templates(counted, depth, wide))
-    tallies = merged(placed.groupBy("host", "template").agg(*_label_sums()))
     overall = placed.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).select(
         (F.coalesce("g", F.lit(0)) + 1.0).alias("g"), (F.coalesce("b", F.lit(0)) + 1.0).alias("b")).first()
     prior = overall.g / (overall.g + overall.b)
-    clean = ((F.col("good") + weight * prior) / (F.col("good") + F.col("bad") + weight)).alias("purity")
     marks = placed.select("host", "path", "template").join(
-        tallies.select("host", "template", clean), ["host", "template"])
+        purities(placed, prior, weight), ["host", "template"])
     return (parted.join(marks, ["host", "path"])
             .select("page_id", "host", "path", F.col("fit.rule").alias("rule"),
                     F.coalesce(F.col("fit.verdict"), F.when(F.col("purity") < purity * prior, F.lit("block"))

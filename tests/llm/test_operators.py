@@ -279,7 +279,10 @@ def test_simhash_edge_cases(empty, odd):
     assert len(got) == 6 and {r.component_id for r in got if r.fp} <= {1}
     assert [r.component_id for r in got if r.fp == 0] == [None]
     kept = simhash.keep_one_per_group(odd).collect()
-    assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 1), (True, None), (True, None)]
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 1), (True, None)]
+    copies = odd.where("doc_id is null").union(odd.where("doc_id is null"))
+    assert sorted(r.text or "" for r in simhash.keep_one_per_group(copies).collect()) == [
+        "", " ".join(f"w{i}" for i in range(40))]
 
 
 def test_rows_of_one_id_with_different_texts_are_kept_apart(spark):
@@ -352,23 +355,50 @@ def test_quality_edge_cases(spark, empty, odd):
     assert quality.judged(odd.drop("lang"), labels.limit(0)).count() == 6
 
 
-def test_line_dedup(docs, rows):
+@pytest.mark.parametrize("run", [2, 3])
+def test_line_dedup(docs, rows, run):
     order = sorted((i, t) for i, t, *_ in rows if t is not None)
     seen = {}
     held = {i: [(k, x) for k, x in enumerate(t.split("\n")) if SPACE.search(x)] for i, t in order}
+    runs = {i: [tuple(some[j:j + run]) for j in range(len(some) - run + 1)]
+            + [(x,) for x in some if len(SPACE.findall(x[1])) > 20] for i, some in held.items()}
     for i, _ in order:
-        for j in range(len(held[i]) - 1):
-            seen.setdefault((held[i][j][1], held[i][j + 1][1]), (i, j))
-    got = {r.doc_id: r for r in linededup.deduplicated(docs).collect()}
+        for some in sorted(runs[i]):
+            seen.setdefault(tuple(x for _, x in some), (i, some[0][0]))
+    got = {r.doc_id: r for r in linededup.deduplicated(docs, run=run).collect()}
     assert len(got) == len(rows) and got[next(i for i, t, *_ in rows if t is None)].text is None
     for i, t in order:
-        gone = {k for j in range(len(held[i]) - 1)
-                if seen[held[i][j][1], held[i][j + 1][1]] != (i, j) for k in (held[i][j][0], held[i][j + 1][0])}
+        gone = {k for some in runs[i] if seen[tuple(x for _, x in some)] != (i, some[0][0]) for k, _ in some}
         lines = t.split("\n")
         assert got[i].text == "\n".join(x for k, x in enumerate(lines) if k not in gone)
         assert (got[i].n_lines, got[i].removed_lines) == (len(lines), len(gone))
 
 
+def test_every_window_has_one_fingerprint(spark):
+    """Window minima are fewer than windows, and each window stands at its own."""
+    rng = random.Random(8)
+    texts = ["\n".join(f"line {rng.randrange(40)}" for _ in range(n)) for n in (0, 1, 2, 3, 30, 200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for run in (2, 4):
+        got = {}
+        for r in linededup.fingerprints(docs, run, None).collect():
+            got.setdefault(r.doc_id, []).append((r.at, [w.start for w in r.windows]))
+        for i, text in enumerate(texts):
+            n = len(text.split("\n")) if text else 0
+            places = got.get(i, [])
+            starts = [s for at, some in places for s in some if s <= at < s + run]
+            assert sorted(starts) == list(range(1, n - run + 2))
+            assert len(places) == len({at for at, _ in places}) <= max(0, n - run + 1)
+    assert len(got[5]) < 0.6 * 197
+
+
+def test_one_line_of_forty_words_in_four_documents(spark):
+    line = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(k, f"own {k}\n{line}\nlast {k}") for k in range(4)], "doc_id long, text string")
+    got = {r.doc_id: r.removed_lines for r in linededup.deduplicated(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 1}
+
+
 def test_line_dedup_edge_cases(spark, empty):
     assert linededup.deduplicated(empty).count() == 0
     two = "one line\nand two"
@@ -386,7 +416,8 @@ def test_line_dedup_of_a_single_long_line(spark):
     assert got == {0: texts[0], 1: "c\nd", 2: "", 3: long[:-4], 4: long[:-4], 5: "x", 6: "a\nq"}
     from corpus_pipeline import line_stage
 
-    assert {r.doc_id: r.text for r in line_stage(spark, docs, "").collect()} == got
+    # The default counts lines of over 20 words.
+    assert {r.doc_id: r.text for r in line_stage(spark, docs, "").collect()} == {**got, 4: ""}
 
 
 def tokens(text):
@@ -516,7 +547,43 @@ def test_toxicity_learns_and_scores(spark, empty, odd):
     assert toxicity.scored(empty, weights).count() == 0
     assert len(toxicity.scored(odd, weights).collect()) == 6
     none = toxicity.train(empty, marks)
-    assert not none.any() and {r.toxicity for r in toxicity.scored(odd, none).collect()} == {0.5}
+    assert not none.any() and {r.toxicity for r in toxicity.scored(odd, none).collect()} == {0.0}
+
+
+def test_toxicity_fit_is_the_plain_recurrence():
+    """Weights against the textbook update, one coordinate at a time."""
+    rng = random.Random(6)
+    setting = toxicity.Ftrl(bits=8, l1=0.2, epochs=2)
+    texts = [" ".join(rng.choice(["ash", "bog", "cat", "dim", "eel"]) for _ in range(rng.randint(0, 6))).encode()
+             for _ in range(60)]
+    labels = np.array([float(b"eel" in t) for t in texts])
+    z, n = [0.0] * 256, [0.0] * 256
+
+    def weight(i):
+        if abs(z[i]) <= setting.l1:
+            return 0.0
+        return -(z[i] - math.copysign(setting.l1, z[i])) / (
+            (setting.beta + math.sqrt(n[i])) / setting.alpha + setting.l2)
+
+    for _ in range(setting.epochs):
+        for text, label in zip(texts, labels):
+            slots = toxicity.features(text, setting.bits).tolist()
+            w = {i: weight(i) for i in slots}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in slots:
+                rate = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / setting.alpha
+                z[i] += g - rate * w[i]
+                n[i] += g * g
+    got = toxicity.fit(texts, labels, setting)
+    assert got.any() and np.allclose(got, [weight(i) for i in range(256)], atol=1e-6)
+
+
+def test_repeats_of_an_id_are_learnt_once(spark):
+    docs = spark.range(40).select((F.col("id") % 4).alias("doc_id"), F.concat(F.lit("some vile text "), "id").alias("text"))
+    marks = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, toxic int")
+    weights = toxicity.train(docs, marks)
+    once = docs.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    assert (weights == toxicity.train(once, marks)).all()
 
 
 def test_toxicity_sample_is_bounded(spark):
@@ -669,6 +736,67 @@ def test_url_templates(spark):
     assert urlfilter.judged(deep).first().template == "/a/b/c/d/e/f/{**}"
 
 
+def test_urls_without_a_rule_are_judged_by_what_stands_above(spark):
+    """The same template elsewhere, the host, and the merged siblings each speak for a template without labels."""
+    blocked = [f"http://h{i}.net/es/p{i}" for i in range(300)]
+    allowed = [f"http://g{i}.com/a/{i}.html" for i in range(900)]
+    unruled = ["http://x.org/es/p7", "http://x.org/a/7.html", "http://x.org/other"]
+    pages = spark.createDataFrame(list(enumerate(blocked + allowed + unruled)), "page_id long, url string")
+    got = {(r.host, r.path): r for r in urlfilter.judged(pages).collect()}
+    assert [got["x.org", p].verdict for p in ("/es/p7", "/a/7.html", "/other")] == ["block", "allow", "allow"]
+    assert all(got["x.org", p].rule is None for p in ("/es/p7", "/a/7.html", "/other"))
+    purity = [got["x.org", p].purity for p in ("/es/p7", "/other", "/a/7.html")]
+    assert purity == sorted(purity) and len(set(purity)) == 3
+
+
+def test_siblings_without_labels_take_the_pool(spark):
+    """Branches of one host that differ in their first segment only."""
+    counts = spark.createDataFrame(
+        [("h", "/a/x", 0, 40), ("h", "/b/x", 0, 30), ("h", "/c/x", 0, 0), ("h", "/d/x", 50, 0), ("h", "/c", 0, 0),
+         ("k", "/a/x", 1, 9), ("k", "/b/x", 2, 8), ("k", "/e/x", 0, 0)],
+        "host string, template string, good long, bad long")
+    got = {(r.host, r.template): (r.good, r.bad, r.pool_good, r.pool_bad) for r in urlfilter.merged(counts).collect()}
+    assert got["h", "/c"] == got["h", "/c/x"] == (0, 0, 0, 0) and got["h", "/d/x"][2:] == (50, 0)
+    assert got["k", "/e/x"] == (0, 0, 3, 17) and got["k", "/a/x"] == (1, 9, 3, 17)
+    placed = counts.withColumn("urls", F.lit(1))
+    purity = {(r.host, r.template): r.purity for r in urlfilter.purities(placed, 0.5, 20.0).collect()}
+    assert purity["h", "/a/x"] < purity["h", "/c/x"] < purity["h", "/d/x"]
+    assert purity["k", "/e/x"] < purity["h", "/c"]
+
+
+def test_phrases_come_from_the_automaton(spark, docs, monkeypatch):
+    """Without the automaton's matches nothing is located."""
+    words = [f"w{i}".encode() for i in range(40)]
+    segment = b" ".join(words[:20])
+    other = b" ".join(words[3:23])
+    blobs = [phrases.pack_segments([(segment, 8, 0, [(1, 0, 5, 25)]), (other, 8, 0, [(2, 0, 9, 29)])])]
+    assert phrases.located(blobs, 13).tolist() == [[2, 0, 9, 26]]
+
+    class Silent:
+        def __init__(self, *_):
+            pass
+
+        def add_word(self, *_):
+            pass
+
+        make_automaton = add_word
+
+        def iter(self, _):
+            return iter(())
+
+    monkeypatch.setattr(phrases.ahocorasick, "Automaton", Silent)
+    assert not len(phrases.located(blobs, 13))
+
+
+def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
+    """Every window under one hash: the words still decide."""
+    monkeypatch.setattr(phrases, "mixed", lambda values: np.zeros(len(values), np.uint64))
+    a, b = (b" ".join(f"{x}{i}".encode() for i in range(13)) for x in "ab")
+    blobs = [phrases.pack_segments([(a, 1, 0, [(1, 0, 0, 13)]), (b, 1, 0, [(2, 0, 0, 13)]),
+                                    (b + b" z", 2, 0, [(3, 0, 4, 18)])])]
+    assert phrases.located(blobs, 13).tolist() == [[3, 0, 4, 17]]
+
+
 def test_digest_columns(spark, sf_dir):
     """Every registered query returns its contract's columns, one row per row where asked."""
     from marquee.llm.queries import QUERIES

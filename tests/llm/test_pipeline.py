@@ -48,6 +48,21 @@ def test_run_equals_the_stages(spark, sf_dir, kept):
     assert sorted(map(tuple, ran.collect())) == sorted(map(tuple, staged.collect()))
 
 
+def test_documents_stay_where_nothing_is_labelled(spark, sf_dir, tmp_path):
+    """Toxicity without labels rejects nothing."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame([(None, 1, 1), (5, 0, None)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.toxicity_stage(spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_copies_without_an_id_leave_one(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = spark.createDataFrame([(None, text, "en", "s", 1)] * 3, docs.schema)
+    assert corpus_pipeline.simhash_stage(spark, rows, sf_dir).count() == 1
+
+
 def test_stages_take_an_empty_table_and_odd_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     odd = spark.createDataFrame([(None, None, None, None, None), (3, "", None, "s", 0), (3, "", None, "s", 0)],
