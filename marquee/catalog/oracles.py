@@ -364,6 +364,17 @@ METRICS = """select count(*) as row_count,
 
 
 CTES["profile"] = (["dataset"], profile("dataset"))
+# A first drain over all stored answers, then one that retries the failures known before it.
+CTES["twice"] = (["decided", "lookups"], """select pos, key, primaryTitle, startYear, hit, l.reason,
+      l.Language, l.Country, l.budget, l.BoxOffice, l.plot
+      from decided d join lookups l on d.lookup_key = l.lookup_key where action = 'attempt'""")
+CTES["dataset_twice"] = (["dataset", "twice"], """select d.* replace (
+      coalesce(o.Language, d.Language) as Language, coalesce(o.Country, d.Country) as Country,
+      coalesce(o.plot, d.plot) as plot,
+      case when o.pos is null then d.budget else o.budget end as budget,
+      case when o.pos is null then d.BoxOffice else o.BoxOffice end as BoxOffice)
+      from dataset d left join (select * from twice where hit) o using (pos)""")
+CTES["profile_twice"] = (["dataset_twice"], profile("dataset_twice"))
 CTES["metrics"] = (["dataset"], METRICS)
 
 
@@ -466,6 +477,11 @@ ORACLES: dict[str, str] = {
       where not enriched and key not in (select key from state)"""),
     "run_decisions": query(["decided"], "select retry, pos, key, action from decided"),
     "next_batch": query(["batch"], "select retry, pos, key from batch"),
+    "imported_batch": query(["modes", "decided", "batch"], """select b.retry, b.pos, b.key,
+      (select count(*) from decided d where d.retry = b.retry and d.action = 'skip' and (
+        d.pos < (select max(pos) from batch c where c.retry = b.retry)
+        or b.batch_rows > (select count(*) from batch c where c.retry = b.retry)))
+        as skipped_failed from batch b"""),
     "run_outcomes": query(["outcomes"], "select retry, pos, key, outcome, reason from outcomes"),
     "merge_enriched": query(["merged"], """select retry, pos, Language, Country, budget, BoxOffice,
       plot from merged"""),
@@ -506,6 +522,11 @@ ORACLES: dict[str, str] = {
       BoxOffice as page_BoxOffice, plot as page_plot
       from ranked join two_call
       on lookup_key = {safe("primaryTitle || ' ' || startYear || ' film'")}"""),
+    "two_call_every": query(["titles", "two_call"], f"""select tconst, t.page,
+      Language as page_Language, Country as page_Country, budget as page_budget,
+      BoxOffice as page_BoxOffice, plot as page_plot
+      from titles left join two_call t
+      on lookup_key = {safe("primaryTitle || ' ' || startYear || ' film'")}"""),
     "enrich_repeated": query(["dataset", "outcomes"], """select
       (select count(*) from dataset) as n_rows, (select count(distinct pos) from dataset) as n_pos,
       (select count(*) from outcomes where not retry) as attempted,
@@ -544,6 +565,13 @@ ORACLES: dict[str, str] = {
       case when o.pos is null then d.BoxOffice else o.BoxOffice end as BoxOffice,
       coalesce(o.plot, d.plot) as plot
       from dataset d left join (select * from drained where hit) o using (pos)"""),
+    "drain_retry": query(["dataset_twice"], """select pos, Language, Country, budget, BoxOffice, plot
+      from dataset_twice"""),
+    "drain_retry_state": query(["state", "twice"], """select key, title, year, reason,
+      cast(retry_search_limit as bigint) as retry_search_limit from state
+      where key not in (select key from twice)
+      union all select key, primaryTitle, cast(startYear as varchar), reason, 8 from twice where not hit"""),
+    "drain_profile": query(["profile_twice"], "select * from profile_twice"),
     "drain_state": query(["state", "drained"], """select key, title, year, reason,
       cast(retry_search_limit as bigint) as retry_search_limit from state
       where key not in (select key from drained)

@@ -337,6 +337,18 @@ def merge_enriched(spark, sf):
     )
 
 
+def imported_batch(spark, sf):
+    """Batch and passed-over failures over rows placed by file and row, as an import leaves them."""
+    def batch(spark, sf, cfg):
+        place = F.struct(F.format_string("part-%09d", F.floor(F.col("pos") / 300)).alias("file"),
+                         F.col("pos").alias("row"))
+        decided = _decided(spark, sf, cfg).withColumn("pos", place)
+        rows, skipped = incremental.batch_and_skips(decided, cfg)
+        return rows.select(F.col("pos.row").alias("pos"), "key", F.lit(skipped).cast("long").alias("skipped_failed"))
+
+    return _both_modes(batch, spark, sf)
+
+
 def state_after(spark, sf):
     def after(spark, sf, cfg):
         return incremental.state_after(
@@ -399,6 +411,14 @@ def two_call_lookup(spark, sf):
     return pages.with_money(looked.select("tconst", "page", "fields"))
 
 
+def two_call_every(spark, sf):
+    """Every part asked for through two calls, without a bound on the rows."""
+    bodies = t.two_call_bodies(spark, sf)
+    looked = pages.lookup_two_call(
+        t.titles(spark, sf), stored.search_responses(bodies), stored.parse_responses(bodies))
+    return pages.with_money(looked.select("tconst", "page", "fields"))
+
+
 def _new_store(spark, sf) -> Store:
     store = Store(spark, scratch_path(spark))
     store.publish(t.dataset(spark, sf), t.state(spark, sf), t.CONFIG)
@@ -423,6 +443,28 @@ def drain_stream(spark, sf):
     return store.dataset().select(*_PAGE_COLUMNS)
 
 
+def _drained_twice(spark, sf) -> Store:
+    """A first drain, then one that retries, both under one name."""
+    store, landed = _new_store(spark, sf), scratch_path(spark)
+    t.combined_bodies(t.responses(spark, sf)).repartition(4, "name").write.parquet(landed)
+    for cfg in (t.RUN, t.RETRY):
+        Drain(store, "landed", replace(cfg, checkpoint_rows=2)).run_landed(landed)
+    return store
+
+
+def drain_retry(spark, sf):
+    return _drained_twice(spark, sf).dataset().select(*_PAGE_COLUMNS)
+
+
+def drain_retry_state(spark, sf):
+    return _flat(_drained_twice(spark, sf).state())
+
+
+def drain_profile(spark, sf):
+    """The stored profile after two drains, kept by the changed rows alone."""
+    return profiling.profile_of_document(_drained_twice(spark, sf).profile())
+
+
 def enrich_repeated(spark, sf):
     """One run over responses that hold several answers per request; counters beside the rows."""
     store = _new_store(spark, sf)
@@ -457,7 +499,9 @@ def state_json(spark, sf):
     held = F.map_from_entries(F.collect_list(F.struct("key", entry)))
     documents = parted.groupBy("file").agg(held.alias("m")).select(
         F.concat(F.lit("d"), "file").alias("file"),
-        F.to_json(F.struct(F.col("m").alias("failed_rows"))).alias("value"))
+        # Every other file in the layout of a written state, the rest on one line.
+        F.when(F.col("file") % 2 == 0, F.to_json(F.struct(F.col("m").alias("failed_rows")), {"pretty": "true"}))
+        .otherwise(F.to_json(F.struct(F.col("m").alias("failed_rows")))).alias("value"))
     broken = documents.select(F.concat(F.lit("cut"), "file").alias("file"),
                               F.expr("left(value, length(value) - 3)").alias("value"))
     other = documents.select(F.concat(F.lit("list"), "file").alias("file"),
@@ -533,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "pending_rows": pending_rows,
     "run_decisions": run_decisions,
     "next_batch": next_batch,
+    "imported_batch": imported_batch,
     "run_outcomes": run_outcomes,
     "merge_enriched": merge_enriched,
     "state_after": state_after,
@@ -543,9 +588,13 @@ QUERIES: dict[str, Query] = {
     "state_lines": state_lines,
     "scan_responses": scan_responses,
     "two_call_lookup": two_call_lookup,
+    "two_call_every": two_call_every,
     "enrich_run": enrich_run,
     "drain_stream": drain_stream,
     "drain_state": drain_state,
+    "drain_retry": drain_retry,
+    "drain_retry_state": drain_retry_state,
+    "drain_profile": drain_profile,
     "enrich_repeated": enrich_repeated,
     "drain_repeated": drain_repeated,
     "state_json": state_json,

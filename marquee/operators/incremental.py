@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +15,16 @@ from marquee.functions.flags import is_enriched, is_pending
 from marquee.functions.text import row_key
 from marquee.operators.joins import BROADCAST_KEYS
 from marquee.operators.pages import lookup_combined, with_money
-from marquee.operators.ranking import top_k
+from marquee.operators.ranking import DIRECT_ROWS, top_k
 from marquee.schemas import STATE
 from marquee.session import materialise
 
 ATTEMPT, SKIP, IGNORE = "attempt", "skip", "ignore"
 ENRICHED, MISSED, NO_RESPONSE = "enriched", "missed", "no_response"
+# Cells that an enriched row may get anew: text keeps its old value where the page has none.
+TEXT_CELLS, AMOUNT_CELLS = ("Language", "Country", "plot"), ("budget", "BoxOffice")
+# Positions that share a part where positions are numbers; imported rows go by file.
+PART_POSITIONS = 65_536
 
 
 def pending(dataset: DataFrame) -> DataFrame:
@@ -67,8 +71,66 @@ def next_batch(decided: DataFrame, cfg: JobConfig) -> DataFrame:
     todo = decided.filter(F.col("action") == ATTEMPT)
     if cfg.batch_rows is None:
         return todo
-    number = isinstance(todo.schema["pos"].dataType, T.NumericType)
-    return top_k(todo, [F.asc("pos")], max(cfg.batch_rows, 0), -F.col("pos") if number else None)
+    if cfg.batch_rows <= DIRECT_ROWS:
+        return top_k(todo, [F.asc("pos")], max(cfg.batch_rows, 0), None)
+    return batch_and_skips(decided, cfg)[0]
+
+
+class _Parts:
+    """Positions cut into parts that follow each other: numbers by width, imported rows by file."""
+
+    def __init__(self, kind: T.DataType) -> None:
+        self.by_file = isinstance(kind, T.StructType)
+        self.place = F.col("pos.file") if self.by_file else F.col("pos")
+        self.number = self.place if self.by_file else F.floor(self.place / PART_POSITIONS)
+        # A number that falls along the positions of one part.
+        self.lead = -F.col("pos.row") if self.by_file else -F.col("pos")
+
+    def _bound(self, part) -> Column:
+        return F.lit(part) if self.by_file else F.lit(part * PART_POSITIONS)
+
+    # Written as bounds of the stored column, so that they reach the file scan.
+    def before(self, part) -> Column:
+        return self.place < self._bound(part)
+
+    def inside(self, part) -> Column:
+        if self.by_file:
+            return self.place == self._bound(part)
+        return (self.place >= self._bound(part)) & (self.place < self._bound(part + 1))
+
+
+def batch_and_skips(decided: DataFrame, cfg: JobConfig) -> tuple[DataFrame, int]:
+    """(rows to attempt, known failures passed over before the batch was full).
+
+    One pass over the pending rows counts both kinds per part of the positions; a
+    prefix sum over the parts finds the one in which the batch ends. Parts before
+    it are taken as they are, and only that one is ordered, whatever the batch size
+    and however positions are made.
+    """
+    counts = [F.count_if(F.col("action") == a).alias(a) for a in (ATTEMPT, SKIP)]
+    todo = decided.filter(F.col("action") == ATTEMPT)
+    if cfg.batch_rows is None:
+        return todo, decided.agg(*counts).first()[SKIP]
+    if cfg.batch_rows <= 0:
+        return todo.limit(0), 0
+    parts = _Parts(decided.schema["pos"].dataType)
+    sums = decided.groupBy(parts.number.alias("part")).agg(*counts)
+    # One row per part: as many as files, or as blocks of positions.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("part", ATTEMPT, *[
+        F.coalesce(F.sum(a).over(earlier), F.lit(0)).alias(f"{a}_before") for a in (ATTEMPT, SKIP)], SKIP)
+    full = F.col(f"{ATTEMPT}_before") + F.col(ATTEMPT) >= cfg.batch_rows
+    found = sums.agg(F.min_by(F.struct(*sums.columns), F.when(full, F.col("part"))).alias("cut"),
+                     F.coalesce(F.sum(SKIP), F.lit(0)).alias("all")).first()
+    if found.cut is None:
+        return todo, found.all
+    wanted = cfg.batch_rows - found.cut[f"{ATTEMPT}_before"]
+    there = decided.filter(parts.inside(found.cut.part))
+    last_rows = materialise(top_k(there.filter(F.col("action") == ATTEMPT), [F.asc("pos")], wanted, parts.lead))
+    last = last_rows.agg(F.max("pos").alias("last"))
+    passed = there.filter(F.col("action") == SKIP).filter(F.col("pos") < last.scalar()).count()
+    rows = todo.filter(parts.before(found.cut.part)).unionByName(last_rows)
+    return rows, found.cut[f"{SKIP}_before"] + passed
 
 
 def outcomes_of(looked: DataFrame, *kept: str) -> DataFrame:
@@ -85,8 +147,24 @@ def outcomes_of(looked: DataFrame, *kept: str) -> DataFrame:
 
 def attempt(batch: DataFrame, responses: DataFrame, at_most: int | None) -> DataFrame:
     """Look the batch up in the stored responses; the batch is written once for both its uses."""
-    rows = materialise(batch.select("pos", "key", "primaryTitle", "startYear"))
-    return outcomes_of(lookup_combined(rows, responses, "pos", at_most))
+    rows = materialise(batch.select("pos", "key", "primaryTitle", "startYear", *cells_before(batch)))
+    return outcomes_of(lookup_combined(rows, responses, "pos", at_most), *_carried(rows))
+
+
+def cells_before(rows: DataFrame) -> list[Column]:
+    """The cells a run may change as they are now, carried beside its outcomes."""
+    cells = (*TEXT_CELLS, *AMOUNT_CELLS)
+    return [F.struct(*cells).alias("before")] if set(cells) <= set(rows.columns) else []
+
+
+def _carried(rows: DataFrame) -> list[str]:
+    return [c for c in ("before",) if c in rows.columns]
+
+
+def cells_after(old: str = "") -> dict[str, Column]:
+    """The changed cells of a row with a hit; ``old`` is where its cells were before."""
+    return {**{c: F.coalesce(f"page_{c}", f"{old}{c}") for c in TEXT_CELLS},
+            **{c: F.col(f"page_{c}") for c in AMOUNT_CELLS}}
 
 
 def merge_enriched(dataset: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -102,10 +180,7 @@ def merge_enriched(dataset: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
     joined = dataset.join(hits, "pos", "left")
     hit = F.coalesce("_hit", F.lit(False))
-    updated = {
-        **{c: F.coalesce(f"page_{c}", c) for c in ("Language", "Country", "plot")},
-        **{c: F.when(hit, F.col(f"page_{c}")).otherwise(F.col(c)) for c in ("budget", "BoxOffice")},
-    }
+    updated = {c: F.when(hit, new).otherwise(F.col(c)) for c, new in cells_after().items()}
     return joined.select(*[
         updated.get(c, F.col(c)).alias(c) for c in dataset.columns
     ])
@@ -146,18 +221,14 @@ def run_counters(decided: DataFrame, outcomes: DataFrame, cfg: JobConfig) -> Dat
     A known failure is counted only when it lies before the row that filled the
     batch; a batch that never filled counts them all.
     """
-    skipped = decided.filter(F.col("action") == SKIP)
-    if cfg.batch_rows is None:
-        passed = skipped
-    elif cfg.batch_rows <= 0:
-        passed = skipped.filter(F.lit(False))
-    else:
-        last = outcomes.agg(
-            F.when(F.count("*") >= cfg.batch_rows, F.max("pos")).alias("last")
-        ).scalar()
-        passed = skipped.filter(last.isNull() | (F.col("pos") < last))
+    return counters(outcomes, batch_and_skips(decided, cfg)[1])
+
+
+def counters(outcomes: DataFrame, skipped: int) -> DataFrame:
+    """The run's counters where the passed-over failures were counted with its batch."""
     return outcomes.agg(
         F.count("*").alias("attempted"),
         F.count_if(F.col("outcome") == ENRICHED).alias("enriched"),
         F.count_if(F.col("outcome") == MISSED).alias("newly_failed"),
-    ).withColumn("skipped_failed", passed.agg(F.count("*")).scalar())
+        F.lit(skipped).cast("long").alias("skipped_failed"),
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from marquee.functions.money import money_millions
 from marquee.functions.pagetext import first_usable_page, miss_reason, page_fields
 from marquee.functions.text import bind, combined_key, non_empty, safe_name, search_key
-from marquee.operators.joins import keep_keys, lookup_join
+from marquee.operators.joins import HOT_ROWS, keep_keys, lookup_join
 from marquee.schemas import PAGE_FIELDS
 from marquee.session import materialise
 
@@ -31,7 +31,8 @@ def parsed_responses(responses: DataFrame) -> DataFrame:
             F.coalesce(hit["fields"].isNull(), F.lit(True)), miss_reason(F.col("pages"))
         ).alias("reason"),
     ))
-    return responses.select("lookup_key", F.inline(F.array(answer)))
+    asked = [c for c in ("search_limit", "lookup_key") if c in responses.columns]
+    return responses.select(*asked, F.inline(F.array(answer)))
 
 
 def one_per_key(parsed: DataFrame) -> DataFrame:
@@ -100,13 +101,18 @@ def lookup_combined(
 
 
 def lookup_two_call(
-    rows: DataFrame, searches: DataFrame, parses: DataFrame, at_most: int
+    rows: DataFrame, searches: DataFrame, parses: DataFrame, at_most: int | None = None,
+    row_id: str = "tconst", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows left-joined to page fields through a search and a parse response.
 
     ``searches`` is (lookup_key, page); ``parses`` is (page_key, content).
     ``fields`` is NULL for rows without a page. Of a search or a page stored
     several times the least counts, so that there is one row per row asked.
+
+    ``at_most`` bounds the row count where a limit has set one. Without a bound many
+    rows may ask one search, and many searches may name one page: the hot keys of both
+    joins are spread, and a page is parsed once however many ask for it.
     """
     keyed = rows.withColumn("lookup_key", search_key(F.col("primaryTitle"), F.col("startYear")))
     named = keep_keys(searches, keyed, "lookup_key", at_most).groupBy("lookup_key").agg(
@@ -116,8 +122,10 @@ def lookup_two_call(
     texts = keep_keys(parses, found, "page_key", at_most).filter(non_empty(F.col("content")))
     one = texts.groupBy("page_key").agg(F.min("content").alias("content"))
     fields = one.select("page_key", page_fields(F.col("content")).alias("fields"))
-    return (
-        keyed.join(found, "lookup_key", "left").join(fields, "page_key", "left")
-        .drop("page_key")
-        .withColumn("fields", F.col("fields").cast(PAGE_FIELDS))
-    )
+    if at_most is None:
+        # Searches meet pages first, each search once; then rows meet their search.
+        answers = lookup_join(found, materialise(fields), "page_key", "lookup_key", hot_rows)
+        joined = lookup_join(keyed, answers, "lookup_key", row_id, hot_rows)
+    else:
+        joined = keyed.join(found, "lookup_key", "left").join(fields, "page_key", "left")
+    return joined.drop("page_key").withColumn("fields", F.col("fields").cast(PAGE_FIELDS))

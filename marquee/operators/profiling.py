@@ -46,10 +46,17 @@ def dataset_counters(df: DataFrame) -> DataFrame:
     return df.agg(*_counts())
 
 
+def profile_totals(df: DataFrame) -> DataFrame:
+    """One row of counts: all, enriched and complete rows, and missing cells per column."""
+    return df.agg(*_counts(), *_missing_totals(df, df.columns))
+
+
 def profile_document(df: DataFrame, cfg: JobConfig) -> DataFrame:
     """One row holding counters, settings and the profile of every column."""
-    columns = df.columns
-    totals = df.agg(*_counts(), *_missing_totals(df, columns))
+    return document_of_totals(profile_totals(df), df.columns, cfg)
+
+
+def document_of_totals(totals: DataFrame, columns: list[str], cfg: JobConfig) -> DataFrame:
     per_field = F.struct(*[
         F.struct(
             F.col(f"_missing_{c}").alias("missing_count"),
@@ -70,6 +77,32 @@ def profile_document(df: DataFrame, cfg: JobConfig) -> DataFrame:
     )
 
 
+def profile_after(document: DataFrame, old: DataFrame, new: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Profile of a dataset some of whose rows have changed, from the profile before.
+
+    ``old`` and ``new`` are the same rows before and after, with the columns that may
+    have changed; what both say alike cancels out, so nothing else is read.
+    """
+    columns = document.schema["missing"].dataType.names
+    kinds = {f.name: f.dataType for f in old.schema}
+    both = old.withColumn("_sign", F.lit(-1)).unionByName(new.withColumn("_sign", F.lit(1)))
+
+    def moved(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("_sign")).otherwise(0)), F.lit(0))
+
+    change = both.agg(
+        moved(is_enriched()).alias("wikipedia_enriched_count"),
+        moved(is_core_complete()).alias("wikipedia_core_complete_count"),
+        *[moved(is_missing(F.col(c), kinds[c])).alias(f"_missing_{c}") for c in old.columns])
+    shift = change.first().asDict()
+    totals = document.select(
+        "movie_count",
+        *[(F.col(c) + shift[c]).alias(c) for c in ("wikipedia_enriched_count", "wikipedia_core_complete_count")],
+        *[(F.col(f"missing.{c}.missing_count") + shift.get(f"_missing_{c}", 0)).alias(f"_missing_{c}")
+          for c in columns])
+    return document_of_totals(totals, columns, cfg)
+
+
 def profile_of_document(document: DataFrame) -> DataFrame:
     """Long form of a stored profile document."""
     names = document.schema["missing"].dataType.names

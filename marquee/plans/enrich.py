@@ -15,16 +15,16 @@ from marquee.sources.store import Store
 def run_enrichment(store: Store, responses: DataFrame, cfg: JobConfig) -> Row:
     """Attempt the next batch, publish its changes, return the counters.
 
-    The outcomes are written once; changes and counters read that table, so
+    The batch and the failures it passed over come from one pass over the pending
+    rows. The outcomes are written once; changes and counters read that table, so
     responses are looked up and parsed a single time.
     """
     rows = incremental.with_key(store.pending())
     decided = incremental.decide(rows, store.state(), cfg)
-    batch = incremental.next_batch(decided, cfg)
+    batch, skipped = incremental.batch_and_skips(decided, cfg)
     outcomes = materialise(incremental.attempt(batch, responses, cfg.batch_rows))
-    counters = incremental.run_counters(decided, outcomes, cfg).first()
     store.append(outcomes, cfg, source="enrich")
-    return counters
+    return incremental.counters(outcomes, skipped).first()
 
 
 def drain(store: Store, responses: DataFrame, cfg: JobConfig) -> Row:

@@ -12,6 +12,7 @@ from marquee.functions.numbers import float_text
 from marquee.functions.text import list_text
 from marquee.operators.profiling import profile_document
 from marquee.schemas import DATASET, DATASET_COLUMNS, PROFILE, STATE
+from marquee.session import materialise
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -93,17 +94,48 @@ _STATE_BODY = T.StructType([
 ])
 
 
+# The layout in which state files are written, two spaces per level: what ends an entry,
+# what stands before the first and the following ones, and what is left after the last.
+# A line break never stands inside JSON text, so these only ever match the layout.
+_ENTRY_END = "\n    }"
+_FIRST_ENTRY = r'^\{\n  "failed_rows" ?: \{\n    "'
+_NEXT_ENTRY = ',\n    "'
+_AFTER_ENTRIES = r"^\n  \}\n\}\s*$"
+
+
 def read_state_json(spark: SparkSession, path: str) -> DataFrame:
-    """State rows of a JSON state file; absent or unreadable means no failures."""
+    """State rows of JSON state files; absent or unreadable files mean no failures.
+
+    A file in the layout that state files are written in is read by its entries, so
+    that one large file is parsed by as many tasks as it has splits. It counts
+    where every piece is an entry, between one beginning and one end; any other
+    file is read as a whole document.
+    """
     try:
-        text = spark.read.text(path, wholetext=True)
+        pieces = spark.read.text(path, lineSep=_ENTRY_END)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], STATE)
-    entries = text.select(F.explode(F.from_json("value", _STATE_BODY)["failed_rows"]).alias(
-        "key", "entry"))
-    return entries.select("key", "entry.*")
+    value = F.col("value")
+    first, after = value.rlike(_FIRST_ENTRY), value.rlike(_AFTER_ENTRIES)
+    body = F.when(first, F.expr("substring(value, instr(value, '{\n    \"') + 1)")).when(
+        value.startswith(_NEXT_ENTRY), F.expr("substring(value, 2)"))
+    one = F.from_json(F.concat(F.lit("{"), body, F.lit("}}")), _STATE_BODY["failed_rows"].dataType)
+    marked = pieces.select(F.col("_metadata.file_path").alias("file"), first.alias("first"), after.alias("after"),
+                           one.alias("entry"))
+    fits = (F.count_if("first") == 1) & (F.count_if("after") == 1) & (
+        F.count_if(~F.col("after") & (F.coalesce(F.size("entry"), F.lit(0)) != 1)) == 0)
+    judged = materialise(marked.groupBy("file").agg(fits.alias("fits")))
+    by_entry = marked.join(judged.filter("fits"), "file", "left_semi").filter(~F.col("after")).select(
+        F.explode("entry").alias("key", "entry"))
+    # As many names as files, which the driver lists for every scan anyway.
+    rest = [r.file for r in judged.filter("not fits").select("file").collect()]
+    if rest:
+        whole = spark.read.text(rest, wholetext=True).select(
+            F.explode(F.from_json("value", _STATE_BODY)["failed_rows"]).alias("key", "entry"))
+        by_entry = by_entry.unionByName(whole)
+    return by_entry.select("key", "entry.*")
 
 
 def read_state_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -39,20 +39,24 @@ def _page_content(page: Column) -> Column:
     return F.coalesce(first["slots"]["main"]["content"], F.lit(""))
 
 
-def combined_responses(bodies: DataFrame, search_limit: int) -> DataFrame:
-    """(lookup_key, pages) of the combined responses asked with that limit."""
-    named = _named(bodies, COMBINED_NAME).filter(
-        F.regexp_extract("name", COMBINED_NAME, 1) == str(search_limit)
-    )
-    parsed = named.select(
+def every_combined_response(bodies: DataFrame) -> DataFrame:
+    """(search_limit, lookup_key, pages) of the combined responses, whatever limit they were asked with."""
+    parsed = _named(bodies, COMBINED_NAME).select(
+        F.regexp_extract("name", COMBINED_NAME, 1).alias("search_limit"),
         F.regexp_extract("name", COMBINED_NAME, 2).alias("lookup_key"),
         F.from_json("body", COMBINED_BODY).alias("b"),
     )
-    return parsed.select("lookup_key", F.transform("b.query.pages", lambda p: F.struct(
+    return parsed.select("search_limit", "lookup_key", F.transform("b.query.pages", lambda p: F.struct(
         p["index"].alias("index"), p["title"].alias("title"), _page_content(p).alias("content"),
     )).alias("pages"))
 
 
+def combined_responses(bodies: DataFrame, search_limit: int) -> DataFrame:
+    """(lookup_key, pages) of the combined responses asked with that limit."""
+    every = every_combined_response(bodies)
+    return every.filter(F.col("search_limit") == str(search_limit)).drop("search_limit")
+
+
 def candidate_pages(responses: DataFrame) -> DataFrame:
     """One row per candidate page: (lookup_key, index, title, content)."""
     rows = responses.select("lookup_key", F.inline("pages"))

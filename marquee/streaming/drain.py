@@ -1,15 +1,21 @@
 """Drain arriving response files into a stored dataset.
 
-Each micro-batch appends its outcomes under its batch number; decisions see the
-published version only, so they are the same however files fall into batches.
-A replayed batch reads the same input and overwrites its own folder. When the
-available files are used up, one outcome per row, chosen by content, is merged
-into the next published version in a single pass, instead of rewriting the
-dataset per batch.
+Landing and draining are two steps. Landing is the stream: every micro-batch
+parses the responses that have arrived, once, and adds the answers to the store's
+memo, by lookup key and the limit they were asked with. It reads neither dataset nor
+state, so its cost follows the files that arrived; the stream's checkpoint governs
+landing and nothing else, and a replayed batch overwrites its own folder.
+
+Draining meets the pending rows with the memo in one pass and publishes the changes.
+Every drain reads the whole memo, whoever landed it: a drain that retries, one
+with a raised limit, or one over a newly imported dataset meets answers that
+arrived before, as if the stored files were read again. What counts of several
+answers to one request depends on their content alone, not on how they arrived.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -18,92 +24,64 @@ from pyspark.sql import types as T
 
 from marquee.config import JobConfig
 from marquee.operators import incremental
-from marquee.operators.joins import keep_keys
-from marquee.operators.pages import (
-    answer_order, join_parsed, one_per_key, parsed_responses, with_lookup_key,
-)
+from marquee.operators.pages import join_parsed, one_per_key, parsed_responses, with_lookup_key
+from marquee.schemas import PAGE_FIELDS
 from marquee.session import materialise
 from marquee.sources.datasets import read_or_empty
-from marquee.sources.responses import BODY_SCHEMA, FILE_SCHEMA, combined_responses, named_bodies
+from marquee.sources.responses import BODY_SCHEMA, FILE_SCHEMA, every_combined_response, named_bodies
 from marquee.sources.store import Store
 
-
-def _outcome_schema(pos: T.DataType) -> T.StructType:
-    text = ["key", "primaryTitle", "year", "outcome", "reason", "page_Language", "page_Country",
-            "page_plot"]
-    return T.StructType(
-        [T.StructField("pos", pos)] + [T.StructField(c, T.StringType()) for c in text]
-        + [T.StructField(c, T.DoubleType()) for c in ("page_budget", "page_BoxOffice")]
-        + [T.StructField("answer", T.StructType([
-            T.StructField("miss", T.BooleanType()), T.StructField("digest", T.LongType())]))]
-        + [T.StructField("batch", T.LongType())]
-    )
+# An answer of the memo; the limit is a folder, so that a drain reads its own limit only.
+ANSWER = T.StructType([
+    T.StructField("lookup_key", T.StringType()), T.StructField("page", T.StringType()),
+    T.StructField("fields", PAGE_FIELDS), T.StructField("reason", T.StringType()),
+    T.StructField("landing", T.StringType()), T.StructField("batch", T.LongType()),
+    T.StructField("search_limit", T.StringType()),
+])
 
 
 class Drain:
-    """One named drain; a restart under the same name continues it."""
+    """One named drain over a store; a restart under the same name continues its stream."""
 
     def __init__(self, store: Store, name: str, cfg: JobConfig) -> None:
         self.store, self.name, self.cfg = store, name, cfg
-        # A newly collected or imported dataset starts the drain anew: its rows
-        # have not met the stored answers yet.
-        self.base = store.base_version()
-        self.source = f"drain:{name}:{self.base}"
-        self.folder = f"{store.root}/drains/{name}/base={self.base}"
-
-    def outcomes(self) -> DataFrame:
-        """One outcome per row of those not yet inside the published version.
-
-        A row may have met several stored answers to its request, in any order
-        and grouping: a usable one wins, then the least by content.
-        """
-        dataset = self.store.dataset()
-        rows = read_or_empty(
-            self.store.spark, f"{self.folder}/outcomes",
-            _outcome_schema(dataset.schema["pos"].dataType),
-        ).filter(F.col("batch") > self.store.merged_up_to(self.source))
-        whole = F.struct(*[c for c in rows.columns if c not in ("pos", "batch")])
-        return rows.groupBy("pos").agg(
-            F.min_by(whole, "answer").alias("o"), F.max("batch").alias("batch")
-        ).select("pos", "o.*", "batch")
-
-    def process(self, bodies: DataFrame, batch: int) -> None:
-        """Attempt the pending rows whose response has arrived."""
-        spark = self.store.spark
-        responses = combined_responses(bodies, self.cfg.search_limit)
-        # Parsed once and kept; also the memo of this batch's page fields.
-        parsed_path = f"{self.folder}/parsed/batch={batch}"
-        parsed_responses(responses).write.mode("overwrite").parquet(parsed_path)
-        parsed = one_per_key(spark.read.parquet(parsed_path))
-
-        rows = incremental.with_key(self.store.pending())
-        asked = keep_keys(with_lookup_key(rows), parsed, "lookup_key")
-        decided = incremental.decide(asked, self.store.state(), self.cfg)
+        self.memo = f"{store.root}/answers"
+
+    def answers(self) -> DataFrame:
+        """(lookup_key, page, fields, reason): the answer that counts of every landed request."""
+        rows = read_or_empty(self.store.spark, self.memo, ANSWER)
+        asked = rows.filter(F.col("search_limit") == str(self.cfg.search_limit))
+        return one_per_key(asked.drop("search_limit", "landing", "batch"))
+
+    def land(self, bodies: DataFrame, batch: int, landing: str) -> None:
+        """Parse the responses of a micro-batch and keep their answers."""
+        parsed = parsed_responses(every_combined_response(bodies))
+        parsed.write.mode("overwrite").partitionBy("search_limit").parquet(
+            f"{self.memo}/landing={landing}/batch={batch}")
+
+    def drain(self) -> int:
+        """Attempt the pending rows whose answer has landed; the version after it."""
+        rows = with_lookup_key(incremental.with_key(self.store.pending()))
+        asked = rows.select("pos", "key", "primaryTitle", "startYear", "lookup_key",
+                            *incremental.TEXT_CELLS, *incremental.cells_before(rows))
+        looked = join_parsed(asked, self.answers(), "pos").filter("has_response")
+        decided = incremental.decide(looked, self.store.state(), self.cfg)
         todo = incremental.next_batch(decided, replace(self.cfg, batch_rows=None))
-        looked = join_parsed(
-            todo.select("pos", "key", "primaryTitle", "startYear", "lookup_key"), parsed, "pos")
-        looked = looked.withColumn("answer", answer_order())
-        incremental.outcomes_of(looked, "answer").write.mode("overwrite").parquet(
-            f"{self.folder}/outcomes/batch={batch}")
-
-    def merge(self) -> int:
-        """Publish every outcome so far as one set of changes."""
-        outcomes = materialise(self.outcomes())
-        last = outcomes.agg(F.max("batch")).first()[0]
-        if last is None:
+        outcomes = materialise(incremental.outcomes_of(todo, "before"))
+        if outcomes.isEmpty():
             return self.store.version()
-        changes = outcomes.drop("batch", "answer")
-        return self.store.append(changes, self.cfg, source=self.source, batch=last)
+        return self.store.append(outcomes, self.cfg, source=f"drain:{self.name}")
 
-    def run_stream(self, bodies: DataFrame) -> int:
-        """Process a (name, body) stream as far as it goes now, merge, return the version."""
+    def run_stream(self, bodies: DataFrame, landing: str | None = None) -> int:
+        """Land a (name, body) stream as far as it goes now, drain, return the version."""
+        landing = landing or f"name-{self.name}"
         query = (
-            bodies.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", f"{self.folder}/checkpoint")
+            bodies.writeStream.foreachBatch(lambda some, batch: self.land(some, batch, landing))
+            .option("checkpointLocation", f"{self.store.root}/landings/{landing}")
             .trigger(availableNow=True).start()
         )
         query.awaitTermination()
-        return self.merge()
+        return self.drain()
 
     def run(self, path: str) -> int:
         """Drain a folder of response files, ``checkpoint_rows`` files per batch."""
@@ -112,7 +90,7 @@ class Drain:
             .option("wholetext", True).option("maxFilesPerTrigger", self.cfg.checkpoint_rows)
             .load(path)
         )
-        return self.run_stream(named_bodies(files))
+        return self.run_stream(named_bodies(files), _landing_of(path))
 
     def run_landed(self, path: str) -> int:
         """Drain a Parquet table of (name, body) rows that others append to."""
@@ -120,4 +98,9 @@ class Drain:
             self.store.spark.readStream.format("parquet").schema(BODY_SCHEMA)
             .option("maxFilesPerTrigger", self.cfg.checkpoint_rows).load(path)
         )
-        return self.run_stream(bodies)
+        return self.run_stream(bodies, _landing_of(path))
+
+
+def _landing_of(path: str) -> str:
+    """One landing per source folder: drains of any name share what it has parsed."""
+    return "path-" + hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:16]

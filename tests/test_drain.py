@@ -9,8 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 from test_sources import CFG, answers, body, snapshot, start_store, write_json
 
-from marquee.operators import candidates, pages
+from marquee.catalog import standins as stand_ins
+from marquee.operators import candidates, pages, profiling
 from marquee.plans.enrich import drain, run_enrichment
+from marquee.schemas import DATASET_COLUMNS
+from marquee.session import materialise
 from marquee.sources import catalogue
 from marquee.sources import responses as stored
 from marquee.sources import store as store_module
@@ -102,6 +105,80 @@ def test_runs_leave_the_stored_rows_where_they_are(spark, tmp_path, monkeypatch)
         r[0] for r in joined[0] if not (r[8] or r[9] or r[13]))
 
 
+def test_second_drain_under_one_name_meets_stored_answers(spark, tmp_path):
+    """First and retry drain under one name equal the batch drains."""
+    folder, retry = answers(str(tmp_path / "cache")), replace(CFG, retry_failed=True)
+    table = stored.combined_responses(stored.read_bodies(spark, folder), 8)
+    batch, stream = start_store(spark, tmp_path / "b"), start_store(spark, tmp_path / "s")
+    for cfg in (CFG, retry):
+        drain(batch, table, cfg)
+        Drain(stream, "one", cfg).run(folder)
+        assert snapshot(stream) == snapshot(batch)
+    assert {r[4] for r in snapshot(stream)[1]} == {8}
+    # Nothing is left that a further drain of either kind would attempt.
+    for cfg in (CFG, retry):
+        assert Drain(stream, "one", cfg).run(folder) == 3
+
+
+def test_a_raised_limit_meets_answers_landed_before(spark, tmp_path):
+    folder = str(tmp_path / "cache")
+    write_json(folder, "wiki_combined_1_Title_4_1990_film.json", body("nothing"))
+    write_json(folder, "wiki_combined_8_Title_4_1990_film.json", body("nothing", "| country = Later\n| x ="))
+    low, high = replace(CFG, search_limit=1), replace(CFG, retry_failed=True)
+    store = start_store(spark, tmp_path / "s")
+    Drain(store, "one", low).run(folder)
+    rows, state = snapshot(store)
+    assert rows[4][9] == "" and "t4" in [r[0] for r in state]
+    Drain(store, "one", high).run(folder)
+    rows, state = snapshot(store)
+    assert rows[4][9] == "Later" and "t4" not in [r[0] for r in state]
+
+
+def test_landing_reads_neither_dataset_nor_state(spark, tmp_path, monkeypatch):
+    """A micro-batch costs what its files cost, however large the store is."""
+    folder = answers(str(tmp_path / "cache"))
+    store = start_store(spark, tmp_path / "s")
+    job, files = Drain(store, "d", CFG), stored.read_bodies(spark, folder)
+
+    def unread(self, *_):
+        raise AssertionError("a micro-batch has read the store")
+
+    with monkeypatch.context() as held:
+        for name in ("dataset", "pending", "state", "profile", "_commits"):
+            held.setattr(store_module.Store, name, unread)
+        job.land(files, 0, "x")
+    assert job.drain() == 2 and snapshot(store)[0][4][-1] == "Four"
+
+
+def test_a_drain_reads_the_answers_of_its_own_limit_only(spark, tmp_path):
+    folder = str(tmp_path / "cache")
+    for limit in (1, 8):
+        write_json(folder, f"wiki_combined_{limit}_Title_4_1990_film.json", body("nothing"))
+    job = Drain(start_store(spark, tmp_path / "s"), "d", CFG)
+    job.land(stored.read_bodies(spark, folder), 0, "x")
+    text = job.answers()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(search_limit" in text and "= 8)]" in text
+
+
+def test_ten_runs_keep_the_profile_without_reading_the_dataset(spark, tmp_path, monkeypatch):
+    folder = answers(str(tmp_path / "cache"))
+    write_json(folder, "wiki_combined_8_Title_6_1990_film.json", body("| budget = $5 million\n| language = L\n| x ="))
+    table = stored.combined_responses(stored.read_bodies(spark, folder), 8)
+    store = start_store(spark, tmp_path / "s")
+
+    def unread(self):
+        raise AssertionError("a run has read the whole dataset")
+
+    for k in range(10):
+        cfg = replace(CFG, batch_rows=1 + k % 2, retry_failed=k % 3 == 2)
+        with monkeypatch.context() as held:
+            held.setattr(store_module.Store, "dataset", unread)
+            run_enrichment(store, table, cfg)
+        whole = profiling.profile_document(store.dataset().select(*DATASET_COLUMNS), cfg).first()
+        assert store.profile().first() == whole
+    assert store.version() == 11 and whole.wikipedia_enriched_count > 2
+
+
 def test_one_row_per_row_asked(spark):
     rows = spark.createDataFrame([("t1", "M", 1931), ("t2", "N", 1932)],
                                  "tconst string, primaryTitle string, startYear int")
@@ -116,6 +193,66 @@ def test_one_row_per_row_asked(spark):
     assert looked[0].fields.Country == "A" and looked[1].fields is None
 
 
+def test_folding_reads_and_writes_the_parts_of_changed_rows(spark, sf_dir, tmp_path, monkeypatch):
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        store = store_module.Store(spark, str(tmp_path / "s"))
+        rows = stand_ins.dataset(spark, sf_dir)
+        store.publish(rows, stand_ins.state(spark, sf_dir).limit(0), CFG)
+        bounds = sorted(map(tuple, store.parts(1).select("lo", "hi", "part").collect()))
+        assert len(bounds) == 8 and all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+        cfg = replace(stand_ins.RUN, batch_rows=5)
+        answered = materialise(stand_ins.responses(spark, sf_dir))
+        monkeypatch.setattr(store_module, "COMPACT_AFTER", 2)
+        for _ in range(3):
+            run_enrichment(store, answered, cfg)
+        # The batches were the first rows, which lie in the first parts.
+        changed = store._changes([2, 3], "outcomes").filter("outcome = 'enriched'").select("pos")
+        last = changed.agg(F.max("pos")).first()[0]
+        old = {r.part for r in store.parts(4).filter("version = 1").collect()}
+        assert old and old >= {part for lo, _, part in bounds if lo > last + 200}
+        touched = store.parts_of(1, changed)
+        files = store._rows(1, touched).inputFiles()
+        assert {f.split("part=")[1].split("/")[0] for f in files} == {str(r.part) for r in touched.collect()}
+        assert len(files) < len(store._rows(1).inputFiles())
+        assert not any(f"part={p}/" in f for p in old for f in files)
+        monkeypatch.setattr(store_module, "COMPACT_AFTER", 99)
+        joined = store_module.Store(spark, str(tmp_path / "joined"))
+        joined.publish(rows, stand_ins.state(spark, sf_dir).limit(0), CFG)
+        for _ in range(3):
+            run_enrichment(joined, answered, cfg)
+        assert str(snapshot(store)) == str(snapshot(joined))
+        assert store.profile().first() == joined.profile().first() == profiling.profile_document(
+            store.dataset().select(*DATASET_COLUMNS), cfg).first()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_two_calls_without_a_bound(spark):
+    """Hot searches and hot pages are spread; each page is parsed once, whoever asks."""
+    rows = spark.range(3000).select(
+        F.col("id").cast("string").alias("tconst"),
+        F.when(F.col("id") < 2000, F.lit("Hot")).otherwise(F.concat(F.lit("T"), F.col("id") % 50)).alias("primaryTitle"),
+        F.lit(1990).alias("startYear"))
+    searches = spark.createDataFrame(
+        [("Hot_1990_film", "Page hot")] + [(f"T{k}_1990_film", "Page hot" if k % 2 else f"Page {k}") for k in range(49)],
+        "lookup_key string, page string")
+    parses = spark.createDataFrame(
+        [("Page_hot", "| country = H\n| x ="), ("Page_hot", "| country = Z\n| x ="), ("Page_4", "| country = F\n| x ="),
+         ("Page_6", ""), ("Page_99", "| country = N\n| x =")], "page_key string, content string")
+    free = pages.lookup_two_call(rows, searches, parses, hot_rows=40)
+    bound = pages.lookup_two_call(rows, searches, parses, 3000)
+    columns = ["tconst", "page", "fields"]
+    got = sorted(map(tuple, free.select(columns).collect()))
+    assert got == sorted(map(tuple, bound.select(columns).collect()))
+    assert len(got) == 3000 and sum(r[2] is not None and r[2].Country == "H" for r in got) > 2000
+    assert "_slice" in free._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rows_of_several_files_follow_their_names(spark, tmp_path):
     head = "tconst\taverageRating\tnumVotes\n"
     (tmp_path / "a.tsv").write_text(head + "t1\t1.0\t1\n")

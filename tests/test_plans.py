@@ -134,5 +134,51 @@ def test_no_python_in_the_plan(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+@pytest.mark.parametrize("by_file", [False, True])
+@pytest.mark.parametrize("n", [0, 1, 137, 4_000, 9_000, 10**6])
+def test_batch_ends_inside_one_part(spark, monkeypatch, by_file, n):
+    """Batch and passed-over failures from counts per part, against the plain order."""
+    monkeypatch.setattr(incremental, "PART_POSITIONS", 500)
+    rows = spark.range(20_000).select(
+        F.struct(F.format_string("f%05d", F.floor(F.col("id") / 700)).alias("file"), F.col("id").alias("row"))
+        .alias("pos") if by_file else F.col("id").alias("pos"),
+        F.when(F.col("id") % 7 < 3, "attempt").when(F.col("id") % 7 < 5, "skip").otherwise("ignore").alias("action"))
+    kinds = ["attempt"] * 3 + ["skip"] * 2 + ["ignore"] * 2
+    order = [kinds[k % 7] for k in range(20_000)]
+    places = [k for k, a in enumerate(order) if a == "attempt"][:n]
+    full = 0 < n == len(places)
+    skips = order[:places[-1]].count("skip") if full else order.count("skip") if n else 0
+    batch, passed = incremental.batch_and_skips(materialise(rows), replace(t.RUN, batch_rows=n))
+    number = F.col("pos.row") if by_file else F.col("pos")
+    assert sorted(r[0] for r in batch.select(number).collect()) == places and passed == skips
+
+
+def test_batch_orders_rows_of_one_part_only(spark, monkeypatch):
+    """A large batch of imported rows: nothing but the part it ends in is ranged or sorted."""
+    written = []
+
+    def noted(df):
+        written.append(plan(df))
+        return materialise(df)
+
+    rows = materialise(spark.range(400_000).select(
+        F.struct(F.format_string("f%05d", F.floor(F.col("id") / 50_000)).alias("file"), F.col("id").alias("row"))
+        .alias("pos"), F.lit("attempt").alias("action")))
+    monkeypatch.setattr(ranking, "materialise", noted)
+    batch, _ = incremental.batch_and_skips(rows, replace(t.RUN, batch_rows=130_000))
+    assert len(written) == 1 and "EqualTo(pos.file,f00002)" in full_plan(rows.filter(
+        incremental._Parts(rows.schema["pos"].dataType).inside("f00002")))
+    assert "Sort" not in plan(batch.filter("pos.file < 'f00002'")) and batch.count() == 130_000
+
+
+def test_a_run_scans_its_pending_rows_for_sums_and_for_the_batch(spark, sf_dir):
+    rows = incremental.with_key(incremental.pending(materialise(t.dataset(spark, sf_dir))))
+    decided = incremental.decide(rows, t.state(spark, sf_dir), t.RUN)
+    batch, skipped = incremental.batch_and_skips(decided, replace(t.RUN, batch_rows=20))
+    # The counters read the outcomes and a number, no pending row.
+    text = plan(incremental.counters(materialise(incremental.attempt(batch, t.responses(spark, sf_dir), 20)), skipped))
+    assert text.count("FileScan") == 1
+
+
 def test_top_k_zero(spark):
     assert top_k(spark.range(5), [F.asc("id")], 0, None).count() == 0

@@ -258,6 +258,33 @@ def test_chunked_runs_equal_one_drain(spark, tmp_path):
     assert one.profile().first().wikipedia_enriched_count == 3
 
 
+def test_a_large_state_file_is_read_by_its_entries(spark, tmp_path):
+    """Several tasks parse one document; a damaged one gives none, whatever is damaged."""
+    state = {f"k{i}{{}}\n    }}": {"title": f'T "{i}" }}\n    }},', "year": None if i % 3 else "1990",
+                                  "reason": "né", "retry_search_limit": i % 9} for i in range(20_000)}
+    text = json.dumps({"failed_rows": state}, indent=2, ensure_ascii=False)
+    path = tmp_path / "large.json"
+    path.write_text(text, encoding="utf-8")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+        rows = datasets.read_state_json(spark, str(path))
+        got = {r.key: (r.title, r.year, r.reason, r.retry_search_limit) for r in rows.collect()}
+        assert got == {k: tuple(v.values()) for k, v in state.items()}
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+        middle = len(text) // 2
+        for k, broken in enumerate([text[:-3], text[:middle], text[middle:], text[:middle] + text[middle + 40:],
+                                    text + text, "[" + text + "]", text.replace("failed_rows", "other")]):
+            bad = tmp_path / f"bad{k}.json"
+            bad.write_text(broken, encoding="utf-8")
+            assert datasets.read_state_json(spark, str(bad)).count() in ((0,) if k != 4 else (0, 20_000)), k
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    one = tmp_path / "line.json"
+    one.write_text(json.dumps({"failed_rows": {"a": {"title": "x"}}}))
+    assert [tuple(r) for r in datasets.read_state_json(spark, str(one)).collect()] == [("a", "x", None, None, None)]
+
+
 def test_streaming_drain_equals_batch(spark, tmp_path):
     folder = answers(str(tmp_path / "cache"))
     table = stored.combined_responses(stored.read_bodies(spark, folder), 8)
@@ -294,22 +321,20 @@ def test_repeated_responses_count_once(spark, tmp_path):
     assert store.state().count() == 1
 
 
-def test_replayed_batch_is_idempotent(spark, tmp_path):
+def test_replayed_landing_is_idempotent(spark, tmp_path):
     folder = answers(str(tmp_path / "cache"))
     store = start_store(spark, tmp_path / "s")
     job = Drain(store, "d", CFG)
     files = stored.read_bodies(spark, folder)
     half = files.filter(F.col("name").contains("Title_4"))
-    job.process(half, 0)
-    job.process(files, 1)
-    before = sorted(map(tuple, job.outcomes().collect()), key=str)
-    job.process(half, 0)
-    job.process(files, 1)
-    assert sorted(map(tuple, job.outcomes().collect()), key=str) == before
-    assert [r.outcome for r in job.outcomes().filter("pos = 4").collect()] == ["enriched"]
-    job.merge()
-    assert job.outcomes().count() == 0
+    for _ in range(2):
+        job.land(half, 0, "x")
+        job.land(files, 1, "x")
+        landed = spark.read.parquet(job.memo)
+        assert landed.count() == half.count() + stored.every_combined_response(files).count()
+    job.drain()
     assert store.dataset().filter("plot = 'Four'").count() == 1
+    assert job.drain() == store.version() == 2
 
 
 def test_unpublished_version_is_invisible(spark, tmp_path):
