@@ -6,7 +6,7 @@ the vocabularies of all of them, each judged by its own documents. Terms are dea
 by hash to slices, and a model is fitted per slice, so that the vocabulary on the
 driver stays near ``slice_terms`` however many terms there are; the number of
 slices comes from a sample of the documents and never changes a result. The exact sparse vectors of all documents are summed per
-(language, source), a few partial sums per task.
+(language, source) within their tasks first.
 
 Shares are whole billionths: p = 1 + floor(10^9 (n + 2) / (N + 2 V)), in decimal
 arithmetic. The distance of two shares is floor((p - q)^2 / (p + q)). Pairs of
@@ -42,6 +42,8 @@ TOP_TERMS = 10
 SLICE_TERMS = 2_000_000
 BLOCK_ROWS = 400_000
 TILE_SOURCES = 256
+# Vector entries that a task holds before it sums them up.
+HELD_ENTRIES = 1_500_000
 # The vocabulary's size is estimated on one document in so many, by a hash of the text.
 LOOK_AT_ONE_IN = 16
 LARGEST_INT = 2**31 - 1
@@ -56,16 +58,19 @@ def _text(name: str) -> Column:
 
 
 def with_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, text, terms: a term, a space and its language in hex, as often as it occurs.
+    """lang, source, text, terms: a term, a space and a mark of its language, as often as it occurs.
 
-    Two parting characters side by side leave an entry without a term, which no
-    vocabulary row is made of. Cut by plain characters: matching terms one by one
-    takes several times as long.
+    The mark is the language itself where that is short and plain, else its bytes in
+    hex. Cut by plain characters: matching terms one by one takes several times as long.
     """
     plain = F.translate(_text("text"), _UPPER + PARTING, _LOWER + " " * len(PARTING))
-    ended = F.replace(F.concat(plain, F.lit(" ")), F.lit(" "), F.concat(F.lit(" "), F.hex("lang"), F.lit("\x01")))
+    mark = F.concat(F.lit(" "), F.when(F.col("lang").rlike("^[A-Za-z0-9]{1,8}$"), F.col("lang")).otherwise(
+        F.concat(F.lit("#"), F.hex("lang"))))
+    ended = F.replace(F.concat(plain, F.lit(" ")), F.lit(" "), F.concat("mark", F.lit("\x01")))
+    # Two parting characters side by side leave an entry of the mark alone.
     return (docs.select(_text("lang").alias("lang"), _text("source").alias("source"), _text("text").alias("text"))
-            .withColumn("terms", F.split(ended, "\x01")))
+            .withColumn("mark", mark)
+            .withColumn("terms", F.array_remove(F.split(ended, "\x01"), F.col("mark"))).drop("mark"))
 
 
 def slices_for(rows: DataFrame, min_docs: int, slice_terms: int) -> int:
@@ -102,27 +107,48 @@ _SUMS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("at", pa.int
 
 
 def _summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sparse vectors of a record batch per (lang, source, index)."""
+    """Sums of a task's sparse vectors per (lang, source, index), a bounded number held at a time."""
+    number: dict[tuple[str, str], int] = {}
+    keys: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    waiting = 0
+
+    def settle() -> None:
+        """One entry per key, held as the first of the lists."""
+        nonlocal waiting
+        key, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(place, np.concatenate(counts), len(key))
+        keys[:], counts[:], waiting = [key], [total], 0
+
+    def rows() -> pa.RecordBatch:
+        settle()
+        own = keys[0] >> 31
+        names = list(number)
+        out = pa.RecordBatch.from_arrays([
+            pa.array([n[i] for n in names], pa.string()).take(pa.array(own)) for i in (0, 1)] + [
+            pa.array((keys[0] & LARGEST_INT).astype(np.int32)), pa.array(counts[0].astype(np.int64))], schema=_SUMS)
+        keys.clear()
+        counts.clear()
+        return out
+
     for part in parts:
         if not part.num_rows:
             continue
         vectors = part.column(2)
         indices, values = vectors.field("indices"), vectors.field("values")
         sizes = np.diff(indices.offsets.to_numpy())
-        at = indices.flatten().to_numpy(zero_copy_only=False)
-        counts = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        langs, sources = (part.column(i).dictionary_encode() for i in (0, 1))
-        group = (langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary)
-                 + sources.indices.to_numpy())
-        key = (np.repeat(group, sizes) << 31) + at
-        keys, place = np.unique(key, return_inverse=True)
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, counts)
-        own = keys >> 31
-        yield pa.RecordBatch.from_arrays([
-            langs.dictionary.take(pa.array(own // len(sources.dictionary))),
-            sources.dictionary.take(pa.array(own % len(sources.dictionary))),
-            pa.array((keys & LARGEST_INT).astype(np.int32)), pa.array(total)], schema=_SUMS)
+        group = [number.setdefault(g, len(number))
+                 for g in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+        keys.append((np.repeat(np.array(group, np.int64), sizes) << 31)
+                    + indices.flatten().to_numpy(zero_copy_only=False))
+        counts.append(values.flatten().to_numpy(zero_copy_only=False))
+        waiting += len(keys[-1])
+        if waiting >= HELD_ENTRIES:
+            settle()
+            if len(keys[0]) >= HELD_ENTRIES:
+                yield rows()
+    if keys:
+        yield rows()
 
 
 def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, slice_terms: int = SLICE_TERMS) -> DataFrame:
