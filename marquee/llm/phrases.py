@@ -155,8 +155,10 @@ def located(blobs: list[bytes], width: int) -> np.ndarray:
     np.minimum.at(first, which, docs[stream])
     later = first[which] < docs[stream]
     stream, end = stream[later], end[later]
+    if not len(end):
+        return done
     # Covered words of a stream lie between runs of ends closer than a window.
-    new = np.concatenate([[True], (stream[1:] != stream[:-1]) | (end[1:] > end[:-1] + width)])[:len(end)]
+    new = np.concatenate([[True], (stream[1:] != stream[:-1]) | (end[1:] > end[:-1] + width)])
     run = np.flatnonzero(new)
     upto = np.append(run[1:], len(end)) - 1
     spans = []
