@@ -26,22 +26,65 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from marquee.llm import repeats
-from marquee.llm.common import WordHashes, mixed, small_batches, texts_of
+from marquee.llm.common import mixed, small_batches, texts_of
 
 WIDTH = 13
 GRAIN = 5
 # Compression level of segments on their way: they are few beside their texts.
 PACKING = 1
+# Bytes of text whose words are hashed at once.
+STRETCH = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_words = WordHashes(seed=13)
+
+
+class Powers:
+    """Powers of an odd number and of its inverse, modulo 2**64, as far as asked for."""
+
+    def __init__(self, base: int = 0x9E3779B97F4A7C15):
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < size:
+            self.up, self.down = (np.cumprod(np.concatenate([
+                np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)])) for b in (self.base, self.inverse))
+        return self.up[:size], self.down[:size]
+
+
+_powers = Powers()
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every word of a text given as bytes, all words of a stretch at once.
+
+    A word's hash is a polynomial in its bytes, the difference of two running sums
+    over the text, moved back to the word's start.
+    """
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        first = starts[at]
+        upto = max(at + 1, int(np.searchsorted(ends, first + STRETCH, side="right")))
+        size = int(ends[upto - 1] - first)
+        up, down = _powers.upto(size)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum((raw[first:first + size].astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+        a, b = starts[at:upto] - first, ends[at:upto] - first
+        out[at:upto] = (sums[b] - sums[a]) * down[a]
+        at = upto
+    return mixed(out)
 
 
 def word_batch(part: pa.RecordBatch, grain: int) -> repeats.Batch:
     """Words of a record batch's texts end to end, with the hash of every ``grain`` words."""
-    texts = [t.split() for t in texts_of(part.column(2))]
-    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
-    words = [w for t in texts for w in t]
-    own = _words.of(words)
+    texts = [b" ".join(t.split()) for t in texts_of(part.column(2))]
+    counts = [t.count(b" ") + 1 if t else 0 for t in texts]
+    starts = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int64)
+    held = b" ".join(t for t in texts if t)
+    raw = np.frombuffer(held, np.uint8)
+    spaces = np.flatnonzero(raw == 32)
+    first, last = np.concatenate([[0], spaces + 1]), np.append(spaces, len(raw))
+    own = word_hashes(raw, first, last) if held else np.zeros(0, np.uint64)
     n = max(0, len(own) - grain + 1)
     h = np.zeros(n, np.uint64)
     for i in range(grain if n else 0):
@@ -49,7 +92,7 @@ def word_batch(part: pa.RecordBatch, grain: int) -> repeats.Batch:
     return repeats.Batch(
         part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_numpy(zero_copy_only=False),
         np.concatenate([mixed(h), np.zeros(len(own) - n, np.uint64)]), starts,
-        lambda a, b: b" ".join(words[a:b]))
+        lambda a, b: held[first[a]:last[b - 1]])
 
 
 KIND = repeats.Kind(WIDTH, GRAIN, word_batch, same_document_counts=False, units_per_byte=0.16)

@@ -788,6 +788,23 @@ def test_phrases_come_from_the_automaton(spark, docs, monkeypatch):
     assert not len(phrases.located(blobs, 13))
 
 
+def test_word_hashes_follow_the_words(monkeypatch):
+    """Equal words have equal hashes wherever they stand, also across stretches and beyond one."""
+    rng = random.Random(12)
+    words = [bytes(rng.randrange(33, 256) for _ in range(rng.choice([1, 2, 3, 9, 200]))) for _ in range(300)]
+    text = [rng.choice(words) for _ in range(3000)]
+    raw = np.frombuffer(b" ".join(text), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in text]) - 1
+    starts = ends - [len(w) for w in text]
+    whole = phrases.word_hashes(raw, starts, ends)
+    monkeypatch.setattr(phrases, "STRETCH", 64)
+    assert (phrases.word_hashes(raw, starts, ends) == whole).all()
+    by = {}
+    for word, h in zip(text, whole.tolist()):
+        assert by.setdefault(word, h) == h
+    assert len(set(by.values())) == len(by) == len(set(text))
+
+
 def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
     """Every window under one hash: the words still decide."""
     monkeypatch.setattr(phrases, "mixed", lambda values: np.zeros(len(values), np.uint64))
