@@ -97,9 +97,10 @@ def repeated_lines(docs: DataFrame, run: int = RUN, long_line: int | None = LONG
         places.join(recurring, "fingerprint", "left_semi")
         .select("doc_id", "digest", F.inline("windows"))
         .select("run_digest", F.struct("doc_id", "digest", "start").alias("place"), "lines"))
-    first = (runs.groupBy("run_digest")
-             .agg(F.min("place").alias("first"), F.max("place").alias("last"))
-             .where("first != last").select("run_digest", "first"))
+    # Written as well, so that the runs of a very common line can be split in this join too.
+    first = materialise(
+        runs.groupBy("run_digest").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+        .where("first != last").select("run_digest", "first"))
     later = (runs.join(first, "run_digest").where(F.col("place") > F.col("first"))
              .select("place.doc_id", "place.digest", "place.start", "lines"))
     return later.groupBy("doc_id", "digest").agg(
