@@ -435,6 +435,23 @@ def enrich_run(spark, sf):
     return store.dataset().select(*_PAGE_COLUMNS)
 
 
+# Bytes of bodies that one file of landed responses holds, about.
+LANDED_BYTES = 128 * 1024 * 1024
+
+
+def _land(bodies: DataFrame, path: str, batches: int, each: int, by) -> int:
+    """Write bodies as files dealt by ``by``; how many of them a micro-batch takes.
+
+    The stream takes ``batches`` micro-batches whatever the size: of ``each`` files,
+    or of as many more as keep a file, and so a task that writes one, small.
+    """
+    rows = materialise(bodies)
+    size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    per_batch = max(each, math.ceil(size / LANDED_BYTES / batches))
+    rows.repartition(batches * per_batch, by).write.parquet(path)
+    return per_batch
+
+
 def drain_stream(spark, sf):
     """Stream of landed responses drained into a stored dataset in two batches."""
     store, landed = _new_store(spark, sf), scratch_path(spark)
@@ -475,11 +492,10 @@ def enrich_repeated(spark, sf):
 
 
 def drain_repeated(spark, sf):
-    """Stream of landed responses, several per request and one file each time, into a store."""
+    """Stream of landed responses, several per request and a third of the files each time, into a store."""
     store, landed = _new_store(spark, sf), scratch_path(spark)
-    bodies = t.combined_bodies(t.repeated_responses(spark, sf))
-    bodies.repartition(3, F.md5("body")).write.parquet(landed)
-    Drain(store, "repeated", replace(t.RUN, checkpoint_rows=1)).run_landed(landed)
+    files = _land(t.combined_bodies(t.repeated_responses(spark, sf)), landed, 3, 1, F.md5("body"))
+    Drain(store, "repeated", replace(t.RUN, checkpoint_rows=files)).run_landed(landed)
     page = F.col("plot").isin("", "Known story", "Old story") & (F.col("Language") == "") & (
         F.col("Country") == "")
     return store.dataset().select("pos", (~page).alias("enriched"))

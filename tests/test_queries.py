@@ -42,3 +42,30 @@ def test_state_documents_and_title_files_follow_the_rows(spark, sf_dir, connecti
     state, titles = session._scratch[spark.sparkContext.applicationId][-2:]
     assert len(list(Path(state).glob("file=d*"))) > 16
     assert len(list(Path(titles).glob("part=a/*.csv"))) == 3
+
+
+def test_landed_files_follow_the_bytes_in_as_many_batches(spark, sf_dir, connection, monkeypatch):
+    """More bytes land as more files, never as larger ones, in the query's own number of batches."""
+    from pathlib import Path
+
+    from marquee.catalog import queries
+
+    monkeypatch.setattr(queries, "LANDED_BYTES", 20_000)
+    run, seen = queries.Drain.run_landed, []
+
+    def counted(self, path):
+        seen.append((len(list(Path(path).glob("*.parquet"))), self.cfg.checkpoint_rows))
+        return run(self, path)
+
+    monkeypatch.setattr(queries.Drain, "run_landed", counted)
+    for name, batches, least in LANDED:
+        seen.clear()
+        compare(spark, connection, name, QUERIES[name], ORACLES[name], sf_dir)
+        for files, each in seen:
+            assert files > least and each > least // batches
+            assert -(-files // each) == batches
+        assert seen
+
+
+# Query, micro-batches, files at least.
+LANDED = [("drain_repeated", 3, 3)]
