@@ -455,8 +455,8 @@ def _land(bodies: DataFrame, path: str, batches: int, each: int, by) -> int:
 def drain_stream(spark, sf):
     """Stream of landed responses drained into a stored dataset in two batches."""
     store, landed = _new_store(spark, sf), scratch_path(spark)
-    t.combined_bodies(t.responses(spark, sf)).repartition(4, "name").write.parquet(landed)
-    Drain(store, "landed", replace(t.RUN, checkpoint_rows=2)).run_landed(landed)
+    files = _land(t.combined_bodies(t.responses(spark, sf)), landed, 2, 2, "name")
+    Drain(store, "landed", replace(t.RUN, checkpoint_rows=files)).run_landed(landed)
     return store.dataset().select(*_PAGE_COLUMNS)
 
 
