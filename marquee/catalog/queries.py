@@ -463,9 +463,9 @@ def drain_stream(spark, sf):
 def _drained_twice(spark, sf) -> Store:
     """A first drain, then one that retries, both under one name."""
     store, landed = _new_store(spark, sf), scratch_path(spark)
-    t.combined_bodies(t.responses(spark, sf)).repartition(4, "name").write.parquet(landed)
+    files = _land(t.combined_bodies(t.responses(spark, sf)), landed, 2, 2, "name")
     for cfg in (t.RUN, t.RETRY):
-        Drain(store, "landed", replace(cfg, checkpoint_rows=2)).run_landed(landed)
+        Drain(store, "landed", replace(cfg, checkpoint_rows=files)).run_landed(landed)
     return store
 
 

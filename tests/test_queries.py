@@ -68,4 +68,4 @@ def test_landed_files_follow_the_bytes_in_as_many_batches(spark, sf_dir, connect
 
 
 # Query, micro-batches, files at least.
-LANDED = [("drain_repeated", 3, 3), ("drain_stream", 2, 4)]
+LANDED = [("drain_repeated", 3, 3), ("drain_stream", 2, 4), ("drain_retry_state", 2, 4)]
