@@ -42,14 +42,16 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
         context.addPyFile(str(held))
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Write once to the shared folder, one bucket of ``key`` per file, and read back.
+def bucketed(df: DataFrame, key: str, buckets: int, folder: str) -> DataFrame:
+    """Write once to the shared folder, a folder per value of ``folder``, one bucket of
+    ``key`` per file, and read back.
 
-    Grouping or joining by ``key`` then needs no shuffle, however often.
+    Grouping or joining by ``key`` then needs no shuffle, however often. ``df`` comes
+    dealt by ``key`` into as many partitions.
     """
     spark = df.sparkSession
     name = f"marquee_{uuid.uuid4().hex}"
-    (df.repartition(buckets, key).write.bucketBy(buckets, key)
+    (df.write.partitionBy(folder).bucketBy(buckets, key)
      .option("path", scratch_path(spark)).saveAsTable(name))
     return spark.table(name)
 

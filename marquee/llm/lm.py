@@ -193,32 +193,61 @@ def dealt(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
 
 
 class Shard:
-    """All tokens of a shard's words, reduced to (word, context) pairs."""
+    """All tokens of a shard's words, reduced to (word, context) pairs.
 
-    def __init__(self, frame: pd.DataFrame):
+    ``pair`` lists the pairs of one text's tokens after the other; ``flush``, ``doc`` and
+    ``tokens`` are those texts and how many of the tokens each has.
+    """
+
+    KINDS = ("<u8", "<u8", "<u4", "<u4", "<u4", "<i8", "<u4", "<u4", "<u4", "<u4")
+
+    def __init__(self, *fields: np.ndarray):
+        (self.words, self.contexts, self.pairs, self.context, self.count,
+         self.flushes, self.flush, self.doc, self.tokens, self.pair) = self.fields = fields
+        self.word = np.repeat(np.arange(len(self.words), dtype=np.int32), self.pairs)
+        self.count = self.count.astype(np.int64)
+        self.total = np.bincount(self.word, self.count, len(self.words))
+
+    def packed(self) -> bytes:
+        return _pack(*(f.astype(k, copy=False) for f, k in zip(self.fields, self.KINDS)))
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> Shard:
+        return cls(*_unpack(blob, *cls.KINDS))
+
+    @classmethod
+    def gathered(cls, frame: pd.DataFrame) -> Shard:
+        """From what all flushes sent."""
+        frame = frame.sort_values("flush")
         parts = [_unpack(b, "<u8", "<u4", "<u8", "<u4", "<u4") for b in frame["blob"]]
-        self.flushes = frame["flush"].to_numpy()
         sizes = [len(p[4]) for p in parts]
-        self.words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        word = np.repeat(at, np.concatenate([p[1] for p in parts])).astype(np.uint64)
-        self.contexts, at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
-        first = np.cumsum([0] + [len(p[2]) for p in parts])
-        context = at[np.concatenate([p[3] + f for p, f in zip(parts, first)])].astype(np.uint64)
+        words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        word = np.repeat(at.astype(np.uint64), np.concatenate([p[1] for p in parts]))
+        contexts, at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        at = at.astype(np.uint32)
+        word <<= np.uint64(32)
+        first = 0
+        for n, p in zip(np.cumsum([0] + sizes), parts):
+            word[n:n + len(p[3])] |= at[first + p[3]]
+            first += len(p[2])
         doc = np.concatenate([p[4] for p in parts])
         del parts, at
-        self.flush = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.doc, learn = doc >> 1, (doc & 1).astype(bool)
-        del doc
-        word <<= np.uint64(32)
-        word |= context
-        del context
         pair, place = np.unique(word, return_inverse=True)
-        self.pair = place.astype(np.int32)
-        del word, place
-        self.word = (pair >> np.uint64(32)).astype(np.int64)
-        self.context = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        self.count = np.bincount(self.pair[learn], minlength=len(pair))
-        self.total = np.bincount(self.word, self.count, len(self.words))
+        del word
+        place = place.astype(np.uint32)
+        count = np.bincount(place[(doc & 1).astype(bool)], minlength=len(pair)).astype(np.uint32)
+        text = np.repeat(np.arange(len(sizes), dtype=np.int64) << 32, sizes)
+        text |= doc >> 1
+        del doc
+        # Stable: a text's pairs stay in their order.
+        order = np.argsort(text, kind="stable")
+        place, text = place[order], text[order]
+        del order
+        new = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        return cls(words, contexts, np.bincount((pair >> np.uint64(32)).astype(np.int64), minlength=len(words)),
+                   (pair & np.uint64(0xFFFFFFFF)).astype(np.uint32), count, frame["flush"].to_numpy(),
+                   (text[new] >> 32).astype(np.uint32), (text[new] & 0xFFFFFFFF).astype(np.uint32),
+                   np.diff(np.append(new, len(text))).astype(np.uint32), place)
 
 
 class Dice:
@@ -296,8 +325,8 @@ def _hot_places(words: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, hot[at] == words
 
 
-# Rows that shards and slices exchange; peer is the slice, or the sweep of a seating.
-MAIL = "kind string, shard int, peer int, blob binary"
+# Rows that shards and slices exchange; peer is the slice, the sweep of a seating or the flush of a list.
+MAIL = "kind string, shard int, peer long, blob binary"
 _DISHES = ("<u8", "<u4", "<u4", "<u4", "<u4", "<u8")
 
 
@@ -333,9 +362,12 @@ def _totals(shard: int, values: list, hot: np.ndarray, hot_at: np.ndarray, serve
 
 def first_seats(frame: pd.DataFrame, slices: int, hot: np.ndarray) -> pd.DataFrame:
     """A shard's mail with one table per pair: its pairs of several customers, its
-    contexts' customers and tables, and its totals."""
+    contexts' customers and tables, and its totals. Beside it all its tokens, gathered
+    once; the lists of a flush's documents go through as they are."""
     number = int(frame["shard"].iloc[0])
-    shard = Shard(frame)
+    if number < 0:
+        return _mail([("listed", number, flush, blob) for flush, blob in zip(frame["flush"], frame["blob"])])
+    shard = Shard.gathered(frame)
     learnt = np.minimum(shard.count, 1)
     served = np.bincount(shard.word, learnt, len(shard.words))
     many = np.flatnonzero(shard.count > 1)
@@ -343,7 +375,7 @@ def first_seats(frame: pd.DataFrame, slices: int, hot: np.ndarray) -> pd.DataFra
     inner[shard.context[many]] = 1
     known = served > 0
     word_at, context_at = np.cumsum(known) - 1, np.cumsum(inner) - 1
-    rows = [("dishes", number, 0, _pack(
+    rows = [("tokens", number, 0, shard.packed()), ("dishes", number, 0, _pack(
         shard.words[known], served[known].astype("<u4"), word_at[shard.word[many]].astype("<u4"),
         context_at[shard.context[many]].astype("<u4"), shard.count[many].astype("<u4"),
         shard.contexts[inner > 0]))]
@@ -482,7 +514,7 @@ def probabilities(shard: Shard, news: pd.DataFrame, slices: int, states: dict[in
 def pair_rows(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: dict[int, State],
               model: PitmanYor) -> pd.DataFrame:
     """word, context, probability of a shard's pairs, held-out ones too."""
-    shard = Shard(frame)
+    shard = Shard.unpacked(frame["blob"].iloc[0])
     return pd.DataFrame({"word": shard.words.view(np.int64)[shard.word],
                          "context": shard.contexts.view(np.int64)[shard.context],
                          "probability": probabilities(shard, news, slices, states, model)})
@@ -491,7 +523,7 @@ def pair_rows(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: dict
 def score_shard(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: dict[int, State],
                 model: PitmanYor) -> pd.DataFrame:
     """Sums per flush and document over the tokens of a shard."""
-    shard = Shard(frame)
+    shard = Shard.unpacked(frame["blob"].iloc[0])
     state = next(iter(states.values()))
     hot_at, is_hot = _hot_places(shard.words, state.hot_words)
     total = shard.total.copy()
@@ -499,15 +531,13 @@ def score_shard(frame: pd.DataFrame, news: pd.DataFrame, slices: int, states: di
     score = np.log10(probabilities(shard, news, slices, states, model))
     plain = np.log10((total + 1) / (state.tokens + state.types + 1))[shard.word]
     known = (total > 0)[shard.word]
-    width = int(shard.doc.max()) + 1
-    at, place = np.unique(shard.flush * np.int64(width) + shard.doc, return_inverse=True)
+    place = np.repeat(np.arange(len(shard.doc)), shard.tokens)
     # One value per token at a time: these arrays are a shard's largest.
-    sums = [np.bincount(place, v[shard.pair], len(at)) for v in (known, plain, score)]
-    flush, doc = at // width, (at % width).astype("<u4")
-    edges = np.searchsorted(flush, np.arange(len(shard.flushes) + 1))
+    sums = [np.bincount(place, v[shard.pair], len(shard.doc)) for v in (known, plain, score)]
+    edges = np.searchsorted(shard.flush, np.arange(len(shard.flushes) + 1))
     return pd.DataFrame({
         "flush": shard.flushes,
-        "blob": [_pack(doc[a:b], sums[0][a:b].astype("<u4"), *(s[a:b].astype("<f8") for s in sums[1:]))
+        "blob": [_pack(shard.doc[a:b], sums[0][a:b].astype("<u4"), *(s[a:b].astype("<f8") for s in sums[1:]))
                  for a, b in zip(edges[:-1], edges[1:])]})
 
 
@@ -534,7 +564,17 @@ def state_after(mail: DataFrame, sweep: int, before: State | None, hot: np.ndarr
                  sums[3] + own.sum())
 
 
-def swept(tokens: DataFrame, shards: int, hot: np.ndarray,
+def opened(blobs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
+    """The first mail of all shards and their tokens, from what was dealt.
+
+    Bucketed by shard, so that all later passes over it need no shuffle.
+    """
+    own = blobs.repartition(shards, "shard").groupBy("shard").applyInPandas(
+        lambda f: first_seats(f, shards, hot), MAIL)
+    return bucketed(own, "shard", shards, "kind")
+
+
+def swept(opening: DataFrame, shards: int, hot: np.ndarray,
           model: PitmanYor) -> tuple[DataFrame, dict[int, State]]:
     """(mail to the shards, states after the sampled sweeps); each sweep is one round."""
     def answers(mail: DataFrame) -> DataFrame:
@@ -544,10 +584,8 @@ def swept(tokens: DataFrame, shards: int, hot: np.ndarray,
         return materialise(dishes.groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
             lambda d, n: next_seats(d, n, shards, sweep, state, model), MAIL))
 
-    opening = materialise(tokens.where("shard >= 0").groupBy("shard").applyInPandas(
-        lambda f: first_seats(f, shards, hot), MAIL))
     state = state_after(opening, -1, None, hot, model)
-    dishes = bucketed(opening.where("kind = 'dishes'"), "shard", shards)
+    dishes = opening.where("kind = 'dishes'")
     rooms = opening.where("kind = 'room'")
     first = news = answers(rooms)
     states, seats, extras = {}, [], []
@@ -589,7 +627,7 @@ def _summed(frame: pd.DataFrame, train_tokens: int) -> pd.DataFrame:
 
 def _learnt(docs: DataFrame, modulus: int, held_out: int, model: PitmanYor,
             shard_tokens: int) -> tuple[DataFrame, DataFrame, int, dict[int, State]]:
-    """(tokens by shard, mail to the shards, shards, states)."""
+    """(first mail and tokens by shard, last mail to the shards, shards, states)."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"),
@@ -597,17 +635,16 @@ def _learnt(docs: DataFrame, modulus: int, held_out: int, model: PitmanYor,
     size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     shards = max(1, math.ceil(((size[0] or 0) / 6 + size[1]) / shard_tokens))
     hot = frequent(rows, HOT_SAMPLE, 1 / 1000)
-    # Bucketed by shard, so that all passes over the tokens read them without a shuffle.
-    tokens = bucketed(dealt(rows, shards, hot), "shard", shards)
-    news, states = swept(tokens, shards, hot, model)
-    return tokens, news, shards, states
+    opening = opened(dealt(rows, shards, hot), shards, hot)
+    news, states = swept(opening, shards, hot, model)
+    return opening, news, shards, states
 
 
 def pair_probabilities(docs: DataFrame, modulus: int = 7, held_out: int = 2, model: PitmanYor = PitmanYor(),
                        shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """word, context (their hashes), probability of every pair in ``docs``, held-out ones too."""
-    tokens, news, shards, states = _learnt(docs, modulus, held_out, model, shard_tokens)
-    return tokens.where("shard >= 0").groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
+    opening, news, shards, states = _learnt(docs, modulus, held_out, model, shard_tokens)
+    return opening.where("kind = 'tokens'").groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
         lambda f, n: pair_rows(f, n, shards, states, model), "word long, context long, probability double")
 
 
@@ -618,11 +655,11 @@ def scored(docs: DataFrame, modulus: int = 7, held_out: int = 2, model: PitmanYo
     Rows whose id's crc32 leaves ``held_out`` are scored only, all others are
     learnt from as well.
     """
-    tokens, news, shards, states = _learnt(docs, modulus, held_out, model, shard_tokens)
-    sums = tokens.where("shard >= 0").groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
+    opening, news, shards, states = _learnt(docs, modulus, held_out, model, shard_tokens)
+    sums = opening.where("kind = 'tokens'").groupBy("shard").cogroup(news.groupBy("shard")).applyInPandas(
         lambda f, n: score_shard(f, n, shards, states, model), "flush long, blob binary")
     both = (sums.withColumn("listed", F.lit(False)).unionByName(
-        tokens.where("shard < 0").select("flush", "blob", F.lit(True).alias("listed"))))
+        opening.where("kind = 'listed'").select(F.col("peer").alias("flush"), "blob", F.lit(True).alias("listed"))))
     total = next(iter(states.values())).tokens
     return both.groupBy("flush").applyInPandas(
         lambda f: _summed(f, total),

@@ -39,7 +39,7 @@ def test_state_documents_and_title_files_follow_the_rows(spark, sf_dir, connecti
     monkeypatch.setattr(queries.t, "raw_titles", lambda *_: raw.repartition(3))
     for name in ("state_json", "title_files"):
         compare(spark, connection, name, QUERIES[name], ORACLES[name], sf_dir)
-    state, titles = session._scratch[spark.sparkContext.applicationId][-2:]
+    state, _, titles = session._scratch[spark.sparkContext.applicationId][-3:]
     assert len(list(Path(state).glob("file=d*"))) > 16
     assert len(list(Path(titles).glob("part=a/*.csv"))) == 3
 
