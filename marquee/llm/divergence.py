@@ -34,7 +34,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import materialise, small_batches
+from marquee.llm.common import materialise, small_batches, texts_of
 from marquee.session import scratch_path
 
 MIN_DOCS = 10
@@ -46,54 +46,90 @@ TILE_SOURCES = 256
 HELD_ENTRIES = 1_500_000
 # The vocabulary's size is estimated on one document in so many, by a hash of the text.
 LOOK_AT_ONE_IN = 16
+# Bytes of text that are cut side by side.
+CUT_BYTES = 16 * 1024 * 1024
 LARGEST_INT = 2**31 - 1
 BILLION = 1_000_000_000
-# Fixed value: the ASCII characters that are no letters; they part terms.
-PARTING = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# A-Z as a-z, and the ASCII characters that are no letters, which part terms, as spaces.
+_PLAIN = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalpha() else 32 if c < 128 else c for c in range(256))
 
 
 def _text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def _cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of every text, each with the mark of its language behind it.
+
+    Texts of one language are cut side by side, from the places of the spaces in them.
+    """
+    def rows(lang: str, mark: bytes, sources: list[str], texts: list[bytes]) -> pa.RecordBatch:
+        words = b" ".join(t for t in texts if t)
+        words += b" " if words else b""
+        # A term's end: its space, and the marks up to it where there was one byte each.
+        ends = np.flatnonzero(np.frombuffer(words, np.uint8) == 32) + 1
+        ends += np.arange(1, len(ends) + 1) * (len(mark) - 1)
+        terms = pa.StringArray.from_buffers(
+            len(ends), pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(words.replace(b" ", mark)))
+        sizes = [t.count(b" ") + 1 if t else 0 for t in texts]
+        docs = pa.ListArray.from_arrays(np.cumsum([0] + sizes).astype(np.int32), terms)
+        new = [k for k in range(len(texts)) if not k or sources[k] != sources[k - 1]]
+        held = pa.ListArray.from_arrays(np.array(new + [len(texts)], np.int32), docs)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(new)), pa.array([sources[k] for k in new]), held], names=["lang", "source", "docs"])
+
+    for part in parts:
+        lang, source, mark = (c.to_pylist() for c in part.columns[:3])
+        texts = [b" ".join(t.translate(_PLAIN).split()) for t in texts_of(part.column(3))]
+        order = sorted(range(len(texts)), key=lambda k: (lang[k], source[k]))
+        first = size = 0
+        for n, k in enumerate(order, 1):
+            size += len(texts[k])
+            if n == len(order) or size >= CUT_BYTES or lang[order[n]] != lang[k]:
+                own = order[first:n]
+                yield rows(lang[k], mark[k].encode(), [source[i] for i in own], [texts[i] for i in own])
+                first, size = n, 0
+
+
 def with_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, text, terms: a term, a space and a mark of its language, as often as it occurs.
+    """lang, source, docs: the terms of some documents, an array each, as often as they occur.
 
-    The mark is the language itself where that is short and plain, else its bytes in
-    hex. Cut by plain characters: matching terms one by one takes several times as long.
+    A term is followed by a space and a mark of its language: the language itself where
+    that is short and plain, else its bytes in hex.
     """
-    plain = F.translate(_text("text"), _UPPER + PARTING, _LOWER + " " * len(PARTING))
+    small_batches(docs.sparkSession)
     mark = F.concat(F.lit(" "), F.when(F.col("lang").rlike("^[A-Za-z0-9]{1,8}$"), F.col("lang")).otherwise(
         F.concat(F.lit("#"), F.hex("lang"))))
-    ended = F.replace(F.concat(plain, F.lit(" ")), F.lit(" "), F.concat("mark", F.lit("\x01")))
-    # Two parting characters side by side leave an entry of the mark alone.
     return (docs.select(_text("lang").alias("lang"), _text("source").alias("source"), _text("text").alias("text"))
-            .withColumn("mark", mark)
-            .withColumn("terms", F.array_remove(F.split(ended, "\x01"), F.col("mark"))).drop("mark"))
+            .select("lang", "source", mark.alias("mark"), "text")
+            .mapInArrow(_cut, "lang string, source string, docs array<array<string>>"))
 
 
-def slices_for(rows: DataFrame, min_docs: int, slice_terms: int) -> int:
+def slices_for(docs: DataFrame, min_docs: int, slice_terms: int) -> int:
     """Number of slices that keep a vocabulary below about ``slice_terms`` terms.
 
     A term of ``min_docs`` documents is in a sample of one in n with a probability of
     1 - (1 - 1/n)^min_docs at least, so the sample's terms over that bound the kept ones.
     """
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(LOOK_AT_ONE_IN)) == 0)
-    seen = sample.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term")).first()[0]
+    sample = with_terms(docs.where(F.pmod(F.xxhash64(_text("text")), F.lit(LOOK_AT_ONE_IN)) == 0))
+    seen = sample.select(F.explode(F.flatten("docs")).alias("term")).agg(F.approx_count_distinct("term")).first()[0]
     share = 1 - (1 - 1 / LOOK_AT_ONE_IN) ** min_docs
     return max(1, math.ceil(seen / share / slice_terms))
 
 
 def _dealt(n_slices: int):
-    """Rows of a document per slice that has any of its terms."""
+    """Documents by the slices that have any of their terms."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             out = []
-            for lang, source, terms in zip(*(c.to_pylist() for c in part.columns)):
-                by: dict[int, list[str]] = {}
-                for term in terms:
-                    by.setdefault(xxhash.xxh64_intdigest(term) % n_slices, []).append(term)
+            for lang, source, docs in zip(*(c.to_pylist() for c in part.columns)):
+                by: dict[int, list[list[str]]] = {}
+                for terms in docs:
+                    own: dict[int, list[str]] = {}
+                    for term in terms:
+                        own.setdefault(xxhash.xxh64_intdigest(term) % n_slices, []).append(term)
+                    for k, some in own.items():
+                        by.setdefault(k, []).append(some)
                 out.extend((lang, source, k, some) for k, some in by.items())
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SLICED)], schema=_SLICED)
@@ -102,7 +138,7 @@ def _dealt(n_slices: int):
 
 
 _SLICED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("slice", pa.int32()),
-                     ("terms", pa.list_(pa.string()))])
+                     ("docs", pa.list_(pa.list_(pa.string())))])
 _SUMS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("at", pa.int32()), ("n", pa.int64())])
 
 
@@ -155,23 +191,23 @@ def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, slice_terms: int = SLIC
     """lang, source, term, n: occurrences of every kept term in every source that has it."""
     spark = docs.sparkSession
     rows = with_terms(docs)
-    n_slices = slices_for(rows, min_docs, slice_terms)
+    n_slices = slices_for(docs, min_docs, slice_terms)
     # Written once, a folder per slice: each model reads its own terms only.
     path = scratch_path(spark)
-    small_batches(spark)
-    sliced = rows.select("lang", "source", F.lit(0).alias("slice"), "terms") if n_slices == 1 else rows.select(
-        "lang", "source", "terms").mapInArrow(_dealt(n_slices), "lang string, source string, slice int, terms array<string>")
+    sliced = rows.withColumn("slice", F.lit(0)) if n_slices == 1 else rows.mapInArrow(
+        _dealt(n_slices), "lang string, source string, slice int, docs array<array<string>>")
     sliced.write.partitionBy("slice").parquet(path)
     # An empty term in as many rows as a term must have keeps every vocabulary from being empty.
     held = (spark.range(min_docs).select(F.lit("").alias("lang"), F.lit("").alias("source"),
-                                         F.array(F.lit("")).alias("terms")))
+                                         F.array(F.array(F.lit(""))).alias("docs")))
     found = []
     for k in range(n_slices):
-        part = spark.read.schema("lang string, source string, terms array<string>, slice int").parquet(
+        part = spark.read.schema("lang string, source string, docs array<array<string>>, slice int").parquet(
             path).where(F.col("slice") == k).drop("slice").unionByName(held)
         model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_docs),
-                                vocabSize=LARGEST_INT).fit(part)
-        sums = (model.transform(part).select("lang", "source", "counts")
+                                vocabSize=LARGEST_INT).fit(part.select(F.explode("docs").alias("terms")))
+        # Documents that were cut together are counted together.
+        sums = (model.transform(part.select("lang", "source", F.flatten("docs").alias("terms"))).select("lang", "source", "counts")
                 .mapInArrow(_summed, "lang string, source string, at int, n long")
                 .groupBy("lang", "source", "at").agg(F.sum("n").alias("n")))
         words = model.vocabulary
