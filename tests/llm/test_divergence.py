@@ -80,6 +80,5 @@ def test_documents_cut_together_keep_their_own_terms(spark, monkeypatch):
     docs = spark.createDataFrame([(k, "One two, one" if k % 2 else "", "en", f"s{k % 3 % 2}") for k in range(60)],
                                  SCHEMA).coalesce(1)
     rows = divergence.with_terms(docs).collect()
-    assert len(rows) == 2 and sum(len(r.docs) for r in rows) == 30
-    assert {tuple(sorted(d)) for r in rows for d in r.docs} == {("one en", "two en")}
-    assert sum(len(r.terms) for r in rows) == 90
+    assert len(rows) == 2 and sum(len(r.docs) for r in rows) == 60
+    assert sorted(map(tuple, (d for r in rows for d in r.docs))) == [()] * 30 + [("one en", "two en", "one en")] * 30
