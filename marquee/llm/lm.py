@@ -15,7 +15,8 @@ probability, averaged over the states after the last sweeps.
 Tokens travel once, packed, to shards by word, so that a shard sees all
 contexts of its words. Frequent words, chosen on a bounded sample of documents,
 are spread by (word, context) instead; the number of shards and that choice
-move work, not results. Contexts are owned by slices: shards send customers and
+move work, not results. Shards are known by keys that Spark's hash deals to one
+task and bucket each. Contexts are owned by slices: shards send customers and
 tables per context there and get the sums back. A pair of one customer always
 has one table, so that a sweep sends pairs of several customers only. Sums per
 document come back packed by the flush that sent its tokens.
@@ -39,7 +40,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.common import WordHashes, bucketed, id_remainder, mixed, small_batches, texts_of
@@ -103,6 +104,19 @@ def frequent(docs: DataFrame, sample: int, share: float) -> np.ndarray:
     return np.sort(np.array(hot, np.int64).view(np.uint64))
 
 
+def even_keys(spark: SparkSession, shards: int) -> np.ndarray:
+    """A key per shard, not negative, that a shuffle or a bucketed table of as many parts
+    deals to a part of its own."""
+    size = 32 * shards
+    while True:
+        parts = spark.range(0, size, 1, 1).select(
+            F.pmod(F.hash(F.col("id").cast("int")), F.lit(shards)).alias("part")).toPandas()["part"]
+        known, first = np.unique(parts, return_index=True)
+        if len(known) == shards:
+            return first
+        size *= 2
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays by byte planes, so that high bytes of small values vanish."""
     head = np.array([len(a) for a in arrays], "<i8")
@@ -122,15 +136,16 @@ def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def dealt(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    """(shard, flush, blob): packed tokens by shard; negative shards have the flushes' documents.
+    """(shard, flush, blob): packed tokens by shard, named by its key; negative ones have the
+    flushes' documents.
 
     ``docs`` has doc_id, text and train.
     """
     small_batches(docs.sparkSession, 512)
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+    shared = docs.sparkSession.sparkContext.broadcast((hot, even_keys(docs.sparkSession, shards)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
+        often, keys = shared.value
         flush = TaskContext.get().partitionId() << 24
         ids: list = []
         train: list = []
@@ -160,7 +175,7 @@ def dealt(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                     new = np.flatnonzero(np.concatenate([[True], w[a + 1:b] != w[a:b - 1]]))
                     counts = np.diff(np.append(new, b - a)).astype("<u4")
                     before, place = np.unique(k[a:b], return_inverse=True)
-                    rows.append((s, flush, _pack(w[a:b][new], counts, before,
+                    rows.append((int(keys[s]), flush, _pack(w[a:b][new], counts, before,
                                                  place.astype("<u4"), doc[a:b])))
             known = np.array([i is not None for i in ids], np.uint8)
             listed = int(mixed(np.array([flush], np.uint64))[0] % np.uint64(shards))
@@ -220,34 +235,44 @@ class Shard:
         """From what all flushes sent."""
         frame = frame.sort_values("flush")
         parts = [_unpack(b, "<u8", "<u4", "<u8", "<u4", "<u4") for b in frame["blob"]]
-        sizes = [len(p[4]) for p in parts]
+        sizes = np.array([len(p[4]) for p in parts])
         words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         word = np.repeat(at.astype(np.uint64), np.concatenate([p[1] for p in parts]))
         contexts, at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
         at = at.astype(np.uint32)
         word <<= np.uint64(32)
-        first = 0
-        for n, p in zip(np.cumsum([0] + sizes), parts):
-            word[n:n + len(p[3])] |= at[first + p[3]]
-            first += len(p[2])
         doc = np.concatenate([p[4] for p in parts])
+        edges = np.append(0, np.cumsum(sizes))
+        first = 0
+        for k, n in enumerate(edges[:-1]):
+            before, place = parts[k][2:4]
+            parts[k] = None
+            word[n:n + len(place)] |= at[first + place]
+            first += len(before)
         del parts, at
-        pair, place = np.unique(word, return_inverse=True)
+        # As np.unique with its inverse, with fewer arrays of a value per token.
+        order = np.argsort(word, kind="stable")
+        word = word[order]
+        new = np.concatenate([[True], word[1:] != word[:-1]])
+        pair = word[new]
         del word
-        place = place.astype(np.uint32)
-        count = np.bincount(place[(doc & 1).astype(bool)], minlength=len(pair)).astype(np.uint32)
-        text = np.repeat(np.arange(len(sizes), dtype=np.int64) << 32, sizes)
-        text |= doc >> 1
-        del doc
-        # Stable: a text's pairs stay in their order.
-        order = np.argsort(text, kind="stable")
-        place, text = place[order], text[order]
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
         del order
-        new = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        count = np.bincount(place[(doc & 1).astype(bool)], minlength=len(pair)).astype(np.uint32)
+        doc >>= 1
+        new[:] = False
+        for a, b in zip(edges[:-1], edges[1:]):
+            # Stable: a text's pairs stay in their order.
+            order = np.argsort(doc[a:b], kind="stable")
+            doc[a:b], place[a:b] = doc[a:b][order], place[a:b][order]
+            new[a] = True
+            new[a + 1:b] = doc[a + 1:b] != doc[a:b - 1]
+        new = np.flatnonzero(new)
         return cls(words, contexts, np.bincount((pair >> np.uint64(32)).astype(np.int64), minlength=len(words)),
                    (pair & np.uint64(0xFFFFFFFF)).astype(np.uint32), count, frame["flush"].to_numpy(),
-                   (text[new] >> 32).astype(np.uint32), (text[new] & 0xFFFFFFFF).astype(np.uint32),
-                   np.diff(np.append(new, len(text))).astype(np.uint32), place)
+                   (np.searchsorted(edges, new, side="right") - 1).astype(np.uint32), doc[new],
+                   np.diff(np.append(new, len(doc))).astype(np.uint32), place)
 
 
 class Dice:

@@ -666,6 +666,18 @@ def test_document_lists_are_spread(spark):
     assert len({r.shard for r in lists}) > 2 and min(r.shard for r in lists) >= -8
 
 
+def test_shards_meet_in_a_part_each(spark):
+    """No two shards in one task of the shuffle or one bucket, whatever their number."""
+    docs = spark.range(200).selectExpr("id as doc_id", "concat('a', id, ' b', id * 7) as text", "true as train")
+    for shards in (1, 2, 24, 211):
+        keys = lm.even_keys(spark, shards)
+        assert len(set(keys.tolist())) == shards and keys.min() >= 0
+    dealt = lm.dealt(docs, 24, np.empty(0, np.uint64)).where("shard >= 0").select("shard").distinct()
+    assert dealt.count() == 24
+    parts = dealt.repartition(24, "shard").select(F.spark_partition_id().alias("part")).distinct()
+    assert parts.count() == 24
+
+
 def test_every_word_before_is_a_context_of_its_own():
     tokens = lm.tokens_of(" ".join(f"w{i}" for i in range(300_000)).encode())
     assert len(np.unique(lm.contexts_of(tokens))) == 300_001
