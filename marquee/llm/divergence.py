@@ -5,8 +5,14 @@ the terms of every language: a term carries its language, so that one model hold
 the vocabularies of all of them, each judged by its own documents. Terms are dealt
 by hash to slices, and a model is fitted per slice, so that the vocabulary on the
 driver stays near ``slice_terms`` however many terms there are; the number of
-slices comes from a sample of the documents and never changes a result. The exact sparse vectors of all documents are summed per
-(language, source) within their tasks first.
+slices comes from a sample of the documents and never changes a result.
+
+The model reads folded documents: those of a task are counted first, and every count is
+written as few documents. Its fit asks whether a term is in ``min_docs`` documents, so a
+term goes to as many documents as it has in the task, ``min_docs`` at most: sums of counts
+cut there reach ``min_docs`` just where those of the whole counts do. Its transform gets
+a document per binary digit of the occurrences in a (language, source), with the digit's
+weight, and the exact sparse vectors times their weights are summed.
 
 Shares are whole billionths: p = 1 + floor(10^9 (n + 2) / (N + 2 V)), in decimal
 arithmetic. The distance of two shares is floor((p - q)^2 / (p + q)). Pairs of
@@ -42,8 +48,14 @@ TOP_TERMS = 10
 SLICE_TERMS = 2_000_000
 BLOCK_ROWS = 400_000
 TILE_SOURCES = 256
-# Vector entries that a task holds before it sums them up.
-HELD_ENTRIES = 1_500_000
+# Vector entries, and bytes of terms, that a task holds before it sums them up.
+HELD_ENTRIES = 1_000_000
+HELD_BYTES = 32 * 1024 * 1024
+# Terms in a row of a folded document.
+ROW_TERMS = 8_000
+# Rows of sparse vectors or blocks that travel together, and rows of single sums.
+VECTOR_ROWS = 128
+SUM_ROWS = 65_536
 # The vocabulary's size is estimated on one document in so many, by a hash of the text.
 LOOK_AT_ONE_IN = 16
 # Bytes of text that are cut side by side.
@@ -91,18 +103,24 @@ def _cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first, size = n, 0
 
 
-def with_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, docs: the terms of some documents, an array each, as often as they occur.
+def _marked(docs: DataFrame) -> DataFrame:
+    """lang, source, mark, text, ready for Python tasks.
 
-    A term is followed by a space and a mark of its language: the language itself where
-    that is short and plain, else its bytes in hex.
+    A mark is a space and the language itself where that is short and plain, else its bytes in hex.
     """
     small_batches(docs.sparkSession)
     mark = F.concat(F.lit(" "), F.when(F.col("lang").rlike("^[A-Za-z0-9]{1,8}$"), F.col("lang")).otherwise(
         F.concat(F.lit("#"), F.hex("lang"))))
     return (docs.select(_text("lang").alias("lang"), _text("source").alias("source"), _text("text").alias("text"))
-            .select("lang", "source", mark.alias("mark"), "text")
-            .mapInArrow(_cut, "lang string, source string, docs array<array<string>>"))
+            .select("lang", "source", mark.alias("mark"), "text"))
+
+
+def with_terms(docs: DataFrame) -> DataFrame:
+    """lang, source, docs: the terms of some documents, an array each, as often as they occur.
+
+    A term is followed by the mark of its language.
+    """
+    return _marked(docs).mapInArrow(_cut, "lang string, source string, docs array<array<string>>")
 
 
 def slices_for(docs: DataFrame, min_docs: int, slice_terms: int) -> int:
@@ -117,105 +135,237 @@ def slices_for(docs: DataFrame, min_docs: int, slice_terms: int) -> int:
     return max(1, math.ceil(seen / share / slice_terms))
 
 
-def _dealt(n_slices: int):
-    """Documents by the slices that have any of their terms."""
+_FOLDED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("slice", pa.int32()), ("fit", pa.bool_()),
+                     ("weight", pa.int64()), ("terms", pa.list_(pa.string()))])
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Integers from 0, in 32 bits where they fit."""
+    return values.astype(np.uint32) if values.max(initial=0) < 2**32 else values
+
+
+def _once(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, sorted, and the sums of their counts; empties both lists."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    keys.clear()
+    counts.clear()
+    order = np.argsort(key)
+    key, count = key[order], count[order]
+    del order
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    return key[new], np.add.reduceat(count, new) if len(new) else count
+
+
+def _folded(n_slices: int, min_docs: int):
+    """Documents for the fit and the transform that count as a task's documents do."""
+    def layer(terms: pa.Array, slices: np.ndarray, names: list[tuple[str, str]], group: np.ndarray,
+              at: np.ndarray, weight: int | None) -> pa.RecordBatch:
+        """Rows of one document per group and slice; without a weight, for the fit."""
+        label = slices[at] * len(names) + group
+        order = np.argsort(label, kind="stable")
+        label = label[order]
+        new = np.append(True, label[1:] != label[:-1])
+        new[::ROW_TERMS] = True
+        new = np.flatnonzero(new)
+        own = [names[i] for i in label[new] % len(names)]
+        rows = pa.ListArray.from_arrays(np.append(new, len(at)).astype(np.int32), terms.take(pa.array(at[order])))
+        return pa.RecordBatch.from_arrays([
+            pa.array([n[0] for n in own], pa.string()), pa.array([n[1] for n in own], pa.string()),
+            pa.array((label[new] // len(names)).astype(np.int32)), pa.array([weight is None] * len(new)),
+            pa.array([weight or 1] * len(new), pa.int64()), rows], schema=_FOLDED)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            out = []
-            for lang, source, docs in zip(*(c.to_pylist() for c in part.columns)):
-                by: dict[int, list[list[str]]] = {}
-                for terms in docs:
-                    own: dict[int, list[str]] = {}
-                    for term in terms:
-                        own.setdefault(xxhash.xxh64_intdigest(term) % n_slices, []).append(term)
-                    for k, some in own.items():
-                        by.setdefault(k, []).append(some)
-                out.extend((lang, source, k, some) for k, some in by.items())
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SLICED)], schema=_SLICED)
+        number: dict[tuple[str, str], int] = {}
+        # Terms, of each the documents that have it, and occurrences by group and term.
+        terms: list[pa.Array] = []
+        seen: list[np.ndarray] = []
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        first = 0
+
+        def settle() -> None:
+            """Every term and key once, held as the first of the lists."""
+            nonlocal first
+            coded = pa.concat_arrays(terms).dictionary_encode()
+            at = coded.indices.to_numpy().astype(np.int64)
+            docs = np.bincount(at, np.concatenate(seen), len(coded.dictionary)).astype(np.int64)
+            for key in keys:
+                key += at[key & LARGEST_INT] - (key & LARGEST_INT)
+            key, total = _once(keys, counts)
+            terms[:], seen[:], keys[:], counts[:] = [coded.dictionary], [docs], [key], [total]
+            first = len(coded.dictionary)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            nonlocal first
+            own, docs, key, total = terms[0], np.minimum(seen[0], min_docs), keys[0], counts[0]
+            slices = np.zeros(len(own), np.int64) if n_slices == 1 else np.array(
+                [xxhash.xxh64_intdigest(t) % n_slices for t in own.to_pylist()], np.int64)
+            for k in range(int(docs.max(initial=0))):
+                at = np.flatnonzero(docs > k)
+                yield layer(own, slices, [("", "")], np.zeros(len(at), np.int64), at, None)
+            names = list(number)
+            for digit in range(int(total.max(initial=0)).bit_length()):
+                some = key[total >> digit & 1 > 0]
+                if len(some):
+                    yield layer(own, slices, names, some >> 31, some & LARGEST_INT, 1 << digit)
+            for held in (terms, seen, keys, counts):
+                held.clear()
+            first = 0
+
+        for part in _cut(parts):
+            held = part.column(2)
+            docs = held.flatten()
+            coded = docs.flatten().dictionary_encode()
+            size, at = len(coded.dictionary), coded.indices.to_numpy().astype(np.int64)
+            if not size:
+                continue
+            some = np.array([number.setdefault(g, len(number)) for g in zip(
+                part.column(0).to_pylist(), part.column(1).to_pylist())], np.int64)
+            lengths = np.diff(docs.offsets.to_numpy())
+            row = np.repeat(np.repeat(np.arange(len(some)), np.diff(held.offsets.to_numpy())), lengths)
+            doc = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
+            key, count = np.unique(_narrow(row * size + at), return_counts=True)
+            key = key.astype(np.int64)
+            terms.append(coded.dictionary)
+            seen.append(np.bincount(np.unique(_narrow(doc * size + at)) % size, minlength=size))
+            keys.append((some[key // size] << 31) + key % size + first)
+            counts.append(count)
+            first += size
+            if sum(map(len, keys)) >= HELD_ENTRIES or sum(t.nbytes for t in terms) >= HELD_BYTES:
+                settle()
+                if len(keys[0]) >= HELD_ENTRIES // 2 or terms[0].nbytes >= HELD_BYTES // 2:
+                    yield from rows()
+        if terms:
+            settle()
+            yield from rows()
 
     return run
 
 
-_SLICED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("slice", pa.int32()),
-                     ("docs", pa.list_(pa.list_(pa.string())))])
+# Sums travel in blocks, so many neighbouring indices of a source in a row.
+_BLOCK_BITS = 12
+_BLOCKS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("block", pa.int32()),
+                     ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
 _SUMS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("at", pa.int32()), ("n", pa.int64())])
 
 
+class Sums:
+    """Counts per (lang, source, index) that a task holds."""
+
+    def __init__(self) -> None:
+        self.number: dict[tuple[str, str], int] = {}
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.waiting = 0
+
+    def add(self, lang: pa.Array, source: pa.Array, sizes: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
+        """Entries of some rows, ``sizes`` of each."""
+        group = [self.number.setdefault(g, len(self.number)) for g in zip(lang.to_pylist(), source.to_pylist())]
+        self.keys.append((np.repeat(np.array(group, np.int64), sizes) << 31) + at)
+        self.counts.append(n)
+        self.waiting += len(at)
+
+    def settle(self) -> np.ndarray:
+        """One entry per key, held as the first of the lists; the keys."""
+        key, total = _once(self.keys, self.counts)
+        self.keys, self.counts, self.waiting = [key], [total], 0
+        return key
+
+    def taken(self, some: slice | np.ndarray = slice(None)) -> tuple[np.ndarray, np.ndarray, list[pa.Array]]:
+        """Keys and counts of settled entries, no longer held, and the texts of all groups."""
+        out = self.keys[0][some], self.counts[0][some]
+        rest = np.ones(len(self.keys[0]), bool)
+        rest[some] = False
+        self.keys, self.counts = [self.keys[0][rest]], [self.counts[0][rest]]
+        return *out, [pa.array([n[i] for n in self.number], pa.string()) for i in (0, 1)]
+
+
+def _pieces(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
 def _summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of a task's sparse vectors per (lang, source, index), a bounded number held at a time."""
-    number: dict[tuple[str, str], int] = {}
-    keys: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
-    waiting = 0
-
-    def settle() -> None:
-        """One entry per key, held as the first of the lists."""
-        nonlocal waiting
-        key, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(place, np.concatenate(counts), len(key))
-        keys[:], counts[:], waiting = [key], [total], 0
+    """Weighted sums of a task's sparse vectors in blocks, a bounded number held at a time."""
+    sums = Sums()
 
     def rows() -> pa.RecordBatch:
-        settle()
-        own = keys[0] >> 31
-        names = list(number)
-        out = pa.RecordBatch.from_arrays([
-            pa.array([n[i] for n in names], pa.string()).take(pa.array(own)) for i in (0, 1)] + [
-            pa.array((keys[0] & LARGEST_INT).astype(np.int32)), pa.array(counts[0].astype(np.int64))], schema=_SUMS)
-        keys.clear()
-        counts.clear()
-        return out
+        key, total, names = sums.taken()
+        new = np.flatnonzero(np.append(True, np.diff(key >> _BLOCK_BITS) != 0)[:len(key)])
+        edges, own = np.append(new, len(key)).astype(np.int32), pa.array(key[new] >> 31)
+        at = (key & LARGEST_INT).astype(np.int32)
+        return pa.RecordBatch.from_arrays([n.take(own) for n in names] + [
+            pa.array(at[new] >> _BLOCK_BITS), pa.ListArray.from_arrays(edges, pa.array(at)),
+            pa.ListArray.from_arrays(edges, pa.array(total))], schema=_BLOCKS)
 
     for part in parts:
         if not part.num_rows:
             continue
-        vectors = part.column(2)
+        vectors = part.column(3)
         indices, values = vectors.field("indices"), vectors.field("values")
         sizes = np.diff(indices.offsets.to_numpy())
-        group = [number.setdefault(g, len(number))
-                 for g in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
-        keys.append((np.repeat(np.array(group, np.int64), sizes) << 31)
-                    + indices.flatten().to_numpy(zero_copy_only=False))
-        counts.append(values.flatten().to_numpy(zero_copy_only=False))
-        waiting += len(keys[-1])
-        if waiting >= HELD_ENTRIES:
-            settle()
-            if len(keys[0]) >= HELD_ENTRIES:
-                yield rows()
-    if keys:
-        yield rows()
+        sums.add(part.column(0), part.column(1), sizes, indices.flatten().to_numpy(zero_copy_only=False),
+                 values.flatten().to_numpy(zero_copy_only=False).astype(np.int64) * np.repeat(part.column(2).to_numpy(), sizes))
+        if sums.waiting >= HELD_ENTRIES and len(sums.settle()) >= HELD_ENTRIES:
+            yield from _pieces(rows(), VECTOR_ROWS)
+    if sums.keys:
+        sums.settle()
+        yield from _pieces(rows(), VECTOR_ROWS)
+
+
+def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of blocks that come in order, each with all its rows; held are whole blocks and one more."""
+    sums = Sums()
+
+    def rows(key: np.ndarray, total: np.ndarray, names: list[pa.Array]) -> pa.RecordBatch:
+        own = pa.array(key >> 31)
+        return pa.RecordBatch.from_arrays([n.take(own) for n in names] + [
+            pa.array((key & LARGEST_INT).astype(np.int32)), pa.array(total)], schema=_SUMS)
+
+    for part in parts:
+        if not part.num_rows:
+            continue
+        lists = part.column(3)
+        sums.add(part.column(0), part.column(1), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(),
+                 part.column(4).flatten().to_numpy())
+        if sums.waiting >= HELD_ENTRIES:
+            last = sums.keys[-1][-1] >> _BLOCK_BITS
+            # Numbers of groups stay, so that the last block's rows that come meet those held.
+            done = sums.settle() >> _BLOCK_BITS != last
+            yield from _pieces(rows(*sums.taken(done)), SUM_ROWS)
+    if sums.keys:
+        sums.settle()
+        yield from _pieces(rows(*sums.taken()), SUM_ROWS)
 
 
 def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, slice_terms: int = SLICE_TERMS) -> DataFrame:
     """lang, source, term, n: occurrences of every kept term in every source that has it."""
     spark = docs.sparkSession
-    rows = with_terms(docs)
     n_slices = slices_for(docs, min_docs, slice_terms)
     # Written once, a folder per slice: each model reads its own terms only.
     path = scratch_path(spark)
-    sliced = rows.withColumn("slice", F.lit(0)) if n_slices == 1 else rows.mapInArrow(
-        _dealt(n_slices), "lang string, source string, slice int, docs array<array<string>>")
-    sliced.write.partitionBy("slice").parquet(path)
+    columns = "lang string, source string, slice int, fit boolean, weight long, terms array<string>"
+    _marked(docs).mapInArrow(_folded(n_slices, min_docs), columns).write.partitionBy("slice", "fit").parquet(path)
     # An empty term in as many rows as a term must have keeps every vocabulary from being empty.
-    held = (spark.range(min_docs).select(F.lit("").alias("lang"), F.lit("").alias("source"),
-                                         F.array(F.array(F.lit(""))).alias("docs")))
+    held = spark.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     found = []
+    small_batches(spark, VECTOR_ROWS)
     for k in range(n_slices):
-        part = spark.read.schema("lang string, source string, docs array<array<string>>, slice int").parquet(
-            path).where(F.col("slice") == k).drop("slice").unionByName(held)
+        part = spark.read.schema(columns).parquet(path).where(F.col("slice") == k)
         model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_docs),
-                                vocabSize=LARGEST_INT).fit(part.select(F.explode("docs").alias("terms")))
-        # Documents that were cut together are counted together.
-        sums = (model.transform(part.select("lang", "source", F.flatten("docs").alias("terms"))).select("lang", "source", "counts")
-                .mapInArrow(_summed, "lang string, source string, at int, n long")
-                .groupBy("lang", "source", "at").agg(F.sum("n").alias("n")))
+                                vocabSize=LARGEST_INT).fit(part.where("fit").select("terms").unionByName(held))
+        sums = (model.transform(part.where("not fit").select("lang", "source", "weight", "terms"))
+                .select("lang", "source", "weight", "counts")
+                .mapInArrow(_summed, "lang string, source string, block int, at array<int>, n array<long>")
+                .repartition("lang", "source", "block").sortWithinPartitions("lang", "source", "block")
+                .mapInArrow(_merged, "lang string, source string, at int, n long"))
         words = model.vocabulary
         names = spark.createDataFrame(
             pd.DataFrame({"at": np.arange(len(words), dtype=np.int32), "name": words}), "at int, name string")
         term = F.substring_index("name", " ", 1)
         found.append(materialise(sums.join(names, "at").select(
             "lang", "source", term.alias("term"), "n").where("term != ''")))
+    small_batches(spark)
     return reduce(DataFrame.unionByName, found)
 
 

@@ -82,3 +82,51 @@ def test_documents_cut_together_keep_their_own_terms(spark, monkeypatch):
     rows = divergence.with_terms(docs).collect()
     assert len(rows) == 2 and sum(len(r.docs) for r in rows) == 60
     assert sorted(map(tuple, (d for r in rows for d in r.docs))) == [()] * 30 + [("one en", "two en", "one en")] * 30
+
+
+@pytest.mark.parametrize("held,row_terms,slices", [(10**6, 10**6, 1), (60, 7, 3)])
+def test_folded_documents_count_as_the_documents_do(spark, monkeypatch, held, row_terms, slices):
+    """Far fewer terms reach the model; occurrences, and which terms are in enough documents, stay."""
+    monkeypatch.setattr(divergence, "HELD_ENTRIES", held)
+    monkeypatch.setattr(divergence, "ROW_TERMS", row_terms)
+    rows = make_rows()
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    marked = list(divergence._marked(docs).toArrow().to_batches(max_chunksize=20))
+    want, seen, occurrences = collections.Counter(), collections.Counter(), 0
+    for part in divergence._cut(iter(marked)):
+        for row in part.to_pylist():
+            for terms in row["docs"]:
+                want.update((row["lang"], row["source"], t) for t in terms)
+                seen.update(set(terms))
+                occurrences += len(terms)
+    got, documents, written = collections.Counter(), collections.Counter(), 0
+    for part in divergence._folded(slices, 10)(iter(marked)):
+        for row in part.to_pylist():
+            assert len(set(row["terms"])) == len(row["terms"]) <= row_terms
+            written += len(row["terms"])
+            for t in row["terms"]:
+                if row["fit"]:
+                    documents[t] += 1
+                else:
+                    got[row["lang"], row["source"], t] += row["weight"]
+    assert got == want
+    assert {t for t, n in documents.items() if n >= 10} == {t for t, n in seen.items() if n >= 10}
+    assert all(documents[t] == n for t, n in seen.items() if n < 10)
+    if held > 60:
+        assert written < 2 * occurrences / 3
+
+
+def test_blocks_are_merged_whole(monkeypatch):
+    """Rows of a block that arrive in several batches are one sum, whatever is held."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(divergence, "HELD_ENTRIES", 5)
+    rng = random.Random(4)
+    rows = sorted((lang, source, block, sorted(rng.sample(range(4096 * block, 4096 * block + 6), 3)))
+                  for lang in "ab" for source in "xyz" for block in (0, 3) for _ in range(rng.randint(1, 9)))
+    want = collections.Counter((r[0], r[1], at) for r in rows for at in r[3])
+    batches = pa.Table.from_arrays(
+        [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(list(divergence._BLOCKS)[:4])]
+        + [pa.array([[1] * 3] * len(rows), pa.list_(pa.int64()))], schema=divergence._BLOCKS).to_batches(max_chunksize=4)
+    got = [tuple(r.values()) for part in divergence._merged(iter(batches)) for r in part.to_pylist()]
+    assert len(got) == len(want) and {g[:3]: g[3] for g in got} == want
